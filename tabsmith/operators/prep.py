@@ -282,44 +282,14 @@ class FeaturePipeline:
             out.append(x.alias(c))
         # 2) datetime parts, appended in datetime-column order
         for c in ft["datetime"]:
-            ts = self._parsed(df, c)
-            missing = ts.isNull()
-            out.append(missing.cast("int").alias(f"{c}__missing"))
-            parts = {
-                "year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts),
-                "dayofweek": F.weekday(ts),                     # Monday = 0
-                "is_weekend": F.weekday(ts).isin(5, 6).cast("int"),
-                "hour": F.hour(ts), "minute": F.minute(ts), "second": F.second(ts),
-            }
-            for p in DATETIME_PARTS:
-                e = parts[p]
-                if p == "is_weekend":
-                    e = F.coalesce(e, F.lit(0)) if fill is not None else e
-                elif fill is not None:
-                    e = F.coalesce(e, F.lit(fill))
-                out.append(e.alias(f"{c}__{p}"))
-            ref = st["datetime_reference"].get(c)
-            if ref is not None:
-                # whole days since the training minimum, floored (not calendar days)
-                ref_lit = F.lit(ref).cast("timestamp_ntz")
-                diff = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(ref_lit.cast("timestamp"))
-                days = F.floor(diff / F.lit(86400000000)).cast("long")
-                if fill is not None:
-                    days = F.coalesce(days, F.lit(fill).cast("long"))
-                out.append(days.alias(f"{c}__days_since"))
+            out += datetime_features(self._parsed(df, c), c, st["datetime_reference"].get(c), fill)
         # 3) encoders: one-hot then hashing, appended, sources dropped
         for c, (kind, params) in st["encoders"].items():
             imp = st["imputers"].get(c)
             x = qcol(c)
             if imp is not None:
                 x = F.coalesce(x, F.lit(imp[1]))
-            if kind == "onehot":
-                for v in params:
-                    out.append((x == F.lit(v)).cast("int").alias(f"{c}__{v}"))
-            else:
-                b = md5_mod(x.cast("string"), params)
-                for j in range(params):
-                    out.append((b == j).cast("double").alias(f"{c}__hash_{j}"))
+            out += onehot_columns(x, c, params) if kind == "onehot" else hash_columns(x, c, params)
         return df.select(*out, *[qcol(c) for c in df.columns if c not in features])
 
     def passthrough_columns(self, df: DataFrame) -> list[str]:
@@ -401,6 +371,94 @@ class FeaturePipeline:
         return p
 
 
+def datetime_features(ts: Column, name: str, reference=None, fill=-1) -> list[Column]:
+    """Missing flag, year, month, day, dayofweek (Monday = 0), is_weekend,
+    hour, minute, second and whole days since ``reference`` (floored).
+
+    ``fill`` replaces the parts of a missing timestamp (decision Q3); ``None``
+    keeps them NULL.
+    """
+    out = [ts.isNull().cast("int").alias(f"{name}__missing")]
+    parts = {
+        "year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts),
+        "dayofweek": F.weekday(ts),
+        "is_weekend": F.coalesce(F.weekday(ts).isin(5, 6), F.lit(False)).cast("int"),
+        "hour": F.hour(ts), "minute": F.minute(ts), "second": F.second(ts),
+    }
+    for p in DATETIME_PARTS:
+        e = parts[p]
+        if fill is not None and p != "is_weekend":
+            e = F.coalesce(e, F.lit(fill))
+        out.append(e.alias(f"{name}__{p}"))
+    if reference is not None:
+        ref = F.lit(str(reference)).cast("timestamp_ntz")
+        diff = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(ref.cast("timestamp"))
+        days = F.floor(diff / F.lit(86400000000)).cast("long")
+        if fill is not None:
+            days = F.coalesce(days, F.lit(fill).cast("long"))
+        out.append(days.alias(f"{name}__days_since"))
+    return out
+
+
+def onehot_columns(x: Column, name: str, categories) -> list[Column]:
+    """F8: ``name__value`` = 1 when equal, else 0 (unseen and NULL → all 0)."""
+    return [F.coalesce(x == F.lit(v), F.lit(False)).cast("int").alias(f"{name}__{v}") for v in categories]
+
+
+def hash_columns(x: Column, name: str, n: int) -> list[Column]:
+    """``name__hash_j`` = 1.0 for the bucket ``int(md5(str(x)), 16) % n``."""
+    b = md5_mod(x.cast("string"), n)
+    return [(b == j).cast("double").alias(f"{name}__hash_{j}") for j in range(n)]
+
+
+def ordinal_codes(x: Column, levels) -> Column:
+    """0-based position in the sorted training levels; unseen → -1."""
+    return F.coalesce(FeaturePipeline._ordinal_code(x, list(levels)), F.lit(-1))
+
+
+def impute(df: DataFrame, values: dict) -> DataFrame:
+    """fill NULLs with fitted values; numbers are widened to double (no truncation)."""
+    out = []
+    for f in df.schema.fields:
+        if f.name in values:
+            v = values[f.name]
+            if isinstance(v, (int, float)) and not isinstance(v, bool):
+                out.append(F.coalesce(qcol(f.name).cast("double"), F.lit(float(v))).alias(f.name))
+            else:
+                out.append(F.coalesce(qcol(f.name), F.lit(v)).alias(f.name))
+        else:
+            out.append(qcol(f.name))
+    return df.select(*out)
+
+
+def variance_filter(df: DataFrame, cols, threshold: float) -> DataFrame:
+    """``(column_name, variance, keep)`` with keep = variance > threshold."""
+    one = df.agg(*[F.var_samp(qcol(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
+    rows = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("variance"))
+                                          for i, c in enumerate(cols)])).alias("r")).select("r.*")
+    return rows.withColumn("keep", F.coalesce(F.col("variance") > threshold, F.lit(False)))
+
+
+def correlation_filter(df: DataFrame, cols, threshold: float, protected=()) -> list[str]:
+    """for each pair (earlier i, later j) with |corr| > threshold drop j — or
+    i when j is protected and i is not. All k(k-1)/2 correlations in one job."""
+    from .assoc import correlation_pairs
+    cols = list(cols)
+    corr = {(r["feature_1"], r["feature_2"]): r["corr"] for r in correlation_pairs(df, cols).collect()}
+    protected = set(protected)
+    drop = set()
+    for j, col in enumerate(cols):
+        for i in range(j):
+            v = corr.get((cols[i], col))
+            if v is None or (isinstance(v, float) and math.isnan(v)) or abs(v) <= threshold:
+                continue
+            keep, gone = cols[i], col
+            if keep not in protected and gone in protected:
+                keep, gone = gone, keep
+            drop.add(gone)
+    return [c for c in cols if c not in drop]
+
+
 def fit_imputers(df: DataFrame, numeric=(), categorical=(), high_cardinality=(), exact: bool = True) -> DataFrame:
     """F1-F3 as a table ``(column_name, strategy, value)`` (value as string)."""
     aggs, meta = [], []

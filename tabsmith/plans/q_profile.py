@@ -22,7 +22,7 @@ def _profile_sql(table: str, cols: list[tuple[str, str]], target: str | None) ->
         x = f"CAST({c} AS DOUBLE)"
         stats = (f"count(*) AS n_rows, count({c}) AS n_nonnull, "
                  + (f"min({x}) AS mn, max({x}) AS mx, avg({x}) AS av, stddev_samp({x}) AS sd, "
-                    f"count_if({x} = 0) AS zc" if num else
+                    f"CAST(count_if({x} = 0) AS BIGINT) AS zc" if num else
                     "CAST(NULL AS DOUBLE) AS mn, CAST(NULL AS DOUBLE) AS mx, CAST(NULL AS DOUBLE) AS av, "
                     "CAST(NULL AS DOUBLE) AS sd, CAST(NULL AS BIGINT) AS zc"))
         vc = f"(SELECT CAST({c} AS VARCHAR) AS v, {x if num else 'NULL'} AS num, count(*) AS cnt" + \
@@ -67,7 +67,7 @@ register("b13_feature_types", _profile_sql(MIX_SQL, [(c, MIX_KINDS[c]) for c in
 
 
 @register("b5_datetime_parse", """
-SELECT column_name, n_nonnull, n_parsed, {rate} AS parse_rate, n_parsed >= 0.8 * n_nonnull AND n_nonnull > 0 AS is_datetime
+SELECT column_name, n_nonnull, CAST(n_parsed AS BIGINT) AS n_parsed, {rate} AS parse_rate, n_parsed >= 0.8 * n_nonnull AND n_nonnull > 0 AS is_datetime
 FROM (
   SELECT 'props' AS column_name, count(props) AS n_nonnull,
          count_if(try_cast(trim(props) AS TIMESTAMP) IS NOT NULL
@@ -175,7 +175,7 @@ LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
 
 
 @register("b21_zeroness", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, count_if({c} = 0) AS zero_count, {r(f'count_if({c} = 0) / count(*)')} AS zero_pct, "
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} = 0) AS BIGINT) AS zero_count, {r(f'count_if({c} = 0) / count(*)')} AS zero_pct, "
     f"count_if({c} = 0) / count(*) > 0.5 AS zero_heavy FROM lineitem" for c in LI_NUM))
 def zeroness_q(spark, sf_dir):
     """Zero counts and shares of all rows per numeric column."""
@@ -259,7 +259,7 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM
 SELECT {g}f.n, {r('q1')} AS q1, {r('median')} AS median, {r('q3')} AS q3,
   min(CASE WHEN x >= lo_f AND x <= hi_f THEN x END) AS whisker_low,
   max(CASE WHEN x >= lo_f AND x <= hi_f THEN x END) AS whisker_high,
-  count_if(NOT (x >= lo_f AND x <= hi_f)) AS n_outliers
+  CAST(count_if(NOT (x >= lo_f AND x <= hi_f)) AS BIGINT) AS n_outliers
 FROM base JOIN f {join} GROUP BY {g}f.n, q1, median, q3"""
 
 
