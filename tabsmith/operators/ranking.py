@@ -21,20 +21,27 @@ MAX_RANGES = 4096
 
 def range_ids(df: DataFrame, order_col: str, n_rows: int | None = None,
               rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
-    """Add an integer range id that is monotone in ``order_col`` (numeric)."""
-    if n_rows is None:
-        n_rows = df.count()
-    n_ranges = int(min(MAX_RANGES, max(1, -(-n_rows // rows_per_range))))
-    if n_ranges == 1:
+    """Add an integer range id that is monotone in ``order_col`` (numeric).
+
+    One aggregation returns the row count and ``MAX_RANGES`` candidate cut
+    points (approximate quantiles); the cuts actually used are a subset sized
+    to about ``rows_per_range`` rows per range.
+    """
+    x = F.col(order_col).cast("double")
+    probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]
+    n = row["n"] if n_rows is None else n_rows
+    n_ranges = int(min(MAX_RANGES, max(1, -(-n // rows_per_range))))
+    if n_ranges == 1 or not row["q"]:
         return df.withColumn(out_col, F.lit(0.0))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    qs = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("q")).collect()[0]["q"]
-    splits = sorted(set(float(q) for q in (qs or []) if q is not None))
+    step = MAX_RANGES // n_ranges
+    cuts = [row["q"][k * step - 1] for k in range(1, n_ranges)]
+    splits = sorted(set(float(q) for q in cuts if q is not None))
     splits = [float("-inf")] + splits + [float("inf")]
     if len(splits) < 3:
         return df.withColumn(out_col, F.lit(0.0))
     b = Bucketizer(splits=splits, inputCol="__ord", outputCol=out_col, handleInvalid="keep")
-    return b.transform(df.withColumn("__ord", F.col(order_col).cast("double"))).drop("__ord")
+    return b.transform(df.withColumn("__ord", x)).drop("__ord")
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = False,

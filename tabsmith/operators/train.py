@@ -149,8 +149,15 @@ def infer_task(df: DataFrame, target: str, max_classes: int = 20) -> str:
 
 def assemble(df: DataFrame, features, label: str) -> DataFrame:
     """Feature columns → one vector column, label as double (NaN-free input assumed)."""
-    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep")
-    return va.transform(df.withColumn("label", qcol(label).cast("double")))
+    feats = list(features)
+    # generated names may hold dots (e.g. "l_tax__0.05"), which the assembler
+    # would read as struct fields: assemble from positional aliases
+    safe = [f"__f{i}" for i in range(len(feats))]
+    keep = [qcol(c) for c in df.columns if c not in set(feats) and c != "label"]
+    x = df.select(*keep, *[qcol(c).cast("double").alias(s) for c, s in zip(feats, safe)],
+                  qcol(label).cast("double").alias("label"))
+    va = VectorAssembler(inputCols=safe, outputCol=FEATURES_COL, handleInvalid="keep")
+    return va.transform(x).drop(*safe)
 
 
 def score_frame(model, df: DataFrame, task: str) -> DataFrame:
