@@ -159,7 +159,10 @@ def profile(df: DataFrame, columns=None, target: str | Column | None = None,
     """
     if isinstance(target, str) and columns is None:
         columns = [c for c in df.columns if c != target]
-    wide = wide_stats(df, columns, datetime_formats)
+    # the wide statistics are one row per column: materialise them once (a
+    # bounded local table) instead of recomputing the aggregation per consumer
+    wide_lazy = wide_stats(df, columns, datetime_formats)
+    wide = df.sparkSession.createDataFrame(wide_lazy.collect(), wide_lazy.schema)
     vc = value_counts_long(df, columns, target)
     counts = column_counts(vc, wide if target is not None else None, low_card)
     if target is not None:

@@ -16,27 +16,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 4096
+MAX_RANGES = 1024
 
 
 def range_ids(df: DataFrame, order_col: str, n_rows: int | None = None,
               rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
     """Add an integer range id that is monotone in ``order_col`` (numeric).
 
-    One aggregation returns the row count and ``MAX_RANGES`` candidate cut
-    points (approximate quantiles); the cuts actually used are a subset sized
-    to about ``rows_per_range`` rows per range.
+    The row count decides the number of ranges (about ``rows_per_range`` rows
+    each, at most ``MAX_RANGES``); only when more than one range is needed are
+    the cut points computed, as approximate quantiles in one aggregation.
     """
     x = F.col(order_col).cast("double")
-    probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]
-    n = row["n"] if n_rows is None else n_rows
+    n = df.count() if n_rows is None else n_rows
     n_ranges = int(min(MAX_RANGES, max(1, -(-n // rows_per_range))))
-    if n_ranges == 1 or not row["q"]:
-        return df.withColumn(out_col, F.lit(0.0))
-    step = MAX_RANGES // n_ranges
-    cuts = [row["q"][k * step - 1] for k in range(1, n_ranges)]
-    splits = sorted(set(float(q) for q in cuts if q is not None))
+    if n_ranges == 1:
+        return df.withColumn(out_col, F.lit(0.0))      # one range: no cut points needed
+    probs = [k / n_ranges for k in range(1, n_ranges)]
+    qs = df.agg(F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]["q"]
+    splits = sorted(set(float(q) for q in (qs or []) if q is not None))
     splits = [float("-inf")] + splits + [float("inf")]
     if len(splits) < 3:
         return df.withColumn(out_col, F.lit(0.0))

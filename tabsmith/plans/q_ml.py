@@ -196,3 +196,20 @@ def report_q(spark, sf_dir):
     path = _scratch(spark)
     S.save_json_report(spark, m, path)
     return spark.read.json(path).select("metrics")
+
+
+# --------------------------------------------------------------------------
+# Streaming: a fitted pipeline applied to a file stream
+# --------------------------------------------------------------------------
+
+@register("st1_stream_transform")
+def stream_transform_q(spark, sf_dir):
+    """F22 on a stream: a pipeline fitted on the events table (batch) transforms
+    the same table read as a parquet file stream (stateless, append mode)."""
+    from ..operators.prep import FeaturePipeline
+    from ..streaming.scoring import file_stream, run_to_table, transform_stream
+    batch = T(spark, sf_dir, "events")
+    p = FeaturePipeline(PREP).fit(batch.drop("event_id"))
+    stream = file_stream(spark, sf_dir, batch.schema, file_glob="events.parquet")
+    out = run_to_table(transform_stream(p, stream))
+    return out.select("event_id", R("value").alias("value"), "ts__year", "ts__hour", *[c for c in out.columns if "__hash_" in c][:2])
