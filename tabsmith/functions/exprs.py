@@ -16,6 +16,11 @@ INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 DATETIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
+def qc(name: str) -> Column:
+    """Column by exact name (dots, spaces and back-ticks allowed)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def kind_of(dtype: T.DataType) -> str:
     """Coarse storage kind: numeric, boolean, datetime, string or other."""
     if isinstance(dtype, T.BooleanType):
@@ -47,9 +52,9 @@ def normalize_nans(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if is_float_type(f.dataType):
-            cols.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
+            cols.append(F.nanvl(qc(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
         else:
-            cols.append(F.col(f.name))
+            cols.append(qc(f.name))
     return df.select(*cols)
 
 
@@ -74,6 +79,14 @@ def safe_timestamp(c: Column, formats: list[str] | None = None) -> Column:
     return F.when(s.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), F.lit(None)).otherwise(value)
 
 
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both are present; NULL (not an ANSI
+    division error) when either side is constant."""
+    both = a.isNotNull() & b.isNotNull()
+    aa, bb = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
+
+
 def hex_piece(h: Column, i: int) -> Column:
     """The i-th 32-bit piece (8 hex digits) of an md5 hex digest, as bigint."""
     return F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long")
@@ -99,7 +112,7 @@ def md5_mod(value: Column, n: int) -> Column:
 def seeded_hash(seed: int, *cols: str | Column) -> Column:
     """Repeatable pseudo-random order key: md5 of ``seed|k1|k2…`` (hex string)."""
     parts = [F.lit(str(seed))] + [
-        (F.col(c) if isinstance(c, str) else c).cast("string") for c in cols
+        (qc(c) if isinstance(c, str) else c).cast("string") for c in cols
     ]
     return F.md5(F.concat_ws("|", *parts))
 
@@ -114,6 +127,3 @@ def log2(c: Column) -> Column:
     return F.log(2.0, c)
 
 
-def round6(c: Column) -> Column:
-    """Rounding used in result tables so engines agree to the last printed digit."""
-    return F.round(c.cast("double"), 6)

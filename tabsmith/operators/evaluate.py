@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import qc
+
 from .profile import histogram
 from .ranking import running_sums
 
@@ -22,7 +24,7 @@ LOG_LOSS_EPS = 2.220446049250313e-16     # float64 machine epsilon
 
 
 def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    return qc(x) if isinstance(x, str) else x
 
 
 # --------------------------------------------------------------------------
@@ -55,7 +57,7 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 def roc_auc_ovr(df: DataFrame, label: str, proba: str, classes: list | None = None) -> DataFrame:
     """Macro one-vs-rest AUC over classes; ``proba`` is a vector or array column
     with one probability per class index (class labels 0..K-1)."""
-    arr = vector_to_array(F.col(proba)) if dict(df.dtypes)[proba].startswith("vector") else F.col(proba)
+    arr = vector_to_array(qc(proba)) if dict(df.dtypes)[proba].startswith("vector") else qc(proba)
     long = df.select(_c(label).cast("int").alias("__y"), F.posexplode(arr).alias("cls", "score"))
     long = long.withColumn("is_c", (F.col("__y") == F.col("cls")).cast("int"))
     sc = score_counts(long, "is_c", "score", ["cls"])
@@ -223,7 +225,7 @@ def threshold_counts(df: DataFrame, label: str, score: str, n: int = 101) -> Dat
 
 
 def _metric_exprs():
-    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    tp, fp, fn, tn = (qc(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0)
     rec = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0)
 
@@ -338,5 +340,5 @@ def stage_comparison(baseline: DataFrame, tuned: DataFrame, test: DataFrame, key
 
 def gain(new: DataFrame, old: DataFrame, metric: str, key: str = "model_name") -> DataFrame:
     """``new - old`` of one metric per model."""
-    return (new.select(key, F.col(metric).alias("new")).join(old.select(key, F.col(metric).alias("old")), key)
+    return (new.select(key, qc(metric).alias("new")).join(old.select(key, qc(metric).alias("old")), key)
             .select(key, "new", "old", (F.col("new") - F.col("old")).alias("gain")))

@@ -19,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (as_number, field_kinds, is_float_type, nan_to_null,
-                               round6, safe_timestamp)
+from ..functions.exprs import (as_number, field_kinds, is_float_type, nan_to_null, qc,
+                               safe_timestamp)
 
 # Fixed thresholds of the semantic typing rules.
 LOW_CARDINALITY = 20        # numeric with at most this many values is categorical/ordinal
@@ -40,13 +40,13 @@ def _profiled_columns(df: DataFrame, columns=None) -> list[tuple[int, str, str]]
 
 def _num(df: DataFrame, c: str) -> Column:
     dtype = df.schema[c].dataType
-    x = as_number(F.col(c), dtype)
+    x = as_number(qc(c), dtype)
     return nan_to_null(x) if is_float_type(dtype) else x
 
 
 def _value(df: DataFrame, c: str) -> Column:
     dtype = df.schema[c].dataType
-    col = F.col(c)
+    col = qc(c)
     if is_float_type(dtype):
         col = nan_to_null(col)
     return col.cast("string")
@@ -67,10 +67,10 @@ def wide_stats(df: DataFrame, columns=None, datetime_formats=None) -> DataFrame:
                 F.count_if(F.abs(x) == float("inf")).alias(f"inf{i}"),
             ]
         else:
-            aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
+            aggs.append(F.count(qc(c)).alias(f"nn{i}"))
         aggs.append(F.approx_count_distinct(_value(df, c)).alias(f"ad{i}"))
         if kind == "string":
-            aggs.append(F.count(safe_timestamp(F.col(c), datetime_formats)).alias(f"dt{i}"))
+            aggs.append(F.count(safe_timestamp(qc(c), datetime_formats)).alias(f"dt{i}"))
     one = df.agg(*aggs)
     null_d = F.lit(None).cast("double")
     null_l = F.lit(None).cast("long")
@@ -111,7 +111,7 @@ def value_counts_long(df: DataFrame, columns=None, target: str | Column | None =
                               _value(df, c).alias("value"), num.alias("num")))
     sel = [F.explode(F.array(*items)).alias("kv")]
     if target is not None:
-        t = F.col(target) if isinstance(target, str) else target
+        t = qc(target) if isinstance(target, str) else target
         sel.append(t.cast("double").alias("__t"))
     long = df.select(*sel).select("kv.*", *(["__t"] if target is not None else []))
     aggs = [F.count(F.lit(1)).alias("cnt"), F.max("num").alias("num")]
@@ -287,7 +287,7 @@ def problem_type(df: DataFrame, target: str, max_classes: int = LOW_CARDINALITY)
     """B16 (EDA rule) and B17 (trainer rule) from one aggregation of the target column."""
     kind = field_kinds(df)[target]
     dtype = df.schema[target].dataType
-    n_unique = F.count_distinct(F.col(target))
+    n_unique = F.count_distinct(qc(target))
     integral = kind == "boolean" or dtype.typeName() in ("byte", "short", "integer", "long")
     res = df.agg(n_unique.alias("n_unique"))
     eda = (F.lit("classification") if kind in ("string", "boolean")
@@ -325,10 +325,10 @@ def zeroness(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFrame:
     """Counts (and shares of non-null rows) per value, descending."""
-    vc = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    vc = df.where(qc(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
         # the total is a one-row aggregate joined back (no global window)
-        total = df.agg(F.count(F.col(column)).alias("__tot"))
+        total = df.agg(F.count(qc(column)).alias("__tot"))
         vc = vc.crossJoin(F.broadcast(total)).select(
             column, "count", (F.col("count") / F.col("__tot")).alias("share"))
     return vc.orderBy(F.desc("count"), column)
@@ -336,9 +336,9 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFra
 
 def top_n_summary(df: DataFrame, column: str, top_n: int = 20) -> tuple[DataFrame, DataFrame]:
     """The top-n values and the share of non-null rows outside them."""
-    vc = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    vc = df.where(qc(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     top = vc.orderBy(F.desc("count"), column).limit(top_n)
-    total = df.agg(F.count(F.col(column)).alias("n"))
+    total = df.agg(F.count(qc(column)).alias("n"))
     top_sum = top.agg(F.sum("count").alias("top_rows"))
     rare = total.crossJoin(top_sum).select(
         F.lit(column).alias("column_name"),
@@ -352,7 +352,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
     Output: bin (1..bins), lower, upper, count — empty bins included.
     """
-    x = nan_to_null(F.col(column).cast("double"))
+    x = nan_to_null(qc(column).cast("double"))
     mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0))
     b = F.least(F.floor((F.col("__x") - F.col("lo")) / F.col("__w")) + 1, F.lit(bins)).cast("int")
@@ -376,7 +376,7 @@ def density(df: DataFrame, column: str, grid_points: int = 200, pre_bins: int =
     aggregation), so the kernel sum costs pre_bins x grid_points, independent
     of the row count.
     """
-    x = nan_to_null(F.col(column).cast("double"))
+    x = nan_to_null(qc(column).cast("double"))
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
                 F.stddev_samp(x).alias("sd"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
@@ -405,11 +405,11 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, approx: bool =
     Exact quartiles use ``percentile`` (linear interpolation, as pandas);
     ``approx=True`` switches to ``percentile_approx`` for very large groups.
     """
-    x = nan_to_null(F.col(column).cast("double"))
+    x = nan_to_null(qc(column).cast("double"))
     keys = [by] if by else []
-    base = df.select(*[F.col(k) for k in keys], x.alias("__x")).where(F.col("__x").isNotNull())
+    base = df.select(*[qc(k) for k in keys], x.alias("__x")).where(F.col("__x").isNotNull())
     if by:
-        base = base.where(F.col(by).isNotNull())
+        base = base.where(qc(by).isNotNull())
     if approx:
         q = F.percentile_approx("__x", [0.25, 0.5, 0.75], accuracy)
     else:
@@ -467,7 +467,7 @@ def matrix_quality(df: DataFrame, columns=None) -> DataFrame:
             .select("n_null", "n_inf", F.lit(None).cast("double").alias("density"))
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = qc(c).cast("double")
         aggs += [F.count_if(x.isNull() | F.isnan(x)).alias(f"nl{i}"),
                  F.count_if(F.abs(x) == float("inf")).alias(f"in{i}"),
                  F.count_if(x != 0).alias(f"nz{i}")]
@@ -477,8 +477,3 @@ def matrix_quality(df: DataFrame, columns=None) -> DataFrame:
     n_nz = sum((F.col(f"nz{i}") for i in range(len(cols))), F.lit(0))
     return one.select(n_null.cast("long").alias("n_null"), n_inf.cast("long").alias("n_inf"),
                       F.try_divide(n_nz, F.col("n") * len(cols)).cast("double").alias("density"))
-
-
-def rounded(df: DataFrame, cols) -> DataFrame:
-    """Round the named double columns to six places (for engine comparisons)."""
-    return df.select(*[round6(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
