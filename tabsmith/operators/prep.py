@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 from ..functions.exprs import kind_of, md5_mod, safe_timestamp
 from .profile import detect_feature_types, feature_type_map
 
-EXACT_QUANTILE_MAX_DISTINCT = 1_000_000   # above: percentile_approx
+# Up to this many distinct values a column's quantiles come from ``percentile``
+# inside the one-pass parameter aggregation (its buffer holds one entry per
+# distinct value); above it they come from the distributed exact quantiles.
+EXACT_MAP_MAX_DISTINCT = 100_000
 APPROX_ACCURACY = 1_000_000
 DATETIME_PARTS = ["year", "month", "day", "dayofweek", "is_weekend", "hour", "minute", "second"]
 
@@ -90,13 +93,23 @@ class FeaturePipeline:
             state["selected_features"] = self._fit_selection(full.select(*[qcol(c) for c in state["output_features"]]))
         return self
 
-    def _exact(self, col: str, n_unique: dict) -> bool:
+    def _quantile_mode(self, col: str, n_unique: dict) -> str:
+        """'map' (one-pass percentile), 'distributed' (exact, no big buffer) or 'approx'."""
         mode = self.config.get("quantiles", "auto")
-        if mode == "exact":
-            return True
         if mode == "approx":
-            return False
-        return (n_unique.get(col) or 0) <= EXACT_QUANTILE_MAX_DISTINCT
+            return "approx"
+        if (n_unique.get(col) or 0) <= EXACT_MAP_MAX_DISTINCT:
+            return "map"
+        return "distributed"
+
+    def _q(self, col: str, x, probs, n_unique: dict, deferred: dict):
+        """Quantile expression for the one-pass aggregation, or a deferred
+        distributed computation (returns None)."""
+        m = self._quantile_mode(col, n_unique)
+        if m == "distributed":
+            deferred.setdefault(col, set()).update(probs)
+            return None
+        return _quantiles(x, probs, m == "map")
 
     def _fit_parameters(self, df: DataFrame, ft: dict, n_unique: dict) -> dict:
         """F1-F3, F5, F6, F10-F12, F15 in one aggregation."""
@@ -108,9 +121,12 @@ class FeaturePipeline:
             keys.append(name)
             aggs.append(expr.alias(f"a{len(keys) - 1}"))
 
+        deferred: dict = {}
         for c in ft["numeric"] + ft["ordinal"] + ft["binary"]:
             x = qcol(c).cast("double")
-            add(("median", c), _quantiles(x, [0.5], self._exact(c, n_unique))[0])
+            q = self._q(c, x, [0.5], n_unique, deferred)
+            if q is not None:
+                add(("median", c), q[0])
         for c in ft["categorical"]:
             # categorical columns have at most low_cardinality values: bounded
             add(("mode", c), F.mode(qcol(c), deterministic=True))
@@ -128,13 +144,25 @@ class FeaturePipeline:
                 add(("min", c), F.min(x))
                 add(("max", c), F.max(x))
             elif scaler == "robust":
-                add(("q", c), _quantiles(x, [0.25, 0.5, 0.75], self._exact(c, n_unique)))
+                q = self._q(c, x, [0.25, 0.5, 0.75], n_unique, deferred)
+                if q is not None:
+                    add(("q", c), q)
             else:
                 raise ValueError(f"Unknown scaler: {scaler}")
         vals = {}
         if aggs:
             row = df.agg(*aggs).collect()[0]
             vals = {k: row[f"a{i}"] for i, k in enumerate(keys)}
+        if deferred:
+            from .ranking import quantile_arrays
+            probs = sorted({p for ps in deferred.values() for p in ps})
+            qa = quantile_arrays(df, list(deferred), probs)
+            for c, arr in qa.items():
+                at = dict(zip(probs, arr))
+                if 0.5 in at:
+                    vals[("median", c)] = at[0.5]
+                if 0.25 in at:
+                    vals[("q", c)] = [at[0.25], at[0.5], at[0.75]]
 
         imputers, encoders, ordinal, scalers, dt_ref = {}, {}, {}, {}, {}
         for c in ft["numeric"] + ft["ordinal"] + ft["binary"]:

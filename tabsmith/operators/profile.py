@@ -412,11 +412,18 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, approx: bool =
         base = base.where(qc(by).isNotNull())
     if approx:
         q = F.percentile_approx("__x", [0.25, 0.5, 0.75], accuracy)
+        qs = base.groupBy(*keys).agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
+        qs = qs.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                       F.col("q")[2].alias("q3"))
     else:
-        q = F.percentile(F.col("__x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    qs = base.groupBy(*keys).agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
-    qs = qs.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                   F.col("q")[2].alias("q3"))
+        from .ranking import exact_quantiles
+        eq = exact_quantiles(base, ["__x"], [0.25, 0.5, 0.75], by=by)
+        qs = (eq.groupBy(*keys).agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(nm)
+                                      for i, nm in enumerate(["q1", "median", "q3"])])
+              .join(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys) if by else
+              eq.agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(nm)
+                       for i, nm in enumerate(["q1", "median", "q3"])])
+              .crossJoin(base.agg(F.count(F.lit(1)).alias("n"))))
     qs = qs.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     joined = base.join(F.broadcast(qs), keys) if by else base.crossJoin(F.broadcast(qs))
@@ -439,13 +446,11 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     cols = _profiled_columns(df, columns)
     numeric = [(i, c) for i, c, k in cols if k in ("numeric", "boolean")]
     if numeric:
-        qexpr = [F.percentile(_num(df, c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")
-                 for i, c in numeric]
-        qs = df.agg(*qexpr)
-        qs = qs.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"q{i}").alias("q")) for i, c in numeric
-        ])).alias("r")).select("r.*")
-        prof = prof.join(F.broadcast(qs), "column_name", "left")
+        from .ranking import exact_quantiles
+        num_df = df.select(*[_num(df, c).alias(c) for _, c in numeric])
+        eq = exact_quantiles(num_df, [c for _, c in numeric], [0.25, 0.5, 0.75])
+        qs = eq.groupBy("column_name").agg(F.array(*[F.max(F.when(F.col("pi") == i, F.col("q"))) for i in range(3)]).alias("q"))
+        prof = prof.join(F.broadcast(qs), "column_name", "left")      # one row per column
     else:
         prof = prof.withColumn("q", F.lit(None).cast("array<double>"))
     is_str = F.col("kind").isin("string", "boolean", "datetime")

@@ -75,3 +75,58 @@ def average_ranks(df: DataFrame, column: str, n_distinct: int | None = None) ->
           .groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("cnt")))
     rs = running_sums(vc, "value", ["cnt"], inclusive=False, n_rows=n_distinct)
     return rs.select("value", (F.col("cum_cnt") + (F.col("cnt") + 1) / 2.0).alias("rank"))
+
+
+def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles of many numeric columns at once:
+    ``(column_name, p, q)``, equal to ``percentile`` but without gathering all
+    distinct values of a column into one aggregation buffer.
+
+    Values are counted per ``(column, value)`` (map-side partial aggregation),
+    running counts are formed over the sorted distinct values in ranges, and
+    each needed order statistic (at most 2 per probability and column) is
+    picked by a broadcast lookup against that bounded list of positions.
+    With q at position h = (n - 1) p: q = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
+    """
+    from ..functions.exprs import nan_to_null, qc
+    cols = list(columns)
+    probs = [float(p) for p in probs]
+    spark = df.sparkSession
+    g = [by] if by else []
+    items = [F.struct(F.lit(c).alias("column_name"), nan_to_null(qc(c).cast("double")).alias("value")) for c in cols]
+    base = df.select(*[qc(b) for b in g], F.explode(F.array(*items)).alias("kv")).select(*g, "kv.*")
+    base = base.where(F.col("value").isNotNull() & (qc(by).isNotNull() if by else F.lit(True)))
+    vc = base.groupBy(*g, "column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=[*g, "column_name"])
+    totals = vc.groupBy(*g, "column_name").agg(F.sum("cnt").alias("n"))
+    pr = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "pi int, p double")
+    pos = (totals.crossJoin(F.broadcast(pr))                       # columns x probabilities: bounded
+           .withColumn("h", (F.col("n") - 1).cast("double") * F.col("p"))
+           .withColumn("lo", F.floor("h").cast("long")).withColumn("hi", F.ceil("h").cast("long")))
+    keys = [*g, "column_name"]
+    need = pos.select(*keys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("k"))
+    need = need.dropDuplicates([*keys, "k"]).select(*[F.col(k).alias(f"__n_{k}") for k in keys], "k")
+    # the value at 0-based position k: cum - cnt <= k < cum. ``need`` holds at most
+    # 2 x probabilities rows per (group, column); groups are bounded by the caller
+    # (class labels), so it is broadcast.
+    cond = (rs["cum_cnt"] - rs["cnt"] <= F.col("k")) & (rs["cum_cnt"] > F.col("k"))
+    for k in keys:
+        cond = cond & (rs[k] == F.col(f"__n_{k}"))
+    hit = rs.join(F.broadcast(need), cond)
+    vals = hit.select(*[rs[k].alias(k) for k in keys], F.col("k"), rs["value"].alias("v"))
+    lo = vals.select(*keys, F.col("k").alias("lo"), F.col("v").alias("v_lo"))
+    hi = vals.select(*keys, F.col("k").alias("hi"), F.col("v").alias("v_hi"))
+    out = (pos.join(lo, [*keys, "lo"]).join(hi, [*keys, "hi"])
+           .select(*keys, "pi", "p",
+                   F.when(F.col("lo") == F.col("hi"), F.col("v_lo"))
+                    .otherwise(F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("q")))
+    return out
+
+
+def quantile_arrays(df: DataFrame, columns, probs) -> dict:
+    """``{column: [q for each p]}`` (one row per column and probability reaches the driver)."""
+    rows = exact_quantiles(df, columns, probs).collect()
+    out = {c: [None] * len(probs) for c in columns}
+    for r in rows:
+        out[r["column_name"]][r["pi"]] = r["q"]
+    return out

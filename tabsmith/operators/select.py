@@ -29,8 +29,10 @@ def binned_mi(df: DataFrame, features, target: str, bins: int = MI_BINS,
     probs = [i / bins for i in range(1, bins)]
     to_bin = numeric + ([target] if bin_target else [])
     if to_bin:
-        edges = df.agg(*[F.percentile(nan_to_null(qcol(c).cast("double")), F.array(*[F.lit(p) for p in probs]))
-                         .alias(f"__e{i}") for i, c in enumerate(to_bin)])
+        from .ranking import quantile_arrays
+        qa = quantile_arrays(df, to_bin, probs)               # exact, distributed
+        edges = df.sparkSession.createDataFrame([tuple(qa[c] for c in to_bin)],
+                                                ", ".join(f"__e{i} array<double>" for i in range(len(to_bin))))
         base = df.crossJoin(F.broadcast(edges))    # one row of edges
     else:
         base = df

@@ -153,3 +153,13 @@ def test_persistence_roundtrip(spark, fitted, frame):
     b = again.transform(frame).toPandas()
     pd.testing.assert_frame_equal(a, b)
     assert math.isfinite(float(a["numeric_2"].sum()))
+
+
+def test_distributed_quantiles_equal_map_quantiles(frame, monkeypatch):
+    import tabsmith.operators.prep as prep
+    a = FeaturePipeline({"scaler": "robust"}).fit(frame).state
+    monkeypatch.setattr(prep, "EXACT_MAP_MAX_DISTINCT", 0)
+    b = FeaturePipeline({"scaler": "robust"}).fit(frame).state
+    for c in ("numeric_1", "numeric_2"):
+        assert a["imputers"][c][1] == pytest.approx(b["imputers"][c][1], rel=1e-12)
+        assert a["scalers"][c][1:] == pytest.approx(b["scalers"][c][1:], rel=1e-12)
