@@ -61,8 +61,10 @@ def add_interactions(df: DataFrame, pairs) -> DataFrame:
 
 def add_polynomials(df: DataFrame, cols, degree: int = 2) -> DataFrame:
     """``c_powd = c ** d`` for d in 2..degree."""
-    return df.select("*", *[F.pow(qcol(c), F.lit(float(d))).alias(f"{c}_pow{d}")
-                            for c in cols for d in range(2, degree + 1)])
+    def power(c, d):
+        # squares as x * x (exactly rounded, as array libraries compute them)
+        return qcol(c) * qcol(c) if d == 2 else F.pow(qcol(c), F.lit(float(d)))
+    return df.select("*", *[power(c, d).alias(f"{c}_pow{d}") for c in cols for d in range(2, degree + 1)])
 
 
 def fit_bins(df: DataFrame, cols, n_bins: int = 5) -> dict[str, list[float]]:

@@ -54,6 +54,11 @@ def binarise_target(t: Column) -> Column:
     return F.coalesce(t > 0, F.lit(False)).cast("int")
 
 
+def add_domain_features(df: DataFrame, fn=None) -> DataFrame:
+    """User hook for domain features (``df.transform(fn)``); identity by default."""
+    return df if fn is None else df.transform(fn)
+
+
 def native_categorical(df: DataFrame) -> DataFrame:
     """P5: every non-numeric column as string with NULL → 'missing'."""
     out = []

@@ -248,8 +248,8 @@ def rank_pairs_q(spark, sf_dir):
 
 
 @register("g4_polynomial", """
-SELECT l_orderkey, l_linenumber, pow(l_quantity, 2.0) AS l_quantity_pow2, pow(l_quantity, 3.0) AS l_quantity_pow3,
-  pow(CAST(l_linenumber AS DOUBLE), 2.0) AS l_linenumber_pow2, pow(CAST(l_linenumber AS DOUBLE), 3.0) AS l_linenumber_pow3
+SELECT l_orderkey, l_linenumber, l_quantity * l_quantity AS l_quantity_pow2, pow(l_quantity, 3.0) AS l_quantity_pow3,
+  l_linenumber * l_linenumber AS l_linenumber_pow2, pow(CAST(l_linenumber AS DOUBLE), 3.0) AS l_linenumber_pow3
 FROM lineitem""")
 def polynomial_q(spark, sf_dir):
     """Powers 2..3."""
@@ -306,3 +306,38 @@ def group_fit_apply_q(spark, sf_dir):
     out = G.apply_group_aggregates(o, "o_custkey", stats)
     return out.select("o_orderkey", R("o_custkey_o_totalprice_mean", 6).alias("o_custkey_o_totalprice_mean"),
                       R("o_custkey_o_totalprice_std", 4).alias("o_custkey_o_totalprice_std"))
+
+
+_G8_CONFIG = {"feature_engineering": {
+    "interactions": True, "max_interaction_pairs": 3, "polynomial": True, "polynomial_degree": 2,
+    "binning": True, "bin_numeric_cols": ["l_quantity"], "n_bins": 5,
+    "aggregations": True, "aggregation_groupby": ["l_linenumber"], "aggregation_targets": ["l_extendedprice"]}}
+_G8_NUMS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+def _g8_sql():
+    pairs = [(a, b) for i, a in enumerate(_G8_NUMS) for b in _G8_NUMS[i + 1:]][:3]
+    inter = [f"{a} * {b} AS {a}_x_{b}" for a, b in pairs]
+    poly = [f"{c} * {c} AS {c}_pow2" for c in _G8_NUMS]
+    x = "CAST(l_quantity AS DOUBLE)"
+    binned = (f"CASE WHEN {x} > e[1] AND {x} <= e[6] THEN CAST(len(list_filter(e[2:5], lambda q: {x} > q)) AS DOUBLE) END "
+              f"AS l_quantity_binned")
+    edges = (f"(SELECT list_transform(range(6), lambda k: CASE WHEN k = 0 THEN k * ((hi - lo) / 5) + lo - (hi - lo) * 0.001 "
+             f"WHEN k = 5 THEN hi ELSE k * ((hi - lo) / 5) + lo END) AS e FROM (SELECT min({x}) AS lo, max({x}) AS hi FROM lineitem))")
+    return f"""
+WITH g AS (SELECT l_linenumber, avg(l_extendedprice) AS m, coalesce(stddev_samp(l_extendedprice), 0.0) AS s
+           FROM lineitem WHERE l_linenumber IS NOT NULL GROUP BY 1)
+SELECT l_orderkey, l_linenumber, {', '.join(inter)}, {', '.join(poly)}, {binned},
+  {r('g.m', 6)} AS l_linenumber_l_extendedprice_mean, {r('coalesce(g.s, 0.0)', 4)} AS l_linenumber_l_extendedprice_std
+FROM lineitem LEFT JOIN g USING (l_linenumber), {edges}"""
+
+
+@register("g1_g8_feature_engineering", _g8_sql())
+def feature_engineering_q(spark, sf_dir):
+    """Typed numeric columns, then interactions → powers → bins → group statistics, by switches."""
+    li = T(spark, sf_dir, "lineitem").drop("l_returnflag")
+    out = G.run_feature_engineering(li, _G8_CONFIG)
+    new = [c for c in out.columns if c not in li.columns]
+    return out.select("l_orderkey", "l_linenumber", *[
+        R(c, 6).alias(c) if c.endswith("_mean") else R(c, 4).alias(c) if c.endswith("_std") else F.col(c)
+        for c in new])

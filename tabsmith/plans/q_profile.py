@@ -401,3 +401,40 @@ def strat_kfold_q(spark, sf_dir):
     """Five folds stratified on the status."""
     o = T(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return X.kfold(o, "o_orderkey", 5, stratify="o_orderstatus")
+
+
+# --------------------------------------------------------------------------
+# S2 and the single-column predicates B2-B11
+# --------------------------------------------------------------------------
+
+@register("s2_missing_tokens", """
+SELECT c_custkey, CASE WHEN trim(c_mktsegment) IN ('?', 'name', 'n/a', 'N/A', 'na', 'NA', 'none', 'None', 'missing', 'MACHINERY')
+                       THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_nationkey IN (0, 24) THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer""")
+def missing_tokens_q(spark, sf_dir):
+    """Default tokens plus a data-set token become NULL in strings; numeric sentinels (0, 24) in numbers."""
+    from ..sources import io as S
+    c = T(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    return S.replace_tokens(c, S.DEFAULT_NA_VALUES + ["MACHINERY"], columns=["c_mktsegment", "c_nationkey"],
+                            sentinels=[0, 24])
+
+
+_FLAG_COLS = [("l_linenumber", "numeric"), ("l_quantity", "numeric"), ("l_extendedprice", "numeric"),
+              ("l_discount", "numeric"), ("l_linestatus", "string"), ("l_returnflag", "string"), ("l_tax", "numeric")]
+
+
+@register("b2_b11_column_flags", """
+WITH p AS ({inner})
+SELECT column_name, kind = 'numeric' AS is_numeric, kind = 'string' AS is_categorical,
+  kind = 'numeric' AND n_unique = 2 AS is_binary, false AS is_datetime,
+  n_unique > 50 AS is_high_cardinality, n_unique <= 20 AS is_low_cardinality,
+  n_null / n_rows > 0.4 AS is_missing_heavy, n_unique <= 1 AS is_constant,
+  CASE WHEN n_nonnull = 0 THEN true ELSE top_count / n_nonnull > 0.99 END AS is_near_constant
+FROM p""".format(inner=_profile_sql(LINEITEM_NULLS_SQL, _FLAG_COLS, None)
+                 .replace("SELECT position, column_name,", "SELECT position, column_name, kind,", 1)))
+def column_flags_q(spark, sf_dir):
+    """Numeric, categorical, binary, datetime, cardinality, missingness and constancy tests."""
+    df = lineitem_nulls(spark, sf_dir).select(*[c for c, _ in _FLAG_COLS])
+    f = P.with_flags(P.profile(df))
+    return f.select("column_name", "is_numeric", "is_categorical", "is_binary", "is_datetime", "is_high_cardinality",
+                    "is_low_cardinality", "is_missing_heavy", "is_constant", "is_near_constant")
