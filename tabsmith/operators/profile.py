@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import (as_number, field_kinds, is_float_type, nan_to_null, qc,
                                safe_timestamp)
@@ -68,7 +69,6 @@ def wide_stats(df: DataFrame, columns=None, datetime_formats=None) -> DataFrame:
             ]
         else:
             aggs.append(F.count(qc(c)).alias(f"nn{i}"))
-        aggs.append(F.approx_count_distinct(_value(df, c)).alias(f"ad{i}"))
         if kind == "string":
             aggs.append(F.count(safe_timestamp(qc(c), datetime_formats)).alias(f"dt{i}"))
     one = df.agg(*aggs)
@@ -84,7 +84,6 @@ def wide_stats(df: DataFrame, columns=None, datetime_formats=None) -> DataFrame:
             F.lit(df.schema[c].dataType.simpleString()).alias("spark_type"),
             F.col("__n").alias("n_rows"),
             F.col(f"nn{i}").alias("n_nonnull"),
-            F.col(f"ad{i}").alias("n_unique_approx"),
             (F.col(f"mn{i}") if numeric else null_d).alias("min"),
             (F.col(f"mx{i}") if numeric else null_d).alias("max"),
             (F.col(f"av{i}") if numeric else null_d).alias("mean"),
@@ -101,88 +100,107 @@ def value_counts_long(df: DataFrame, columns=None, target: str | Column | None =
     """B22 for many columns at once: ``(column_name, value, num, cnt[, t_mean])``.
 
     ``value`` is the string form, ``num`` the numeric form (for ordering numeric
-    values), ``t_mean`` the mean target among rows with that value.
+    values), ``t_mean`` the mean target among rows with that value. Numbers are
+    grouped by their native value (integers exactly, as longs) and formatted
+    only once per distinct value.
     """
     cols = _profiled_columns(df, columns)
+    null_s, null_l, null_d = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("double")
     items = []
     for _, c, kind in cols:
-        num = _num(df, c) if kind in ("numeric", "boolean") else F.lit(None).cast("double")
-        items.append(F.struct(F.lit(c).alias("column_name"),
-                              _value(df, c).alias("value"), num.alias("num")))
+        dtype = df.schema[c].dataType
+        integral = kind == "boolean" or isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        s_ = null_s if kind in ("numeric", "boolean") else _value(df, c)
+        i_ = _num(df, c).cast("long") if integral else null_l
+        d_ = _num(df, c) if kind == "numeric" and not integral else null_d
+        items.append(F.struct(F.lit(c).alias("column_name"), s_.alias("s"), i_.alias("i"), d_.alias("d")))
     sel = [F.explode(F.array(*items)).alias("kv")]
     if target is not None:
         t = qc(target) if isinstance(target, str) else target
         sel.append(t.cast("double").alias("__t"))
     long = df.select(*sel).select("kv.*", *(["__t"] if target is not None else []))
-    aggs = [F.count(F.lit(1)).alias("cnt"), F.max("num").alias("num")]
+    aggs = [F.count(F.lit(1)).alias("cnt")]
     if target is not None:
         aggs.append(F.avg("__t").alias("t_mean"))
-    return long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(*aggs)
+    present = F.col("s").isNotNull() | F.col("i").isNotNull() | F.col("d").isNotNull()
+    g = long.where(present).groupBy("column_name", "s", "i", "d").agg(*aggs)
+    value = F.coalesce(F.col("s"), F.col("i").cast("string"), F.col("d").cast("string"))
+    num = F.coalesce(F.col("i").cast("double"), F.col("d"))
+    return g.select("column_name", value.alias("value"), num.alias("num"), "cnt",
+                    *(["t_mean"] if target is not None else []))
 
 
-def column_counts(vc: DataFrame, wide: DataFrame | None = None,
-                  low_card: int = LOW_CARDINALITY) -> DataFrame:
-    """Per-column exact distinct count, top value/count and — for columns whose
-    HLL estimate is small — the sorted ``(num, t_mean)`` points of the ordinal
-    test (B12). The estimate bounds every collected list by a few dozen entries,
-    so no column with many values is ever gathered into one group.
-    """
-    aggs = [
+def column_counts(vc: DataFrame) -> DataFrame:
+    """Per-column exact distinct count, top value and top count from value counts."""
+    return vc.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n_unique"),
         F.max("cnt").alias("top_count"),
         # highest count, lowest value on ties — deterministic
         F.min_by("value", F.struct((-F.col("cnt")).alias("k"), F.col("value").alias("v"))).alias("top_value"),
-    ]
-    if wide is not None and "t_mean" in vc.columns:
-        bound = 2 * low_card + 16
-        vc = vc.join(F.broadcast(wide.select("column_name", "n_unique_approx")), "column_name")
-        take = (F.col("n_unique_approx") <= bound) & F.col("num").isNotNull()
-        aggs.append(F.array_sort(F.collect_list(F.when(take, F.struct("num", "t_mean")))).alias("pts"))
-    return vc.groupBy("column_name").agg(*aggs)
+    )
 
 
-def ordinal_expr(low_card: int = LOW_CARDINALITY) -> Column:
-    """B12 on the collected points: >= 3 values, mean target monotone (non-strict)."""
-    inc = F.expr("forall(sequence(2, size(pts)), i -> element_at(pts, i).t_mean >= element_at(pts, i - 1).t_mean)")
-    dec = F.expr("forall(sequence(2, size(pts)), i -> element_at(pts, i).t_mean <= element_at(pts, i - 1).t_mean)")
-    ok = (F.size("pts") >= 3) & (F.size("pts") == F.col("n_unique")) & (F.col("n_unique") <= low_card)
-    return F.when(ok, F.coalesce(inc, F.lit(False)) | F.coalesce(dec, F.lit(False))).otherwise(F.lit(False))
+def _monotone(points) -> bool:
+    """B12 on <= low_card points sorted by value: mean target never decreases or never increases."""
+    means = [m for _, m in sorted(points)]
+    if len(means) < 3 or any(m is None for m in means):
+        return False
+    inc = all(b >= a for a, b in zip(means, means[1:]))
+    dec = all(b <= a for a, b in zip(means, means[1:]))
+    return inc or dec
 
 
 def profile(df: DataFrame, columns=None, target: str | Column | None = None,
             low_card: int = LOW_CARDINALITY, datetime_formats=None) -> DataFrame:
-    """B1: the one-pass column profile (plus the ordinal test when a target is given).
+    """B1: the column profile (plus the ordinal test B12 when a target is given).
+
+    Three bounded steps, each one Spark job over the data at most:
+    the wide statistics (one row per column); exact value counts per
+    ``(column, value)`` (persisted while used) reduced to one row per column;
+    and, only for numeric columns proven to hold 3..low_card values, their
+    ``(value, mean target)`` points (at most low_card per column). The result
+    is a local table with one row per column.
 
     Columns: position, column_name, kind, spark_type, n_rows, n_nonnull, n_null,
-    n_unique_approx, n_unique, top_value, top_count, top_share, missing_ratio, min, max, mean, sd,
+    n_unique, top_value, top_count, top_share, missing_ratio, min, max, mean, sd,
     zero_count, inf_count, n_parsed_datetime, parse_rate, is_ordinal.
     """
+    from pyspark import StorageLevel
     if isinstance(target, str) and columns is None:
         columns = [c for c in df.columns if c != target]
-    # the wide statistics are one row per column: materialise them once (a
-    # bounded local table) instead of recomputing the aggregation per consumer
-    wide_lazy = wide_stats(df, columns, datetime_formats)
-    wide = df.sparkSession.createDataFrame(wide_lazy.collect(), wide_lazy.schema)
-    vc = value_counts_long(df, columns, target)
-    counts = column_counts(vc, wide if target is not None else None, low_card)
-    if target is not None:
-        counts = counts.withColumn("is_ordinal", ordinal_expr(low_card)).drop("pts")
-    else:
-        counts = counts.withColumn("is_ordinal", F.lit(None).cast("boolean"))
-    # both sides hold one row per column
-    out = wide.join(F.broadcast(counts), "column_name", "left")
-    n_unique = F.coalesce(F.col("n_unique"), F.lit(0)).cast("long")
-    return out.select(
-        "position", "column_name", "kind", "spark_type", "n_rows", "n_nonnull", "n_null",
-        "n_unique_approx", n_unique.alias("n_unique"),
-        "top_value",
-        F.coalesce(F.col("top_count"), F.lit(0)).cast("long").alias("top_count"),
-        F.try_divide(F.col("top_count"), F.col("n_nonnull")).alias("top_share"),
-        F.try_divide(F.col("n_null"), F.col("n_rows")).cast("double").alias("missing_ratio"),
-        "min", "max", "mean", "sd", "zero_count", "inf_count", "n_parsed_datetime",
-        F.try_divide(F.col("n_parsed_datetime"), F.col("n_nonnull")).alias("parse_rate"),
-        F.coalesce(F.col("is_ordinal"), F.lit(False)).alias("is_ordinal"),
-    )
+    spark = df.sparkSession
+    wide = {r["column_name"]: r.asDict() for r in wide_stats(df, columns, datetime_formats).collect()}
+    vc = value_counts_long(df, columns, target).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = {r["column_name"]: r.asDict() for r in column_counts(vc).collect()}
+        ordinal = {}
+        if target is not None:
+            cand = [c for c, w in wide.items() if w["kind"] in ("numeric", "boolean")
+                    and 3 <= counts.get(c, {}).get("n_unique", 0) <= low_card]
+            if cand:
+                pts = (vc.where(F.col("column_name").isin(cand))
+                       .groupBy("column_name").agg(F.collect_list(F.struct("num", "t_mean")).alias("pts"))
+                       .collect())
+                ordinal = {r["column_name"]: _monotone([(p["num"], p["t_mean"]) for p in r["pts"]]) for r in pts}
+    finally:
+        vc.unpersist()
+    rows = []
+    for c, w in sorted(wide.items(), key=lambda kv: kv[1]["position"]):
+        cnt = counts.get(c, {})
+        n_unique = int(cnt.get("n_unique") or 0)
+        top_count = int(cnt.get("top_count") or 0)
+        nn, n = w["n_nonnull"], w["n_rows"]
+        rows.append((w["position"], c, w["kind"], w["spark_type"], n, nn, w["n_null"], n_unique,
+                     cnt.get("top_value"), top_count, (top_count / nn) if nn else None,
+                     (w["n_null"] / n) if n else None, w["min"], w["max"], w["mean"], w["sd"],
+                     w["zero_count"], w["inf_count"], w["n_parsed_datetime"],
+                     (w["n_parsed_datetime"] / nn) if (nn and w["n_parsed_datetime"] is not None) else None,
+                     bool(ordinal.get(c, False))))
+    schema = ("position int, column_name string, kind string, spark_type string, n_rows long, n_nonnull long, "
+              "n_null long, n_unique long, top_value string, top_count long, top_share double, missing_ratio double, "
+              "min double, max double, mean double, sd double, zero_count long, inf_count long, "
+              "n_parsed_datetime long, parse_rate double, is_ordinal boolean")
+    return spark.createDataFrame(rows, schema)
 
 
 def with_flags(prof: DataFrame, high_card: int = HIGH_CARDINALITY, low_card: int = LOW_CARDINALITY,
@@ -416,14 +434,21 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, approx: bool =
         qs = qs.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                        F.col("q")[2].alias("q3"))
     else:
-        from .ranking import exact_quantiles
-        eq = exact_quantiles(base, ["__x"], [0.25, 0.5, 0.75], by=by)
-        qs = (eq.groupBy(*keys).agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(nm)
-                                      for i, nm in enumerate(["q1", "median", "q3"])])
-              .join(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys) if by else
-              eq.agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(nm)
-                       for i, nm in enumerate(["q1", "median", "q3"])])
-              .crossJoin(base.agg(F.count(F.lit(1)).alias("n"))))
+        # exact quartiles, computed eagerly: one row per group reaches the driver
+        from .ranking import exact_quantiles, unpersist_all
+        try:
+            eq = exact_quantiles(base, ["__x"], [0.25, 0.5, 0.75], by=by, persist_counts=True).collect()
+        finally:
+            unpersist_all()
+        spark = df.sparkSession
+        groups: dict = {}
+        for r in eq:
+            g = r[by] if by else None
+            groups.setdefault(g, {"n": r["n"]})[r["pi"]] = r["q"]
+        by_type = base.schema[by].dataType.simpleString() if by else None
+        schema = (f"`{by}` {by_type}, " if by else "") + "n long, q1 double, median double, q3 double"
+        qs = spark.createDataFrame(
+            [((g,) if by else ()) + (v["n"], v.get(0), v.get(1), v.get(2)) for g, v in groups.items()], schema)
     qs = qs.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     joined = base.join(F.broadcast(qs), keys) if by else base.crossJoin(F.broadcast(qs))
@@ -446,10 +471,10 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     cols = _profiled_columns(df, columns)
     numeric = [(i, c) for i, c, k in cols if k in ("numeric", "boolean")]
     if numeric:
-        from .ranking import exact_quantiles
+        from .ranking import quantile_arrays
         num_df = df.select(*[_num(df, c).alias(c) for _, c in numeric])
-        eq = exact_quantiles(num_df, [c for _, c in numeric], [0.25, 0.5, 0.75])
-        qs = eq.groupBy("column_name").agg(F.array(*[F.max(F.when(F.col("pi") == i, F.col("q"))) for i in range(3)]).alias("q"))
+        qa = quantile_arrays(num_df, [c for _, c in numeric], [0.25, 0.5, 0.75])
+        qs = df.sparkSession.createDataFrame([(c, v) for c, v in qa.items()], "column_name string, q array<double>")
         prof = prof.join(F.broadcast(qs), "column_name", "left")      # one row per column
     else:
         prof = prof.withColumn("q", F.lit(None).cast("array<double>"))

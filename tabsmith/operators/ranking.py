@@ -11,30 +11,42 @@ holds more than one range.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 250_000
 MAX_RANGES = 1024
+_PERSISTED: list = []
+
+
+def unpersist_all() -> None:
+    """Release intermediate tables persisted by eager helpers."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
 
 
 def range_ids(df: DataFrame, order_col: str, n_rows: int | None = None,
               rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
     """Add an integer range id that is monotone in ``order_col`` (numeric).
 
-    The row count decides the number of ranges (about ``rows_per_range`` rows
-    each, at most ``MAX_RANGES``); only when more than one range is needed are
-    the cut points computed, as approximate quantiles in one aggregation.
+    One aggregation yields the row count and candidate cut points (approximate
+    quantiles); about ``rows_per_range`` rows fall in each range, at most
+    ``MAX_RANGES`` ranges. Small inputs (known size) skip the aggregation.
     """
     x = F.col(order_col).cast("double")
-    n = df.count() if n_rows is None else n_rows
-    n_ranges = int(min(MAX_RANGES, max(1, -(-n // rows_per_range))))
-    if n_ranges == 1:
+    if n_rows is not None and n_rows <= rows_per_range:
         return df.withColumn(out_col, F.lit(0.0))      # one range: no cut points needed
-    probs = [k / n_ranges for k in range(1, n_ranges)]
-    qs = df.agg(F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]["q"]
-    splits = sorted(set(float(q) for q in (qs or []) if q is not None))
+    probs = [k / MAX_RANGES for k in range(1, MAX_RANGES)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]
+    n = row["n"] if n_rows is None else n_rows
+    n_ranges = int(min(MAX_RANGES, max(1, -(-n // rows_per_range))))
+    if n_ranges == 1 or not row["q"]:
+        return df.withColumn(out_col, F.lit(0.0))
+    step = MAX_RANGES // n_ranges
+    cuts = [row["q"][k * step - 1] for k in range(1, n_ranges)]
+    splits = sorted(set(float(q) for q in cuts if q is not None))
     splits = [float("-inf")] + splits + [float("inf")]
     if len(splits) < 3:
         return df.withColumn(out_col, F.lit(0.0))
@@ -77,7 +89,8 @@ def average_ranks(df: DataFrame, column: str, n_distinct: int | None = None) ->
     return rs.select("value", (F.col("cum_cnt") + (F.col("cnt") + 1) / 2.0).alias("rank"))
 
 
-def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None,
+                    persist_counts: bool = False) -> DataFrame:
     """Exact linear-interpolation quantiles of many numeric columns at once:
     ``(column_name, p, q)``, equal to ``percentile`` but without gathering all
     distinct values of a column into one aggregation buffer.
@@ -97,6 +110,11 @@ def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None) -> Dat
     base = df.select(*[qc(b) for b in g], F.explode(F.array(*items)).alias("kv")).select(*g, "kv.*")
     base = base.where(F.col("value").isNotNull() & (qc(by).isNotNull() if by else F.lit(True)))
     vc = base.groupBy(*g, "column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    if persist_counts:
+        # read three times below (cut points, running sums, totals); released by
+        # the caller's collect via the cache manager's LRU or unpersist_all()
+        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(vc)
     rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=[*g, "column_name"])
     totals = vc.groupBy(*g, "column_name").agg(F.sum("cnt").alias("n"))
     pr = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "pi int, p double")
@@ -117,7 +135,7 @@ def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None) -> Dat
     lo = vals.select(*keys, F.col("k").alias("lo"), F.col("v").alias("v_lo"))
     hi = vals.select(*keys, F.col("k").alias("hi"), F.col("v").alias("v_hi"))
     out = (pos.join(lo, [*keys, "lo"]).join(hi, [*keys, "hi"])
-           .select(*keys, "pi", "p",
+           .select(*keys, "pi", "p", "n",
                    F.when(F.col("lo") == F.col("hi"), F.col("v_lo"))
                     .otherwise(F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("q")))
     return out
@@ -125,7 +143,10 @@ def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None) -> Dat
 
 def quantile_arrays(df: DataFrame, columns, probs) -> dict:
     """``{column: [q for each p]}`` (one row per column and probability reaches the driver)."""
-    rows = exact_quantiles(df, columns, probs).collect()
+    try:
+        rows = exact_quantiles(df, columns, probs, persist_counts=True).collect()
+    finally:
+        unpersist_all()
     out = {c: [None] * len(probs) for c in columns}
     for r in rows:
         out[r["column_name"]][r["pi"]] = r["q"]
