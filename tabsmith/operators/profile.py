@@ -435,11 +435,8 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, approx: bool =
                        F.col("q")[2].alias("q3"))
     else:
         # exact quartiles, computed eagerly: one row per group reaches the driver
-        from .ranking import exact_quantiles, unpersist_all
-        try:
-            eq = exact_quantiles(base, ["__x"], [0.25, 0.5, 0.75], by=by, persist_counts=True).collect()
-        finally:
-            unpersist_all()
+        from .ranking import exact_quantiles
+        eq = exact_quantiles(base, ["__x"], [0.25, 0.5, 0.75], by=by).collect()
         spark = df.sparkSession
         groups: dict = {}
         for r in eq:

@@ -16,16 +16,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_RANGE = 250_000
+ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1024
-_PERSISTED: list = []
 
 
-def unpersist_all() -> None:
-    """Release intermediate tables persisted by eager helpers."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
 
 def range_ids(df: DataFrame, order_col: str, n_rows: int | None = None,
               rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
@@ -36,16 +30,13 @@ def range_ids(df: DataFrame, order_col: str, n_rows: int | None = None,
     ``MAX_RANGES`` ranges. Small inputs (known size) skip the aggregation.
     """
     x = F.col(order_col).cast("double")
-    if n_rows is not None and n_rows <= rows_per_range:
-        return df.withColumn(out_col, F.lit(0.0))      # one range: no cut points needed
-    probs = [k / MAX_RANGES for k in range(1, MAX_RANGES)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]
-    n = row["n"] if n_rows is None else n_rows
+    n = df.count() if n_rows is None else n_rows
     n_ranges = int(min(MAX_RANGES, max(1, -(-n // rows_per_range))))
-    if n_ranges == 1 or not row["q"]:
-        return df.withColumn(out_col, F.lit(0.0))
-    step = MAX_RANGES // n_ranges
-    cuts = [row["q"][k * step - 1] for k in range(1, n_ranges)]
+    if n_ranges == 1:
+        return df.withColumn(out_col, F.lit(0.0))      # one range: no cut points needed
+    probs = [k / n_ranges for k in range(1, n_ranges)]
+    qs = df.agg(F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]["q"]
+    cuts = list(qs or [])
     splits = sorted(set(float(q) for q in cuts if q is not None))
     splits = [float("-inf")] + splits + [float("inf")]
     if len(splits) < 3:
@@ -66,6 +57,13 @@ def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = Fal
     sum_cols = list(sum_cols)
     parts = list(partition_cols)
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    frame_end = Window.currentRow if inclusive else -1
+    if n_rows is None:
+        n_rows = df.count()
+    if n_rows <= rows_per_range:
+        # small input: one window per partition key, no ranges, offsets or joins
+        w = Window.partitionBy(*parts).orderBy(key).rowsBetween(Window.unboundedPreceding, frame_end)
+        return df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{prefix}{c}") for c in sum_cols])
     r = range_ids(df, order_col, n_rows, rows_per_range)
     rng = F.col("__range").desc() if descending else F.col("__range").asc()
     totals = r.groupBy(*parts, "__range").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
@@ -74,7 +72,6 @@ def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = Fal
     offsets = totals.select(*parts, "__range", *[F.coalesce(F.sum(f"__t_{c}").over(wt), F.lit(0)).alias(f"__o_{c}")
                                                  for c in sum_cols])
     joined = r.join(F.broadcast(offsets) if not parts else offsets, [*parts, "__range"])
-    frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*parts, "__range").orderBy(key).rowsBetween(Window.unboundedPreceding, frame_end)
     out = joined.select("*", *[(F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).alias(f"{prefix}{c}")
                                for c in sum_cols])
@@ -90,63 +87,76 @@ def average_ranks(df: DataFrame, column: str, n_distinct: int | None = None) ->
 
 
 def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None,
-                    persist_counts: bool = False) -> DataFrame:
+                    persist_counts: bool = True) -> DataFrame:
     """Exact linear-interpolation quantiles of many numeric columns at once:
-    ``(column_name, p, q)``, equal to ``percentile`` but without gathering all
-    distinct values of a column into one aggregation buffer.
-
-    Values are counted per ``(column, value)`` (map-side partial aggregation),
-    running counts are formed over the sorted distinct values in ranges, and
-    each needed order statistic (at most 2 per probability and column) is
-    picked by a broadcast lookup against that bounded list of positions.
-    With q at position h = (n - 1) p: q = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
+    a local table ``([by,] column_name, pi, p, n, q)``, equal to ``percentile``
+    but without gathering all distinct values of a column into one buffer.
+
+    1. values are counted per ``([by,] column, value)`` (map-side partial
+       aggregation) and the counts are persisted while used;
+    2. running counts over the sorted distinct values are formed in ranges
+       (``running_sums``);
+    3. the needed order statistics — at most 2 per probability, column and
+       group — are picked by a broadcast range lookup and collected;
+    4. q = v[floor h] + (h - floor h) (v[ceil h] - v[floor h]), h = (n - 1) p.
+    Only per-(group, column, probability) numbers reach the driver.
     """
+    import math
+
     from ..functions.exprs import nan_to_null, qc
     cols = list(columns)
     probs = [float(p) for p in probs]
     spark = df.sparkSession
     g = [by] if by else []
+    keys = [*g, "column_name"]
     items = [F.struct(F.lit(c).alias("column_name"), nan_to_null(qc(c).cast("double")).alias("value")) for c in cols]
     base = df.select(*[qc(b) for b in g], F.explode(F.array(*items)).alias("kv")).select(*g, "kv.*")
     base = base.where(F.col("value").isNotNull() & (qc(by).isNotNull() if by else F.lit(True)))
     vc = base.groupBy(*g, "column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
     if persist_counts:
-        # read three times below (cut points, running sums, totals); released by
-        # the caller's collect via the cache manager's LRU or unpersist_all()
         vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(vc)
-    rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=[*g, "column_name"])
-    totals = vc.groupBy(*g, "column_name").agg(F.sum("cnt").alias("n"))
-    pr = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "pi int, p double")
-    pos = (totals.crossJoin(F.broadcast(pr))                       # columns x probabilities: bounded
-           .withColumn("h", (F.col("n") - 1).cast("double") * F.col("p"))
-           .withColumn("lo", F.floor("h").cast("long")).withColumn("hi", F.ceil("h").cast("long")))
-    keys = [*g, "column_name"]
-    need = pos.select(*keys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("k"))
-    need = need.dropDuplicates([*keys, "k"]).select(*[F.col(k).alias(f"__n_{k}") for k in keys], "k")
-    # the value at 0-based position k: cum - cnt <= k < cum. ``need`` holds at most
-    # 2 x probabilities rows per (group, column); groups are bounded by the caller
-    # (class labels), so it is broadcast.
-    cond = (rs["cum_cnt"] - rs["cnt"] <= F.col("k")) & (rs["cum_cnt"] > F.col("k"))
-    for k in keys:
-        cond = cond & (rs[k] == F.col(f"__n_{k}"))
-    hit = rs.join(F.broadcast(need), cond)
-    vals = hit.select(*[rs[k].alias(k) for k in keys], F.col("k"), rs["value"].alias("v"))
-    lo = vals.select(*keys, F.col("k").alias("lo"), F.col("v").alias("v_lo"))
-    hi = vals.select(*keys, F.col("k").alias("hi"), F.col("v").alias("v_hi"))
-    out = (pos.join(lo, [*keys, "lo"]).join(hi, [*keys, "hi"])
-           .select(*keys, "pi", "p", "n",
-                   F.when(F.col("lo") == F.col("hi"), F.col("v_lo"))
-                    .otherwise(F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("q")))
-    return out
+    try:
+        totals = {tuple(r[k] for k in keys): r["n"] for r in vc.groupBy(*keys).agg(F.sum("cnt").alias("n")).collect()}
+        pos = {}
+        need = set()
+        for key, n in totals.items():
+            for i, p in enumerate(probs):
+                h = (n - 1) * p
+                lo, hi = math.floor(h), math.ceil(h)
+                pos[key + (i,)] = (h, lo, hi, n)
+                need.add(key + (lo,))
+                need.add(key + (hi,))
+        if not need:
+            rows = []
+        else:
+            by_type = base.schema[by].dataType.simpleString() if by else None
+            schema = (f"`__n_{by}` {by_type}, " if by else "") + "__n_column_name string, k long"
+            need_df = spark.createDataFrame(sorted(need, key=repr), schema)   # 2 x probs per key: bounded
+            rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=keys)
+            cond = (rs["cum_cnt"] - rs["cnt"] <= F.col("k")) & (rs["cum_cnt"] > F.col("k"))
+            for k in keys:
+                cond = cond & (rs[k] == F.col(f"__n_{k}"))
+            hits = (rs.join(F.broadcast(need_df), cond)
+                    .select(*[rs[k].alias(k) for k in keys], F.col("k"), rs["value"].alias("v")).collect())
+            at = {tuple(r[k] for k in keys) + (r["k"],): r["v"] for r in hits}
+            rows = []
+            for key in totals:
+                for i, p in enumerate(probs):
+                    h, lo, hi, n = pos[key + (i,)]
+                    v_lo, v_hi = at.get(key + (lo,)), at.get(key + (hi,))
+                    q = v_lo if lo == hi else (None if v_lo is None or v_hi is None else v_lo + (h - lo) * (v_hi - v_lo))
+                    rows.append(key + (i, p, n, q))
+    finally:
+        if persist_counts:
+            vc.unpersist()
+    by_type = base.schema[by].dataType.simpleString() if by else None
+    schema = (f"`{by}` {by_type}, " if by else "") + "column_name string, pi int, p double, n long, q double"
+    return spark.createDataFrame(rows, schema)
 
 
 def quantile_arrays(df: DataFrame, columns, probs) -> dict:
     """``{column: [q for each p]}`` (one row per column and probability reaches the driver)."""
-    try:
-        rows = exact_quantiles(df, columns, probs, persist_counts=True).collect()
-    finally:
-        unpersist_all()
+    rows = exact_quantiles(df, columns, probs).collect()
     out = {c: [None] * len(probs) for c in columns}
     for r in rows:
         out[r["column_name"]][r["pi"]] = r["q"]
