@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1024
+# A column with at most this many distinct values takes its quantiles from
+# ``percentile`` with frequencies over the value counts (a buffer of that many
+# entries); larger columns use the range-partitioned running counts.
+MAP_MAX_DISTINCT = 100_000
 
 
 
@@ -116,19 +120,32 @@ def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None,
     if persist_counts:
         vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        totals = {tuple(r[k] for k in keys): r["n"] for r in vc.groupBy(*keys).agg(F.sum("cnt").alias("n")).collect()}
+        tot_rows = vc.groupBy(*keys).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+        totals = {tuple(r[k] for k in keys): r["n"] for r in tot_rows}
+        small = {tuple(r[k] for k in keys) for r in tot_rows if r["d"] <= MAP_MAX_DISTINCT}
+        mapped = {}
+        if small:
+            small_cols = sorted({key[-1] for key in small})
+            pq = (vc.where(F.col("column_name").isin(small_cols))
+                  .groupBy(*keys).agg(F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("cnt")).alias("qs"))
+                  .collect())
+            for r in pq:
+                key = tuple(r[k] for k in keys)
+                if key in small:
+                    mapped[key] = r["qs"]
         pos = {}
         need = set()
         for key, n in totals.items():
+            if key in mapped:
+                continue
             for i, p in enumerate(probs):
                 h = (n - 1) * p
                 lo, hi = math.floor(h), math.ceil(h)
                 pos[key + (i,)] = (h, lo, hi, n)
                 need.add(key + (lo,))
                 need.add(key + (hi,))
-        if not need:
-            rows = []
-        else:
+        rows = [key + (i, p, totals[key], mapped[key][i]) for key in mapped for i, p in enumerate(probs)]
+        if need:
             by_type = base.schema[by].dataType.simpleString() if by else None
             schema = (f"`__n_{by}` {by_type}, " if by else "") + "__n_column_name string, k long"
             need_df = spark.createDataFrame(sorted(need, key=repr), schema)   # 2 x probs per key: bounded
@@ -139,8 +156,9 @@ def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None,
             hits = (rs.join(F.broadcast(need_df), cond)
                     .select(*[rs[k].alias(k) for k in keys], F.col("k"), rs["value"].alias("v")).collect())
             at = {tuple(r[k] for k in keys) + (r["k"],): r["v"] for r in hits}
-            rows = []
             for key in totals:
+                if key in mapped:
+                    continue
                 for i, p in enumerate(probs):
                     h, lo, hi, n = pos[key + (i,)]
                     v_lo, v_hi = at.get(key + (lo,)), at.get(key + (hi,))

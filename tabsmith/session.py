@@ -19,6 +19,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # one-pass profiles and pair statistics aggregate hundreds of buffer fields;
+    # keep them in whole-stage code generation
+    "spark.sql.codegen.maxFields": "2000",
 }
 
 

@@ -9,6 +9,7 @@ from tabsmith.operators import ranking as RK
 @pytest.fixture(params=[10 ** 9, 37], ids=["one-range", "many-ranges"])
 def rows_per_range(request, monkeypatch):
     monkeypatch.setattr(RK, "ROWS_PER_RANGE", request.param)
+    monkeypatch.setattr(RK, "MAP_MAX_DISTINCT", 10 ** 9 if request.param > 100 else 0)
     # running_sums reads the default at call time through the module attribute
     orig = RK.running_sums
 
