@@ -80,17 +80,34 @@ def scoring_metric(task: str, config: dict | None = None) -> str:
 _LOWER_IS_BETTER = {"rmse", "mae", "log_loss", "mse"}
 
 
+def prepare_search(df: DataFrame, target: str, key: str, cv: int = 5, seed: int = 42,
+                   prep_config: dict | None = None) -> dict:
+    """Folds plus per-fold fitted preprocessing, shareable by several searches
+    and baselines. Release with ``release_search``."""
+    task = infer_task(df, target)
+    strat = target if task == "classification" else None
+    folded = kfold(df, key, cv, stratify=strat, seed=seed).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
+    return {"task": task, "folded": folded, "cv": cv,
+            "prepared": prepare_folds(folded, target, "fold", cv, prep_config)}
+
+
+def release_search(ctx: dict) -> None:
+    release(ctx["prepared"])
+    ctx["folded"].unpersist()
+
+
 def random_search(df: DataFrame, target: str, key: str, model_name: str, n_iter: int = 50, cv: int = 5,
                   seed: int = 42, prep_config: dict | None = None, scoring: str | None = None,
-                  refit: bool = True, space: dict | None = None):
+                  refit: bool = True, space: dict | None = None, shared: dict | None = None):
     """H1: n seeded draws, each cross-validated with fold-safe preprocessing; the
-    best (direction by metric) is refitted on all rows. Returns (trials, best_params, refit)."""
+    best (direction by metric) is refitted on all rows. Returns (trials, best_params, refit).
+
+    ``shared`` (from ``prepare_search``) reuses folds and per-fold preprocessing.
+    """
     spark = df.sparkSession
-    task = infer_task(df, target)
+    ctx = shared or prepare_search(df, target, key, cv, seed, prep_config)
+    task, folded, prepared, cv = ctx["task"], ctx["folded"], ctx["prepared"], ctx["cv"]
     scoring = scoring or scoring_metric(task)
-    strat = target if task == "classification" else None
-    folded = kfold(df, key, cv, stratify=strat, seed=seed).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
-    prepared = prepare_folds(folded, target, "fold", cv, prep_config)
     spec, _ = resolve(model_name)
     rows = []
     try:
@@ -99,8 +116,8 @@ def random_search(df: DataFrame, target: str, key: str, model_name: str, n_iter:
             metrics, secs = cross_validate(folded, target, model_name, params, "fold", cv, prep_config, task, prepared)
             rows.append((i, model_name, str(params), metrics.get(scoring), secs))
     finally:
-        release(prepared)
-        folded.unpersist()
+        if shared is None:
+            release_search(ctx)
     trials = spark.createDataFrame(rows, "trial int, model_name string, params string, score double, seconds double")
     valid = [r for r in rows if r[3] is not None]
     if not valid:

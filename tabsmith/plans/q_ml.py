@@ -129,18 +129,25 @@ def stage_comparison_q(spark, sf_dir):
     split = train_test_split(df, "doc_id", 0.2, stratify="quality")
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
-    tr = M.ModelTrainer(seed=42).fit(train, "quality", key="doc_id", prep_config=PREP, cv=3, refit=True,
-                                     models=["logistic_regression"])
-    trials, best, refit = H.random_search(train, "quality", "doc_id", "logistic_regression", n_iter=3, cv=3,
-                                          prep_config=PREP)
+    ctx = H.prepare_search(train, "quality", "doc_id", cv=3, prep_config=PREP)   # folds shared by both stages
+    try:
+        base_metrics, secs = M.cross_validate(ctx["folded"], "quality", "logistic_regression",
+                                              dict(M.resolve("logistic_regression")[0].defaults), "fold", 3, PREP,
+                                              ctx["task"], ctx["prepared"])
+        trials, best, refit = H.random_search(train, "quality", "doc_id", "logistic_regression", n_iter=3, cv=3,
+                                              prep_config=PREP, shared=ctx)
+    finally:
+        H.release_search(ctx)
+    lb = spark.createDataFrame([("logistic_regression", base_metrics.get("roc_auc"), base_metrics.get("roc_auc"))],
+                               "model_name string, roc_auc double, primary_metric_value double")
     pipe, model, feats = refit
     s = M.score_frame(model, M.assemble(pipe.transform(test.drop("doc_id")), feats, "quality"), "classification")
     test_auc = E.roc_auc(s, "label", "p1").collect()[0]["roc_auc"]
-    base = tr.leaderboard_.select("model_name", F.col("roc_auc").alias("value"))
+    base = lb.select("model_name", F.col("roc_auc").alias("value"))
     tuned = trials.groupBy("model_name").agg(F.max("score").alias("value"))
     tst = spark.createDataFrame([("logistic_regression", test_auc)], "model_name string, value double")
     comp = E.stage_comparison(base, tuned, tst)
-    gain = H.trial_table(trials, tr.leaderboard_, "roc_auc").select("model_name", R("gain").alias("gain"))
+    gain = H.trial_table(trials, lb, "roc_auc").select("model_name", R("gain").alias("gain"))
     return comp.join(gain, "model_name", "left").select("model_name", "stage", R("value").alias("value"), "gain")
 
 
