@@ -14,26 +14,20 @@ def load(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None
     """``spark.read.parquet(<sf_dir>/<name>.parquet)``.
 
     A file written as a single row group scans as one task however many cores
-    there are. When the scan has fewer partitions than ``min_partitions``
-    (default: the session's default parallelism) the rows are spread
-    round-robin once. On large inputs the scan already has thousands of
-    splits and this is a no-op.
+    there are. Only when the whole scan is a single split — at most one file
+    split (``spark.sql.files.maxPartitionBytes``), so the extra shuffle is
+    bounded — are its rows spread round-robin over ``min_partitions`` (default:
+    the session's default parallelism). Larger inputs keep their scan splits,
+    filters and column pruning untouched.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
     want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    if want and want > 1:
-        n = df.rdd.getNumPartitions()
-        if n < want and df.inputFiles() and _small(df, want):
-            df = df.repartition(want)
+    if want and want > 1 and df.rdd.getNumPartitions() == 1:
+        df = df.repartition(want)
     return df
 
 
-def _small(df: DataFrame, want: int) -> bool:
-    """Spread only inputs whose split count is below the core count."""
-    return df.rdd.getNumPartitions() < want
-
-
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Temp views named like the tables, for ``spark.sql`` use."""
     for n in names:
