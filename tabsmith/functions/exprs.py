@@ -87,6 +87,21 @@ def safe_corr(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
 
 
+def count_below(x: Column, edges) -> Column:
+    """Number of sorted literal ``edges`` strictly below ``x`` (NULL for NULL x),
+    as a balanced tree of comparisons: about log2(len(edges)) per row, inside
+    code generation (no higher-order lambda)."""
+    edges = [float(e) for e in edges]
+
+    def rec(lo: int, hi: int) -> Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x > F.lit(edges[mid]), rec(mid + 1, hi)).otherwise(rec(lo, mid))
+
+    return F.when(x.isNotNull(), rec(0, len(edges)))
+
+
 def hex_piece(h: Column, i: int) -> Column:
     """The i-th 32-bit piece (8 hex digits) of an md5 hex digest, as bigint."""
     return F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long")

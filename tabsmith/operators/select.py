@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import field_kinds, nan_to_null
+from ..functions.exprs import count_below, field_kinds, nan_to_null
 from .prep import qcol
 
 MI_BINS = 32
@@ -28,20 +28,18 @@ def binned_mi(df: DataFrame, features, target: str, bins: int = MI_BINS,
     numeric = [c for c in features if kinds[c] in ("numeric", "boolean")]
     probs = [i / bins for i in range(1, bins)]
     to_bin = numeric + ([target] if bin_target else [])
+    edges = {}
     if to_bin:
         from .ranking import quantile_arrays
-        qa = quantile_arrays(df, to_bin, probs)               # exact, distributed
-        edges = df.sparkSession.createDataFrame([tuple(qa[c] for c in to_bin)],
-                                                ", ".join(f"__e{i} array<double>" for i in range(len(to_bin))))
-        base = df.crossJoin(F.broadcast(edges))    # one row of edges
-    else:
-        base = df
-    idx = {c: i for i, c in enumerate(to_bin)}
+        edges = quantile_arrays(df, to_bin, probs)               # exact, distributed
+    base = df
 
     def code(c):
-        if c in idx:
+        if c in edges:
             x = nan_to_null(qcol(c).cast("double"))
-            return F.when(x.isNotNull(), F.size(F.filter(F.col(f"__e{idx[c]}"), lambda e: x > e)).cast("string"))
+            if any(v is None for v in edges[c]):
+                return F.lit(None).cast("string")
+            return count_below(x, edges[c]).cast("string")
         return qcol(c).cast("string")
 
     t = code(target) if bin_target else qcol(target).cast("string")
