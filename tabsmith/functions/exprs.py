@@ -102,6 +102,39 @@ def count_below(x: Column, edges) -> Column:
     return F.when(x.isNotNull(), rec(0, len(edges)))
 
 
+def with_counts_below(df: DataFrame, specs: dict) -> DataFrame:
+    """Add integer columns ``name = number of edges strictly below x`` for
+    ``specs = {name: (x_column, sorted_edges)}`` using Spark ML's Bucketizer
+    (a JVM binary search per value). Duplicate edges are handled by a
+    multiplicity table; NULL x gives NULL.
+    """
+    from pyspark.ml.feature import Bucketizer
+    if not specs:
+        return df
+    tmp_in, tmp_out, splits_arr, maps = [], [], [], {}
+    base = df
+    for k, (name, (x, edges)) in enumerate(specs.items()):
+        uniq = sorted(set(float(e) for e in edges))
+        counts = [sum(1 for e in edges if float(e) == u) for u in uniq]
+        cum = [0]
+        for c in counts:
+            cum.append(cum[-1] + c)                    # cum[t] = edges among the t smallest unique
+        neg = [-u for u in reversed(uniq)]
+        splits_arr.append([float("-inf")] + neg + [float("inf")])
+        base = base.withColumn(f"__bin_in{k}", -x.cast("double"))
+        tmp_in.append(f"__bin_in{k}")
+        tmp_out.append(f"__bin_out{k}")
+        maps[name] = (k, len(uniq), cum, x)
+    b = Bucketizer(splitsArray=splits_arr, inputCols=tmp_in, outputCols=tmp_out, handleInvalid="keep")
+    out = b.transform(base)
+    for name, (k, m, cum, x) in maps.items():
+        # bucket j of -x: j unique edges u satisfy -u <= -x, i.e. u >= x; so m - j unique edges are below x
+        below_unique = F.lit(m) - F.col(f"__bin_out{k}").cast("int")
+        val = F.element_at(F.array(*[F.lit(c) for c in cum]), below_unique + 1)
+        out = out.withColumn(name, F.when(x.isNotNull(), val))
+    return out.drop(*tmp_in, *tmp_out)
+
+
 def hex_piece(h: Column, i: int) -> Column:
     """The i-th 32-bit piece (8 hex digits) of an md5 hex digest, as bigint."""
     return F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long")

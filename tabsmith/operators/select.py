@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import count_below, field_kinds, nan_to_null
+from ..functions.exprs import field_kinds, nan_to_null, with_counts_below
 from .prep import qcol
 
 MI_BINS = 32
@@ -32,14 +32,16 @@ def binned_mi(df: DataFrame, features, target: str, bins: int = MI_BINS,
     if to_bin:
         from .ranking import quantile_arrays
         edges = quantile_arrays(df, to_bin, probs)               # exact, distributed
-    base = df
+    specs = {f"__bin_{i}": (nan_to_null(qcol(c).cast("double")), edges[c])
+             for i, c in enumerate(to_bin) if all(v is not None for v in edges[c])}
+    base = with_counts_below(df, specs)
+    bin_col = {c: f"__bin_{i}" for i, c in enumerate(to_bin)}
 
     def code(c):
         if c in edges:
-            x = nan_to_null(qcol(c).cast("double"))
-            if any(v is None for v in edges[c]):
+            if bin_col[c] not in specs:
                 return F.lit(None).cast("string")
-            return count_below(x, edges[c]).cast("string")
+            return F.col(bin_col[c]).cast("string")
         return qcol(c).cast("string")
 
     t = code(target) if bin_target else qcol(target).cast("string")

@@ -41,3 +41,15 @@ def test_average_ranks(spark, rows_per_range):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = {r["value"]: r["rank"] for r in RK.average_ranks(df, "x").collect()}
     assert got == {1.0: 1.0, 2.0: 2.5, 3.0: 4.0, 5.0: 6.0}
+
+
+def test_counts_below_with_duplicate_edges(spark):
+    from pyspark.sql import functions as F
+
+    from tabsmith.functions.exprs import with_counts_below
+    edges = [1.0, 2.0, 2.0, 2.0, 5.0]
+    vals = [None, 0.5, 1.0, 1.5, 2.0, 2.5, 5.0, 7.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r["b"] for r in with_counts_below(df, {"b": (F.col("x"), edges)}).collect()]
+    want = [None if v is None else sum(1 for e in edges if e < v) for v in vals]
+    assert got == want
