@@ -67,3 +67,20 @@ def test_box_stats_outliers(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 100]], "x double")
     b = P.box_stats(df, "x").collect()[0]
     assert b["median"] == 3.5 and b["n_outliers"] == 1 and b["whisker_high"] == 5.0
+
+
+def test_wide_correlation_paths_agree(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    data = rng.standard_normal((200, 6))
+    data[:, 1] = data[:, 0] * 0.5 + data[:, 1]
+    cols = [f"c{i}" for i in range(6)]
+    df = spark.createDataFrame([tuple(float(v) for v in r) for r in data], ", ".join(f"{c} double" for c in cols))
+    narrow = {(r["feature_1"], r["feature_2"]): r["corr"] for r in A.correlation_pairs(df, cols).collect()}
+    monkeypatch.setattr(A, "PAIRS_PER_PASS", 4)
+    wide = {(r["feature_1"], r["feature_2"]): r["corr"] for r in A.correlation_pairs(df, cols).collect()}
+    with_null = df.union(spark.createDataFrame([(None,) * 6], ", ".join(f"{c} double" for c in cols)))
+    chunked = {(r["feature_1"], r["feature_2"]): r["corr"] for r in A.correlation_pairs(with_null, cols).collect()}
+    for k, v in narrow.items():
+        assert wide[k] == pytest.approx(v, abs=1e-12)
+        assert chunked[k] == pytest.approx(v, abs=1e-12)
