@@ -96,7 +96,8 @@ def wide_stats(df: DataFrame, columns=None, datetime_formats=None) -> DataFrame:
             .withColumn("n_null", F.col("n_rows") - F.col("n_nonnull")))
 
 
-def value_counts_long(df: DataFrame, columns=None, target: str | Column | None = None) -> DataFrame:
+def value_counts_long(df: DataFrame, columns=None, target: str | Column | None = None,
+                      keep_nulls: bool = False) -> DataFrame:
     """B22 for many columns at once: ``(column_name, value, num, cnt[, t_mean])``.
 
     ``value`` is the string form, ``num`` the numeric form (for ordering numeric
@@ -123,7 +124,7 @@ def value_counts_long(df: DataFrame, columns=None, target: str | Column | None =
     if target is not None:
         aggs.append(F.avg("__t").alias("t_mean"))
     present = F.col("s").isNotNull() | F.col("i").isNotNull() | F.col("d").isNotNull()
-    g = long.where(present).groupBy("column_name", "s", "i", "d").agg(*aggs)
+    g = (long if keep_nulls else long.where(present)).groupBy("column_name", "s", "i", "d").agg(*aggs)
     value = F.coalesce(F.col("s"), F.col("i").cast("string"), F.col("d").cast("string"))
     num = F.coalesce(F.col("i").cast("double"), F.col("d"))
     return g.select("column_name", value.alias("value"), num.alias("num"), "cnt",
@@ -154,47 +155,87 @@ def profile(df: DataFrame, columns=None, target: str | Column | None = None,
             low_card: int = LOW_CARDINALITY, datetime_formats=None) -> DataFrame:
     """B1: the column profile (plus the ordinal test B12 when a target is given).
 
-    Three bounded steps, each one Spark job over the data at most:
-    the wide statistics (one row per column); exact value counts per
-    ``(column, value)`` (persisted while used) reduced to one row per column;
-    and, only for numeric columns proven to hold 3..low_card values, their
-    ``(value, mean target)`` points (at most low_card per column). The result
+    ONE scan of the data: every row emits one ``(column, value)`` item per
+    column (NULLs included) and map-side partial aggregation reduces them to
+    value counts, persisted while used. Everything else works on those counts:
+    n, NULLs, distinct values, top value, min/max, mean and (centred, second
+    pass over the counts) standard deviation, zero and infinity counts, date
+    parsing (once per distinct string) and — only for numeric columns proven to
+    hold 3..low_card values — the ``(value, mean target)`` points. The result
     is a local table with one row per column.
 
     Columns: position, column_name, kind, spark_type, n_rows, n_nonnull, n_null,
     n_unique, top_value, top_count, top_share, missing_ratio, min, max, mean, sd,
     zero_count, inf_count, n_parsed_datetime, parse_rate, is_ordinal.
     """
+    import math
+
     from pyspark import StorageLevel
     if isinstance(target, str) and columns is None:
         columns = [c for c in df.columns if c != target]
     spark = df.sparkSession
-    wide = {r["column_name"]: r.asDict() for r in wide_stats(df, columns, datetime_formats).collect()}
-    vc = value_counts_long(df, columns, target).persist(StorageLevel.MEMORY_AND_DISK)
+    cols = _profiled_columns(df, columns)
+    kinds = {c: k for _, c, k in cols}
+    vc = value_counts_long(df, columns, target, keep_nulls=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = {r["column_name"]: r.asDict() for r in column_counts(vc).collect()}
+        nn = F.col("value").isNotNull()
+        parsed = F.when(F.col("column_name").isin([c for c, k in kinds.items() if k == "string"] or [""]) & nn,
+                        safe_timestamp(F.col("value"), datetime_formats))
+        first = {r["column_name"]: r.asDict() for r in vc.groupBy("column_name").agg(
+            F.sum("cnt").alias("n_rows"),
+            F.sum(F.when(~nn, F.col("cnt")).otherwise(0)).alias("n_null"),
+            F.count(F.when(nn, 1)).alias("n_unique"),
+            F.max(F.when(nn, F.col("cnt"))).alias("top_count"),
+            F.min_by(F.when(nn, F.col("value")),
+                     F.when(nn, F.struct((-F.col("cnt")).alias("k"), F.col("value").alias("v")))).alias("top_value"),
+            F.min("num").alias("min"), F.max("num").alias("max"),
+            F.sum(F.col("cnt") * F.col("num")).alias("sx"),
+            F.sum(F.when(F.col("num") == 0, F.col("cnt")).otherwise(0)).alias("zero_count"),
+            F.sum(F.when(F.abs(F.col("num")) == float("inf"), F.col("cnt")).otherwise(0)).alias("inf_count"),
+            F.sum(F.when(parsed.isNotNull(), F.col("cnt")).otherwise(0)).alias("n_parsed"),
+        ).collect()}
+        means = {}
+        for c, r in first.items():
+            n_nn = r["n_rows"] - r["n_null"]
+            if kinds[c] in ("numeric", "boolean") and n_nn > 0 and r["sx"] is not None:
+                means[c] = r["sx"] / n_nn
+        sds = {}
+        if means:
+            mean_df = spark.createDataFrame([(c, float(m)) for c, m in means.items()], "column_name string, __m double")
+            for r in (vc.join(F.broadcast(mean_df), "column_name")            # one row per column
+                      .groupBy("column_name")
+                      .agg(F.sum(F.col("cnt") * (F.col("num") - F.col("__m")) * (F.col("num") - F.col("__m"))).alias("ss"))
+                      .collect()):
+                sds[r["column_name"]] = r["ss"]
         ordinal = {}
         if target is not None:
-            cand = [c for c, w in wide.items() if w["kind"] in ("numeric", "boolean")
-                    and 3 <= counts.get(c, {}).get("n_unique", 0) <= low_card]
+            cand = [c for c, r in first.items() if kinds[c] in ("numeric", "boolean") and 3 <= r["n_unique"] <= low_card]
             if cand:
-                pts = (vc.where(F.col("column_name").isin(cand))
+                pts = (vc.where(F.col("column_name").isin(cand) & nn)
                        .groupBy("column_name").agg(F.collect_list(F.struct("num", "t_mean")).alias("pts"))
                        .collect())
                 ordinal = {r["column_name"]: _monotone([(p["num"], p["t_mean"]) for p in r["pts"]]) for r in pts}
     finally:
         vc.unpersist()
     rows = []
-    for c, w in sorted(wide.items(), key=lambda kv: kv[1]["position"]):
-        cnt = counts.get(c, {})
-        n_unique = int(cnt.get("n_unique") or 0)
-        top_count = int(cnt.get("top_count") or 0)
-        nn, n = w["n_nonnull"], w["n_rows"]
-        rows.append((w["position"], c, w["kind"], w["spark_type"], n, nn, w["n_null"], n_unique,
-                     cnt.get("top_value"), top_count, (top_count / nn) if nn else None,
-                     (w["n_null"] / n) if n else None, w["min"], w["max"], w["mean"], w["sd"],
-                     w["zero_count"], w["inf_count"], w["n_parsed_datetime"],
-                     (w["n_parsed_datetime"] / nn) if (nn and w["n_parsed_datetime"] is not None) else None,
+    for pos, c, kind in cols:
+        r = first.get(c, {})
+        n = int(r.get("n_rows") or 0)
+        n_null = int(r.get("n_null") or 0)
+        n_nn = n - n_null
+        numeric = kind in ("numeric", "boolean")
+        top_count = int(r.get("top_count") or 0)
+        ss = sds.get(c)
+        sd = math.sqrt(ss / (n_nn - 1)) if (ss is not None and n_nn > 1) else None
+        n_parsed = int(r.get("n_parsed") or 0) if kind == "string" else None
+        rows.append((pos, c, kind, df.schema[c].dataType.simpleString(), n, n_nn, n_null, int(r.get("n_unique") or 0),
+                     r.get("top_value"), top_count, (top_count / n_nn) if n_nn else None,
+                     (n_null / n) if n else None,
+                     r.get("min") if numeric else None, r.get("max") if numeric else None,
+                     means.get(c) if numeric else None, sd if numeric else None,
+                     int(r.get("zero_count") or 0) if numeric else None,
+                     int(r.get("inf_count") or 0) if numeric else None,
+                     n_parsed, (n_parsed / n_nn) if (n_parsed is not None and n_nn) else None,
                      bool(ordinal.get(c, False))))
     schema = ("position int, column_name string, kind string, spark_type string, n_rows long, n_nonnull long, "
               "n_null long, n_unique long, top_value string, top_count long, top_share double, missing_ratio double, "
