@@ -1,17 +1,13 @@
 """Column profiling and semantic type detection.
 
-Shape of the work:
-
-* one *wide* aggregation (one row per table: counts, moments, zero/inf counts,
-  date parse counts, HLL distinct estimates) — map-side partial aggregation
-  makes its shuffle a handful of rows;
-* one *long* aggregation over ``(column, value)`` pairs — the exact distinct
-  count, the top value and (with a target) the per-value target mean for the
-  ordinal test. Partial aggregation collapses hot values on the map side, so a
-  value holding a third of all rows costs one row per map task.
-
-Everything returns DataFrames with one row per profiled column; only tables
-that are bounded by the number of columns are ever broadcast.
+Shape of the work: ``profile`` reads the data once — a long aggregation over
+``(column, value)`` items (NULLs included) whose value counts give every
+statistic; map-side partial aggregation collapses hot values, so a value
+holding a third of all rows costs one row per map task. ``wide_stats`` (one
+aggregation, one row per column) serves the cheap summaries (B19-B21, B29).
+
+Profiles are local tables with one row per column; only tables bounded by the
+number of columns are ever broadcast.
 """
 
 from __future__ import annotations
