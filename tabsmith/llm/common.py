@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 import zlib
@@ -14,8 +16,18 @@ from pyspark.sql import functions as F
 WORD_SEP = "[\\x20\\x09-\\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once a session, through Spark's own
+    file distribution, so that they import it wherever the driver found it."""
+    sc, name = spark.sparkContext, "tabsmith-code.zip"
+    if name not in sc._python_includes:
+        top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name[:-4]), "zip", top, "tabsmith"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, file or folder of part files, through Spark's readers."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
