@@ -116,3 +116,22 @@ def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, modulo: int, held_out: int,
+                    limit: int) -> DataFrame:
+    """(doc_id, text, label): texts of at most ``limit`` labelled ids, chosen by a
+    hash of the id, none of them with crc32(id) mod ``modulo`` equal to ``held_out``.
+
+    ``limit`` bounds what a classifier is fitted on, and so the table that is
+    broadcast here. An id that is labelled more than once counts by its largest label.
+    """
+    chosen = (labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
+              .where(crc32_mod("doc_id", modulo) != held_out)
+              .groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

@@ -103,7 +103,7 @@ def edges(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                     edge, key, at = (np.concatenate(x) for x in zip(*out))
                     yield pd.DataFrame({"edge": edge, "doc_id": key, "pos": at})
 
-    return docs.join(wanted, "key").select("key", "text", "anchors").mapInPandas(
+    return docs.join(wanted, "key").select(*docs.columns, "anchors").mapInPandas(
         run, "edge long, doc_id long, pos long")
 
 
@@ -134,7 +134,7 @@ def source_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     asked = (spans.select("src_doc", "src_start", "length").distinct()
              .groupBy(F.col("src_doc").alias("key")).agg(F.collect_list(F.struct("src_start", "length")).alias("asked")))
-    return docs.join(asked, "key").select("key", "text", "asked").mapInPandas(
+    return docs.join(asked, "key").select(*docs.columns, "asked").mapInPandas(
         run, "src_doc long, src_start long, length long, sha binary").distinct()
 
 
@@ -144,7 +144,7 @@ def _sha(words: list[bytes]) -> bytes:
 
 def dedup_spans(docs: DataFrame, window: int) -> DataFrame:
     """Verified spans to remove, grouped: (key, spans array<struct<start, length, sha>>).
-    ``docs``: (key, text)."""
+    ``docs``: key, text, and columns to carry."""
     found = written(anchors(docs, window), "op8-anchors")
     repeated = (found.groupBy("anchor").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
                 .where("a <> b").select("anchor"))
@@ -167,36 +167,41 @@ def dedup_spans(docs: DataFrame, window: int) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                 partitions: int | None = None) -> DataFrame:
-    """Every row's ``id_col``, n_words, n_removed and its kept words as ``kept``
-    (joined by one space).
+                 partitions: int | None = None, keep: tuple | list = ()) -> DataFrame:
+    """Every row's ``id_col``, the columns ``keep``, n_words, n_removed and its kept
+    words as ``kept`` (joined by one space).
 
     A word goes if an edge of ``window`` words that covers it also starts in a
     row of smaller id, judged on the input.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
+    fields = {f.name: f.dataType.simpleString() for f in docs.schema}
+    keep = [c for c in keep if c not in ("n_words", "n_removed", "kept", id_col)]
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # every branch below reads the same columns of the same shuffle, so texts are shuffled once
     keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("key"), docs[text_col].alias("text"),
-                        docs[id_col].isNotNull().alias("has_id")).repartition(n, "key")
-    spans = dedup_spans(keyed.select("key", "text"), window)
+                        *[docs[c].alias(f"_{i}") for i, c in enumerate(keep)]).repartition(n, "key")
+    spans = dedup_spans(keyed, window)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, has_id, text, own in zip(batch["key"], batch["has_id"], batch["text"], batch["spans"]):
+            for key, text, own in zip(batch["key"], batch["text"], batch["spans"]):
                 words = words_of(text)
                 gone = np.zeros(len(words), bool)
-                for span in own if own is not None and has_id else ():
+                for span in own if own is not None and key != NO_ID else ():
                     at = slice(span["start"], span["start"] + span["length"])
                     if _sha(words[at]) == span["sha"]:
                         gone[at] = True
                 kept = [w for w, g in zip(words, gone) if not g] if gone.any() else words
-                rows.append((key if has_id else None, len(words), len(words) - len(kept), b" ".join(kept).decode()))
-            yield pd.DataFrame(rows, columns=["id", "n_words", "n_removed", "kept"]).astype({"id": "Int64"})
-
-    out = keyed.join(spans, "key", "left").select("key", "has_id", "text", "spans").mapInPandas(
-        run, f"id {id_type}, n_words long, n_removed long, kept string")
-    return out.withColumnRenamed("id", id_col)
+                rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
+            out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"], index=batch.index)
+            yield batch.drop(columns=["text", "spans"]).join(out)
+
+    extra = "".join(f", _{i} {fields[c]}" for i, c in enumerate(keep))
+    out = keyed.join(spans, "key", "left").select(*keyed.columns, "spans").mapInPandas(
+        run, f"key long{extra}, n_words long, n_removed long, kept string")
+    return out.select(F.when(F.col("key") != NO_ID, F.col("key")).cast(fields[id_col]).alias(id_col),
+                      *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_removed", "kept")
 
 
 SQL = """

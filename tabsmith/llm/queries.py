@@ -14,8 +14,11 @@ from . import op2_topk_search as op2
 from . import op3_token_counts as op3
 from . import op4_mixing as op4
 from . import op5_jaccard_join as op5
+from . import op6_toxicity as op6
+from . import op7_html_text as op7
 from . import op8_substring_dedup as op8
 from . import op9_fingerprints as op9
+from . import op10_quality as op10
 from .common import table
 
 
@@ -47,6 +50,16 @@ def op5_jaccard_join(spark, sf_dir):
     return op5.jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op6_toxicity(spark, sf_dir):
+    """Toxicity score of every whole document."""
+    return op6.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_html_text(spark, sf_dir):
+    """Main text of every whole page."""
+    return op7.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_substring_dedup(spark, sf_dir):
     """Every document without the 50-word windows that a document of smaller id has."""
     kept = op8.deduplicated(table(spark, sf_dir, "documents"))
@@ -58,14 +71,22 @@ def op9_fingerprints(spark, sf_dir):
     return op9.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark, sf_dir):
+    """Quality score of every whole document."""
+    return op10.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_topk_search": op2_topk_search,
     "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_toxicity": op6_toxicity,
+    "op7_html_text": op7_html_text,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
