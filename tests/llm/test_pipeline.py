@@ -1,0 +1,42 @@
+import public_tokenizers
+from helpers import groups, removed_by_windows
+
+import corpus_pipeline as pipe
+from tabsmith.llm import op10_quality, queries
+from tabsmith.llm.common import table, written
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_match_their_brute_force_versions(spark):
+    docs = table(spark, SF, "documents")
+    labels = table(spark, SF, "labels")
+    stages = dict(pipe.STAGES)
+
+    model = op10_quality.fit(docs, labels)
+    kept = written(stages["quality"](spark, docs, SF), "t")
+    rows = docs.collect()
+    accepted = {r.doc_id for r, s in zip(rows, model.score(op10_quality._matrix([r.text for r in rows]))) if s >= 0.3}
+    assert sorted(kept.collect()) == sorted(r for r in rows if r.doc_id in accepted)
+
+    firsts = written(stages["near_duplicates"](spark, kept, SF), "t")
+    of = groups([(r.doc_id, r.text) for r in kept.collect()])
+    assert sorted(firsts.collect()) == sorted(r for r in kept.collect() if of[r.doc_id][0] == r.doc_id)
+
+    cut = written(stages["repeated_passages"](spark, firsts, SF), "t")
+    want = {k: b" ".join(w).decode() for k, w, _ in removed_by_windows([(r.doc_id, r.text) for r in firsts.collect()])}
+    assert {r.doc_id: r.text for r in cut.collect()} == want and cut.columns == docs.columns
+
+    mixed = written(stages["mixture"](spark, cut, SF), "t")
+    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} <= set(want)
+
+    from test_op1_packing import check
+    check(stages["packing"](spark, mixed, SF).collect(), [(r.doc_id, r.text) for r in mixed.collect()], 4096)
+
+
+def test_run_and_odd_documents(spark, docs_of):
+    assert pipe.run(spark, SF).count() > 0 and pipe.ORACLE_SQL is None
+    docs = docs_of([(1, None), (1, None), (2, ""), (None, "x"), (3, "a b c d e f g " * 20)])
+    for _, stage in pipe.STAGES:
+        docs = written(stage(spark, docs, SF), "t")
+    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES) and public_tokenizers
