@@ -55,15 +55,17 @@ def rank_interaction_pairs(df: DataFrame, numeric_cols, target: str, max_pairs:
 
 
 def add_interactions(df: DataFrame, pairs) -> DataFrame:
-    """``a_x_b = a * b`` for each chosen pair."""
-    return df.select("*", *[(qcol(a) * qcol(b)).alias(f"{a}_x_{b}") for a, b in pairs])
+    """``a_x_b = a * b`` for each chosen pair, as double: products of integers
+    never overflow."""
+    return df.select("*", *[(qcol(a).cast("double") * qcol(b).cast("double")).alias(f"{a}_x_{b}") for a, b in pairs])
 
 
 def add_polynomials(df: DataFrame, cols, degree: int = 2) -> DataFrame:
     """``c_powd = c ** d`` for d in 2..degree."""
     def power(c, d):
         # squares as x * x (exactly rounded, as array libraries compute them)
-        return qcol(c) * qcol(c) if d == 2 else F.pow(qcol(c), F.lit(float(d)))
+        x = qcol(c).cast("double")
+        return x * x if d == 2 else F.pow(x, F.lit(float(d)))
     return df.select("*", *[power(c, d).alias(f"{c}_pow{d}") for c in cols for d in range(2, degree + 1)])
 
 

@@ -245,36 +245,17 @@ class FeaturePipeline:
             drop = {c for i, c in enumerate(numeric) if not (row[f"v{i}"] is not None and row[f"v{i}"] > vt)}
             selected = [c for c in selected if c not in drop]
         if ct is not None:
-            num_sel = [c for c in selected if c in set(numeric)]
-            if len(num_sel) > 1:
-                from .assoc import correlation_pairs
-                pairs = correlation_pairs(full, num_sel).collect()   # k(k-1)/2 numbers
-                corr = {(r["feature_1"], r["feature_2"]): r["corr"] for r in pairs}
-                to_drop = set()
-                # reference order: outer loop over columns, inner over rows (upper triangle)
-                for j, col in enumerate(num_sel):
-                    for i in range(j):
-                        row_name = num_sel[i]
-                        v = corr.get((row_name, col))
-                        if v is None or (isinstance(v, float) and math.isnan(v)):
-                            continue
-                        if abs(v) > ct:
-                            keep, drop_c = row_name, col
-                            if keep in protected:
-                                pass
-                            elif drop_c in protected:
-                                keep, drop_c = drop_c, keep
-                            to_drop.add(drop_c)
-                selected = [c for c in selected if c not in to_drop]
+            among = [c for c in selected if c in set(numeric)]
+            kept = set(correlation_filter(full, among, ct, protected)) if len(among) > 1 else set(among)
+            selected = [c for c in selected if c in kept or c not in set(among)]
         return selected
 
     # ------------------------------------------------------------ apply
-    @staticmethod
-    def _parsed(df: DataFrame, c: str) -> Column:
+    def _parsed(self, df: DataFrame, c: str) -> Column:
         k = kind_of(df.schema[c].dataType)
         if k == "datetime":
             return qcol(c).cast("timestamp_ntz") if df.schema[c].dataType.typeName() == "date" else qcol(c)
-        return safe_timestamp(qcol(c)).cast("timestamp_ntz")
+        return safe_timestamp(qcol(c), self.config.get("datetime_formats")).cast("timestamp_ntz")
 
     @staticmethod
     def _ordinal_code(x: Column, levels: list) -> Column:
@@ -361,41 +342,32 @@ class FeaturePipeline:
         return p
 
     def parameter_table(self, spark) -> DataFrame:
-        """Fitted state as rows ``(column_name, stage, key, value)`` (JSON values)."""
+        """The fitted pipeline as rows ``(stage, position, name, value)``, values as JSON:
+        every part of the state and of the configuration."""
         if self.state is None:
             raise NotFittedError("Pipeline must be fitted first.")
         rows = []
-        st = self.state
-        for ftype, cols in st["feature_types"].items():
-            for c in cols:
-                rows.append((c, "types", "feature_type", json.dumps(ftype)))
-        for stage in ("imputers", "encoders", "ordinal_encoders", "scalers", "datetime_reference"):
-            for c, v in st[stage].items():
-                rows.append((c, stage, "params", json.dumps(v, default=str)))
-        if st.get("selected_features") is not None:
-            for i, c in enumerate(st["selected_features"]):
-                rows.append((c, "selection", "position", json.dumps(i)))
-        return spark.createDataFrame(rows, "column_name string, stage string, key string, value string")
+        for stage, part in [*self.state.items(), ("config", self.config)]:
+            if isinstance(part, dict):
+                rows += [(stage, i, k, json.dumps(v, default=str)) for i, (k, v) in enumerate(part.items())]
+            rows.append((stage, -1, None, json.dumps(None if isinstance(part, dict) else part, default=str)))
+        return spark.createDataFrame(rows, "stage string, position int, name string, value string")
 
     @classmethod
-    def from_parameter_table(cls, params: DataFrame, config: dict | None = None,
-                             input_columns=None) -> "FeaturePipeline":
-        """Rebuild a fitted pipeline from ``parameter_table`` rows (bounded by the feature count)."""
-        st = {"feature_types": {k: [] for k in ("numeric", "binary", "categorical", "high_cardinality", "datetime", "ordinal")},
-              "imputers": {}, "encoders": {}, "ordinal_encoders": {}, "scalers": {}, "datetime_reference": {},
-              "input_columns": list(input_columns or [])}
-        sel = []
-        for r in params.collect():
-            v = json.loads(r["value"])
-            if r["stage"] == "types":
-                st["feature_types"][v].append(r["column_name"])
-            elif r["stage"] == "selection":
-                sel.append((v, r["column_name"]))
-            else:
-                st[r["stage"]][r["column_name"]] = v
-        st["selected_features"] = [c for _, c in sorted(sel)] if sel else None
-        p = cls(config)
-        p.state = st
+    def from_parameter_table(cls, params: DataFrame) -> "FeaturePipeline":
+        """The fitted pipeline of ``parameter_table`` rows (their number is bounded by the features)."""
+        rows = sorted((r["stage"], r["position"], r["name"], json.loads(r["value"])) for r in params.select(
+            "stage", "position", F.coalesce("name", F.lit("")).alias("name"), "value").collect())
+        entries = {stage: {} for stage, *_ in rows}
+        for stage, position, name, value in rows:
+            if position >= 0:
+                entries[stage][name] = value
+        dicts = {stage for stage, position, _, value in rows if position < 0 and value is None}
+        state = {stage: value for stage, position, _, value in rows if position < 0 and value is not None}
+        # an empty value marks a dictionary, or a part that was not set
+        state.update({s: entries[s] if entries[s] or s != "selected_features" else None for s in dicts})
+        p = cls(state.pop("config", {}))
+        p.state = {"selected_features": None, **state}
         return p
 
 
@@ -468,23 +440,17 @@ def variance_filter(df: DataFrame, cols, threshold: float) -> DataFrame:
 
 
 def correlation_filter(df: DataFrame, cols, threshold: float, protected=()) -> list[str]:
-    """for each pair (earlier i, later j) with |corr| > threshold drop j — or
-    i when j is protected and i is not. All k(k-1)/2 correlations in one job."""
+    """the columns that stay. Of every pair with |corr| > threshold the later
+    column goes, unless it alone is protected: then the earlier one does. Pairs are
+    judged on the input, not on what is left of it."""
     from .assoc import correlation_pairs
-    cols = list(cols)
-    corr = {(r["feature_1"], r["feature_2"]): r["corr"] for r in correlation_pairs(df, cols).collect()}
-    protected = set(protected)
-    drop = set()
-    for j, col in enumerate(cols):
-        for i in range(j):
-            v = corr.get((cols[i], col))
-            if v is None or (isinstance(v, float) and math.isnan(v)) or abs(v) <= threshold:
-                continue
-            keep, gone = cols[i], col
-            if keep not in protected and gone in protected:
-                keep, gone = gone, keep
-            drop.add(gone)
-    return [c for c in cols if c not in drop]
+    place, safe = {c: i for i, c in enumerate(cols)}, set(protected)
+    strong = correlation_pairs(df, list(cols)).where((F.abs("corr") > threshold) & ~F.isnan("corr"))
+    gone = set()
+    for r in strong.select("feature_1", "feature_2").collect():      # at most one row per pair of columns
+        earlier, later = sorted((r["feature_1"], r["feature_2"]), key=place.get)
+        gone.add(earlier if later in safe and earlier not in safe else later)
+    return [c for c in cols if c not in gone]
 
 
 def fit_imputers(df: DataFrame, numeric=(), categorical=(), high_cardinality=(), exact: bool = True) -> DataFrame:

@@ -108,7 +108,7 @@ def value_counts_long(df: DataFrame, columns=None, target: str | Column | None =
         dtype = df.schema[c].dataType
         integral = kind == "boolean" or isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
         s_ = null_s if kind in ("numeric", "boolean") else _value(df, c)
-        i_ = _num(df, c).cast("long") if integral else null_l
+        i_ = qc(c).cast("int").cast("long") if kind == "boolean" else qc(c).cast("long") if integral else null_l
         d_ = _num(df, c) if kind == "numeric" and not integral else null_d
         items.append(F.struct(F.lit(c).alias("column_name"), s_.alias("s"), i_.alias("i"), d_.alias("d")))
     sel = [F.explode(F.array(*items)).alias("kv")]

@@ -65,19 +65,24 @@ def param_maps(model_name: str, n_iter: int, seed: int = 42, space: dict | None
     return [draw(space, rng) for _ in range(n_iter)]
 
 
-def scoring_metric(task: str, config: dict | None = None) -> str:
-    """H3: config override, else roc_auc / rmse."""
-    cfg = (config or {}).get("tuning", {}) or {}
-    if "scoring" in cfg:
-        return cfg["scoring"]
-    if task == "classification":
-        return "roc_auc"
-    if task == "regression":
-        return "rmse"
-    raise ValueError(f"Unknown task type: {task}")
+# The usual scorer names (None: the task's own) -> metric here.
+SCORERS = {
+    "classification": {None: "roc_auc", "roc_auc": "roc_auc", "roc_auc_ovr": "roc_auc", "f1": "f1", "f1_macro": "f1",
+                       "precision": "precision", "precision_macro": "precision", "recall": "recall", "recall_macro": "recall",
+                       "accuracy": "accuracy", "log_loss": "log_loss", "neg_log_loss": "log_loss"},
+    "regression": {None: "rmse", "rmse": "rmse", "neg_root_mean_squared_error": "rmse", "mae": "mae",
+                   "neg_mean_absolute_error": "mae", "r2": "r2"},
+}
+_LOWER_IS_BETTER = {"rmse", "mae", "log_loss"}
 
 
-_LOWER_IS_BETTER = {"rmse", "mae", "log_loss", "mse"}
+def scoring_metric(task: str, config: dict | None = None) -> str:
+    """H3: the metric of the configured scorer, else the task's own; an unknown name is an error."""
+    asked = ((config or {}).get("tuning") or {}).get("scoring")
+    found = SCORERS.get(task, {}).get(asked)
+    if found is None:
+        raise ValueError(f"no scorer {asked!r} for task {task!r}; known: {sorted(filter(None, SCORERS.get(task, {})))}")
+    return found
 
 
 def prepare_search(df: DataFrame, target: str, key: str, cv: int = 5, seed: int = 42,
@@ -107,7 +112,7 @@ def random_search(df: DataFrame, target: str, key: str, model_name: str, n_iter:
     spark = df.sparkSession
     ctx = shared or prepare_search(df, target, key, cv, seed, prep_config)
     task, folded, prepared, cv = ctx["task"], ctx["folded"], ctx["prepared"], ctx["cv"]
-    scoring = scoring or scoring_metric(task)
+    scoring = scoring_metric(task, {"tuning": {"scoring": scoring}})
     spec, _ = resolve(model_name)
     rows = []
     try:
@@ -129,20 +134,25 @@ def random_search(df: DataFrame, target: str, key: str, model_name: str, n_iter:
     return trials, best_params, model
 
 
+#: Both names run the seeded search here: the sequential sampler is single-machine.
+METHODS = ("random_search", "optuna")
+
+
 def run_tuning(df: DataFrame, target: str, key: str, model_name: str, config: dict, prep_config: dict | None = None):
-    """H4: method dispatch (random search only; the Bayesian sampler is not built)."""
-    t = config.get("tuning", {}) or {}
-    method = t.get("method", "random_search")
-    if method not in ("random_search", "optuna"):
-        raise ValueError(f"Unknown tuning method: {method}. Options are: random_search, optuna")
-    # 'optuna' runs as random search: the TPE sampler is single-machine
-    return random_search(df, target, key, model_name, t.get("n_trials", 50), t.get("cv_folds", 5),
-                         t.get("random_state", 42), prep_config,
-                         scoring_metric(infer_task(df, target), config))
-
-
-def trial_table(trials: DataFrame, leaderboard: DataFrame, metric: str = "primary_metric_value") -> DataFrame:
-    """H5: best trial per model next to the baseline CV score, with the gain."""
-    best = trials.groupBy("model_name").agg(F.max("score").alias("tuned_cv"))
-    return (best.join(leaderboard.select("model_name", F.col(metric).alias("baseline_cv")), "model_name", "left")
-            .withColumn("gain", F.col("tuned_cv") - F.col("baseline_cv")))
+    """H4: the search that ``config['tuning']`` describes."""
+    wanted = {"method": METHODS[0], "n_trials": 50, "cv_folds": 5, "random_state": 42, "scoring": None,
+              **(config.get("tuning") or {})}
+    if wanted["method"] not in METHODS:
+        raise ValueError(f"tuning method {wanted['method']!r} is none of {METHODS}")
+    return random_search(df, target, key, model_name, n_iter=wanted["n_trials"], cv=wanted["cv_folds"],
+                         seed=wanted["random_state"], prep_config=prep_config, scoring=wanted["scoring"])
+
+
+def trial_table(trials: DataFrame, leaderboard: DataFrame, metric: str) -> DataFrame:
+    """H5: per model the best trial by the direction of ``metric``, the baseline CV
+    score and the gain, positive where the search is better."""
+    lower = metric in _LOWER_IS_BETTER
+    best = trials.groupBy("model_name").agg((F.min if lower else F.max)("score").alias("tuned_cv"))
+    base = leaderboard.select("model_name", F.col(metric).alias("baseline_cv"))
+    gain = (F.col("baseline_cv") - F.col("tuned_cv")) if lower else (F.col("tuned_cv") - F.col("baseline_cv"))
+    return best.join(base, "model_name", "left").withColumn("gain", gain)

@@ -21,7 +21,16 @@ def roc_auc_q(spark, sf_dir):
     return E.roc_auc(scored(spark, sf_dir), "y", "p").select(R("roc_auc").alias("roc_auc"))
 
 
-_EMB = "(SELECT vec_id, label, list_slice(embedding, 1, 10) AS s FROM embeddings)"
+# one score for each of the ten classes from ALL components: class c adds up components c, c + 10, ...
+_EMB = ("(SELECT label, [list_sum([CAST(x AS DOUBLE) FOR x, i IN embedding IF (i - 1) % 10 = c]) FOR c IN range(0, 10)] AS s "
+        "FROM embeddings)")
+
+
+def class_scores(spark, sf_dir):
+    """Embeddings as (label, s): ten class scores from all components."""
+    s = F.expr("transform(sequence(0, 9), c -> aggregate(filter(embedding, (x, i) -> i % 10 = c), 0D, "
+               "(a, x) -> a + CAST(x AS DOUBLE)))")
+    return T(spark, sf_dir, "embeddings").select("label", s.alias("s"))
 
 
 @register("e2_roc_auc_ovr", f"""
@@ -33,9 +42,8 @@ cum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY cls ORDER BY score ROWS B
 per AS (SELECT cls, sum(pos) AS np, sum(neg) AS nn, sum(pos * (nb + 0.5 * neg)) AS u FROM cum GROUP BY 1 HAVING sum(pos) > 0)
 SELECT {r('CASE WHEN count(*) = count(CASE WHEN nn > 0 THEN 1 END) THEN avg(CASE WHEN nn > 0 THEN u / (np * nn) END) END')} AS roc_auc FROM per""")
 def roc_auc_ovr_q(spark, sf_dir):
-    """Macro one-vs-rest AUC over ten classes (scores: first ten embedding components)."""
-    emb = T(spark, sf_dir, "embeddings").select("label", F.slice("embedding", 1, 10).cast("array<double>").alias("s"))
-    return E.roc_auc_ovr(emb, "label", "s").select(R("roc_auc").alias("roc_auc"))
+    """Macro one-vs-rest AUC over ten classes."""
+    return E.roc_auc_ovr(class_scores(spark, sf_dir), "label", "s").select(R("roc_auc").alias("roc_auc"))
 
 
 _PRED = f"(SELECT y, p, CAST(p >= 0.5 AS INTEGER) AS pred FROM {SCORED_SQL})"
@@ -129,7 +137,8 @@ def threshold_curve_q(spark, sf_dir):
     """Precision, recall, F1 and accuracy of ``p >= t`` at 101 thresholds."""
     c = E.threshold_curve(scored(spark, sf_dir), "y", "p", 101)
     return c.select("i", "threshold", R("precision").alias("precision"), R("recall").alias("recall"),
-                    R("f1").alias("f1"), R("accuracy").alias("accuracy"))
+                    R("f1").alias("f1"), R("accuracy").alias("accuracy"), R("roc_auc").alias("roc_auc"),
+                    R("log_loss", 6).alias("log_loss"))
 
 
 @register("e10_best_threshold", _threshold_counts_sql() + ",\n" + ",\n".join(
@@ -161,7 +170,11 @@ pc AS (SELECT cls.threshold, k,
 m AS (SELECT threshold, CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS pr, CASE WHEN nt > 0 THEN tp / nt ELSE 0.0 END AS rc,
              CASE WHEN np + nt > 0 THEN 2.0 * tp / (np + nt) ELSE 0.0 END AS f FROM pc)
 SELECT threshold, {r('avg(pr)')} AS precision, {r('avg(rc)')} AS recall, {r('avg(f)')} AS f1,
-  {r('(SELECT avg(CAST(x.y = x.pred AS DOUBLE)) FROM x WHERE x.threshold = m.threshold)')} AS accuracy
+  {r('(SELECT avg(CAST(x.y = x.pred AS DOUBLE)) FROM x WHERE x.threshold = m.threshold)')} AS accuracy,
+  (SELECT {r('sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg))')} FROM (SELECT *, coalesce(sum(neg) OVER
+    (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM {_SC})) AS roc_auc,
+  (SELECT {r('avg(-(y * ln(c) + (1 - y) * ln(1 - c)))', 6)} FROM (SELECT y, least(greatest(p, {E.LOG_LOSS_EPS!r}), 1 - {E.LOG_LOSS_EPS!r}) AS c
+    FROM {SCORED_SQL})) AS log_loss
 FROM m GROUP BY threshold""")
 def default_vs_tuned_q(spark, sf_dir):
     """Macro metrics at the default threshold 0.5 and at the F1-tuned threshold."""
@@ -169,7 +182,8 @@ def default_vs_tuned_q(spark, sf_dir):
     best = E.tune_threshold(s, "y", "p", "f1").collect()[0]["best_threshold"]
     m = E.metrics_at_thresholds(s, "y", "p", [0.5, best])
     return m.select("threshold", R("precision").alias("precision"), R("recall").alias("recall"),
-                    R("f1").alias("f1"), R("accuracy").alias("accuracy"))
+                    R("f1").alias("f1"), R("accuracy").alias("accuracy"), R("roc_auc").alias("roc_auc"),
+                    R("log_loss", 6).alias("log_loss"))
 
 
 @register("e12_roc_points", f"""
@@ -196,10 +210,10 @@ def pr_points_q(spark, sf_dir):
 
 @register("e14_confusion_matrix", f"""
 SELECT label AS y_true, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS y_pred, count(*) AS count
-FROM (SELECT label, CAST(list_slice(embedding, 1, 10) AS DOUBLE[]) AS s FROM embeddings) GROUP BY 1, 2""")
+FROM """ + _EMB + """ GROUP BY 1, 2""")
 def confusion_q(spark, sf_dir):
-    """Multiclass confusion counts (prediction: arg-max of the first ten embedding components)."""
-    emb = T(spark, sf_dir, "embeddings").select("label", F.slice("embedding", 1, 10).cast("array<double>").alias("s"))
+    """Multiclass confusion counts (prediction: arg-max of the class scores)."""
+    emb = class_scores(spark, sf_dir)
     pred = (F.array_position("s", F.array_max("s")) - 1).cast("int")
     return E.confusion_long(emb.withColumn("y_pred", pred), "label", "y_pred")
 

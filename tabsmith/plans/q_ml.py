@@ -17,7 +17,8 @@ from ..operators import train as M
 from ..operators import tune as H
 from ..session import checkpoint_dir
 from ..sources import io as S
-from .catalog import R, T, mix, register
+from .catalog import R, SCORED_SQL, T, mix, r, register
+from .q_prep import _md5_mod_sql
 
 FAST_TREES = {"random_forest_classifier": {"numTrees": 20, "maxDepth": 5},
               "gbt_classifier": {"maxIter": 20, "maxDepth": 3},
@@ -54,17 +55,17 @@ def linear_closed_form_q(spark, sf_dir):
 
 @register("m12_leaderboard_classification")
 def leaderboard_cls_q(spark, sf_dir):
-    """3-fold CV (preprocessing fitted per fold) of LR, RF and GBT on labelled documents."""
+    """5-fold CV (preprocessing fitted per fold) of LR, RF and GBT on labelled documents."""
     tr = M.ModelTrainer(seed=42).fit(labelled_docs(spark, sf_dir), "quality", key="doc_id", prep_config=PREP,
-                                     param_overrides=FAST_TREES, cv=3, refit=False)
+                                     param_overrides=FAST_TREES, cv=5, refit=False)
     return tr.leaderboard_
 
 
 @register("m12_leaderboard_regression")
 def leaderboard_reg_q(spark, sf_dir):
-    """3-fold CV of linear, ridge and lasso regression of the order price."""
+    """5-fold CV of linear, ridge and lasso regression of the order price."""
     tr = M.ModelTrainer(seed=42).fit(order_prices(spark, sf_dir), "o_totalprice", key="o_orderkey",
-                                     prep_config=PREP, cv=3, refit=False,
+                                     prep_config=PREP, cv=5, refit=False,
                                      models=["linear_regression", "ridge_regression", "lasso_regression"])
     return tr.leaderboard_
 
@@ -73,7 +74,7 @@ def leaderboard_reg_q(spark, sf_dir):
 def scores_q(spark, sf_dir):
     """Fit preprocessing + logistic regression on D-MIX, score every row."""
     df = mix(spark, sf_dir)
-    pipe, model, feats = M.fit_full(df, "is_returned", "logistic_regression", {"maxIter": 100}, PREP)
+    pipe, model, feats = M.fit_full(df, "is_returned", "logistic_regression", {}, PREP)
     x = M.assemble(pipe.transform(df), feats, "is_returned")
     s = M.score_frame(model, x, "classification")
     return s.select("is_returned", "prediction", R("p1").alias("p1"))
@@ -81,9 +82,9 @@ def scores_q(spark, sf_dir):
 
 @register("h1_random_search")
 def random_search_q(spark, sf_dir):
-    """H1-H3: seeded random search (4 draws, 3 folds) of logistic regression's C."""
+    """H1-H3: seeded random search (4 draws, 5 folds) of logistic regression's C."""
     trials, best, _ = H.random_search(labelled_docs(spark, sf_dir), "quality", "doc_id", "logistic_regression",
-                                      n_iter=4, cv=3, prep_config=PREP, refit=False)
+                                      n_iter=4, cv=5, prep_config=PREP, refit=False)
     return trials.select("trial", "model_name", "params", R("score").alias("score"))
 
 
@@ -118,7 +119,7 @@ def attribution_rows_q(spark, sf_dir):
     row = x.agg(*[F.avg(F.col(f"`{f}`").cast("double")).alias(f"m{i}") for i, f in enumerate(feats)]).collect()[0]
     means = {f: row[f"m{i}"] for i, f in enumerate(feats)}
     out = L.attribution_rows(x, feats, list(model.coefficients), means)
-    return out.select("o_orderkey", *[R(F.col(f"`{f}__attr`"), 4).alias(f"{f}__attr") for f in feats[:5]])
+    return out.select("o_orderkey", *[R(F.col(f"`{f}__attr`"), 4).alias(f"{f}__attr") for f in feats])
 
 
 @register("e18_e19_stage_comparison")
@@ -159,7 +160,11 @@ def _scratch(spark) -> str:
     return os.path.join(checkpoint_dir(spark), "tabsmith-io", uuid.uuid4().hex)
 
 
-@register("s1_s3_csv_typed_read")
+@register("s1_s3_csv_typed_read", """
+SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal,
+  CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_custkey % 13 <> 0 THEN c_nationkey END AS c_nationkey,
+  'double' AS acctbal_type, 'bigint' AS nationkey_type FROM customer""")
 def csv_q(spark, sf_dir):
     """Customer written as CSV with '?' and 'n/a' tokens and a -9 sentinel,
     read back: tokens become NULL before typing, so numeric columns stay numeric."""
@@ -177,24 +182,49 @@ def csv_q(spark, sf_dir):
                        F.lit(types["c_acctbal"]).alias("acctbal_type"), F.lit(types["c_nationkey"]).alias("nationkey_type"))
 
 
-@register("s7_s8_persist_roundtrip")
+@register("s7_s8_persist_roundtrip", f"""
+WITH s AS (SELECT avg(o_custkey) AS mc, stddev_samp(o_custkey) AS sc, avg(o_totalprice) AS mp, stddev_samp(o_totalprice) AS sp FROM orders)
+SELECT {r('(o_custkey - mc) / sc')} AS o_custkey, {r('(o_totalprice - mp) / sp')} AS o_totalprice,
+  CAST(o_orderstatus = 'F' AS INTEGER) AS "o_orderstatus__F", CAST(o_orderstatus = 'O' AS INTEGER) AS "o_orderstatus__O",
+  CAST(o_orderstatus = 'P' AS INTEGER) AS "o_orderstatus__P", o_orderkey FROM orders, s""")
 def persist_q(spark, sf_dir):
-    """Fitted preprocessing state as a parameter table and the scored
-    frame as parquet, written and re-read; the reloaded pipeline transforms alike."""
+    """Fitted preprocessing as a parameter table and the transformed frame as
+    parquet, written and re-read; every column comes from the reloaded pipeline."""
     df = T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     from ..operators.prep import FeaturePipeline
     p = FeaturePipeline(PREP).fit(df.drop("o_orderkey"))
     base = _scratch(spark)
     S.save_pipeline(p, os.path.join(base, "pipeline"))
-    p2 = S.load_pipeline(spark, os.path.join(base, "pipeline"), PREP)
-    p2.state["input_columns"] = p.state["input_columns"]
+    p2 = S.load_pipeline(spark, os.path.join(base, "pipeline"))
     out = p2.transform(df)
     S.write_table(out, os.path.join(base, "features"))
     back = S.read_table(spark, os.path.join(base, "features"))
-    return back.select("o_orderkey", *[R(F.col(c)).alias(c) for c in ("o_custkey", "o_totalprice")])
+    return back.select(*[R(f"`{c}`").alias(c) if t == "double" else F.col(f"`{c}`") for c, t in back.dtypes])
 
 
-@register("s10_json_report")
+@register("s7_scores_after_reload")
+def reload_q(spark, sf_dir):
+    """Preprocessing and model saved, loaded and applied; every row's
+    score, and whether it equals the score before saving."""
+    df = mix(spark, sf_dir)
+    pipe, model, feats = M.fit_full(df, "is_returned", "logistic_regression", {}, PREP)
+    base = _scratch(spark)
+    S.save_pipeline(pipe, os.path.join(base, "pipeline"))
+    S.save_model(model, os.path.join(base, "model"))
+    pipe2, model2 = S.load_pipeline(spark, os.path.join(base, "pipeline")), S.load_model(spark, os.path.join(base, "model"))
+
+    def scores(p, m, name):
+        x = M.assemble(p.transform(df.withColumn("row", F.xxhash64(*df.columns))), p.feature_names(), "is_returned")
+        return M.score_frame(m, x, "classification").select("row", F.col("p1").alias(name)).distinct()
+
+    return scores(pipe, model, "before").join(scores(pipe2, model2, "after"), "row").select(
+        "row", R("after").alias("p1"), (F.col("before") == F.col("after")).alias("same"))
+
+
+@register("s10_json_report", f"""
+WITH x AS (SELECT y, p, CAST(p >= 0.5 AS INTEGER) AS pred FROM {SCORED_SQL}),
+k AS (SELECT avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END) AS accuracy FROM x)
+SELECT {r('accuracy')} AS accuracy, true AS has_time FROM k""")
 def report_q(spark, sf_dir):
     """Machine-readable report (time stamp + metrics) written as JSON and read back."""
     from .catalog import scored
@@ -202,21 +232,28 @@ def report_q(spark, sf_dir):
                                  "y", "p", "pred").collect()[0].asDict()
     path = _scratch(spark)
     S.save_json_report(spark, m, path)
-    return spark.read.json(path).select("metrics")
+    return spark.read.json(path).select(R("metrics.accuracy").alias("accuracy"),
+                                        F.col("generated_at").isNotNull().alias("has_time"))
 
 
 # --------------------------------------------------------------------------
 # Streaming: a fitted pipeline applied to a file stream
 # --------------------------------------------------------------------------
 
-@register("st1_stream_transform")
+@register("st1_stream_transform", f"""
+WITH s AS (SELECT avg(value) AS m, stddev_samp(value) AS sd FROM events)
+SELECT event_id, {r('(value - m) / sd')} AS value, CAST(year(ts) AS INTEGER) AS ts__year, CAST(hour(ts) AS INTEGER) AS ts__hour,
+  CAST({_md5_mod_sql('props', 8)} AS BIGINT) AS props_bucket FROM events, s""")
 def stream_transform_q(spark, sf_dir):
-    """F22 on a stream: a pipeline fitted on the events table (batch) transforms
-    the same table read as a parquet file stream (stateless, append mode)."""
+    """F22 on a stream: a pipeline fitted on the events table (batch) transforms the
+    same table, file or folder, read as a stream and written to a table. The hash
+    columns are folded into the bucket they name."""
     from ..operators.prep import FeaturePipeline
     from ..streaming.scoring import file_stream, run_to_table, transform_stream
     batch = T(spark, sf_dir, "events")
     p = FeaturePipeline(PREP).fit(batch.drop("event_id"))
-    stream = file_stream(spark, sf_dir, batch.schema, file_glob="events.parquet")
+    stream = file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", batch.schema)
     out = run_to_table(transform_stream(p, stream))
-    return out.select("event_id", R("value").alias("value"), "ts__year", "ts__hour", *[c for c in out.columns if "__hash_" in c][:2])
+    hashes = [c for c in out.columns if c.startswith("props__hash_")]
+    bucket = sum((F.col(c).cast("long") * i for i, c in enumerate(hashes)), F.lit(0).cast("long"))
+    return out.select("event_id", R("value").alias("value"), "ts__year", "ts__hour", bucket.alias("props_bucket"))

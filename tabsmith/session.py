@@ -53,14 +53,15 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is read as is.
-    Only when it is unset (local tests) a fresh folder under the system temp
-    directory is taken and registered.
+    On a cluster the setting must point at shared storage; it is an error if it is
+    unset there. In local mode (tests) a fresh folder is taken and registered.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir is not set; it must name shared storage")
         conf_dir = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

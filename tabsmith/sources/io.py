@@ -8,11 +8,10 @@ tokens turned into NULL, and only then typed — a numeric column that uses
 
 from __future__ import annotations
 
-import json
-import os
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import kind_of, normalize_nans
@@ -25,16 +24,33 @@ STANDARD_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-Na
                       "1.#IND", "1.#QNAN", "<NA>", "NULL", "NaN", "n/a", "nan", "null"]
 
 
-def resolve_csv_path(path: str) -> str:
-    """A file, or the first ``*.csv`` (by sorted name) of a directory."""
-    if os.path.isdir(path):
-        files = sorted(f for f in os.listdir(path) if f.endswith(".csv"))
-        if not files:
-            raise FileNotFoundError(f"No CSV files found in {path}")
-        return os.path.join(path, files[0])
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"File not found: {path}")
-    return path
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The ``*.csv`` files at ``path`` (a file or a folder), sorted; any store that Spark reads.
+
+    Only names are listed: the binary source prunes the unread contents.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    try:
+        names = [r["path"] for r in listing.load(path).select("path").collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"Nothing to read at {path}") from e
+    if not names:
+        raise FileNotFoundError(f"{path} holds no CSV file")
+    return sorted(names)
+
+
+def resolve_csv_path(spark: SparkSession, path: str) -> list[str]:
+    """The files that make up one CSV table.
+
+    A named file is itself. A folder of part files, as a distributed writer
+    leaves them, is one table of all its parts. Of any other folder the first
+    file by name is read.
+    """
+    files = csv_files(spark, path)
+    parts = [f for f in files if f.rsplit("/", 1)[-1].startswith("part-")]
+    return parts or files[:1]
 
 
 def na_tokens(extra=None) -> list[str]:
@@ -74,9 +90,6 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         for t in ("bigint", "double", "boolean"):
             names.append((f.name, t))
             checks.append(F.bool_and(c.try_cast(t).isNotNull() | c.isNull()))
-        names.append((f.name, "timestamp"))
-        checks.append(F.bool_and(F.try_to_timestamp(c).isNotNull() | c.isNull()
-                                 ) & F.bool_and(~c.rlike(r"^\s*[+-]?[0-9.]+\s*$") | c.isNull()))
         names.append((f.name, "_any"))
         checks.append(F.count(c) > 0)
     if not checks:
@@ -107,8 +120,7 @@ def _is_bool_literal(df: DataFrame, c: str) -> bool:
 
 def read_csv(spark: SparkSession, path: str, na_values=None) -> DataFrame:
     """Tokens to NULL first, then typing."""
-    p = resolve_csv_path(path)
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(p)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(resolve_csv_path(spark, path))
     cleaned = replace_tokens(raw, na_tokens(na_values))
     types = infer_types(cleaned)
     out = cleaned.select(*[
@@ -119,9 +131,7 @@ def read_csv(spark: SparkSession, path: str, na_values=None) -> DataFrame:
 
 def read_csv_plain(spark: SparkSession, path: str) -> DataFrame:
     """Header + inferred schema; error when absent."""
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"File not found: {path}")
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return spark.read.option("header", True).option("inferSchema", True).csv(resolve_csv_path(spark, path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
@@ -143,14 +153,15 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def save_pipeline(pipeline, path: str) -> None:
-    """Fitted preprocessing state as a JSON parameter table."""
+    """Fitted preprocessing (state and configuration) as a JSON parameter table."""
     spark = SparkSession.getActiveSession()
     pipeline.parameter_table(spark).coalesce(1).write.mode("overwrite").json(path)
 
 
-def load_pipeline(spark: SparkSession, path: str, config: dict | None = None):
+def load_pipeline(spark: SparkSession, path: str):
+    """The fitted pipeline of a saved parameter table; nothing else is needed."""
     from ..operators.prep import FeaturePipeline
-    return FeaturePipeline.from_parameter_table(spark.read.json(path), config)
+    return FeaturePipeline.from_parameter_table(spark.read.json(path))
 
 
 def save_model(model, path: str) -> None:
@@ -158,19 +169,17 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str):
+    """A saved Spark ML model of whatever class its metadata name."""
+    from pyspark.ml.util import DefaultParamsReader
+    return DefaultParamsReader.loadParamsInstance(path, spark)
 
 
 def save_json_report(spark: SparkSession, metrics: dict, path: str) -> DataFrame:
-    """One-row report (time stamp + metrics as JSON text) written as JSON."""
-    report = {"generated_at": datetime.now(timezone.utc).isoformat(), "metrics": metrics}
-    df = spark.createDataFrame([(report["generated_at"], json.dumps(metrics, default=float))],
-                               "generated_at string, metrics string")
+    """One-row report (time stamp, and a struct of the metrics) written as JSON."""
+    fields = ", ".join(f"`{k}`: double" for k in metrics)
+    values = tuple(None if v is None else float(v) for v in metrics.values())
+    df = spark.createDataFrame([(datetime.now(timezone.utc).isoformat(), values)],
+                               f"generated_at string, metrics struct<{fields}>")
     df.coalesce(1).write.mode("overwrite").json(path)
     return df
-
-
-def first_col(df: DataFrame) -> Column:
-    return F.col(df.columns[0])

@@ -1,4 +1,4 @@
-"""Reading the input tables (parquet) with a minimum scan parallelism."""
+"""Reading the input tables (parquet)."""
 
 from __future__ import annotations
 
@@ -10,22 +10,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """``spark.read.parquet(<sf_dir>/<name>.parquet)``.
-
-    A file written as a single row group scans as one task however many cores
-    there are. Only when the whole scan is a single split — at most one file
-    split (``spark.sql.files.maxPartitionBytes``), so the extra shuffle is
-    bounded — are its rows spread round-robin over ``min_partitions`` (default:
-    the session's default parallelism). Larger inputs keep their scan splits,
-    filters and column pruning untouched.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    if want and want > 1 and df.rdd.getNumPartitions() == 1:
-        df = df.repartition(want)
-    return df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table ``<sf_dir>/<name>.parquet``, a file or a folder of part files."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

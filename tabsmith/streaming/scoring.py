@@ -8,7 +8,6 @@ a batch job on a bounded training table.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,30 +33,24 @@ def score_stream(pipeline: FeaturePipeline, model, features, stream: DataFrame,
     return score_frame(model, assemble(x, features, target), task)
 
 
-def file_stream(spark: SparkSession, directory: str, schema, file_glob: str | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of a directory as a stream (schema required for streaming
-    sources); ``file_glob`` restricts it to matching file names."""
+def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet table (one file, or a folder of part files) as a stream; a schema is
+    required for streaming sources."""
     r = spark.readStream.schema(schema)
-    if file_glob:
-        r = r.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory)
+    return r.parquet(path)
 
 
-def run_to_table(stream: DataFrame, name: str | None = None, mode: str = "append") -> DataFrame:
-    """Drain a stream once into an in-memory table (tests, smoke runs) and return it.
+def run_to_table(stream: DataFrame, path: str | None = None) -> DataFrame:
+    """Drain a stream into a parquet table and return that table.
 
-    The checkpoint lives under the session's shared checkpoint folder.
+    Table and stream checkpoint lie under the session's shared folder, so no row
+    passes through the driver and a restarted query goes on where it stopped.
     """
     spark = stream.sparkSession
-    name = name or f"tabsmith_stream_{uuid.uuid4().hex[:12]}"
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", ckpt).start())
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.table(name)
+    path = path or f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    q = (stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}-state").start(f"{path}-rows"))
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}-rows")
