@@ -35,7 +35,13 @@ def score_stream(pipeline: FeaturePipeline, model, features, stream: DataFrame,
 
 def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
     """A parquet table (one file, or a folder of part files) as a stream; a schema is
-    required for streaming sources."""
+    required for streaming sources.
+
+    The source takes a plain path for a folder and fails on a file; a pattern that
+    matches only this path serves both.
+    """
+    path = path.rstrip("/")
+    path = f"{path[:-1]}[{path[-1]}]"
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
