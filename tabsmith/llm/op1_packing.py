@@ -48,9 +48,10 @@ class WordTokens:
     other words go through the whole tokenizer.
     """
 
-    _plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch
+    _letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+    _beyond = re.compile("[^\x00-\xff]").search
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -62,36 +63,47 @@ class WordTokens:
         self.ends = np.zeros(self.whole.get_vocab_size(), bool)
         for token, i in self.whole.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.marks = {"": b"", **dict(zip(".,", map(self._ids, ".,")))}
+        self.marks = {m: self._ids(m) for m in ".,"}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        known, plain = self.known, {}
+        known, marked, cores, others = self.known, [], set(), []
         for word in words:
-            found = self._plain(word)
-            if found:
-                plain[word] = (found[1].lower(), found[2])
+            core = word[:-1] if word[-1:] in self.marks else word
+            if core.isalpha() and (core.isascii() or self._letters(core)):
+                core = core.lower()
+                if core not in known:
+                    cores.add(core)
+                if core != word:
+                    marked.append((word, core))
             else:
-                known[word] = self._ids(word)
-        cores = list({core for core, _ in plain.values()})
-        own: dict[str, bytes] = {}
-        for lo in range(0, len(cores), 50_000):
-            part = cores[lo:lo + 50_000]
+                others.append(word)
+        for word, found in zip(others, self.whole.encode_batch_fast(others, add_special_tokens=False)):
+            known[word] = np.array(found.ids, "<u4").tobytes()
+        new = list(cores)
+        for lo in range(0, len(new), 50_000):
+            part = new[lo:lo + 50_000]
             ids = np.array(self.letters.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             data, at = ids.tobytes(), 0
             for core, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()):
-                own[core], at = data[at:end], end
-        for word, (core, mark) in plain.items():
-            known[word] = own[core] + self.marks[mark]
+                known[core], at = data[at:end], end
+        for word, core in marked:
+            known[word] = known[core] + self.marks.get(word[-1], b"")
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        # lower case changes nothing for the tokenizer, which does the same by itself
+        split = [(t if self._beyond(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.limit:
             self.known.clear()
-        self._learn({w for words in split for w in words} - self.known.keys())
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+        if new:
+            self._learn(new)
+            found = [list(map(get, words)) if None in ids else ids for words, ids in zip(split, found)]
+        return list(map(b"".join, found))
 
 
 @lru_cache(maxsize=2)
