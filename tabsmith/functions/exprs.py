@@ -87,21 +87,6 @@ def safe_corr(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_samp(aa, bb), F.stddev_samp(aa) * F.stddev_samp(bb))
 
 
-def count_below(x: Column, edges) -> Column:
-    """Number of sorted literal ``edges`` strictly below ``x`` (NULL for NULL x),
-    as a balanced tree of comparisons: about log2(len(edges)) per row, inside
-    code generation (no higher-order lambda)."""
-    edges = [float(e) for e in edges]
-
-    def rec(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x > F.lit(edges[mid]), rec(mid + 1, hi)).otherwise(rec(lo, mid))
-
-    return F.when(x.isNotNull(), rec(0, len(edges)))
-
-
 def with_counts_below(df: DataFrame, specs: dict) -> DataFrame:
     """Add integer columns ``name = number of edges strictly below x`` for
     ``specs = {name: (x_column, sorted_edges)}`` using Spark ML's Bucketizer
@@ -169,9 +154,3 @@ def hash_unit(seed: int, *cols: str | Column) -> Column:
     """Deterministic value in [0, 1) from the first 52 bits of ``seeded_hash``."""
     h = seeded_hash(seed, *cols)
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
-
-
-def log2(c: Column) -> Column:
-    return F.log(2.0, c)
-
-

@@ -81,11 +81,6 @@ def confusion_long(df: DataFrame, label: str, pred: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def confusion_wide(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """E14 as a matrix: one row per true label, one column per predicted label."""
-    return df.groupBy(_c(label).alias("y_true")).pivot(pred).count().na.fill(0)
-
-
 def per_class(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per-class tp/fp/fn, precision, recall, f1 (zero on empty denominators).
 
@@ -338,9 +333,3 @@ def stage_comparison(baseline: DataFrame, tuned: DataFrame, test: DataFrame, key
          .join(tuned.withColumnRenamed("value", "tuned_cv"), key, "left")
          .join(test.withColumnRenamed("value", "test"), key, "left"))
     return j.unpivot([key], ["baseline_cv", "tuned_cv", "test"], "stage", "value")
-
-
-def gain(new: DataFrame, old: DataFrame, metric: str, key: str = "model_name") -> DataFrame:
-    """``new - old`` of one metric per model."""
-    return (new.select(key, qc(metric).alias("new")).join(old.select(key, qc(metric).alias("old")), key)
-            .select(key, "new", "old", (F.col("new") - F.col("old")).alias("gain")))

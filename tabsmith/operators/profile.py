@@ -114,7 +114,7 @@ def value_counts_long(df: DataFrame, columns=None, target: str | Column | None =
     sel = [F.explode(F.array(*items)).alias("kv")]
     if target is not None:
         t = qc(target) if isinstance(target, str) else target
-        sel.append(t.cast("double").alias("__t"))
+        sel.append(t.try_cast("double").alias("__t"))
     long = df.select(*sel).select("kv.*", *(["__t"] if target is not None else []))
     aggs = [F.count(F.lit(1)).alias("cnt")]
     if target is not None:

@@ -140,12 +140,3 @@ def intersect_selection(attr_ranked: DataFrame, attr_selected, mi_selected) -> l
     """Features chosen by both filters, in attribution order."""
     mi = set(mi_selected)
     return [f for f in attr_selected if f in mi]
-
-
-def intersect_tables(attr: DataFrame, mi: DataFrame) -> DataFrame:
-    """L5 as a join of two ``(feature, rank)`` tables, ordered by attribution rank."""
-    return attr.join(mi.select("feature"), "feature").orderBy("rank")
-
-
-def _finite(v):
-    return v is not None and not (isinstance(v, float) and (math.isnan(v) or math.isinf(v)))

@@ -182,9 +182,3 @@ def kfold(df: DataFrame, key, k: int = 5, stratify: str | None = None, seed: int
     """
     r = hash_rank(df, key, stratify, seed, n_rows)
     return r.withColumn("fold", F.pmod(F.col("__rank") - 1, F.lit(k)).cast("int")).drop("__rank", "__n")
-
-
-def kfold_hashed(df: DataFrame, key, k: int = 5, seed: int = DEFAULT_SEED) -> DataFrame:
-    """X6 without any shuffle: ``fold = floor(hash_unit * k)`` (balanced in expectation)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.withColumn("fold", F.floor(hash_unit(seed, *keys) * k).cast("int"))

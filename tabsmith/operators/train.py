@@ -2,14 +2,15 @@
 
 Folds are an integer column. In every fold the preprocessing pipeline is
 fitted on the training part only and applied to both parts (no leakage);
-the fold table is persisted once and released at the end. Model fitting is
-Spark ML (distributed); only metrics (a few numbers per fold) reach the driver.
+the fold table is persisted once and released at the end. Folds run as concurrent
+jobs. Model fitting is Spark ML (distributed); only metrics (a few numbers per fold) reach the driver.
 """
 
 from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -19,7 +20,6 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import kind_of
 from . import evaluate as E
 from .prep import FeaturePipeline, qcol
 from .split import kfold
@@ -104,7 +104,8 @@ MODEL_ALIASES = {"xgboost_classifier": "gbt_classifier", "lightgbm_classifier":
                  "lightgbm_regressor": "gbt_regressor", "catboost_regressor": "gbt_regressor"}
 
 # parameter names accepted on top of the Spark estimator's own
-_EXTRA_PARAMS = {"C", "alpha", "seed", "solver", "validationTol", "validationIndicatorCol"}
+_EXTRA_PARAMS = {"C", "alpha", "seed", "solver", "validationTol", "early_stopping"}
+VALIDATION_COL = "__validation"
 
 
 def resolve(name: str) -> tuple[ModelSpec, callable]:
@@ -115,15 +116,14 @@ def resolve(name: str) -> tuple[ModelSpec, callable]:
 
 
 def validate_param_overrides(name: str, overrides: dict) -> None:
-    """M9: every override must be a parameter of the Spark estimator (or a known alias)."""
+    """M9: every override is a parameter of the model's Spark estimator, or one of ours."""
     if not overrides:
         return
     spec, make = resolve(name)
-    est = make({**spec.defaults}, 100, 1.0)
-    for k in overrides:
-        if k not in _EXTRA_PARAMS and not est.hasParam(k):
-            raise ValueError(f"Invalid parameter '{k}' for {name}. Allowed parameters include: "
-                             f"{sorted(p.name for p in est.params)}")
+    known = {p.name for p in make(dict(spec.defaults), 100, 1.0).params} | _EXTRA_PARAMS
+    unknown = sorted(set(overrides) - known)
+    if unknown:
+        raise ValueError(f"{name} has no parameter {', '.join(unknown)}; it takes {sorted(known)}")
 
 
 def build_estimator(name: str, params: dict, n_rows: int, label_sd: float | None,
@@ -138,94 +138,155 @@ def build_estimator(name: str, params: dict, n_rows: int, label_sd: float | None
 # --------------------------------------------------------------------------
 
 def infer_task(df: DataFrame, target: str, max_classes: int = 20) -> str:
-    """B17/M: integer or boolean target with <= 20 values → classification."""
-    dt = df.schema[target].dataType
-    integral = dt.typeName() in ("byte", "short", "integer", "long", "boolean")
-    if not integral:
+    """M/Q10: text and boolean targets, and integers of at most ``max_classes`` values,
+    are classes; everything else is a number."""
+    kind = df.schema[target].dataType.typeName()
+    if kind in ("string", "varchar", "char", "boolean"):
+        return "classification"
+    if kind not in ("byte", "short", "integer", "long"):
         return "regression"
-    n = df.agg(F.count_distinct(qcol(target)).alias("n")).collect()[0]["n"]
+    n = df.agg(F.count_distinct(qcol(target)).alias("n")).first()["n"]
     return "classification" if n <= max_classes else "regression"
 
 
-def assemble(df: DataFrame, features, label: str) -> DataFrame:
-    """Feature columns → one vector column, label as double (NaN-free input assumed)."""
+#: Classes of one target; their list becomes literals of the plan.
+MAX_CLASSES = 1000
+
+
+def class_list(df: DataFrame, target: str) -> list:
+    """The target's distinct values in order: class ``i`` of a model is the i-th value."""
+    rows = df.select(qcol(target).alias("v")).where("v IS NOT NULL").distinct().orderBy("v").limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    return [r["v"] for r in rows]
+
+
+def assemble(df: DataFrame, features, label: str, classes: list | None = None) -> DataFrame:
+    """Feature columns → one vector column. The label is a double: the class's place in
+    ``classes``, or the value itself without them (NaN-free input assumed)."""
     feats = list(features)
     # generated names may hold dots (e.g. "l_tax__0.05"), which the assembler
     # would read as struct fields: assemble from positional aliases
     safe = [f"__f{i}" for i in range(len(feats))]
     keep = [qcol(c) for c in df.columns if c not in set(feats) and c != "label"]
-    x = df.select(*keep, *[qcol(c).cast("double").alias(s) for c, s in zip(feats, safe)],
-                  qcol(label).cast("double").alias("label"))
+    y = qcol(label)
+    if classes:
+        y = F.nullif(F.array_position(F.array(*[F.lit(v) for v in classes]), y), F.lit(0)) - 1
+    x = df.select(*keep, *[qcol(c).cast("double").alias(s) for c, s in zip(feats, safe)], y.cast("double").alias("label"))
     va = VectorAssembler(inputCols=safe, outputCol=FEATURES_COL, handleInvalid="keep")
     return va.transform(x).drop(*safe)
 
 
 def score_frame(model, df: DataFrame, task: str) -> DataFrame:
-    """Predictions (+ positive-class probability for binary classification)."""
+    """Predictions; for classes also the probability ``p1`` of the second one."""
     out = model.transform(df)
     if task == "classification":
         out = out.withColumn("p1", vector_to_array(F.col("probability"))[1])
     return out
 
 
-def fold_metrics(scored: DataFrame, task: str, n_classes: int = 2) -> dict:
-    if task == "classification":
-        if n_classes > 2:
-            auc = E.roc_auc_ovr(scored, "label", "probability")
-            lm = E.label_metrics(scored, "label", "prediction")
-            row = auc.crossJoin(lm).collect()[0].asDict()
-            row["log_loss"] = None
-            return row
-        return E.classification_metrics(scored, "label", "p1", "prediction").collect()[0].asDict()
-    return E.regression_metrics(scored, "label", "prediction").collect()[0].asDict()
+def multiclass_log_loss(scored: DataFrame) -> DataFrame:
+    """E5: mean negative log-probability of the true class, probabilities clipped; NULL with one class."""
+    p = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    clipped = F.least(F.greatest(p, F.lit(E.LOG_LOSS_EPS)), F.lit(1 - E.LOG_LOSS_EPS))
+    return scored.agg(F.when(F.count_distinct("label") > 1, F.avg(-F.log(clipped))).alias("log_loss"))
 
 
-def _nanmean(vals):
-    v = [x for x in vals if x is not None and x == x]
-    return sum(v) / len(v) if v else None
+def fold_metrics(scored: DataFrame, task: str, n_classes: int = 2) -> dict:
+    """The task's metrics of one scored frame, as one row of a few numbers."""
+    if task == "regression":
+        table = E.regression_metrics(scored, "label", "prediction")
+    elif n_classes <= 2:
+        table = E.classification_metrics(scored, "label", "p1", "prediction")
+    else:
+        table = (E.roc_auc_ovr(scored, "label", "probability").crossJoin(E.label_metrics(scored, "label", "prediction"))
+                 .crossJoin(multiclass_log_loss(scored)))
+    return table.first().asDict()
 
 
 def _label_stats(df: DataFrame, label: str):
     r = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(qcol(label).cast("double")).alias("sd"),
-               F.count_distinct(qcol(label)).alias("k")).collect()[0]
+               F.count_distinct(qcol(label)).alias("k")).first()
     return r["n"], r["sd"], r["k"]
 
 
+def at_once(jobs, width: int = 4) -> list:
+    """Results of the callables in order; up to ``width`` run as concurrent Spark jobs."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPool(min(width, len(jobs))) as pool:
+        return pool.map(lambda job: job(), jobs)
+
+
+def fit_estimator(train: DataFrame, valid: DataFrame | None, model_name: str, params: dict, n: int, label_sd, n_classes: int):
+    """M6-M8: a fitted model on assembled frames.
+
+    Spark's boosted classifier knows two classes: with more the forest of the
+    registry stands in for it. With ``early_stopping`` a boosted model watches
+    the error on ``valid`` and stops when it no longer falls by ``validationTol``.
+    """
+    name = MODEL_ALIASES.get(model_name, model_name)
+    params = dict(params)
+    early = params.pop("early_stopping", False)
+    if name == "gbt_classifier" and n_classes > 2:
+        spec, _ = resolve("random_forest_classifier")
+        shared = {k: v for k, v in params.items() if k in ("seed", "minInstancesPerNode")}
+        return build_estimator("random_forest_classifier", {**spec.defaults, **shared}, n, label_sd).fit(train)
+    if early and valid is not None and name.startswith("gbt"):
+        watched = train.withColumn(VALIDATION_COL, F.lit(False)).unionByName(valid.withColumn(VALIDATION_COL, F.lit(True)))
+        return build_estimator(name, {**params, "validationIndicatorCol": VALIDATION_COL}, n, label_sd).fit(watched)
+    return build_estimator(name, params, n, label_sd).fit(train)
+
+
+def score_folds(prepared: dict, model_name: str, params: dict, task: str) -> dict:
+    """Fold → scored validation frame, the folds fitted as concurrent jobs."""
+    def job(i):
+        train, valid, _, n, sd, n_classes = prepared[i]
+        return lambda: score_frame(fit_estimator(train, valid, model_name, params, n, sd, n_classes), valid, task)
+
+    return dict(zip(prepared, at_once([job(i) for i in prepared])))
+
+
 def cross_validate(df: DataFrame, target: str, model_name: str, params: dict, folds_col: str = "fold",
                    k: int = 5, prep_config: dict | None = None, task: str | None = None,
                    prepared: dict | None = None) -> tuple[dict, float]:
-    """Per fold, preprocessing fitted on the training part only; returns the
-    mean of each metric over folds (missing values ignored) and wall time.
-
-    ``prepared`` (fold → (train, valid, features)) lets several models reuse
-    the same per-fold preprocessing.
-    """
+    """The mean of each metric over the folds (missing values ignored) and wall time;
+    ``prepared`` lets several models share the per-fold preprocessing."""
     task = task or infer_task(df, target)
-    t0 = time.time()
-    prepared = prepared if prepared is not None else prepare_folds(df, target, folds_col, k, prep_config)
-    per_fold = []
-    for i in range(k):
-        train, valid, feats, n, sd, n_classes = prepared[i]
-        est = build_estimator(model_name, params, n, sd)
-        model = est.fit(train)
-        per_fold.append(fold_metrics(score_frame(model, valid, task), task, n_classes))
-    keys = per_fold[0].keys()
-    return {m: _nanmean([f[m] for f in per_fold]) for m in keys}, time.time() - t0
-
-
-def prepare_folds(df: DataFrame, target: str, folds_col: str, k: int, prep_config: dict | None) -> dict:
-    """Fit the preprocessing on each training part; persist the assembled frames."""
-    out = {}
-    for i in range(k):
-        tr = df.where(F.col(folds_col) != i).drop(folds_col)
-        va = df.where(F.col(folds_col) == i).drop(folds_col)
-        pipe = FeaturePipeline(prep_config).fit(tr, target)
-        feats = pipe.feature_names()
-        tr_x = assemble(pipe.transform(tr), feats, target).select("label", FEATURES_COL).persist(StorageLevel.MEMORY_AND_DISK)
-        va_x = assemble(pipe.transform(va), feats, target).select("label", FEATURES_COL).persist(StorageLevel.MEMORY_AND_DISK)
-        n, sd, n_classes = _label_stats(tr_x, "label")
-        out[i] = (tr_x, va_x, feats, n, sd, n_classes)
-    return out
+    began = time.time()
+    own = prepared is None
+    prepared = prepare_folds(df, target, folds_col, k, prep_config, task) if own else prepared
+    try:
+        scored = score_folds(prepared, model_name, params, task)
+        found = at_once([lambda i=i: fold_metrics(scored[i], task, prepared[i][5]) for i in prepared])
+    finally:
+        if own:
+            release(prepared)
+    means = {}
+    for metric in found[0]:
+        values = [f[metric] for f in found if f[metric] is not None and f[metric] == f[metric]]
+        means[metric] = sum(values) / len(values) if values else None
+    return means, time.time() - began
+
+
+def prepare_folds(df: DataFrame, target: str, folds_col: str, k: int, prep_config: dict | None, task: str | None = None,
+                  keep=()) -> dict:
+    """fold → (train, valid, features, rows, label sd, classes): the preprocessing is fitted
+    on each training part alone and both parts are kept assembled, with the columns ``keep``."""
+    classes = class_list(df, target) if (task or infer_task(df, target)) == "classification" else None
+
+    def job(i):
+        def run():
+            train, valid = (df.where(c).drop(folds_col) for c in (F.col(folds_col) != i, F.col(folds_col) == i))
+            pipe = FeaturePipeline(prep_config).fit(train.drop(*keep), target)
+            feats = pipe.feature_names()
+            frames = [assemble(pipe.transform(part), feats, target, classes).select("label", FEATURES_COL, *keep)
+                      .persist(StorageLevel.MEMORY_AND_DISK) for part in (train, valid)]
+            n, sd, seen = _label_stats(frames[0], "label")
+            return (*frames, feats, n, sd, len(classes) if classes else seen)
+        return run
+
+    return dict(enumerate(at_once([job(i) for i in range(k)])))
 
 
 def release(prepared: dict) -> None:
@@ -234,23 +295,61 @@ def release(prepared: dict) -> None:
         va.unpersist()
 
 
-def fit_full(df: DataFrame, target: str, model_name: str, params: dict, prep_config: dict | None = None):
-    """Preprocessing + model fitted on all training rows; returns (pipeline, model, features)."""
-    pipe = FeaturePipeline(prep_config).fit(df, target)
+def out_of_fold(df: DataFrame, target: str, key: str, model_name: str, params: dict | None = None, cv: int = 5, seed: int = 42,
+                prep_config: dict | None = None) -> DataFrame:
+    """``(key, fold, label, prediction[, p1])``: every row scored by the model that did
+    not see it. Thresholds are to be chosen on these."""
+    task = infer_task(df, target)
+    spec, _ = resolve(model_name)
+    folded = kfold(df, key, cv, stratify=target if task == "classification" else None, seed=seed)
+    prepared = prepare_folds(folded, target, "fold", cv, prep_config, task, keep=(key,))
+    scored = score_folds(prepared, model_name, {**spec.defaults, **(params or {})}, task)
+    columns = [key, "fold", "label", "prediction"] + ["p1"] * (task == "classification")
+    out = None
+    for i, frame in scored.items():
+        part = frame.withColumn("fold", F.lit(i)).select(*columns)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fit_full(df: DataFrame, target: str, model_name: str, params: dict, prep_config: dict | None = None, selected=None):
+    """Preprocessing + model fitted on all training rows; (pipeline, model, features).
+
+    ``selected`` (a list of features) refits on these alone, as after a selection (Q16).
+    """
+    config = dict(prep_config or {})
+    if selected is not None:
+        config["feature_selection"] = {"selected_features": list(selected)}
+    pipe = FeaturePipeline(config).fit(df, target)
     feats = pipe.feature_names()
-    x = assemble(pipe.transform(df), feats, target)
-    n, sd, _ = _label_stats(x, "label")
-    model = build_estimator(model_name, params, n, sd).fit(x)
-    return pipe, model, feats
+    classes = class_list(df, target) if infer_task(df, target) == "classification" else None
+    x = assemble(pipe.transform(df), feats, target, classes)
+    n, sd, seen = _label_stats(x, "label")
+    return pipe, fit_estimator(x, None, model_name, params, n, sd, len(classes) if classes else seen), feats
 
 
 LEADERBOARD_COLUMNS = ["model_name", "primary_metric_name", "primary_metric_value", "roc_auc", "f1", "precision",
                        "recall", "accuracy", "log_loss", "rmse", "mae", "r2", "training_time_sec"]
 
 
+def leaderboard(spark, results: dict, task: str) -> DataFrame:
+    """Models by their primary metric, from model → {metrics, training_time_sec}."""
+    metrics = LEADERBOARD_COLUMNS[3:-1]
+    primary = E.primary_metric_name(task)
+    rows = [(name, metric, found) for name, r in results.items() for metric, found in r["metrics"].items() if metric in metrics]
+    times = spark.createDataFrame([(name, float(r["training_time_sec"])) for name, r in results.items()],
+                                  "model_name string, training_time_sec double")
+    wide = (spark.createDataFrame(rows, "model_name string, metric string, value double")
+            .groupBy("model_name").pivot("metric", metrics).agg(F.first("value")))
+    order = F.asc_nulls_last if task == "regression" else F.desc_nulls_last
+    return (times.join(wide, "model_name", "left").withColumn("primary_metric_name", F.lit(primary))
+            .withColumn("primary_metric_value", F.col(primary)).select(*LEADERBOARD_COLUMNS)
+            .orderBy(order("primary_metric_value"), "model_name"))
+
+
 class ModelTrainer:
-    """Cross-validate every registry model of the task (or a subset),
-    refit each on all rows, and keep a sorted leaderboard DataFrame."""
+    """Cross-validates the registry's models of the task (or ``models``),
+    refits each on all rows and ranks them."""
 
     def __init__(self, seed: int = 42):
         self.seed = seed
@@ -261,45 +360,26 @@ class ModelTrainer:
 
     def fit(self, df: DataFrame, target: str, key: str, prep_config: dict | None = None,
             param_overrides: dict | None = None, cv: int = 5, models=None, refit: bool = True) -> "ModelTrainer":
-        spark = df.sparkSession
-        param_overrides = param_overrides or {}
         self.task_ = infer_task(df, target)
-        strat = target if self.task_ == "classification" else None
-        folded = kfold(df, key, cv, stratify=strat, seed=self.seed).persist(StorageLevel.MEMORY_AND_DISK)
-        names = models or [n for n, (s, _) in MODEL_REGISTRY.items() if s.task == self.task_]
-        prepared = prepare_folds(folded.drop(key), target, "fold", cv, prep_config)
-        rows = []
+        wanted = {}
+        for name in models or [n for n, (spec, _) in MODEL_REGISTRY.items() if spec.task == self.task_]:
+            changed = (param_overrides or {}).get(name, {})
+            validate_param_overrides(name, changed)
+            wanted[name] = {**resolve(name)[0].defaults, **changed}
+        folded = kfold(df, key, cv, stratify=target if self.task_ == "classification" else None,
+                       seed=self.seed).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared = prepare_folds(folded, target, "fold", cv, prep_config, self.task_)
         try:
-            for name in names:
-                overrides = param_overrides.get(name, {})
-                validate_param_overrides(name, overrides)
-                spec, _ = resolve(name)
-                params = {**spec.defaults, **overrides}
-                metrics, secs = cross_validate(folded.drop(key), target, name, params, "fold", cv, prep_config,
-                                               self.task_, prepared)
-                pname, pval = E.extract_primary_metric(self.task_, metrics)
-                row = {c: None for c in LEADERBOARD_COLUMNS}
-                row.update({k2: metrics.get(k2) for k2 in LEADERBOARD_COLUMNS if k2 in metrics})
-                row.update(model_name=name, primary_metric_name=pname, primary_metric_value=pval,
-                           training_time_sec=secs)
-                rows.append(row)
-                self.cv_results_[name] = {"metrics": metrics, "training_time_sec": secs, "params": params}
-                if refit:
-                    self.models_[name] = fit_full(df.drop(key), target, name, params, prep_config)
+            for name, params in wanted.items():
+                means, seconds = cross_validate(folded, target, name, params, "fold", cv, prep_config, self.task_, prepared)
+                self.cv_results_[name] = {"metrics": means, "training_time_sec": seconds, "params": params}
         finally:
             release(prepared)
             folded.unpersist()
-        schema = ("model_name string, primary_metric_name string, primary_metric_value double, roc_auc double, "
-                  "f1 double, precision double, recall double, accuracy double, log_loss double, rmse double, "
-                  "mae double, r2 double, training_time_sec double")
-        lb = spark.createDataFrame([tuple(r[c] for c in LEADERBOARD_COLUMNS) for r in rows], schema)
-        asc = self.task_ == "regression"
-        self.leaderboard_ = lb.orderBy(F.col("primary_metric_value").asc() if asc else F.col("primary_metric_value").desc())
+        if refit:
+            self.models_ = {name: fit_full(df.drop(key), target, name, params, prep_config) for name, params in wanted.items()}
+        self.leaderboard_ = leaderboard(df.sparkSession, self.cv_results_, self.task_)
         return self
 
     def best(self) -> DataFrame:
         return self.leaderboard_.limit(1)
-
-
-def numeric_feature_columns(df: DataFrame, exclude=()) -> list[str]:
-    return [f.name for f in df.schema.fields if kind_of(f.dataType) in ("numeric", "boolean") and f.name not in exclude]

@@ -93,7 +93,7 @@ def prepare_search(df: DataFrame, target: str, key: str, cv: int = 5, seed: int
     strat = target if task == "classification" else None
     folded = kfold(df, key, cv, stratify=strat, seed=seed).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
     return {"task": task, "folded": folded, "cv": cv,
-            "prepared": prepare_folds(folded, target, "fold", cv, prep_config)}
+            "prepared": prepare_folds(folded, target, "fold", cv, prep_config, task)}
 
 
 def release_search(ctx: dict) -> None:
