@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prep import qcol
-from .profile import detect_feature_types, feature_type_map
+from .profile import typed_columns, feature_type_map
 
 MI_BINS = 32
 
@@ -21,13 +21,13 @@ MI_BINS = 32
 def numeric_columns(df: DataFrame, target: str | None = None) -> list[str]:
     """G1: continuous numeric features (binary and low-cardinality excluded)."""
     cols = [c for c in df.columns if c != target]
-    return feature_type_map(detect_feature_types(df.select(*cols)))["numeric"]
+    return feature_type_map(typed_columns(df.select(*cols)))["numeric"]
 
 
 def categorical_columns(df: DataFrame, target: str | None = None) -> list[str]:
     """G1: categorical and high-cardinality features."""
     cols = [c for c in df.columns if c != target]
-    ft = feature_type_map(detect_feature_types(df.select(*cols)))
+    ft = feature_type_map(typed_columns(df.select(*cols)))
     return ft["categorical"] + ft["high_cardinality"]
 
 

@@ -6,7 +6,7 @@ datetime reference, the selected feature list). Applying is one projection of
 built-in expressions with those parameters as literals, so a fitted pipeline
 is lazy, codegen-friendly and also works on a streaming DataFrame.
 
-Fit jobs: feature typing (profile), one parameter aggregation, one small
+Fit jobs: feature typing (one wide aggregation, exact counts of few-valued columns), one parameter aggregation, one small
 aggregation for scalers of ordinal codes (only when ordinal columns exist),
 and the selection statistics (only when selection is configured).
 """
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import kind_of, md5_mod, safe_timestamp
-from .profile import detect_feature_types, feature_type_map
+from .profile import feature_type_map, typed_columns
 
 # Up to this many distinct values a column's quantiles come from ``percentile``
 # inside the one-pass parameter aggregation (its buffer holds one entry per
@@ -75,7 +75,7 @@ class FeaturePipeline:
     def fit(self, df: DataFrame, target: str | None = None) -> "FeaturePipeline":
         cfg = self.config
         features = [c for c in df.columns if c != target and kind_of(df.schema[c].dataType) != "other"]
-        types_df = detect_feature_types(df, target=target, config=cfg, columns=features)
+        types_df = typed_columns(df, target=target, config=cfg, columns=features)
         type_rows = types_df.select("position", "column_name", "feature_type", "n_unique", "kind").collect()
         ftypes = {k: [] for k in ("numeric", "binary", "categorical", "high_cardinality", "datetime", "ordinal")}
         n_unique = {}

@@ -299,6 +299,46 @@ def detect_feature_types(df: DataFrame, target: str | Column | None = None, conf
         low_card, overrides.get("ordinal", []), overrides.get("nominal", [])))
 
 
+def typed_columns(df: DataFrame, target: str | Column | None = None, config: dict | None = None, columns=None) -> DataFrame:
+    """B13 without the full profile: ``(position, column_name, kind, n_nonnull, n_unique,
+    parse_rate, is_ordinal, feature_type)``.
+
+    One wide aggregation counts, parses and estimates distinct values of all columns;
+    nothing is shuffled but its one row per task. Typing asks whether a column has at
+    most ``low_cardinality_threshold`` values, so only columns whose estimate is near
+    that limit or below are counted exactly. Beyond it ``n_unique`` is the estimate.
+    """
+    config = config or {}
+    low_card = config.get("low_cardinality_threshold", LOW_CARDINALITY)
+    formats = config.get("datetime_formats")
+    overrides = config.get("feature_type_overrides", {}) or {}
+    if isinstance(target, str) and columns is None:
+        columns = [c for c in df.columns if c != target]
+    cols = _profiled_columns(df, columns)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c, kind in cols:
+        x = nan_to_null(qc(c)) if is_float_type(df.schema[c].dataType) else qc(c)
+        aggs += [F.count(x).alias(f"c{i}"), F.approx_count_distinct(x, 0.03).alias(f"u{i}")]
+        if kind == "string":
+            aggs.append(F.count(safe_timestamp(qc(c), formats)).alias(f"p{i}"))
+    one = df.agg(*aggs).first()
+    # the estimate is nearly exact at such small counts; twice the limit leaves no doubt
+    few = [c for i, c, kind in cols if kind != "datetime" and one[f"u{i}"] <= 2 * low_card + 10]
+    exact = {}
+    if few:
+        exact = {r["column_name"]: r for r in profile(df, few, target, low_card, formats).select(
+            "column_name", "n_unique", "is_ordinal").collect()}
+    rows = []
+    for i, c, kind in cols:
+        nonnull, r = one[f"c{i}"], exact.get(c)
+        rate = one[f"p{i}"] / nonnull if kind == "string" and nonnull else None
+        rows.append((i, c, kind, nonnull, r["n_unique"] if r else one[f"u{i}"], rate, bool(r and r["is_ordinal"])))
+    table = df.sparkSession.createDataFrame(rows, "position int, column_name string, kind string, n_nonnull long, "
+                                                  "n_unique long, parse_rate double, is_ordinal boolean")
+    return table.withColumn("feature_type", feature_type_expr(
+        low_card, overrides.get("ordinal", []), overrides.get("nominal", [])))
+
+
 def feature_type_map(types_df: DataFrame) -> dict[str, list[str]]:
     """Dict view ``{feature_type: [columns in input order]}`` with all six keys.
 

@@ -57,3 +57,12 @@ def test_correlated_columns(spark):
     assert correlation_filter(df, ["a", "b", "c", "d"], 0.9) == ["a", "d"]
     assert correlation_filter(df, ["a", "b", "c", "d"], 0.9, ["c"]) == ["c", "d"]
     assert correlation_filter(df, ["a", "b", "c", "d"], 0.9, ["a", "c"]) == ["a", "d"]
+
+
+def test_typing_without_the_profile_agrees(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("t", F.col("ts").cast("string"))
+    for df, target in ((li, "y"), (ev, None), (li.limit(0), "y"), (li.select(F.lit(None).cast("double").alias("e"), "l_linenumber"), None)):
+        names = ["position", "column_name", "feature_type"]
+        full, fast = (f(df, target=target).select(*names).orderBy("position").collect() for f in (P.detect_feature_types, P.typed_columns))
+        assert full == fast
