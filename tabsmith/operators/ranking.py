@@ -4,9 +4,9 @@
 Here the rows (usually already reduced to distinct values with counts) are cut
 into contiguous ranges of the order key using approximate quantiles (a short,
 bounded list of boundaries), totals per range are computed (one row per
-range), their offsets are accumulated over the ranges (a window over the few
-range rows only), and the running sum is finished inside each range. No task
-holds more than one range.
+range), their offsets are accumulated over the ranges (one row of arrays, at
+most ``MAX_RANGES`` entries), and the running sum is finished inside each range.
+No task holds more than one range, at any number of rows.
 """
 
 from __future__ import annotations
@@ -17,38 +17,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1024
+MIN_RANGES, MAX_RANGES = 8, 16_384
 # A column with at most this many distinct values takes its quantiles from
 # ``percentile`` with frequencies over the value counts (a buffer of that many
 # entries); larger columns use the range-partitioned running counts.
 MAP_MAX_DISTINCT = 100_000
 
 
+def range_ids(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
+    """Add a range id that is monotone in ``order_col`` (numeric).
 
-def range_ids(df: DataFrame, order_col: str, n_rows: int | None = None,
-              rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
-    """Add an integer range id that is monotone in ``order_col`` (numeric).
-
-    One aggregation yields the row count and candidate cut points (approximate
-    quantiles); about ``rows_per_range`` rows fall in each range, at most
-    ``MAX_RANGES`` ranges. Small inputs (known size) skip the aggregation.
+    One aggregation yields the row count and the cut points (approximate
+    quantiles): about ``rows_per_range`` rows fall in each range, never fewer
+    than ``MIN_RANGES`` ranges are cut.
     """
     x = F.col(order_col).cast("double")
-    n = df.count() if n_rows is None else n_rows
-    n_ranges = int(min(MAX_RANGES, max(1, -(-n // rows_per_range))))
-    if n_ranges == 1:
-        return df.withColumn(out_col, F.lit(0.0))      # one range: no cut points needed
-    probs = [k / n_ranges for k in range(1, n_ranges)]
-    qs = df.agg(F.percentile_approx(x, probs, 10 * MAX_RANGES).alias("q")).collect()[0]["q"]
-    cuts = list(qs or [])
-    splits = sorted(set(float(q) for q in cuts if q is not None))
-    splits = [float("-inf")] + splits + [float("inf")]
+    probs = [k / MAX_RANGES for k in range(1, MAX_RANGES)]
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probs, 4 * MAX_RANGES).alias("q")).first()
+    n_ranges = min(MAX_RANGES, max(MIN_RANGES, -(-r["n"] // rows_per_range)))
+    picked = (r["q"] or [])[:: max(1, MAX_RANGES // n_ranges)]
+    splits = [float("-inf"), *sorted({float(q) for q in picked if q is not None}), float("inf")]
     if len(splits) < 3:
-        return df.withColumn(out_col, F.lit(0.0))
+        splits = [float("-inf"), 0.0, float("inf")]
     b = Bucketizer(splits=splits, inputCol="__ord", outputCol=out_col, handleInvalid="keep")
     return b.transform(df.withColumn("__ord", x)).drop("__ord")
 
 
+def prefix_offsets(totals: DataFrame, key: str, cols, descending: bool = False) -> DataFrame:
+    """``(key, __o_col ...)``: for each row of a short table the sums of ``cols`` over the
+    rows before it by ``key``. The table becomes one row of a sorted array."""
+    kinds = dict(totals.dtypes)
+    row = totals.agg(F.sort_array(F.collect_list(F.struct(key, *cols)), not descending).alias("a"))
+    sums = ", ".join(f"'__o_{c}', aggregate(slice(a, 1, i), CAST(0 AS {kinds[c]}), (s, y) -> s + y.{c})" for c in cols)
+    return row.select(F.explode(F.expr(f"transform(a, (x, i) -> named_struct('{key}', x.{key}, {sums}))")).alias("r")).select("r.*")
+
+
 def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = False,
                  inclusive: bool = True, n_rows: int | None = None,
                  rows_per_range: int = ROWS_PER_RANGE, prefix: str = "cum_",
@@ -58,27 +61,20 @@ def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = Fal
     Ties in ``order_col`` must have been merged beforehand (one row per
     distinct key and partition), which is how callers use it.
     """
-    sum_cols = list(sum_cols)
-    parts = list(partition_cols)
+    sum_cols, parts = list(sum_cols), list(partition_cols)
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
     frame_end = Window.currentRow if inclusive else -1
-    if n_rows is None:
-        n_rows = df.count()
-    if n_rows <= rows_per_range:
-        # small input: one window per partition key, no ranges, offsets or joins
-        w = Window.partitionBy(*parts).orderBy(key).rowsBetween(Window.unboundedPreceding, frame_end)
-        return df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{prefix}{c}") for c in sum_cols])
-    r = range_ids(df, order_col, n_rows, rows_per_range)
-    rng = F.col("__range").desc() if descending else F.col("__range").asc()
-    totals = r.groupBy(*parts, "__range").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    # over range rows only: at most MAX_RANGES rows per partition value
-    wt = Window.partitionBy(*parts).orderBy(rng).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "__range", *[F.coalesce(F.sum(f"__t_{c}").over(wt), F.lit(0)).alias(f"__o_{c}")
-                                                 for c in sum_cols])
-    joined = r.join(F.broadcast(offsets) if not parts else offsets, [*parts, "__range"])
+    r = range_ids(df, order_col, rows_per_range)
+    totals = r.groupBy(*parts, "__range").agg(*[F.sum(c).alias(c) for c in sum_cols])
+    if parts:
+        rng = F.col("__range").desc() if descending else F.col("__range").asc()
+        wt = Window.partitionBy(*parts).orderBy(rng).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(*parts, "__range", *[F.coalesce(F.sum(c).over(wt), F.lit(0)).alias(f"__o_{c}") for c in sum_cols])
+    else:
+        offsets = prefix_offsets(totals, "__range", sum_cols, descending)
     w = Window.partitionBy(*parts, "__range").orderBy(key).rowsBetween(Window.unboundedPreceding, frame_end)
-    out = joined.select("*", *[(F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).alias(f"{prefix}{c}")
-                               for c in sum_cols])
+    out = r.join(offsets, [*parts, "__range"]).select(
+        "*", *[(F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).alias(f"{prefix}{c}") for c in sum_cols])
     return out.drop("__range", *[f"__o_{c}" for c in sum_cols])
 
 

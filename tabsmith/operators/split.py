@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_unit, kind_of, seeded_hash
+from .ranking import prefix_offsets
 
 DEFAULT_SEED = 42
-BROADCAST_OFFSET_ROWS = 2_000_000   # offsets tables up to this many rows are broadcast
 
 
 # --------------------------------------------------------------------------
@@ -142,15 +142,18 @@ def hash_rank(df: DataFrame, key, strata=None, seed: int = DEFAULT_SEED,
     base = base.select("*", *skey)
     sk = [f"__s{i}" for i in range(len(strata))]
     counts = base.groupBy(*sk, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*sk).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    wn = Window.partitionBy(*sk)
-    offsets = counts.select(*sk, "__b",
-                            F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__off"),
-                            F.sum("__c").over(wn).alias("__n"))
-    # offsets holds one row per non-empty (stratum, bucket): at most n_rows rows,
-    # and at most 16^digits rows without strata. Broadcast only under that bound.
-    if n_rows <= BROADCAST_OFFSET_ROWS or (not strata and 16 ** digits <= BROADCAST_OFFSET_ROWS):
-        offsets = F.broadcast(offsets)
+    if strata:
+        w = Window.partitionBy(*sk).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*sk, "__b", F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__off"),
+                                F.sum("__c").over(Window.partitionBy(*sk)).alias("__n"))
+    else:
+        # two levels: buckets within a coarse one, and at most 256 coarse ones before it
+        coarse = counts.withColumn("__g", F.substring("__b", 1, 2))
+        before = prefix_offsets(coarse.groupBy("__g").agg(F.sum("__c").alias("__c")), "__g", ["__c"])
+        w = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (coarse.withColumn("__in", F.coalesce(F.sum("__c").over(w), F.lit(0))).join(before, "__g")
+                   .select("__b", (F.col("__in") + F.col("__o___c")).alias("__off"), F.lit(n_rows).cast("long").alias("__n")))
+    # the ranks below need the rows by bucket anyway, so this join adds no shuffle of them
     ranked = base.join(offsets, sk + ["__b"])
     wr = Window.partitionBy(*sk, "__b").orderBy("__h", *keys)
     return ranked.withColumn("__rank", F.col("__off") + F.row_number().over(wr)) \

@@ -36,6 +36,18 @@ def test_exact_quantiles_match_numpy(spark, rows_per_range):
         assert [grouped[(grp, i)] for i in range(len(probs))] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
 
 
+def test_no_window_runs_in_a_single_task(spark):
+    from tabsmith.operators import evaluate as E
+    from tabsmith.operators import split as X
+    df = spark.range(2000).selectExpr("id", "id % 2 AS y", "(id * 7919 % 1999) / 1999 AS p")
+    for out in (E.roc_auc(df, "y", "p"), E.roc_points(df, "y", "p"), X.kfold(df, "id", 5)):
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        for i, line in enumerate(lines):
+            if "Window " in line:
+                below = next(x for x in lines[i + 1:] if "Exchange" in x)
+                assert "SinglePartition" not in below
+
+
 def test_average_ranks(spark, rows_per_range):
     vals = [3.0, 1.0, 2.0, 2.0, 5.0, 5.0, 5.0]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
