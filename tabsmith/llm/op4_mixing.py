@@ -36,17 +36,16 @@ def unit(hex_digits: Column) -> Column:
 def tempered_weights(docs: DataFrame, power: float = 0.5, source_col: str = "source") -> DataFrame:
     """(source, weight): shares in proportion to rows ** ``power``."""
     counts = docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum(F.pow("n", F.lit(power))).alias("total"))
-    return counts.crossJoin(total).select("source", (F.pow("n", F.lit(power)) / F.col("total")).alias("weight"))
+    total = counts.agg(F.sum(F.pow("n", F.lit(power)))).first()[0] or 1.0
+    return counts.select("source", (F.pow("n", F.lit(power)) / total).alias("weight"))
 
 
 def repetition_rates(docs: DataFrame, weights: DataFrame, source_col: str = "source") -> DataFrame:
     """(source, rate, steps): steps[k] is the probability of at most k copies."""
     counts = docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))     # one row
+    total = counts.agg(F.sum("n")).first()[0] or 0
     rates = (counts.alias("c").join(weights.alias("w"), F.col("c.source").eqNullSafe(F.col("w.source")))
-             .where("w.weight > 0").crossJoin(total)
-             .select("c.source", (F.col("weight") * F.col("total") / F.col("n")).alias("rate")))
+             .where("w.weight > 0").select("c.source", (F.col("weight") * total / F.col("n")).alias("rate")))
     # far enough that what lies beyond is smaller than the distance of two hashed numbers
     return (rates.withColumn("log_fact", F.expr(
                 "transform(sequence(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS INT)), k -> "
