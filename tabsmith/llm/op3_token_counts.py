@@ -94,11 +94,8 @@ class PrefixCounter:
         """Tokens of every prefix of one chunk, from 0 characters to all."""
         if chunk.startswith(MARK * 2):
             # runs of marks share one merge rank, so neighbour checks do not
-            # settle them: the run's prefixes are asked of the library
-            run = len(chunk) - len(chunk.lstrip(MARK))
-            if run < len(chunk):
-                return [self._direct(chunk[:i]) for i in range(len(chunk) + 1)]
-            return [self._direct(chunk[:i]) for i in range(run + 1)]
+            # settle them: the chunk's prefixes are asked of the library
+            return [self._direct(chunk[:i]) for i in range(len(chunk) + 1)]
         begins, fits, n = self.begins, self.fits, len(chunk)
         counts: list[int] = [0] * (n + 1)
         last: list[str | None] = [None] * (n + 1)
