@@ -14,7 +14,7 @@ found in two steps that keep the shuffles small:
 
 Edges that follow one another in a document and whose sources follow one
 another too form a nonbranching path: they compact into one span
-(document, start, length, source document, source start). Each distinct source
+(document, starts, length, source document, source start). Each distinct source
 span is then read from its document, and words go only where the span's own
 words have the same SHA-256: a hash collision never removes a word.
 
@@ -108,17 +108,20 @@ def edges(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
 
 def compacted(matched: DataFrame, window: int) -> DataFrame:
-    """Paths without a branch: (doc_id, start, length, src_doc, src_start).
+    """Paths without a branch: (doc_id, starts, length, src_doc, src_start).
 
     Along a path the position and the source position grow together, so
-    position minus rank is the same for all its edges.
+    position minus rank is the same for all its edges. A text that repeats itself
+    goes round a cycle of the graph: the same source path then stands at many
+    places of the document, which are kept as one row with all its starts.
     """
     order = Window.partitionBy("doc_id", "src_doc", "shift").orderBy("pos")
     return (matched.withColumn("shift", F.col("pos") - F.col("src_pos"))
             .withColumn("path", F.col("pos") - F.dense_rank().over(order))
             .groupBy("doc_id", "src_doc", "shift", "path")
             .agg(F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + window).alias("length"))
-            .select("doc_id", "start", "length", "src_doc", (F.col("start") - F.col("shift")).alias("src_start")))
+            .groupBy("doc_id", "src_doc", (F.col("start") - F.col("shift")).alias("src_start"), "length")
+            .agg(F.collect_list("start").alias("starts")).select("doc_id", "starts", "length", "src_doc", "src_start"))
 
 
 def source_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -142,28 +145,31 @@ def _sha(words: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(words)).digest()
 
 
-def dedup_spans(docs: DataFrame, window: int) -> DataFrame:
-    """Verified spans to remove, grouped: (key, spans array<struct<start, length, sha>>).
-    ``docs``: key, text, and columns to carry."""
+def dedup_spans(docs: DataFrame, shuffled: DataFrame, window: int) -> DataFrame:
+    """Verified spans to remove, grouped: (key, spans array<struct<starts, length, sha>>).
+    ``docs``: key, text, and columns to carry; ``shuffled``: the same rows by key."""
     found = written(anchors(docs, window), "op8-anchors")
     repeated = (found.groupBy("anchor").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
                 .where("a <> b").select("anchor"))
     members = found.select("doc_id", "text_hash", "n_words").distinct()
     firsts = members.groupBy("text_hash", "n_words").agg(F.min("doc_id").alias("src_doc"), F.count("*").alias("n"))
     copies = (members.join(firsts.where("n > 1"), ["text_hash", "n_words"]).where("doc_id > src_doc")
-              .select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("length"), "src_doc",
+              .select("doc_id", F.array(F.lit(0).cast("long")).alias("starts"), F.col("n_words").alias("length"), "src_doc",
                       F.lit(0).cast("long").alias("src_start")))
     wanted = (found.join(repeated, "anchor").join(copies, "doc_id", "left_anti")
               .groupBy(F.col("doc_id").alias("key")).agg(F.collect_list("anchor").alias("anchors")))
-    every = edges(docs, wanted, window)
+    # both sides of the join below come from written tables, so a very frequent edge
+    # is split over tasks; its source is found from partial minima
+    every = written(edges(docs, wanted, window), "op8-edges")
     source = (every.groupBy("edge").agg(F.min(F.struct("doc_id", "pos")).alias("src"), F.max("doc_id").alias("last"))
               .where("last > src.doc_id").select("edge", F.col("src.doc_id").alias("src_doc"),
                                                  F.col("src.pos").alias("src_pos")))
+    source = written(source, "op8-sources")
     matched = every.join(source, "edge").where("doc_id > src_doc").select("doc_id", "pos", "src_doc", "src_pos")
     spans = compacted(matched, window).unionByName(copies)
-    checked = spans.join(source_spans(docs, spans), ["src_doc", "src_start", "length"])
+    checked = spans.join(source_spans(shuffled, spans), ["src_doc", "src_start", "length"])
     return checked.groupBy(F.col("doc_id").alias("key")).agg(
-        F.collect_list(F.struct("start", "length", "sha")).alias("spans"))
+        F.collect_list(F.struct("starts", "length", "sha")).alias("spans"))
 
 
 def deduplicated(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text",
@@ -177,10 +183,11 @@ def deduplicated(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     keep = [c for c in keep if c not in ("n_words", "n_removed", "kept", id_col)]
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # every branch below reads the same columns of the same shuffle, so texts are shuffled once
-    keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("key"), docs[text_col].alias("text"),
-                        *[docs[c].alias(f"_{i}") for i, c in enumerate(keep)]).repartition(n, "key")
-    spans = dedup_spans(keyed, window)
+    plain = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("key"), docs[text_col].alias("text"),
+                        *[docs[c].alias(f"_{i}") for i, c in enumerate(keep)])
+    # sources and documents read the same columns of the same shuffle, so it runs once
+    keyed = plain.repartition(n, "key")
+    spans = dedup_spans(plain, keyed, window)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,9 +196,10 @@ def deduplicated(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text
                 words = words_of(text)
                 gone = np.zeros(len(words), bool)
                 for span in own if own is not None and key != NO_ID else ():
-                    at = slice(span["start"], span["start"] + span["length"])
-                    if _sha(words[at]) == span["sha"]:
-                        gone[at] = True
+                    for start in span["starts"]:
+                        at = slice(start, start + span["length"])
+                        if _sha(words[at]) == span["sha"]:
+                            gone[at] = True
                 kept = [w for w, g in zip(words, gone) if not g] if gone.any() else words
                 rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
             out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"], index=batch.index)
