@@ -135,3 +135,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, modulo:
 
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+#: One memory of word hashes a worker, whatever operators its tasks belong to.
+WORD_HASHES = WordHashes()

@@ -31,13 +31,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix64, rolling, written
+from .common import WORD_HASHES, mix64, rolling, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP = 40, 5, 40
 TOLERANCE = 1e-9
 BLOCK = 256
-_hashes = WordHashes()
+_hashes = WORD_HASHES
 
 
 def _multipliers() -> np.ndarray:

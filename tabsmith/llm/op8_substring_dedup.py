@@ -34,12 +34,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, rolling, written
+from .common import WORD_HASHES, rolling, written
 
 ANCHOR = 16   # words of an anchor
 #: Key of rows without an id in joins; such rows take no other part.
 NO_ID = -(1 << 63)
-_hashes = WordHashes()
+_hashes = WORD_HASHES
 
 
 def words_of(text: str | None) -> list[bytes]:
