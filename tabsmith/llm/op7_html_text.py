@@ -12,7 +12,9 @@ their place are no neighbours, nor are blocks outside the article element that a
 block stands in; open blocks without a neighbour are kept.
 
 Cases: NULL is the empty page; broken markup never fails (an unclosed element ends
-with its parent, a lone ``<`` is text); a page without kept blocks gives ''; rows
+with its parent, an unclosed head at the first element or text of the body, and only
+an unclosed script, style, textarea or iframe runs to the end of the page, as in a
+browser; a lone ``<`` is text); a page without kept blocks gives ''; rows
 that repeat an id each get their row; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,7 +39,11 @@ el los las del y en una por con para se su al lo como más pero sus no es
 
 #: Elements whose text is never part of an article.
 DROPPED = frozenset("nav footer aside form menu dialog button select option label fieldset figcaption noscript".split())
-UNREAD = "script|style|noscript|template|textarea|iframe|svg|math|object|head"
+#: Elements without markup inside: up to their closing tag or the end of the page.
+RAW = "script|style|textarea|iframe"
+#: Other elements whose text is not read; those that `/>` closes.
+UNREAD = frozenset("noscript template svg math object head".split())
+CLOSED = frozenset("svg math object".split())
 BLOCKS = frozenset("""
 address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table
@@ -45,6 +52,13 @@ tbody td tfoot th thead title tr ul
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a browser closes by itself when the next one opens; they hold no label here.
 LOOSE = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
+#: Elements that may stand in a head.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript object script style template title".split())
+#: Inline elements whose end also ends what is left open in them, as the end of a loose one does.
+INLINE = LOOSE | frozenset("a b big code em font i s small strike strong sub sup tt u".split())
+#: Start tags that end an open svg or math.
+FOREIGN = frozenset("svg math".split())
+OUT = BLOCKS - {"title"} | INLINE - {"a", "font"} | frozenset("embed img meta nobr ruby span var".split())
 ARTICLE = frozenset("article main".split())
 #: Parts of class, id and role names of what is no article.
 NAMED = frozenset("""
@@ -56,9 +70,10 @@ signup login search pagination pager widget widgets contentinfo complementary fo
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<unread>{UNREAD})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?</(?P=unread)\s*>|.*\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?</(?P=raw)\s*>|.*\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
+_ENDS = re.compile("</(noscript|template|svg|math|object)(?![a-z0-9:-])", re.I)
 _ATTR = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"\w+")
@@ -73,6 +88,15 @@ class Block:
         self.text, self.linked, self.dropped, self.article, self.label = text, linked, dropped, article, None
 
 
+class Element:
+    """An open element: its name, whether it is dropped, the number of the article element
+    around, whether its text is not read, and the inline elements open around the unread."""
+    __slots__ = ("name", "dropped", "article", "unread", "around")
+
+    def __init__(self, name: str, dropped: bool, article: int, unread: bool = False, around: dict | None = None):
+        self.name, self.dropped, self.article, self.unread, self.around = name, dropped, article, unread, around
+
+
 def _named(attrs: str) -> bool:
     """Whether class, id, role or style say that the element is no article."""
     for name, *values in _ATTR.findall(attrs):
@@ -91,20 +115,32 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
-    # open elements: name, whether dropped, number of the article element around
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]
+    stack = [Element("", False, 0)]
+    inline: Counter = Counter()
+    ends: dict[str, int] | None = None   # the last closing tag of each unread element
     links = articles = at = 0
+    in_head = False
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, min(linked, len(text)), stack[-1][1], stack[-1][2]))
+            out.append(Block(text, min(linked, len(text)), stack[-1].dropped, stack[-1].article))
         parts.clear()
         linked = 0
 
+    def leave_head() -> None:
+        nonlocal in_head
+        while stack.pop().name != "head":
+            pass
+        in_head = False
+
     def take(text: str) -> None:
         nonlocal linked
+        if stack[-1].name == "head" and text.strip():
+            leave_head()
+        if stack[-1].unread:
+            return
         parts.append(text)
         if links:
             linked += len(html.unescape(text).strip())
@@ -113,37 +149,59 @@ def blocks(page: str) -> list[Block]:
         if m.start() > at:
             take(page[at:m.start()])
         at = m.end()
-        name = (m["name"] or m["unread"] or "").lower()
-        if m["unread"]:
+        if m["raw"]:
             flush()
             continue
+        name = (m["name"] or "").lower()
         if not name:
             continue
+        if in_head and not m["close"] and name not in HEAD:
+            if ends is None:
+                ends = {e[1].lower(): e.start() for e in _ENDS.finditer(page)}
+            inner = stack[-1].name
+            if name == "body" or inner == "head" or (name in BLOCKS if inner == "title" else ends.get(inner, -1) < at):
+                leave_head()
+        while stack[-1].name in FOREIGN and (name == "p" if m["close"] else name in OUT):
+            stack.pop()
+        if m["close"] and stack[-1].unread and 0 < inline[name] <= stack[-1].around.get(name, 0):
+            # the end of an element around what is not read
+            while stack[-1].unread:
+                stack.pop()
+        if name in INLINE:
+            inline[name] = max(0, inline[name] + (-1 if m["close"] else 1))
         if name in BLOCKS:
             if name == "br":
                 parts.append("\n")
             else:
                 flush()
+        top = stack[-1]
         if m["close"]:
             if name == "a":
-                links = 0
-            elif name not in LOOSE and any(e[0] == name for e in stack):
-                while stack.pop()[0] != name:
+                links = links if top.unread else 0
+            elif name not in LOOSE and any(e.name == name for e in stack):
+                while stack.pop().name != name:
                     pass
+                in_head = in_head and any(e.name == "head" for e in stack)
         elif name == "a":
-            links = 1
+            links = links if top.unread else 1
+        elif name in UNREAD or top.unread and name == "foreignobject":
+            if not (name in CLOSED and m["attrs"].endswith("/")):
+                flush()
+                stack.append(Element(name, top.dropped, top.article, True,
+                                     top.around if top.unread else {} if name == "head" else dict(inline)))
+                in_head = in_head or name == "head"
         elif name not in VOID and name not in LOOSE and (name in BLOCKS or name == "span"):
-            _, dropped, article = stack[-1]
+            article = top.article
             if name in ARTICLE and not article:
                 articles += 1
                 article = articles
             inside_header = name == "header" and not article
-            stack.append((name, dropped or name in DROPPED or inside_header or (name not in ("html", "body") and _named(m["attrs"])),
-                          article))
+            stack.append(Element(name, top.dropped or name in DROPPED or inside_header
+                                 or (name not in ("html", "body") and _named(m["attrs"])), article, top.unread, top.around))
         elif name in LOOSE and m["attrs"] and _named(m["attrs"]):
             # a paragraph or list item of its own name: dropped up to its end
-            stack.append((name, True, stack[-1][2]))
-        if name in LOOSE and stack[-1][0] in LOOSE and (m["close"] or not _named(m["attrs"])):
+            stack.append(Element(name, True, top.article, top.unread, top.around))
+        if name in LOOSE and stack[-1].name in LOOSE and (m["close"] or not _named(m["attrs"])):
             flush()
             stack.pop()
     take(page[at:])

@@ -31,6 +31,24 @@ def test_odd_pages(page, want):
     assert op.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two three"),
+    ('<article><p>one <svg class="i"/> two</p><p>x <svg><path d="M0"/><title>t</title></svg> three</p></article>', "one two x three"),
+    ('<article><p>one <svg class="i"><path> two</p><p>three</p></article>', "one three"),
+    ('<article><a href="#"><svg></a><p>one</p></article>', "one"),
+    ("<article><div>one<object data=x> in</div><p>two</p></article>", "one two"),
+    ("<article><p>one<noscript>in<p>no</p></p><p>two</p></article><p>three", "one two three"),
+    ("<article><p>one</p><template><p>no</p></article><p>three", "one three"),
+    ("<html><head><title>T <b>t</b></title><meta charset=x><body><p>one", "one"),
+    ("<html><head><title>T</title><p>one", "one"), ("<head><title>T</title>one", "one"), ("<head><title>T<p>one", "one"),
+    ("<head><noscript><div>no</div></noscript><link rel=x></head><p>one", "one"), ("<head><noscript><p>one", "one"),
+    ("<head><script>var a = '</head>';</script></head><p>one", "one"), ("<p>one<iframe>x<p>no", "one"),
+    ("<p>one <object data=x><p>no</p></object> two", "one two"), ("<svg/>one", "one"),
+    ("<svg><foreignObject><p>no</p></foreignObject><text>no</text></svg><p>one", "one")])
+def test_unread_elements_end(page, want):
+    assert op.main_text(page) == want
+
+
 def test_given_pages_give_their_articles(spark):
     pages = table(spark, "/root/testdata/sf0.01", "pages")
     rows = {r.page_id: r for r in op.extracted(pages).collect()}
