@@ -11,6 +11,11 @@ neighbours: the common one if both agree, else the nearer one's. Blocks dropped
 their place are no neighbours, nor are blocks outside the article element that a
 block stands in; open blocks without a neighbour are kept.
 
+Names are whole: a class or role, or all of an id or aria-label, of listed words only
+(``cookie-notice``, not ``has-comments``). They drop neither a main or article element
+nor an element (or a form) that holds one; an article inside an article is where comments stand in
+HTML, so there names count.
+
 Cases: NULL is the empty page; broken markup never fails (an unclosed element ends
 with its parent, an unclosed head at the first element or text of the body, and only
 an unclosed script, style, textarea or iframe runs to the end of the page, as in a
@@ -38,12 +43,12 @@ el los las del y en una por con para se su al lo como más pero sus no es
 """.split())
 
 #: Elements whose text is never part of an article.
-DROPPED = frozenset("nav footer aside form menu dialog button select option label fieldset figcaption noscript".split())
+DROPPED = frozenset("nav footer aside menu dialog button select option label fieldset noscript".split())
 #: Elements without markup inside: up to their closing tag or the end of the page.
 RAW = "script|style|textarea|iframe"
 #: Other elements whose text is not read; those that `/>` closes.
-UNREAD = frozenset("noscript template svg math object head".split())
-CLOSED = frozenset("svg math object".split())
+UNREAD = frozenset("noscript template svg object head".split())
+CLOSED = frozenset("svg object".split())
 BLOCKS = frozenset("""
 address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table
@@ -56,11 +61,10 @@ LOOSE = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
 HEAD = frozenset("base basefont bgsound link meta noframes noscript object script style template title".split())
 #: Inline elements whose end also ends what is left open in them, as the end of a loose one does.
 INLINE = LOOSE | frozenset("a b big code em font i s small strike strong sub sup tt u".split())
-#: Start tags that end an open svg or math.
-FOREIGN = frozenset("svg math".split())
+#: Start tags that end an open svg.
 OUT = BLOCKS - {"title"} | INLINE - {"a", "font"} | frozenset("embed img meta nobr ruby span var".split())
 ARTICLE = frozenset("article main".split())
-#: Parts of class, id and role names of what is no article.
+#: The words that class, id and role names of what is no article consist of.
 NAMED = frozenset("""
 ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner nav navbar navigation menu
 breadcrumb breadcrumbs sidebar side aside footer foot header masthead topbar toolbar cookie cookies consent gdpr notice notices
@@ -73,59 +77,82 @@ _TAG = re.compile(
     rf"|<(?P<raw>{RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?</(?P=raw)\s*>|.*\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
-_ENDS = re.compile("</(noscript|template|svg|math|object)(?![a-z0-9:-])", re.I)
+_ENDS = re.compile("</(noscript|template|svg|object)(?![a-z0-9:-])", re.I)
 _ATTR = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_PARTS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[-_\s\d]+")
 _WORDS = re.compile(r"\w+")
 
 LONG, LINKS, STOPS = 70, 0.33, 0.2
 
 
 class Block:
-    __slots__ = ("text", "linked", "dropped", "article", "label")
+    __slots__ = ("text", "linked", "place", "dropped", "article", "label")
 
-    def __init__(self, text: str, linked: int, dropped: bool, article: int):
-        self.text, self.linked, self.dropped, self.article, self.label = text, linked, dropped, article, None
+    def __init__(self, text: str, linked: int, place: Element):
+        self.text, self.linked, self.place, self.article = text, linked, place, place.article
+        self.dropped, self.label = False, None
 
 
 class Element:
-    """An open element: its name, whether it is dropped, the number of the article element
-    around, whether its text is not read, and the inline elements open around the unread."""
-    __slots__ = ("name", "dropped", "article", "unread", "around")
+    """An element: whether it is dropped for its place (or one around it for anything),
+    whether for its name, the number of the article element around, whether an article
+    may be no comment in it (``story``) and whether it holds one, whether its text is not
+    read, and the inline elements open around the unread."""
+    __slots__ = ("name", "parent", "dropped", "named", "article", "story", "holds", "unread", "around")
 
-    def __init__(self, name: str, dropped: bool, article: int, unread: bool = False, around: dict | None = None):
-        self.name, self.dropped, self.article, self.unread, self.around = name, dropped, article, unread, around
+    def __init__(self, name: str, parent: Element | None, dropped: bool = False, named: bool = False):
+        self.name, self.parent, self.dropped, self.named, self.holds = name, parent, dropped, named, False
+        self.article, self.story, self.unread, self.around = \
+            (parent.article, parent.story and name != "article", parent.unread, parent.around) if parent else (0, True, False, {})
 
 
-def _named(attrs: str) -> bool:
-    """Whether class, id, role or style say that the element is no article."""
+def _hidden(attrs: str) -> bool:
+    """Whether the element is not shown."""
     for name, *values in _ATTR.findall(attrs):
-        value = "".join(values).lower()
-        name = name.lower()
-        if name in ("class", "id", "role", "aria-label") and not NAMED.isdisjoint(_PARTS.findall(value)):
-            return True
+        value, name = "".join(values).lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or \
                 name == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
 
+def _named(attrs: str) -> bool:
+    """Whether class, id, role or aria-label say that the element is no article."""
+    for name, *values in _ATTR.findall(attrs):
+        value, name = "".join(values).lower(), name.lower()
+        for token in value.split() if name in ("class", "role") else [value] if name in ("id", "aria-label") else ():
+            parts = set(_PARTS.split(token)) - {""}
+            if parts and parts <= NAMED:
+                return True
+    return False
+
+
+def _apart(attrs: str) -> bool:
+    return bool(attrs) and (_hidden(attrs) or _named(attrs))
+
+
 def blocks(page: str) -> list[Block]:
     """The page's non-empty blocks in order; linear in the page."""
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
-    stack = [Element("", False, 0)]
+    made = [Element("", None)]           # every element, parents first
+    stack = made[:]
     inline: Counter = Counter()
     ends: dict[str, int] | None = None   # the last closing tag of each unread element
     links = articles = at = 0
     in_head = False
 
+    def put(*args) -> Element:
+        made.append(Element(*args))
+        stack.append(made[-1])
+        return made[-1]
+
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, min(linked, len(text)), stack[-1].dropped, stack[-1].article))
+            out.append(Block(text, min(linked, len(text)), stack[-1]))
         parts.clear()
         linked = 0
 
@@ -161,7 +188,7 @@ def blocks(page: str) -> list[Block]:
             inner = stack[-1].name
             if name == "body" or inner == "head" or (name in BLOCKS if inner == "title" else ends.get(inner, -1) < at):
                 leave_head()
-        while stack[-1].name in FOREIGN and (name == "p" if m["close"] else name in OUT):
+        while stack[-1].name == "svg" and (name == "p" if m["close"] else name in OUT):
             stack.pop()
         if m["close"] and stack[-1].unread and 0 < inline[name] <= stack[-1].around.get(name, 0):
             # the end of an element around what is not read
@@ -187,25 +214,32 @@ def blocks(page: str) -> list[Block]:
         elif name in UNREAD or top.unread and name == "foreignobject":
             if not (name in CLOSED and m["attrs"].endswith("/")):
                 flush()
-                stack.append(Element(name, top.dropped, top.article, True,
-                                     top.around if top.unread else {} if name == "head" else dict(inline)))
+                if not put(name, top).unread:
+                    stack[-1].unread, stack[-1].around = True, {} if name == "head" else dict(inline)
                 in_head = in_head or name == "head"
         elif name not in VOID and name not in LOOSE and (name in BLOCKS or name == "span"):
-            article = top.article
-            if name in ARTICLE and not article:
+            page_part = name in ("html", "body")
+            # dropped for its place, or for its name (a form too) unless it holds an article
+            at_place = name in DROPPED or name == "header" and not top.article or not page_part and _hidden(m["attrs"])
+            whole = name == "main" or name == "article" and top.story
+            e = put(name, top, at_place, not page_part and not whole and (name == "form" or _named(m["attrs"])))
+            if name in ARTICLE and not e.article:
                 articles += 1
-                article = articles
-            inside_header = name == "header" and not article
-            stack.append(Element(name, top.dropped or name in DROPPED or inside_header
-                                 or (name not in ("html", "body") and _named(m["attrs"])), article, top.unread, top.around))
-        elif name in LOOSE and m["attrs"] and _named(m["attrs"]):
+                e.article = articles
+            while whole and not top.unread and e is not None and not e.holds:
+                e.holds, e = True, e.parent
+        elif name in LOOSE and _apart(m["attrs"]):
             # a paragraph or list item of its own name: dropped up to its end
-            stack.append(Element(name, True, top.article, top.unread, top.around))
-        if name in LOOSE and stack[-1].name in LOOSE and (m["close"] or not _named(m["attrs"])):
+            put(name, top, _hidden(m["attrs"]), _named(m["attrs"]))
+        if name in LOOSE and stack[-1].name in LOOSE and (m["close"] or not _apart(m["attrs"])):
             flush()
             stack.pop()
     take(page[at:])
     flush()
+    for e in made[1:]:
+        e.dropped = e.dropped or e.named and not e.holds or e.parent.dropped
+    for b in out:
+        b.dropped = b.place.dropped
     return out
 
 

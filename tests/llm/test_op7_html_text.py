@@ -49,6 +49,26 @@ def test_unread_elements_end(page, want):
     assert op.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article class="post has-comments"><p>one</p></article>', "one"), ('<main class="no-sidebar"><p>one</p></main>', "one"),
+    ('<article class="comments" id="form"><p>one</p></article>', "one"),
+    ('<div class="sidebar"><p>two</p><article><p>one</p></article></div>', "two one"),
+    ('<form><main><p>one</p></main></form><form><p>no</p></form>', "one"),
+    ('<aside><article><p>no</p></article></aside><p>one', "one"),
+    ('<div class="long-form"><p>one</p></div>', "one"), ('<div class="has-comments" id="no-sidebar"><p>one</p></div>', "one"),
+    ('<article><div class="article-header"><h1>head</h1></div><p>one</p></article>', "head one"),
+    ('<article><div class="x cookie-notice">no</div><div class="ad-1">no</div><div id="Sidebar">no</div><p>one</p></article>', "one"),
+    ('<article><div role="complementary">no</div><div aria-label="Related to the story">one</div></article>', "one"),
+    ('<article><p>one</p><div class="comments"><article class="x"><p>no</p></article></div></article>', "one"),
+    ('<template><article></article></template><div class="ad"><p>no</p></div><p>one</p>', "one"),
+    ('<article><p>one</p><figure><img src=x><figcaption>two</figcaption></figure></article>', "one two"),
+    ('<article><p>one <math><mi>x</mi><mo>=</mo><mn>2</mn></math> two</p><p><math/>three</p></article>', "one x=2 two three"),
+    ('<main hidden><p>no</p></main><article><p style="display: none">no</p><p>one</p></article>', "one"),
+    ('<div class="menu">' * 3000 + "<main>deep" + "</div>" * 3000, "deep")])
+def test_names_drop_no_article(page, want):
+    assert op.main_text(page) == want
+
+
 def test_given_pages_give_their_articles(spark):
     pages = table(spark, "/root/testdata/sf0.01", "pages")
     rows = {r.page_id: r for r in op.extracted(pages).collect()}
