@@ -64,6 +64,8 @@ class WordTokens:
         for token, i in self.whole.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.marks = {m: self._ids(m) for m in ".,"}
+        #: Added tokens are matched in the raw text, so case counts in a text that may hold one.
+        self.added = [t.content.lower() for t in self.whole.get_added_tokens_decoder().values()]
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -92,9 +94,15 @@ class WordTokens:
         for word, core in marked:
             known[word] = known[core] + self.marks.get(word[-1], b"")
 
+    def _lower(self, text: str) -> str:
+        """In lower case where that changes nothing for the tokenizer, which does the same by itself."""
+        if self._beyond(text):
+            return text
+        low = text.lower()
+        return text if any(t in low for t in self.added) else low
+
     def of(self, texts: list[str]) -> list[bytes]:
-        # lower case changes nothing for the tokenizer, which does the same by itself
-        split = [(t if self._beyond(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
+        split = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.limit:
             self.known.clear()
         get = self.known.get

@@ -45,6 +45,12 @@ def test_odd_rows(spark, docs_of):
     check(op.packed_documents(docs_of(data), PATH, 16).collect(), data, 16)
 
 
+def test_special_tokens_in_other_case(spark, docs_of):
+    data = [(1, "A <|ENDOFTEXT|> b"), (2, "<|EndOfText|>"), (3, "The<|endoftext|>End <|EndOfText|>."), (4, "\u6f22 <|ENDOFTEXT|>"),
+            (5, "<|StartOfText|>x <|startoftext|> Y"), (6, "<| ENDOFTEXT |> <|END")]
+    check(op.packed_documents(docs_of(data), PATH, 16).collect(), data, 16)
+
+
 def test_empty_table(spark, docs_of):
     out = op.packed_documents(docs_of([]), PATH)
     assert out.collect() == [] and "sequence_id" in out.columns
