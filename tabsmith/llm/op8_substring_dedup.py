@@ -20,7 +20,8 @@ words have the same SHA-256: a hash collision never removes a word.
 
 Cases: NULL text has no words; documents of fewer words than a window keep all;
 rows with NULL ids neither remove words nor lose any; rows that repeat an id
-are not each other's copies (no id is smaller), and each gets its own row;
+are not each other's copies (no id is smaller), and each gets its own row, judged by
+its own text (``twin`` tells the texts of one id apart all the way);
 columns other than id and text are ignored; an empty table gives an empty result.
 """
 
@@ -42,6 +43,11 @@ NO_ID = -(1 << 63)
 _hashes = WORD_HASHES
 
 
+def raw():
+    """Hash of the text as it stands, also before it reaches Python."""
+    return F.xxhash64("text").alias("raw")
+
+
 def words_of(text: str | None) -> list[bytes]:
     """``bytes.split`` splits at exactly the six ASCII white-space characters."""
     return text.encode().split() if text else []
@@ -59,7 +65,7 @@ def anchor_of_edges(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, text_hash, n_words, doc_id), one row per anchor of a document."""
+    """(anchor, text_hash, n_words, doc_id, raw), one row per anchor of a document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found, whole, sizes, counts = [], [], [], []
@@ -79,66 +85,72 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
                 "anchor": np.concatenate(found).view(np.int64) if found else [],
                 "text_hash": np.repeat(np.array(whole, np.uint64).view(np.int64), counts),
                 "n_words": np.repeat(np.array(sizes, np.int64), counts),
-                "doc_id": np.repeat(batch["key"].to_numpy(np.int64), counts)})
+                "doc_id": np.repeat(batch["key"].to_numpy(np.int64), counts),
+                "raw": np.repeat(batch["raw"].to_numpy(np.int64), counts)})
 
-    return docs.where(f"key > {NO_ID}").select("key", "text").mapInPandas(
-        run, "anchor long, text_hash long, n_words long, doc_id long")
+    return docs.where(f"key > {NO_ID}").select("key", "text", raw()).mapInPandas(
+        run, "anchor long, text_hash long, n_words long, doc_id long, raw long")
 
 
 def edges(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(edge, doc_id, pos): every edge of ``docs`` over an anchor that ``wanted``
-    (key, anchors) lists for its document."""
+    """(edge, doc_id, twin, pos): every edge of ``docs`` over an anchor that ``wanted``
+    (key, raw, twin, anchors) lists for its text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lo in range(0, len(batch), 500):
                 part, out = batch.iloc[lo:lo + 500], []
-                for key, text, own in zip(part["key"], part["text"], part["anchors"]):
+                for key, twin, text, own in zip(part["key"], part["twin"], part["text"], part["anchors"]):
                     hashes = _hashes.of(words_of(text))
                     if len(hashes) < window:
                         continue
                     at = np.flatnonzero(np.isin(anchor_of_edges(hashes, window),
                                                 np.asarray(own, np.int64).view(np.uint64)))
-                    out.append((rolling(hashes, window)[at].view(np.int64), np.full(len(at), key, np.int64), at))
+                    out.append((rolling(hashes, window)[at].view(np.int64), np.full(len(at), key, np.int64),
+                                np.full(len(at), twin, np.int64), at))
                 if out:
-                    edge, key, at = (np.concatenate(x) for x in zip(*out))
-                    yield pd.DataFrame({"edge": edge, "doc_id": key, "pos": at})
+                    edge, key, twin, at = (np.concatenate(x) for x in zip(*out))
+                    yield pd.DataFrame({"edge": edge, "doc_id": key, "twin": twin, "pos": at})
+
+    return (docs.withColumn("raw", raw()).join(wanted, ["key", "raw"]).select("key", "text", "twin", "anchors")
+            .mapInPandas(run, "edge long, doc_id long, twin long, pos long"))
+
 
-    return docs.join(wanted, "key").select(*docs.columns, "anchors").mapInPandas(
-        run, "edge long, doc_id long, pos long")
+SPAN = ["doc_id", "twin", "starts", "length", "src_doc", "src_twin", "src_start"]
 
 
 def compacted(matched: DataFrame, window: int) -> DataFrame:
-    """Paths without a branch: (doc_id, starts, length, src_doc, src_start).
+    """Paths without a branch: (doc_id, twin, starts, length, src_doc, src_twin, src_start).
 
     Along a path the position and the source position grow together, so
     position minus rank is the same for all its edges. A text that repeats itself
     goes round a cycle of the graph: the same source path then stands at many
     places of the document, which are kept as one row with all its starts.
     """
-    order = Window.partitionBy("doc_id", "src_doc", "shift").orderBy("pos")
+    order = Window.partitionBy("doc_id", "twin", "src_doc", "src_twin", "shift").orderBy("pos")
     return (matched.withColumn("shift", F.col("pos") - F.col("src_pos"))
             .withColumn("path", F.col("pos") - F.dense_rank().over(order))
-            .groupBy("doc_id", "src_doc", "shift", "path")
+            .groupBy("doc_id", "twin", "src_doc", "src_twin", "shift", "path")
             .agg(F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + window).alias("length"))
-            .groupBy("doc_id", "src_doc", (F.col("start") - F.col("shift")).alias("src_start"), "length")
-            .agg(F.collect_list("start").alias("starts")).select("doc_id", "starts", "length", "src_doc", "src_start"))
+            .groupBy("doc_id", "twin", "src_doc", "src_twin", (F.col("start") - F.col("shift")).alias("src_start"), "length")
+            .agg(F.collect_list("start").alias("starts")).select(*SPAN))
 
 
 def source_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(src_doc, src_start, length, sha): what stands at each source coordinate."""
+    """(src_doc, src_twin, src_start, length, sha): what stands at each source coordinate."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, text, asked in zip(batch["key"], batch["text"], batch["asked"]):
+            for key, own, text, asked in zip(batch["key"], batch["raw"], batch["text"], batch["asked"]):
                 words = words_of(text)
-                rows += [(key, a["src_start"], a["length"], _sha(words[a["src_start"]:a["src_start"] + a["length"]]))
-                         for a in asked]
-            yield pd.DataFrame(rows, columns=["src_doc", "src_start", "length", "sha"])
+                rows += [(key, a["src_twin"], a["src_start"], a["length"],
+                          _sha(words[a["src_start"]:a["src_start"] + a["length"]]))
+                         for a in asked if a["src_twin"] in (0, own) and a["src_start"] + a["length"] <= len(words)]
+            yield pd.DataFrame(rows, columns=["src_doc", "src_twin", "src_start", "length", "sha"])
 
-    asked = (spans.select("src_doc", "src_start", "length").distinct()
-             .groupBy(F.col("src_doc").alias("key")).agg(F.collect_list(F.struct("src_start", "length")).alias("asked")))
-    return docs.join(asked, "key").select(*docs.columns, "asked").mapInPandas(
-        run, "src_doc long, src_start long, length long, sha binary").distinct()
+    asked = (spans.select("src_doc", "src_twin", "src_start", "length").distinct().groupBy(F.col("src_doc").alias("key"))
+             .agg(F.collect_list(F.struct("src_twin", "src_start", "length")).alias("asked")))
+    return docs.join(asked, "key").select(*docs.columns, raw(), "asked").mapInPandas(
+        run, "src_doc long, src_twin long, src_start long, length long, sha binary").distinct()
 
 
 def _sha(words: list[bytes]) -> bytes:
@@ -151,23 +163,34 @@ def dedup_spans(docs: DataFrame, shuffled: DataFrame, window: int) -> DataFrame:
     found = written(anchors(docs, window), "op8-anchors")
     repeated = (found.groupBy("anchor").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
                 .where("a <> b").select("anchor"))
-    members = found.select("doc_id", "text_hash", "n_words").distinct()
-    firsts = members.groupBy("text_hash", "n_words").agg(F.min("doc_id").alias("src_doc"), F.count("*").alias("n"))
-    copies = (members.join(firsts.where("n > 1"), ["text_hash", "n_words"]).where("doc_id > src_doc")
-              .select("doc_id", F.array(F.lit(0).cast("long")).alias("starts"), F.col("n_words").alias("length"), "src_doc",
-                      F.lit(0).cast("long").alias("src_start")))
-    wanted = (found.join(repeated, "anchor").join(copies, "doc_id", "left_anti")
-              .groupBy(F.col("doc_id").alias("key")).agg(F.collect_list("anchor").alias("anchors")))
+    members = found.select("doc_id", "text_hash", "n_words", "raw").distinct()
+    # 0 for the text of an id that has one, which is nearly every row
+    twins = (members.groupBy("doc_id").agg(F.min("raw").alias("a"), F.max("raw").alias("b"))
+             .select("doc_id", (F.col("a") != F.col("b")).alias("many")))
+    members = members.join(twins, "doc_id").select(
+        "doc_id", "text_hash", "n_words", "raw", F.when(F.col("many"), F.col("raw")).otherwise(F.lit(0)).alias("twin"))
+    firsts = (members.groupBy("text_hash", "n_words")
+              .agg(F.min(F.struct("doc_id", "twin")).alias("src"), F.count("*").alias("n")))
+    copies = (members.join(firsts.where("n > 1"), ["text_hash", "n_words"]).where("doc_id > src.doc_id")
+              .select("doc_id", "twin", F.array(F.lit(0).cast("long")).alias("starts"), F.col("n_words").alias("length"),
+                      F.col("src.doc_id").alias("src_doc"), F.col("src.twin").alias("src_twin"),
+                      F.lit(0).cast("long").alias("src_start"), "raw"))
+    # only the copied text leaves the search, not the other texts of its id
+    wanted = (found.join(repeated, "anchor").join(copies, ["doc_id", "raw"], "left_anti")
+              .groupBy("doc_id", "raw").agg(F.collect_list("anchor").alias("anchors"))
+              .join(members.select("doc_id", "raw", "twin"), ["doc_id", "raw"]).withColumnRenamed("doc_id", "key"))
     # both sides of the join below come from written tables, so a very frequent edge
     # is split over tasks; its source is found from partial minima
     every = written(edges(docs, wanted, window), "op8-edges")
-    source = (every.groupBy("edge").agg(F.min(F.struct("doc_id", "pos")).alias("src"), F.max("doc_id").alias("last"))
+    source = (every.groupBy("edge").agg(F.min(F.struct("doc_id", "twin", "pos")).alias("src"), F.max("doc_id").alias("last"))
               .where("last > src.doc_id").select("edge", F.col("src.doc_id").alias("src_doc"),
-                                                 F.col("src.pos").alias("src_pos")))
+                                                 F.col("src.twin").alias("src_twin"), F.col("src.pos").alias("src_pos")))
     source = written(source, "op8-sources")
-    matched = every.join(source, "edge").where("doc_id > src_doc").select("doc_id", "pos", "src_doc", "src_pos")
-    spans = compacted(matched, window).unionByName(copies)
-    checked = spans.join(source_spans(shuffled, spans), ["src_doc", "src_start", "length"])
+    matched = (every.join(source, "edge").where("doc_id > src_doc")
+               .select("doc_id", "twin", "pos", "src_doc", "src_twin", "src_pos"))
+    spans = compacted(matched, window).unionByName(copies.select(*SPAN))
+    checked = spans.join(source_spans(shuffled, spans), ["src_doc", "src_twin", "src_start", "length"])
+    # a span holds for every text of its id that has the source's words at its place
     return checked.groupBy(F.col("doc_id").alias("key")).agg(
         F.collect_list(F.struct("starts", "length", "sha")).alias("spans"))
 

@@ -40,3 +40,18 @@ def test_odd_rows(spark, docs_of):
     got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in op.deduplicated(docs, keep=["source"]).collect())
     assert got == [(0, 5000, 0), (1, 0, 0), (2, 0, 0), (3, 1, 0), (4, 5000, 0), (5, 5001, 5000), (6, 5000, 5000), (6, 5000, 5000)]
     assert op.deduplicated(docs_of([])).collect() == []
+
+
+def test_texts_that_share_an_id(spark, docs_of):
+    x = [f"x{i}" for i in range(100)]
+    passage, other = " ".join(f"p{i}" for i in range(60)), " ".join(f"q{i}" for i in range(60))
+    rows = [(1, "a " + passage), (2, "b " + other + " c"),
+            # one text of id 5 copies document 1, the other repeats document 2 and is repeated by 7
+            (5, "a " + passage), (5, "d " + other + " " + " ".join(x[:55])), (7, "e " + " ".join(x[:55]) + " f"),
+            # runs of one document whose sources, or whose positions, continue in another text of the same id
+            (20, " ".join(f"y{i}" for i in range(60))), (20, " ".join([f"z{i}" for i in range(11)] + [f"y{i}" for i in range(11, 100)])),
+            (21, " ".join(f"y{i}" for i in range(100))),
+            (30, " ".join(f"v{i}" for i in range(100))), (31, " ".join(f"v{i}" for i in range(60))),
+            (31, " ".join([f"u{i}" for i in range(11)] + [f"v{i}" for i in range(11, 100)])),
+            (40, "one  " + passage), (40, "one " + passage)]
+    assert result(docs_of(rows)) == want(rows)
