@@ -29,11 +29,13 @@ def quality(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """Of each group of near duplicates the document of the smallest id. Rows without
-    an id stay; of rows that repeat a kept id and its text one stays."""
+    an id stay; of rows that repeat a kept id and its text one stays, and rows of one id
+    and different texts are judged each by its text."""
     ship(spark)
     groups = op5.jaccard_groups(docs)
-    kept = groups.where("doc_id = class_id").select("doc_id").distinct()
-    return (docs.select(COLUMNS).join(kept, "doc_id").dropDuplicates(["doc_id"])
+    kept = groups.where("doc_id = class_id AND text_hash = class_hash").select("doc_id", "text_hash").distinct()
+    return (docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash")).join(kept, ["doc_id", "text_hash"])
+            .select(COLUMNS).dropDuplicates(["doc_id", "text"])
             .unionByName(docs.where("doc_id IS NULL").select(COLUMNS)).select(COLUMNS))
 
 

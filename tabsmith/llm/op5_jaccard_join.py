@@ -3,7 +3,8 @@
 Documents are sets of five-word shingles (a text of one to four words is one
 shingle); two are linked if their sets' Jaccard similarity reaches ``THRESHOLD``.
 
-1. Documents of the same words form one class; its smallest id stands for it.
+1. Documents of the same words form one class; its smallest id and the hash of that
+   row's text stand for it (``rep``), so texts that share an id stay apart.
 2. MinHash values in ``BANDS`` bands of ``ROWS`` make candidates: at similarity
    0.8 a pair shares no band with probability 1e-7. Each band bucket adds one
    edge from every member to its smallest member, never all pairs; connected
@@ -17,7 +18,8 @@ shingle); two are linked if their sets' Jaccard similarity reaches ``THRESHOLD``
 4. Connected components of those rows are the result's groups.
 
 Cases: empty and NULL texts are linked to nothing; rows without an id take no
-part and get a NULL class and 0 links; rows that repeat id and text count once;
+part and get a NULL class and 0 links; rows that repeat id and text count once, and
+rows of one id and different texts are documents of their own;
 an empty table gives an empty result; columns other than id and text are ignored.
 """
 
@@ -57,8 +59,12 @@ def minhash(found: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return out
 
 
+#: A class: its smallest id and that row's text hash; ids come first in its order.
+REP = "struct<id:bigint,raw:bigint>"
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, hash_a, hash_b, bands array<long>) of every text with words."""
+    """(doc_id, raw, n_words, hash_a, hash_b, bands array<long>) of every text with words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
@@ -66,7 +72,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         place = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for batch in batches:
             rows = []
-            for key, text in zip(batch["doc_id"], batch["text"]):
+            for key, raw, text in zip(batch["doc_id"], batch["raw"], batch["text"]):
                 words = text.encode().split() if text else []
                 if not words:
                     continue
@@ -75,12 +81,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                 for r in range(ROWS):
                     key_of = mix64(key_of ^ low[:, r]) + place
                 joined = b" ".join(words)
-                rows.append((key, len(words), xxhash.xxh3_64_intdigest(joined) - (1 << 63),
+                rows.append((key, raw, len(words), xxhash.xxh3_64_intdigest(joined) - (1 << 63),
                              xxhash.xxh64_intdigest(joined, 7) - (1 << 63), key_of.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_words", "hash_a", "hash_b", "bands"])
+            yield pd.DataFrame(rows, columns=["doc_id", "raw", "n_words", "hash_a", "hash_b", "bands"])
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_words long, hash_a long, hash_b long, bands array<long>")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "raw", "text").mapInPandas(
+        run, "doc_id long, raw long, n_words long, hash_a long, hash_b long, bands array<long>")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -169,7 +175,7 @@ def linked(sets_a: list[np.ndarray], sets_b: list[np.ndarray], i: np.ndarray, j:
 
 
 def smallest_linked(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest id that each id is linked to, directly or through others."""
+    """The smallest id that each of the ids is linked to, directly or through others."""
     low = ids.copy()
     while True:
         new = low.copy()
@@ -192,22 +198,30 @@ def compared(part: pd.DataFrame, limits: list[int]) -> pd.DataFrame:
     i, j = candidates(sig[first], sig[second], same, limits)
     good = linked([sets[x] for x in first], [sets[x] for x in second], i, j) if len(i) else np.empty(0, bool)
     i, j = first[i[good]], second[j[good]]
-    ids = part["rep"].to_numpy(np.int64)
+    ids, raws = part["id"].to_numpy(np.int64), part["raw"].to_numpy(np.int64)
     links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-    return pd.DataFrame({"rep": ids, "links": links.astype(np.int64), "root": smallest_linked(ids, i, j)})
+    order = np.lexsort((raws, ids))
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    root = order[smallest_linked(place, i, j)]
+    return pd.DataFrame({"id": ids, "raw": raws, "links": links.astype(np.int64), "root_id": ids[root], "root_raw": raws[root]})
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row (rows that repeat id and text once): ``id_col``, class_id (the smallest
     id of its group), n_links (other documents it is linked to), rep (the smallest id
-    of its exact copies) and n_words."""
-    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    of its exact copies), n_words, text_hash (xxhash64 of its text) and class_hash (that
+    of its group's first text: where class_id has many texts, the one that stands for it)."""
+    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"),
+                       F.xxhash64(docs[text_col]).alias("raw"))
+    first = F.min(F.struct(F.col("doc_id").alias("id"), "raw")).alias("rep")
     signed = written(signatures(docs), "op5-signatures")
     text = ["hash_a", "hash_b", "n_words"]
-    members = signed.select("doc_id", *text).distinct()
-    classes = members.groupBy(*text).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    members = signed.select("doc_id", "raw", *text).distinct()
+    classes = (members.groupBy("doc_id", *text).agg(F.min("raw").alias("raw"))
+               .groupBy(*text).agg(first, F.count("*").alias("copies")))
     # repeated rows of one id and text have one signature: the smallest id's bands stand for the class
-    bands = signed.groupBy(*text).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
+    bands = signed.groupBy(*text).agg(first, F.min_by("bands", "doc_id").alias("bands"))
     keys = bands.select("rep", F.explode("bands").alias("key")).distinct()
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     edges = keys.join(hubs, "key").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
@@ -227,29 +241,39 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # small components share tasks; blocks of a large one meet in pairs
     small = max(1, sizes.agg(F.sum("size")).first()[0] or 1) // BLOCK + 1
-    sets = (docs.join(blocked, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"])
-            .select("rep", "copies", "comp", "blocks", "block", "text")
-            .mapInPandas(with_sets, "rep long, copies long, comp long, blocks int, block int, sig binary, shingles binary")
+    blocked = blocked.select(F.col("rep.id").alias("id"), F.col("rep.raw").alias("raw"), "copies",
+                             F.col("comp.id").alias("comp"), F.col("comp.raw").alias("comp_raw"), "blocks", "block")
+    sets = (docs.withColumnRenamed("doc_id", "id").join(blocked, ["id", "raw"]).dropDuplicates(["id", "raw"])
+            .select("id", "raw", "copies", "comp", "comp_raw", "blocks", "block", "text")
+            .mapInPandas(with_sets, "id long, raw long, copies long, comp long, comp_raw long, blocks int, block int, "
+                                    "sig binary, shingles binary")
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("rep", "copies", "comp", "sig", "shingles",
-                    F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(small))).otherwise(F.col("comp")).alias("task"),
+            .select("id", "raw", "copies", "comp", "comp_raw", "sig", "shingles",
+                    F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp", "comp_raw"), F.lit(small))).otherwise(F.col("comp"))
+                    .alias("task"), F.when(F.col("blocks") > 1, F.col("comp_raw")).otherwise(0).alias("task_raw"),
                     (F.col("blocks") > 1).alias("big"), F.least("block", "other").alias("p"),
                     F.greatest("block", "other").alias("q"), (F.col("block") > F.col("other")).cast("int").alias("side")))
     limits = prune_limits()
 
     def compare(task: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([compared(g.reset_index(drop=True), limits) for _, g in task.groupby("comp")])
+        return pd.concat([compared(g.reset_index(drop=True), limits) for _, g in task.groupby(["comp", "comp_raw"])])
 
-    found = written(sets.groupBy("task", "big", "p", "q").applyInPandas(compare, "rep long, links long, root long"), "op5-links")
+    found = written(sets.groupBy("task", "task_raw", "big", "p", "q").applyInPandas(
+        compare, "id long, raw long, links long, root_id long, root_raw long").select(
+        F.struct("id", "raw").cast(REP).alias("rep"), "links",
+        F.struct(F.col("root_id").alias("id"), F.col("root_raw").alias("raw")).cast(REP).alias("root")), "op5-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "op5-groups")
     of_class = (classes.join(links, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-                .select(*text, "rep", F.coalesce("comp", "rep").alias("class_id"),
+                .select(*text, F.col("rep.id").alias("rep"), F.coalesce("comp", "rep").alias("class"),
                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    with_words = members.join(of_class, text).select("doc_id", "class_id", "n_links", "rep", "n_words")
+    with_words = members.join(of_class, text).select(
+        "doc_id", F.col("class.id").alias("class_id"), "n_links", "rep", "n_words", F.col("raw").alias("text_hash"),
+        F.col("class.raw").alias("class_hash"))
     bare = docs.where("doc_id IS NULL OR text IS NULL OR NOT text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
     without = bare.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-                          F.col("doc_id").alias("rep"), F.lit(0).cast("long").alias("n_words"))
+                          F.col("doc_id").alias("rep"), F.lit(0).cast("long").alias("n_words"),
+                          F.col("raw").alias("text_hash"), F.col("raw").alias("class_hash"))
     return with_words.unionByName(without).withColumnRenamed("doc_id", id_col)
 
 

@@ -42,6 +42,21 @@ def test_odd_rows(spark, docs_of):
     assert op.jaccard_groups(docs_of([])).collect() == []
 
 
+def test_texts_that_share_an_id(spark, docs_of):
+    import corpus_pipeline as pipe
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    a, b, c, d = texts
+    # id 1 stands on two classes with links of their own, id 5 on a near copy and a clean text
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (5, c + " end"), (5, d), (5, d), (7, None), (7, "x")]
+    got = sorted(((r.doc_id, r.class_id, r.n_links, r.n_words) for r in op.jaccard_groups(docs_of(rows)).collect()))
+    assert got == sorted([(1, 1, 1, 60), (1, 1, 1, 60), (2, 1, 1, 61), (3, 1, 1, 61), (4, 4, 1, 60), (5, 4, 1, 61),
+                          (5, 5, 0, 60), (7, 7, 0, 0), (7, 7, 0, 1)])
+    kept = pipe.near_duplicates(spark, docs_of(rows), None).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(1, a), (1, b), (4, c), (5, d), (7, ""), (7, "x")])
+    # near copies under one id: one stays
+    assert len(pipe.near_duplicates(spark, docs_of([(1, a), (1, a + " end"), (2, a)]), None).collect()) == 1
+
+
 def test_components_on_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.comp for r in op.components(edges, "test").collect()}
