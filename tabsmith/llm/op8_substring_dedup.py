@@ -1,6 +1,6 @@
-"""Substring dedup: repeated spans from a compacted De Bruijn graph of words.
+"""Substring dedup: repeated spans of words, grouped by source.
 
-An edge of the graph is a run of ``window`` words, and an edge that starts in
+An edge is a run of ``window`` words, and an edge that starts in
 two or more documents is repeated. Only repeated edges matter, so they are
 found in two steps that keep the shuffles small:
 
@@ -13,7 +13,8 @@ found in two steps that keep the shuffles small:
    position) of each hash is its source coordinate.
 
 Edges that follow one another in a document and whose sources follow one
-another too form a nonbranching path: they compact into one span
+another too (an island of equal distance to the source; no graph is built and no path
+is cut at a branch) compact into one span
 (document, starts, length, source document, source start). Each distinct source
 span is then read from its document, and words go only where the span's own
 words have the same SHA-256: a hash collision never removes a word.
@@ -119,7 +120,7 @@ SPAN = ["doc_id", "twin", "starts", "length", "src_doc", "src_twin", "src_start"
 
 
 def compacted(matched: DataFrame, window: int) -> DataFrame:
-    """Paths without a branch: (doc_id, twin, starts, length, src_doc, src_twin, src_start).
+    """Runs that follow one source, also through branches: (doc_id, twin, starts, length, src_doc, src_twin, src_start).
 
     Along a path the position and the source position grow together, so
     position minus rank is the same for all its edges. A text that repeats itself
