@@ -19,6 +19,7 @@ from . import op7_html_text as op7
 from . import op8_substring_dedup as op8
 from . import op9_fingerprints as op9
 from . import op10_quality as op10
+from . import op12_periodic_runs as op12
 from .common import table
 
 
@@ -76,6 +77,11 @@ def op10_quality(spark, sf_dir):
     return op10.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of every whole document, every tenth of them rewritten to a loop."""
+    return op12.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_topk_search": op2_topk_search,
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE_SQL = {
