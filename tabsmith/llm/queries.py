@@ -20,6 +20,7 @@ from . import op8_substring_dedup as op8
 from . import op9_fingerprints as op9
 from . import op10_quality as op10
 from . import op12_periodic_runs as op12
+from . import op13_differencing_packing as op13
 from .common import table
 
 
@@ -82,6 +83,11 @@ def op12_periodic_runs(spark, sf_dir):
     return op12.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True)
 
 
+def op13_differencing_packing(spark, sf_dir):
+    """All documents, tokenised and packed into near-equal sequences of 2048 tokens."""
+    return op13.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_topk_search": op2_topk_search,
@@ -94,6 +100,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_differencing_packing": op13_differencing_packing,
 }
 
 ORACLE_SQL = {
