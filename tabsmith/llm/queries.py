@@ -19,6 +19,7 @@ from . import op7_html_text as op7
 from . import op8_substring_dedup as op8
 from . import op9_fingerprints as op9
 from . import op10_quality as op10
+from . import op11_ranked_search as op11
 from . import op12_periodic_runs as op12
 from . import op13_differencing_packing as op13
 from .common import table
@@ -78,6 +79,11 @@ def op10_quality(spark, sf_dir):
     return op10.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    """The ten documents of highest score for every benchmark item."""
+    return op11.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     """Periodic runs of every whole document, every tenth of them rewritten to a loop."""
     return op12.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True)
@@ -99,6 +105,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
+    "op11_ranked_search": op11_ranked_search,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_differencing_packing": op13_differencing_packing,
 }
@@ -110,4 +117,5 @@ SELECT doc_id, source, lang, CAST(unnest(range(1, n_copies + 1)) AS INTEGER) AS
        md5(text) AS text_md5 FROM m""",
     "op5_jaccard_join": op5.SQL,
     "op8_substring_dedup": op8.SQL,
+    "op11_ranked_search": op11.SQL,
 }
