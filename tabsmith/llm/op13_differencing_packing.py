@@ -30,6 +30,7 @@ other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -50,15 +51,42 @@ WINDOWS = 1024
 Piece = tuple[int, int, int]   # document's place in its group, first id, ids
 
 
+# Fixed value: the pattern at which byte-level vocabularies of this kind cut texts.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _ranked(path: str):
+    """The file's vocabulary for ``tiktoken``, or None if its merges or its way of cutting
+    texts differ from what that library does."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec["pre_tokenizer"] or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"][a + b] for a, b in pairs]
+    if (spec["normalizer"] or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True)
+            or model.get("ignore_merges") or model.get("dropout") or any(a >= b for a, b in zip(ids, ids[1:]))):
+        return None
+    # visible bytes stand for themselves, the others for the characters from 256 on
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    made = {a + b for a, b in pairs} | set(byte)
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t in made}
+    return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class ByteTokens:
     """Token ids (little-endian, 4 bytes each) of whole texts under a byte-level
     vocabulary; remembers words, in bounded memory.
 
     The tokenizer never joins a space with what stands before it, except inside a
-    longer run of white space. So texts are cut before every space, and a text with a
-    space between two white-space characters, or with an added token, goes to the
-    tokenizer as it is. New words are tokenised many at a time: in their joined ids a
-    word begins at each token that begins with the byte of a space.
+    longer run of white space. So texts are cut before every space; a text with a
+    space between two white-space characters, or with an added token, is not cut. New
+    words are tokenised many at a time: in their joined ids a word begins at each
+    token that begins with the byte of a space. Where the file's merges come in the
+    order of their ids, all but the texts with added tokens go through ``tiktoken``
+    with the file's own vocabulary, which then merges alike; else through the tokenizer.
     """
 
     _inner = re.compile(r"\s (?:\s|\Z)").search
@@ -74,8 +102,15 @@ class ByteTokens:
         for token, i in self.whole.get_vocab().items():
             self.begins[i] = token.startswith("Ġ")
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.quick = _ranked(path)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without added tokens."""
+        if self.quick:
+            return [np.array(self.quick.encode_ordinary(t), "<u4").tobytes() for t in texts]
+        return self._by_tokenizer(texts)
+
+    def _by_tokenizer(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
@@ -86,13 +121,15 @@ class ByteTokens:
             self.known[word] = ids
         for lo in range(0, len(new), 50_000):
             part = new[lo:lo + 50_000]
-            [data] = self._encoded([" " + " ".join(part)])
+            joined = " " + " ".join(part)
+            [data] = self._encoded([joined])
             at = np.flatnonzero(self.begins[np.frombuffer(data, "<u4")]) * 4
             for word, a, b in zip(part, at.tolist(), [*at[1:].tolist(), len(data)]):
                 self.known[word] = data[a:b]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        cut = [not self._inner(t) and not any(a in t for a in self.added) for t in texts]
+        special = [any(a in t for a in self.added) for t in texts]
+        cut = [not s and not self._inner(t) for t, s in zip(texts, special)]
         split = [t.split(" ") if c else [t] for t, c in zip(texts, cut)]
         heads = [words[0] for words in split]
         if len(self.known) > self.limit:
@@ -101,7 +138,7 @@ class ByteTokens:
             self.firsts.clear()
         first = list({h for h, c in zip(heads, cut) if c and h not in self.firsts})
         self.firsts.update(zip(first, self._encoded(first)))
-        whole = iter(self._encoded([h for h, c in zip(heads, cut) if not c]))
+        whole = iter([(self._by_tokenizer if s else self._encoded)([t])[0] for t, c, s in zip(texts, cut, special) if not c])
         get = self.known.get
         found = [list(map(get, words[1:])) for words in split]
         new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words[1:], ids) if i is None}

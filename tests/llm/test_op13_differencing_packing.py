@@ -77,9 +77,13 @@ def test_word_ids_are_the_tokenizers_own():
     tok, rng = Tokenizer.from_file(PATH), np.random.default_rng(1)
     alphabet = [" ", " ", "  ", "\n", "\t", "\r", "a", "bc", "don't", "É", "漢", "1", "23", ".", ",", "!?", " ", "\x1c", "<|endoftext|>", "🙂", "Ġ"]
     texts = ["".join(rng.choice(alphabet, int(rng.integers(0, 14)))) for _ in range(4000)]
-    got = op.ByteTokens(PATH, limit=50).of(texts)
-    got = got if len(got) else got
-    for text, ids in zip(texts, got):
+    texts += [f"a{chr(c)}b 1{chr(c)} {chr(c)}  {chr(c)}{chr(c)}'{chr(c)}" for c in [*range(0x3000), *range(0x3000, 0x20000, 97)]
+              if not 0xD800 <= c < 0xE000]
+    quick, plain = op.ByteTokens(PATH, limit=50), op.ByteTokens(PATH, limit=50)
+    assert quick.quick
+    plain.quick = None
+    for text, ids, same in zip(texts, quick.of(texts), plain.of(texts)):
+        assert ids == same
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
