@@ -46,15 +46,34 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Spark's own switch: files of a query's shuffles go when the query is over.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends
-    there, so a lost executor costs no recomputation of what came before."""
+    there, so a lost executor costs no recomputation of what came before, and
+    the files of the shuffles that made it are given up."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Give up the files of a ``written`` table that has no reader left."""
+    spark = df.sparkSession
+    top, jvm = shared_dir(spark), spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() == jvm.org.apache.hadoop.fs.Path(top).toUri().getPath():
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc32_mod(column: str, n: int):
     """crc32 of the id as text, modulo ``n`` (NULL ids count as empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -1,23 +1,27 @@
-"""Substring dedup: repeated spans of words, grouped by source.
+"""Substring dedup: a De Bruijn graph of the repeated words, compacted to paths.
 
-An edge is a run of ``window`` words, and an edge that starts in
-two or more documents is repeated. Only repeated edges matter, so they are
-found in two steps that keep the shuffles small:
+An edge is a run of ``window`` words, from the node of its first ``window - 1`` words
+to the node of its last. An edge that starts in two or more documents is repeated,
+and only repeated edges enter the graph:
 
 1. *Anchors.* Of the short runs inside an edge, the one with the smallest hash
    stands for it. Equal edges have equal anchors, so an edge can be repeated
-   only if its anchor occurs in two documents of different text. One row for
-   each anchor (about 2 in 36 words) is counted; exact copies of whole
-   documents count once there and are settled by their whole-text hash.
-2. *Edges.* Edges over a repeated anchor are hashed; the smallest (doc_id,
-   position) of each hash is its source coordinate.
-
-Edges that follow one another in a document and whose sources follow one
-another too (an island of equal distance to the source; no graph is built and no path
-is cut at a branch) compact into one span
-(document, starts, length, source document, source start). Each distinct source
-span is then read from its document, and words go only where the span's own
-words have the same SHA-256: a hash collision never removes a word.
+   only if its anchor occurs in two documents of different text. The anchors of a
+   document (about 2 in 36 words) are counted; exact copies of whole
+   documents are settled by their whole-text hash.
+2. *Edges.* Edges over a repeated anchor are hashed with their end nodes, and written
+   as runs of neighbours; the smallest (doc_id, position) of each repeated
+   edge is its source coordinate.
+3. *Degrees.* Each repeated edge is joined to its two nodes. A node with two
+   different edges in, or two out, is a branch.
+4. *Compaction.* Edges whose sources follow one another, with no branch between them,
+   make one path, named by the source coordinate of its first edge. So a path
+   is cut at every branch and where the source changes. Where a document
+   walks along a path, its edges compact into one span (document, starts, length,
+   source document, source start).
+5. *Verification.* Each distinct source span is read from its document, and words
+   go only where the span's own words have the same SHA-256: a hash collision
+   never removes a word (of nodes it can at most cut a path).
 
 Cases: NULL text has no words; documents of fewer words than a window keep all;
 rows with NULL ids neither remove words nor lose any; rows that repeat an id
@@ -36,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_HASHES, rolling, written
+from .common import WORD_HASHES, dropped, rolling, written
 
 ANCHOR = 16   # words of an anchor
 #: Key of rows without an id in joins; such rows take no other part.
@@ -66,10 +70,10 @@ def anchor_of_edges(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, text_hash, n_words, doc_id, raw), one row per anchor of a document."""
+    """(doc_id, raw, text_hash, n_words, anchors) of every document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found, whole, sizes, counts = [], [], [], []
+            found, whole, sizes = [], [], []
             for text in batch["text"]:
                 words = words_of(text)
                 n, own = len(words), np.empty(0, np.uint64)
@@ -79,23 +83,21 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
                     whole.append(rolling(hashes, n)[0])
                 else:
                     whole.append(0)
-                found.append(own)
+                found.append(own.view(np.int64))
                 sizes.append(n)
-                counts.append(len(own))
-            yield pd.DataFrame({
-                "anchor": np.concatenate(found).view(np.int64) if found else [],
-                "text_hash": np.repeat(np.array(whole, np.uint64).view(np.int64), counts),
-                "n_words": np.repeat(np.array(sizes, np.int64), counts),
-                "doc_id": np.repeat(batch["key"].to_numpy(np.int64), counts),
-                "raw": np.repeat(batch["raw"].to_numpy(np.int64), counts)})
+            long = np.array(sizes, np.int64) >= window
+            out = pd.DataFrame({"doc_id": batch["key"].to_numpy(np.int64), "raw": batch["raw"].to_numpy(np.int64),
+                                "text_hash": np.array(whole, np.uint64).view(np.int64), "n_words": sizes, "anchors": found})
+            yield out[long]
 
     return docs.where(f"key > {NO_ID}").select("key", "text", raw()).mapInPandas(
-        run, "anchor long, text_hash long, n_words long, doc_id long, raw long")
+        run, "doc_id long, raw long, text_hash long, n_words long, anchors array<long>")
 
 
-def edges(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(edge, doc_id, twin, pos): every edge of ``docs`` over an anchor that ``wanted``
-    (key, raw, twin, anchors) lists for its text."""
+def edge_runs(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """(doc_id, twin, start, edges, nodes): the edges of ``docs`` over an anchor that
+    ``wanted`` (key, raw, twin, anchors) lists for its text, one row for each run of
+    neighbours; node i and node i + 1 are the ends of edge i."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lo in range(0, len(batch), 500):
@@ -106,31 +108,63 @@ def edges(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                         continue
                     at = np.flatnonzero(np.isin(anchor_of_edges(hashes, window),
                                                 np.asarray(own, np.int64).view(np.uint64)))
-                    out.append((rolling(hashes, window)[at].view(np.int64), np.full(len(at), key, np.int64),
-                                np.full(len(at), twin, np.int64), at))
+                    edge, node = rolling(hashes, window).view(np.int64), rolling(hashes, window - 1).view(np.int64)
+                    for run_ in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
+                        if len(run_):
+                            a, b = int(run_[0]), int(run_[-1]) + 1
+                            out.append((key, twin, a, edge[a:b], node[a:b + 1]))
                 if out:
-                    edge, key, twin, at = (np.concatenate(x) for x in zip(*out))
-                    yield pd.DataFrame({"edge": edge, "doc_id": key, "twin": twin, "pos": at})
+                    yield pd.DataFrame(out, columns=["doc_id", "twin", "start", "edges", "nodes"])
 
     return (docs.withColumn("raw", raw()).join(wanted, ["key", "raw"]).select("key", "text", "twin", "anchors")
-            .mapInPandas(run, "edge long, doc_id long, twin long, pos long"))
+            .mapInPandas(run, "doc_id long, twin long, start long, edges array<long>, nodes array<long>"))
+
+
+def sources(runs: DataFrame) -> DataFrame:
+    """(edge, src_doc, src_twin, src_pos, path): every repeated edge at its source, and
+    the first source position of its path.
+
+    The graph: in- and out-degrees are counted by node; a path goes on from edge to edge
+    of one source while the node between them is no branch.
+    """
+    each = runs.select("doc_id", "twin", "start", F.posexplode(F.arrays_zip(
+        "edges", F.slice("nodes", 1, F.size("edges")).alias("from"), F.slice("nodes", 2, F.size("edges")).alias("to"))).alias("i", "e"))
+    first = (each.select(F.col("e.edges").alias("edge"), "doc_id",
+                         F.struct("doc_id", "twin", (F.col("start") + F.col("i")).alias("pos"), "e.from", "e.to").alias("at"))
+             .groupBy("edge").agg(F.min("at").alias("at"), F.max("doc_id").alias("last")).where("last > at.doc_id")
+             .select("edge", "at.*"))
+    first = written(first, "op8-first")
+    ends = first.select("edge", F.explode(F.array(
+        F.struct(F.col("from").alias("node"), F.lit(True).alias("out")),
+        F.struct(F.col("to").alias("node"), F.lit(False).alias("out")))).alias("n")).select("n.node", *[
+            F.when(F.col("n.out") == side, F.col("edge")).alias(name) for side, name in ((True, "leaving"), (False, "entering"))])
+    branch = (ends.groupBy("node").agg(*[f(c).alias(f"{n}_{c}") for c in ("leaving", "entering")
+                                         for n, f in (("low", F.min), ("high", F.max))])
+              .where("low_leaving <> high_leaving OR low_entering <> high_entering")
+              .select(F.col("node").alias("from"), F.lit(True).alias("branch")))
+    order = Window.partitionBy("doc_id", "twin").orderBy("pos")      # the edges of one document
+    starts = F.col("branch").isNotNull() | ~F.col("pos").eqNullSafe(F.lag("pos").over(order) + 1)
+    return (first.join(branch, "from", "left").withColumn("starts", F.when(starts, F.col("pos")))
+            .select("edge", F.col("doc_id").alias("src_doc"), F.col("twin").alias("src_twin"), F.col("pos").alias("src_pos"),
+                    F.last("starts", ignorenulls=True).over(order).alias("path")))
 
 
 SPAN = ["doc_id", "twin", "starts", "length", "src_doc", "src_twin", "src_start"]
 
 
 def compacted(matched: DataFrame, window: int) -> DataFrame:
-    """Runs that follow one source, also through branches: (doc_id, twin, starts, length, src_doc, src_twin, src_start).
+    """Walks along a path: (doc_id, twin, starts, length, src_doc, src_twin, src_start).
 
     Along a path the position and the source position grow together, so
     position minus rank is the same for all its edges. A text that repeats itself
     goes round a cycle of the graph: the same source path then stands at many
     places of the document, which are kept as one row with all its starts.
     """
-    order = Window.partitionBy("doc_id", "twin", "src_doc", "src_twin", "shift").orderBy("pos")
+    walk = ["doc_id", "twin", "src_doc", "src_twin", "shift", "path"]
+    order = Window.partitionBy(*walk).orderBy("pos")
     return (matched.withColumn("shift", F.col("pos") - F.col("src_pos"))
-            .withColumn("path", F.col("pos") - F.dense_rank().over(order))
-            .groupBy("doc_id", "twin", "src_doc", "src_twin", "shift", "path")
+            .withColumn("walk", F.col("pos") - F.dense_rank().over(order))
+            .groupBy(*walk, "walk")
             .agg(F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + window).alias("length"))
             .groupBy("doc_id", "twin", "src_doc", "src_twin", (F.col("start") - F.col("shift")).alias("src_start"), "length")
             .agg(F.collect_list("start").alias("starts")).select(*SPAN))
@@ -162,8 +196,8 @@ def dedup_spans(docs: DataFrame, shuffled: DataFrame, window: int) -> DataFrame:
     """Verified spans to remove, grouped: (key, spans array<struct<starts, length, sha>>).
     ``docs``: key, text, and columns to carry; ``shuffled``: the same rows by key."""
     found = written(anchors(docs, window), "op8-anchors")
-    repeated = (found.groupBy("anchor").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
-                .where("a <> b").select("anchor"))
+    repeated = (found.select(F.explode("anchors").alias("anchor"), "raw").groupBy("anchor")
+                .agg(F.min("raw").alias("a"), F.max("raw").alias("b")).where("a <> b").select("anchor"))
     members = found.select("doc_id", "text_hash", "n_words", "raw").distinct()
     # 0 for the text of an id that has one, which is nearly every row
     twins = (members.groupBy("doc_id").agg(F.min("raw").alias("a"), F.max("raw").alias("b"))
@@ -176,19 +210,21 @@ def dedup_spans(docs: DataFrame, shuffled: DataFrame, window: int) -> DataFrame:
               .select("doc_id", "twin", F.array(F.lit(0).cast("long")).alias("starts"), F.col("n_words").alias("length"),
                       F.col("src.doc_id").alias("src_doc"), F.col("src.twin").alias("src_twin"),
                       F.lit(0).cast("long").alias("src_start"), "raw"))
+    copies = written(copies, "op8-copies")
     # only the copied text leaves the search, not the other texts of its id
-    wanted = (found.join(repeated, "anchor").join(copies, ["doc_id", "raw"], "left_anti")
-              .groupBy("doc_id", "raw").agg(F.collect_list("anchor").alias("anchors"))
+    wanted = (found.select("doc_id", "raw", F.explode("anchors").alias("anchor")).join(repeated, "anchor")
+              .groupBy("doc_id", "raw").agg(F.collect_set("anchor").alias("anchors"))
+              .join(copies, ["doc_id", "raw"], "left_anti")
               .join(members.select("doc_id", "raw", "twin"), ["doc_id", "raw"]).withColumnRenamed("doc_id", "key"))
     # both sides of the join below come from written tables, so a very frequent edge
     # is split over tasks; its source is found from partial minima
-    every = written(edges(docs, wanted, window), "op8-edges")
-    source = (every.groupBy("edge").agg(F.min(F.struct("doc_id", "twin", "pos")).alias("src"), F.max("doc_id").alias("last"))
-              .where("last > src.doc_id").select("edge", F.col("src.doc_id").alias("src_doc"),
-                                                 F.col("src.twin").alias("src_twin"), F.col("src.pos").alias("src_pos")))
-    source = written(source, "op8-sources")
+    runs = written(edge_runs(docs, wanted, window), "op8-edges")
+    dropped(found)
+    source = written(sources(runs), "op8-sources")
+    every = runs.select("doc_id", "twin", F.posexplode("edges").alias("i", "edge"), "start").select(
+        "doc_id", "twin", (F.col("start") + F.col("i")).alias("pos"), "edge")
     matched = (every.join(source, "edge").where("doc_id > src_doc")
-               .select("doc_id", "twin", "pos", "src_doc", "src_twin", "src_pos"))
+               .select("doc_id", "twin", "pos", "src_doc", "src_twin", "src_pos", "path"))
     spans = compacted(matched, window).unionByName(copies.select(*SPAN))
     checked = spans.join(source_spans(shuffled, spans), ["src_doc", "src_twin", "src_start", "length"])
     # a span holds for every text of its id that has the source's words at its place
