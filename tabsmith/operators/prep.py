@@ -25,7 +25,7 @@ from .profile import feature_type_map, typed_columns
 # Up to this many distinct values a column's quantiles come from ``percentile``
 # inside the one-pass parameter aggregation (its buffer holds one entry per
 # distinct value); above it they come from the distributed exact quantiles.
-EXACT_MAP_MAX_DISTINCT = 1_000_000
+EXACT_MAP_MAX_DISTINCT = 10_000
 APPROX_ACCURACY = 1_000_000
 DATETIME_PARTS = ["year", "month", "day", "dayofweek", "is_weekend", "hour", "minute", "second"]
 
@@ -154,7 +154,7 @@ class FeaturePipeline:
             row = df.agg(*aggs).collect()[0]
             vals = {k: row[f"a{i}"] for i, k in enumerate(keys)}
         if deferred:
-            from .ranking import quantile_arrays
+            from .quantiles import quantile_arrays
             probs = sorted({p for ps in deferred.values() for p in ps})
             qa = quantile_arrays(df, list(deferred), probs)
             for c, arr in qa.items():

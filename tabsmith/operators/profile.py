@@ -233,11 +233,7 @@ def profile(df: DataFrame, columns=None, target: str | Column | None = None,
                      int(r.get("inf_count") or 0) if numeric else None,
                      n_parsed, (n_parsed / n_nn) if (n_parsed is not None and n_nn) else None,
                      bool(ordinal.get(c, False))))
-    schema = ("position int, column_name string, kind string, spark_type string, n_rows long, n_nonnull long, "
-              "n_null long, n_unique long, top_value string, top_count long, top_share double, missing_ratio double, "
-              "min double, max double, mean double, sd double, zero_count long, inf_count long, "
-              "n_parsed_datetime long, parse_rate double, is_ordinal boolean")
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
 def with_flags(prof: DataFrame, high_card: int = HIGH_CARDINALITY, low_card: int = LOW_CARDINALITY,
@@ -258,7 +254,7 @@ def with_flags(prof: DataFrame, high_card: int = HIGH_CARDINALITY, low_card: int
         (F.col("missing_ratio") > missing_heavy).alias("is_missing_heavy"),
         (F.col("n_unique") <= 1).alias("is_constant"),
         F.when(F.col("n_nonnull") == 0, F.lit(True))
-         .otherwise(F.col("top_share") > near_constant).alias("is_near_constant"),
+         .otherwise(F.coalesce(F.col("top_share") > near_constant, F.lit(False))).alias("is_near_constant"),
     )
 
 
@@ -299,44 +295,87 @@ def detect_feature_types(df: DataFrame, target: str | Column | None = None, conf
         low_card, overrides.get("ordinal", []), overrides.get("nominal", [])))
 
 
-def typed_columns(df: DataFrame, target: str | Column | None = None, config: dict | None = None, columns=None) -> DataFrame:
-    """B13 without the full profile: ``(position, column_name, kind, n_nonnull, n_unique,
-    parse_rate, is_ordinal, feature_type)``.
+#: Up to about this many values a column is counted value by value in the bounded profile.
+COUNTED_VALUES = 1_000
+
+PROFILE_SCHEMA = ("position int, column_name string, kind string, spark_type string, n_rows long, n_nonnull long, "
+                  "n_null long, n_unique long, top_value string, top_count long, top_share double, missing_ratio double, "
+                  "min double, max double, mean double, sd double, zero_count long, inf_count long, "
+                  "n_parsed_datetime long, parse_rate double, is_ordinal boolean")
+
+
+def bounded_profile(df: DataFrame, columns=None, target: str | Column | None = None,
+                    low_card: int = LOW_CARDINALITY, datetime_formats=None) -> DataFrame:
+    """The profile (columns as ``profile``) that every threshold test needs, without a
+    row per distinct value.
+
+    1. One wide aggregation: counts, moments, parsed dates, an estimate of the distinct
+       values and, per column, the median of the values' hashes. What is exchanged is
+       one row per task. A value that more than half of the rows hold stands in
+       the middle of any order, so the median hash is its hash.
+    2. Columns of at most about ``COUNTED_VALUES`` values are counted exactly, value by
+       value (and tested for an ordinal trend against ``target``). Of the others only
+       that one candidate is counted.
 
-    One wide aggregation counts, parses and estimates distinct values of all columns;
-    nothing is shuffled but its one row per task. Typing asks whether a column has at
-    most ``low_cardinality_threshold`` values, so only columns whose estimate is near
-    that limit or below are counted exactly. Beyond it ``n_unique`` is the estimate.
+    So ``n_unique`` is exact up to that limit and the estimate beyond; ``top_value``
+    and ``top_count`` are exact there, and beyond it given only for a value of more than
+    half of the rows (else NULL). No threshold of the typing and cleaning rules falls between.
     """
-    config = config or {}
-    low_card = config.get("low_cardinality_threshold", LOW_CARDINALITY)
-    formats = config.get("datetime_formats")
-    overrides = config.get("feature_type_overrides", {}) or {}
     if isinstance(target, str) and columns is None:
         columns = [c for c in df.columns if c != target]
     cols = _profiled_columns(df, columns)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c, kind in cols:
-        x = nan_to_null(qc(c)) if is_float_type(df.schema[c].dataType) else qc(c)
-        aggs += [F.count(x).alias(f"c{i}"), F.approx_count_distinct(x, 0.03).alias(f"u{i}")]
-        if kind == "string":
-            aggs.append(F.count(safe_timestamp(qc(c), formats)).alias(f"p{i}"))
-    one = df.agg(*aggs).first()
-    # the estimate is nearly exact at such small counts; twice the limit leaves no doubt
-    few = [c for i, c, kind in cols if kind != "datetime" and one[f"u{i}"] <= 2 * low_card + 10]
-    exact = {}
+    wide = {r["column_name"]: r for r in wide_stats(df, columns, datetime_formats).collect()}
+    if not cols:
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
+    own = [nan_to_null(qc(c)) if is_float_type(df.schema[c].dataType) else qc(c) for _, c, _ in cols]
+    keys = [F.when(x.isNotNull(), F.xxhash64(x)) for x in own]
+    aggs = [f for x, k in zip(own, keys) for f in (F.approx_count_distinct(x, 0.03), F.percentile_approx(k, 0.5, 100))]
+    seen = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
+    # at such counts the estimate is off by a few percent; twice the limit of any rule leaves no doubt
+    few = [c for i, (_, c, _) in enumerate(cols) if seen[2 * i] <= COUNTED_VALUES]
+    exact, points = {}, {}
     if few:
-        exact = {r["column_name"]: r for r in profile(df, few, target, low_card, formats).select(
-            "column_name", "n_unique", "is_ordinal").collect()}
+        counts = value_counts_long(df, few, target)
+        trend = [F.struct("num", "t_mean")] if target is not None else []
+        near = F.collect_list(trend[0]).alias("pts") if trend else F.lit(None).alias("pts")
+        for r in (counts.groupBy("column_name").agg(
+                F.count(F.lit(1)).alias("n_unique"), F.max("cnt").alias("top_count"),
+                F.min_by("value", F.struct((-F.col("cnt")).alias("k"), F.col("value").alias("v"))).alias("top_value"), near).collect()):
+            exact[r["column_name"]] = r
+            points[r["column_name"]] = [(p["num"], p["t_mean"]) for p in r["pts"] or []]
+    many = [i for i, (_, c, _) in enumerate(cols) if c not in exact and seen[2 * i + 1] is not None]
+    candidate = {}
+    if many:
+        hit = [(keys[i] == seen[2 * i + 1]) for i in many]
+        one = df.agg(*[f for h, i in zip(hit, many) for f in (
+            F.count_if(h), F.max(F.when(h, own[i].cast("string"))))]).first()
+        candidate = {cols[i][1]: (one[2 * j], one[2 * j + 1]) for j, i in enumerate(many)}
     rows = []
-    for i, c, kind in cols:
-        nonnull, r = one[f"c{i}"], exact.get(c)
-        rate = one[f"p{i}"] / nonnull if kind == "string" and nonnull else None
-        rows.append((i, c, kind, nonnull, r["n_unique"] if r else one[f"u{i}"], rate, bool(r and r["is_ordinal"])))
-    table = df.sparkSession.createDataFrame(rows, "position int, column_name string, kind string, n_nonnull long, "
-                                                  "n_unique long, parse_rate double, is_ordinal boolean")
-    return table.withColumn("feature_type", feature_type_expr(
-        low_card, overrides.get("ordinal", []), overrides.get("nominal", [])))
+    for i, (pos, c, kind) in enumerate(cols):
+        w, r = wide[c], exact.get(c)
+        numeric, nonnull = kind in ("numeric", "boolean"), w["n_nonnull"]
+        top_count, top_value = (r["top_count"], r["top_value"]) if r else candidate.get(c, (None, None))
+        if not r and nonnull and not (top_count or 0) * 2 > nonnull:
+            top_count = top_value = None
+        n_unique = r["n_unique"] if r else seen[2 * i]
+        ordinal = numeric and target is not None and r is not None and 3 <= n_unique <= low_card and _monotone(points[c])
+        parsed = w["n_parsed_datetime"]
+        rows.append((pos, c, kind, w["spark_type"], w["n_rows"], nonnull, w["n_null"], n_unique, top_value,
+                     top_count if nonnull else 0, top_count / nonnull if top_count and nonnull else None,
+                     w["n_null"] / w["n_rows"] if w["n_rows"] else None, w["min"], w["max"], w["mean"], w["sd"],
+                     w["zero_count"], w["inf_count"], parsed, parsed / nonnull if parsed is not None and nonnull else None, bool(ordinal)))
+    return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
+
+
+def typed_columns(df: DataFrame, target: str | Column | None = None, config: dict | None = None, columns=None) -> DataFrame:
+    """B13 without the full profile: ``(position, column_name, kind, n_nonnull, n_unique,
+    parse_rate, is_ordinal, feature_type)`` from the bounded one."""
+    config = config or {}
+    low_card = config.get("low_cardinality_threshold", LOW_CARDINALITY)
+    overrides = config.get("feature_type_overrides", {}) or {}
+    prof = bounded_profile(df, columns, target, low_card, config.get("datetime_formats"))
+    return prof.select("position", "column_name", "kind", "n_nonnull", "n_unique", "parse_rate", "is_ordinal",
+                       feature_type_expr(low_card, overrides.get("ordinal", []), overrides.get("nominal", [])).alias("feature_type"))
 
 
 def feature_type_map(types_df: DataFrame) -> dict[str, list[str]]:
@@ -374,7 +413,7 @@ def stable_categoricals(prof: DataFrame, max_unique: int = 50, max_missing_ratio
             .where((F.col("n_nonnull") > 0)
                    & (F.col("n_unique") <= max_unique)
                    & (F.col("missing_ratio") <= max_missing_ratio)
-                   & (F.col("top_share") <= 1 - min_freq_ratio))
+                   & F.coalesce(F.col("top_share") <= 1 - min_freq_ratio, F.lit(True)))
             .select("position", "column_name"))
 
 
@@ -511,21 +550,18 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, approx: bool =
         qs = qs.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                        F.col("q")[2].alias("q3"))
     else:
-        # exact quartiles, computed eagerly: one row per group reaches the driver
-        from .ranking import exact_quantiles
-        eq = exact_quantiles(base, ["__x"], [0.25, 0.5, 0.75], by=by).collect()
-        spark = df.sparkSession
-        groups: dict = {}
-        for r in eq:
-            g = r[by] if by else None
-            groups.setdefault(g, {"n": r["n"]})[r["pi"]] = r["q"]
-        by_type = base.schema[by].dataType.simpleString() if by else None
-        schema = (f"`{by}` {by_type}, " if by else "") + "n long, q1 double, median double, q3 double"
-        qs = spark.createDataFrame(
-            [((g,) if by else ()) + (v["n"], v.get(0), v.get(1), v.get(2)) for g, v in groups.items()], schema)
+        probs = [0.25, 0.5, 0.75]
+        if by:
+            from .ranking import grouped_quantiles
+            qs = grouped_quantiles(base, "__x", probs, by)
+        else:
+            from .quantiles import quantile_arrays
+            qs = base.agg(F.count(F.lit(1)).alias("n")).withColumn(
+                "q", F.array(*[F.lit(v).cast("double") for v in quantile_arrays(base, ["__x"], probs)["__x"]]))
+        qs = qs.select(*[qc(k) for k in keys], "n", *[F.col("q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
     qs = qs.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    joined = base.join(F.broadcast(qs), keys) if by else base.crossJoin(F.broadcast(qs))
+    joined = base.join(qs, keys) if by else base.crossJoin(F.broadcast(qs))     # one row without groups
     inside = (F.col("__x") >= F.col("lo_fence")) & (F.col("__x") <= F.col("hi_fence"))
     out = joined.groupBy(*keys).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
@@ -545,7 +581,7 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     cols = _profiled_columns(df, columns)
     numeric = [(i, c) for i, c, k in cols if k in ("numeric", "boolean")]
     if numeric:
-        from .ranking import quantile_arrays
+        from .quantiles import quantile_arrays
         num_df = df.select(*[_num(df, c).alias(c) for _, c in numeric])
         qa = quantile_arrays(num_df, [c for _, c in numeric], [0.25, 0.5, 0.75])
         qs = df.sparkSession.createDataFrame([(c, v) for c, v in qa.items()], "column_name string, q array<double>")

@@ -11,32 +11,32 @@ No task holds more than one range, at any number of rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
 MIN_RANGES, MAX_RANGES = 8, 16_384
-# A column with at most this many distinct values takes its quantiles from
-# ``percentile`` with frequencies over the value counts (a buffer of that many
-# entries); larger columns use the range-partitioned running counts.
-MAP_MAX_DISTINCT = 100_000
 
 
 def range_ids(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PER_RANGE, out_col: str = "__range") -> DataFrame:
     """Add a range id that is monotone in ``order_col`` (numeric).
 
-    One aggregation yields the row count and the cut points (approximate
-    quantiles): about ``rows_per_range`` rows fall in each range, never fewer
-    than ``MIN_RANGES`` ranges are cut.
+    One aggregation yields the row count and the few cut points (approximate
+    quantiles) that ``MIN_RANGES`` ranges need. Only a table of more than
+    ``MIN_RANGES * rows_per_range`` rows asks once more, for the cut points of as
+    many ranges as it fills.
     """
     x = F.col(order_col).cast("double")
-    probs = [k / MAX_RANGES for k in range(1, MAX_RANGES)]
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, probs, 4 * MAX_RANGES).alias("q")).first()
-    n_ranges = min(MAX_RANGES, max(MIN_RANGES, -(-r["n"] // rows_per_range)))
-    picked = (r["q"] or [])[:: max(1, MAX_RANGES // n_ranges)]
-    splits = [float("-inf"), *sorted({float(q) for q in picked if q is not None}), float("inf")]
+
+    def cuts(n_ranges: int):
+        probs = [k / n_ranges for k in range(1, n_ranges)]
+        return F.percentile_approx(x, probs, 4 * n_ranges).alias("q")
+
+    r = df.agg(F.count(F.lit(1)).alias("n"), cuts(MIN_RANGES)).first()
+    n_ranges = min(MAX_RANGES, -(-r["n"] // rows_per_range))
+    q = r["q"] if n_ranges <= MIN_RANGES else df.agg(cuts(n_ranges)).first()["q"]
+    splits = [float("-inf"), *sorted({float(v) for v in q or [] if v is not None}), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     b = Bucketizer(splits=splits, inputCol="__ord", outputCol=out_col, handleInvalid="keep")
@@ -45,15 +45,22 @@ def range_ids(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PER_RANG
 
 def prefix_offsets(totals: DataFrame, key: str, cols, descending: bool = False) -> DataFrame:
     """``(key, __o_col ...)``: for each row of a short table the sums of ``cols`` over the
-    rows before it by ``key``. The table becomes one row of a sorted array."""
+    rows before it by ``key``. The table becomes one row of a sorted array, and one
+    pass over it carries the sums along."""
     kinds = dict(totals.dtypes)
     row = totals.agg(F.sort_array(F.collect_list(F.struct(key, *cols)), not descending).alias("a"))
-    sums = ", ".join(f"'__o_{c}', aggregate(slice(a, 1, i), CAST(0 AS {kinds[c]}), (s, y) -> s + y.{c})" for c in cols)
-    return row.select(F.explode(F.expr(f"transform(a, (x, i) -> named_struct('{key}', x.{key}, {sums}))")).alias("r")).select("r.*")
+    start = ", ".join(f"'{c}', CAST(0 AS {kinds[c]})" for c in cols)
+    step = ", ".join(f"'{c}', CAST(acc.s.{c} + y.{c} AS {kinds[c]})" for c in cols)
+    item = ", ".join([f"'{key}', y.{key}", *(f"'__o_{c}', acc.s.{c}" for c in cols)])
+    kind = ", ".join([f"{key}: {kinds[key]}", *(f"__o_{c}: {kinds[c]}" for c in cols)])
+    carried = (f"aggregate(a, named_struct('s', named_struct({start}), 'out', CAST(array() AS array<struct<{kind}>>)), "
+               f"(acc, y) -> named_struct('s', named_struct({step}), 'out', concat(acc.out, array(named_struct({item})))), "
+               "acc -> acc.out)")
+    return row.select(F.explode(F.expr(carried)).alias("r")).select("r.*")
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = False,
-                 inclusive: bool = True, n_rows: int | None = None,
+                 inclusive: bool = True,
                  rows_per_range: int = ROWS_PER_RANGE, prefix: str = "cum_",
                  partition_cols=()) -> DataFrame:
     """For each row, sums of ``sum_cols`` over all rows before it in the order
@@ -78,100 +85,38 @@ def running_sums(df: DataFrame, order_col: str, sum_cols, descending: bool = Fal
     return out.drop("__range", *[f"__o_{c}" for c in sum_cols])
 
 
-def average_ranks(df: DataFrame, column: str, n_distinct: int | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, column: str) -> DataFrame:
     """Tie-averaged 1-based ranks of the non-NULL values of ``column``: ``(value, rank)``."""
     vc = (df.where(F.col(column).isNotNull())
           .groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("cnt")))
-    rs = running_sums(vc, "value", ["cnt"], inclusive=False, n_rows=n_distinct)
+    rs = running_sums(vc, "value", ["cnt"], inclusive=False)
     return rs.select("value", (F.col("cum_cnt") + (F.col("cnt") + 1) / 2.0).alias("rank"))
 
 
-def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None,
-                    persist_counts: bool = True) -> DataFrame:
-    """Exact linear-interpolation quantiles of many numeric columns at once:
-    a local table ``([by,] column_name, pi, p, n, q)``, equal to ``percentile``
-    but without gathering all distinct values of a column into one buffer.
-
-    1. values are counted per ``([by,] column, value)`` (map-side partial
-       aggregation) and the counts are persisted while used;
-    2. running counts over the sorted distinct values are formed in ranges
-       (``running_sums``);
-    3. the needed order statistics — at most 2 per probability, column and
-       group — are picked by a broadcast range lookup and collected;
-    4. q = v[floor h] + (h - floor h) (v[ceil h] - v[floor h]), h = (n - 1) p.
-    Only per-(group, column, probability) numbers reach the driver.
-    """
-    import math
+def grouped_quantiles(df: DataFrame, column: str, probs, by: str) -> DataFrame:
+    """Exact linear-interpolation quantiles of a numeric column per group, as a table
+    ``(by, n, q)`` with one array of quantiles a group, equal to ``percentile``.
 
+    Values are counted per ``(by, value)``, running counts are formed in ranges of the
+    values, and each row says itself which order statistics it holds. Nothing is
+    collected; a group is as many rows in the last step as it has wanted ranks.
+    """
     from ..functions.exprs import nan_to_null, qc
-    cols = list(columns)
     probs = [float(p) for p in probs]
-    spark = df.sparkSession
-    g = [by] if by else []
-    keys = [*g, "column_name"]
-    items = [F.struct(F.lit(c).alias("column_name"), nan_to_null(qc(c).cast("double")).alias("value")) for c in cols]
-    base = df.select(*[qc(b) for b in g], F.explode(F.array(*items)).alias("kv")).select(*g, "kv.*")
-    base = base.where(F.col("value").isNotNull() & (qc(by).isNotNull() if by else F.lit(True)))
-    vc = base.groupBy(*g, "column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    if persist_counts:
-        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tot_rows = vc.groupBy(*keys).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
-        totals = {tuple(r[k] for k in keys): r["n"] for r in tot_rows}
-        small = {tuple(r[k] for k in keys) for r in tot_rows if r["d"] <= MAP_MAX_DISTINCT}
-        mapped = {}
-        if small:
-            small_cols = sorted({key[-1] for key in small})
-            pq = (vc.where(F.col("column_name").isin(small_cols))
-                  .groupBy(*keys).agg(F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("cnt")).alias("qs"))
-                  .collect())
-            for r in pq:
-                key = tuple(r[k] for k in keys)
-                if key in small:
-                    mapped[key] = r["qs"]
-        pos = {}
-        need = set()
-        for key, n in totals.items():
-            if key in mapped:
-                continue
-            for i, p in enumerate(probs):
-                h = (n - 1) * p
-                lo, hi = math.floor(h), math.ceil(h)
-                pos[key + (i,)] = (h, lo, hi, n)
-                need.add(key + (lo,))
-                need.add(key + (hi,))
-        rows = [key + (i, p, totals[key], mapped[key][i]) for key in mapped for i, p in enumerate(probs)]
-        if need:
-            by_type = base.schema[by].dataType.simpleString() if by else None
-            schema = (f"`__n_{by}` {by_type}, " if by else "") + "__n_column_name string, k long"
-            need_df = spark.createDataFrame(sorted(need, key=repr), schema)   # 2 x probs per key: bounded
-            rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=keys)
-            cond = (rs["cum_cnt"] - rs["cnt"] <= F.col("k")) & (rs["cum_cnt"] > F.col("k"))
-            for k in keys:
-                cond = cond & (rs[k] == F.col(f"__n_{k}"))
-            hits = (rs.join(F.broadcast(need_df), cond)
-                    .select(*[rs[k].alias(k) for k in keys], F.col("k"), rs["value"].alias("v")).collect())
-            at = {tuple(r[k] for k in keys) + (r["k"],): r["v"] for r in hits}
-            for key in totals:
-                if key in mapped:
-                    continue
-                for i, p in enumerate(probs):
-                    h, lo, hi, n = pos[key + (i,)]
-                    v_lo, v_hi = at.get(key + (lo,)), at.get(key + (hi,))
-                    q = v_lo if lo == hi else (None if v_lo is None or v_hi is None else v_lo + (h - lo) * (v_hi - v_lo))
-                    rows.append(key + (i, p, n, q))
-    finally:
-        if persist_counts:
-            vc.unpersist()
-    by_type = base.schema[by].dataType.simpleString() if by else None
-    schema = (f"`{by}` {by_type}, " if by else "") + "column_name string, pi int, p double, n long, q double"
-    return spark.createDataFrame(rows, schema)
-
-
-def quantile_arrays(df: DataFrame, columns, probs) -> dict:
-    """``{column: [q for each p]}`` (one row per column and probability reaches the driver)."""
-    rows = exact_quantiles(df, columns, probs).collect()
-    out = {c: [None] * len(probs) for c in columns}
-    for r in rows:
-        out[r["column_name"]][r["pi"]] = r["q"]
-    return out
+    base = df.select(qc(by).alias("__by"), nan_to_null(qc(column).cast("double")).alias("value")).where(
+        "__by IS NOT NULL AND value IS NOT NULL")
+    vc = base.groupBy("__by", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=["__by"])
+    rs = rs.join(vc.groupBy("__by").agg(F.sum("cnt").alias("n")), "__by")
+
+    def holds(rank):
+        return F.when((F.col("cum_cnt") - F.col("cnt") <= rank) & (rank < F.col("cum_cnt")), F.col("value"))
+
+    h = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    parts = [holds(f(x)) for x in h for f in (F.floor, F.ceil)]
+    kept = rs.select("__by", "n", *[p.alias(f"v{i}") for i, p in enumerate(parts)]).where(
+        F.coalesce(*[F.col(f"v{i}") for i in range(len(parts))]).isNotNull())
+    one = kept.groupBy("__by", "n").agg(*[F.max(f"v{i}").alias(f"v{i}") for i in range(len(parts))])
+    q = [F.when(F.col(f"v{2 * i}") == F.col(f"v{2 * i + 1}"), F.col(f"v{2 * i}"))
+         .otherwise(F.col(f"v{2 * i}") + (x - F.floor(x)) * (F.col(f"v{2 * i + 1}") - F.col(f"v{2 * i}"))) for i, x in enumerate(h)]
+    return one.select(F.col("__by").alias(by), "n", F.array(*q).alias("q"))

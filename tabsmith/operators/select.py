@@ -20,8 +20,8 @@ def binned_mi(df: DataFrame, features, target: str, bins: int = MI_BINS,
     Numeric features are cut at their exact quantiles into ``bins`` bins
     (bin = number of edges strictly below the value); string features are used
     as they are. With ``bin_target`` a numeric target is binned the same way
-    (regression). All features are counted in one long aggregation of
-    ``(feature, bin, target)`` cells.
+    (regression). All features are counted against the target in one scan, in arrays
+    of counts.
     """
     kinds = field_kinds(df)
     features = list(features)
@@ -30,31 +30,19 @@ def binned_mi(df: DataFrame, features, target: str, bins: int = MI_BINS,
     to_bin = numeric + ([target] if bin_target else [])
     edges = {}
     if to_bin:
-        from .ranking import quantile_arrays
+        from .quantiles import quantile_arrays
         edges = quantile_arrays(df, to_bin, probs)               # exact, distributed
     specs = {f"__bin_{i}": (nan_to_null(qcol(c).cast("double")), edges[c])
              for i, c in enumerate(to_bin) if all(v is not None for v in edges[c])}
     base = with_counts_below(df, specs)
     bin_col = {c: f"__bin_{i}" for i, c in enumerate(to_bin)}
 
-    def code(c):
-        if c in edges:
-            if bin_col[c] not in specs:
-                return F.lit(None).cast("string")
-            return F.col(bin_col[c]).cast("string")
-        return qcol(c).cast("string")
-
-    t = code(target) if bin_target else qcol(target).cast("string")
-    items = [F.when(code(c).isNotNull() & t.isNotNull(), F.struct(
-        F.lit(c).alias("feature"), code(c).alias("v"), t.alias("y"))) for c in features]
-    cells = (base.select(F.explode(F.array(*items)).alias("p")).where(F.col("p").isNotNull()).select("p.*")
-             .groupBy("feature", "v", "y").agg(F.count(F.lit(1)).alias("cnt")))
-    from pyspark.sql import Window
-    wf, wv, wy = Window.partitionBy("feature"), Window.partitionBy("feature", "v"), Window.partitionBy("feature", "y")
-    m = cells.select("*", F.sum("cnt").over(wf).alias("n"), F.sum("cnt").over(wv).alias("nv"),
-                     F.sum("cnt").over(wy).alias("ny"))
-    term = F.col("cnt") / F.col("n") * F.log(F.col("cnt") * F.col("n") / (F.col("nv") * F.col("ny")))
-    return m.groupBy("feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias("mi"))
+    from .assoc import _pair_margins, counted_cells
+    used = [c for c in dict.fromkeys([*features, target]) if c not in edges or bin_col[c] in specs]
+    coded = base.select(*[F.col(bin_col[c]).alias(c) if c in edges and (c != target or bin_target) else qcol(c) for c in used])
+    m = _pair_margins(counted_cells(coded, [(c, target) for c in features if c in used and target in used]))
+    term = F.col("cnt") / F.col("n") * F.log(F.col("cnt") * F.col("n") / (F.col("n1") * F.col("n2")))
+    return m.groupBy(F.col("f1").alias("feature")).agg(F.greatest(F.sum(term), F.lit(0.0)).alias("mi"))
 
 
 def top_percentile(scores: DataFrame, score_col: str, percentile: float, n_features: int) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import assoc as A
 from ..operators import select as L
-from .catalog import MIX_SQL, R, T, mix, r, register
+from .catalog import LINEITEM_NULLS_SQL, MIX_SQL, R, T, lineitem_nulls, mix, r, register
 from .q_prep import _binned_mi_sql
 
 NUMS = ["l_quantity", "l_extendedprice", "l_partkey", "l_suppkey"]
+NUMS_NULLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CATS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_tax"]
 LOG2 = "ln(2.0)"
 
@@ -39,6 +40,40 @@ def spearman_q(spark, sf_dir):
     return c.select("feature_1", "feature_2", R("corr").alias("corr"))
 
 
+TAU = [("lineitem", ["l_quantity", "l_discount", "l_tax"]), ("customer", ["c_acctbal", "c_nationkey", "c_custkey"])]
+
+
+def _kendall_sql(table, a, b):
+    """Every cell against every cell: quadratic, which is what the operator must equal."""
+    return f"""SELECT '{a}' AS feature_1, '{b}' AS feature_2, s / 2 / (sqrt(n0 - n1) * sqrt(n0 - n2)) AS corr FROM (
+WITH c AS (SELECT CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y, count(*) AS n FROM {table}
+           WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2)
+SELECT (SELECT sum(CAST(l.n * r.n * sign(l.x - r.x) * sign(l.y - r.y) AS DOUBLE)) FROM c l, c r) AS s,
+       (SELECT CAST(sum(n) * (sum(n) - 1) / 2 AS DOUBLE) FROM c) AS n0,
+       (SELECT CAST(sum(t * (t - 1) / 2) AS DOUBLE) FROM (SELECT sum(n) AS t FROM c GROUP BY x)) AS n1,
+       (SELECT CAST(sum(t * (t - 1) / 2) AS DOUBLE) FROM (SELECT sum(n) AS t FROM c GROUP BY y)) AS n2)"""
+
+
+@register("a2_kendall", f"SELECT feature_1, feature_2, {r('corr')} AS corr FROM (" + "\nUNION ALL\n".join(
+    _kendall_sql(t, a, b) for t, cols in TAU for i, a in enumerate(cols) for b in cols[i + 1:]) + ")")
+def kendall_q(spark, sf_dir):
+    """A2: Kendall's tau-b, columns with many ties (lineitem) and with few (customer)."""
+    out = None
+    for table, cols in TAU:
+        c = A.correlation_pairs(T(spark, sf_dir, table), cols, method="kendall")
+        out = c if out is None else out.unionByName(c)
+    return out.select("feature_1", "feature_2", R("corr").alias("corr"))
+
+
+@register("a1_masked_correlation", f"SELECT feature_1, feature_2, {r('corr', 6)} AS corr FROM ({_corr_sql(LINEITEM_NULLS_SQL, NUMS_NULLS)})")
+def masked_correlation_q(spark, sf_dir):
+    """Pairwise-complete correlations with NULLs from one scan of masked Gram products."""
+    li = lineitem_nulls(spark, sf_dir)
+    pairs = [(a, b) for i, a in enumerate(NUMS_NULLS) for b in NUMS_NULLS[i + 1:]]
+    c = A._correlation_pairs_wide(li, NUMS_NULLS, pairs)
+    return c.select("feature_1", "feature_2", R("corr", 6).alias("corr"))
+
+
 @register("a3_contingency", "SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem "
                             "WHERE l_returnflag IS NOT NULL AND l_linestatus IS NOT NULL GROUP BY 1, 2")
 def contingency_q(spark, sf_dir):

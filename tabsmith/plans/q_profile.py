@@ -66,6 +66,24 @@ register("b13_feature_types", _profile_sql(MIX_SQL, [(c, MIX_KINDS[c]) for c in
          headline=True)(feature_types_mix)
 
 
+@register("b13_typed_columns", f"""SELECT position, column_name, n_rows, n_nonnull, n_null, missing_ratio, min, max, mean, sd, zero_count,
+  is_ordinal, feature_type, CASE WHEN n_unique <= 900 THEN n_unique END AS n_unique,
+  CASE WHEN n_unique <= 900 OR top_count * 2 > n_nonnull THEN top_value END AS top_value,
+  CASE WHEN n_unique <= 900 OR top_count * 2 > n_nonnull THEN top_count END AS top_count
+FROM ({_profile_sql(MIX_SQL, [(c, MIX_KINDS[c]) for c in MIX_COLS], "is_returned")})""")
+def typed_columns_q(spark, sf_dir):
+    """B1-B13 on D-MIX without a row per distinct value: typing from the bounded profile, with the
+    exact counts of all columns whose values are surely counted one by one."""
+    t = P.bounded_profile(mix(spark, sf_dir), target="is_returned").withColumn("feature_type", P.feature_type_expr())
+    few = F.col("n_unique") <= 900          # counted one by one, whatever the estimate's error
+    known = few | (F.col("top_count") * 2 > F.col("n_nonnull"))
+    return t.select(
+        "position", "column_name", "n_rows", "n_nonnull", "n_null", R("missing_ratio").alias("missing_ratio"), "min", "max",
+        R("mean").alias("mean"), R("sd").alias("sd"), "zero_count", "is_ordinal", "feature_type",
+        F.when(few, F.col("n_unique")).alias("n_unique"), F.when(known, F.col("top_value")).alias("top_value"),
+        F.when(known, F.col("top_count")).alias("top_count"))
+
+
 @register("b5_datetime_parse", """
 SELECT column_name, n_nonnull, CAST(n_parsed AS BIGINT) AS n_parsed, {rate} AS parse_rate, n_parsed >= 0.8 * n_nonnull AND n_nonnull > 0 AS is_datetime
 FROM (
@@ -96,7 +114,7 @@ def eda_types_q(spark, sf_dir):
     """EDA split — numeric with <= 20 values counts as categorical."""
     li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                                              "l_linenumber", "l_returnflag", "l_linestatus")
-    return P.eda_types(P.profile(li)).select("column_name", "eda_type")
+    return P.eda_types(P.bounded_profile(li)).select("column_name", "eda_type")
 
 
 @register("b15_stable_categoricals", """
@@ -113,7 +131,7 @@ def stable_cats(spark, sf_dir):
     """Categoricals kept for association statistics (<= 50 values, <= 50% missing, top share <= 0.99)."""
     df = lineitem_nulls(spark, sf_dir).select("l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
                                               "l_linestatus", "l_returnflag", "l_tax")
-    return P.stable_categoricals(P.profile(df)).select("column_name")
+    return P.stable_categoricals(P.bounded_profile(df)).select("column_name")
 
 
 @register("b16_problem_type", """
@@ -435,6 +453,6 @@ FROM p""".format(inner=_profile_sql(LINEITEM_NULLS_SQL, _FLAG_COLS, None)
 def column_flags_q(spark, sf_dir):
     """Numeric, categorical, binary, datetime, cardinality, missingness and constancy tests."""
     df = lineitem_nulls(spark, sf_dir).select(*[c for c, _ in _FLAG_COLS])
-    f = P.with_flags(P.profile(df))
+    f = P.with_flags(P.bounded_profile(df))
     return f.select("column_name", "is_numeric", "is_categorical", "is_binary", "is_datetime", "is_high_cardinality",
                     "is_low_cardinality", "is_missing_heavy", "is_constant", "is_near_constant")

@@ -1,6 +1,5 @@
-"""Distributed ranks and exact quantiles against brute force, including the multi-range path."""
+"""Distributed ranks against brute force, including the multi-range path."""
 
-import numpy as np
 import pytest
 
 from tabsmith.operators import ranking as RK
@@ -9,7 +8,6 @@ from tabsmith.operators import ranking as RK
 @pytest.fixture(params=[10 ** 9, 37], ids=["one-range", "many-ranges"])
 def rows_per_range(request, monkeypatch):
     monkeypatch.setattr(RK, "ROWS_PER_RANGE", request.param)
-    monkeypatch.setattr(RK, "MAP_MAX_DISTINCT", 10 ** 9 if request.param > 100 else 0)
     # running_sums reads the default at call time through the module attribute
     orig = RK.running_sums
 
@@ -20,22 +18,6 @@ def rows_per_range(request, monkeypatch):
     return request.param
 
 
-def test_exact_quantiles_match_numpy(spark, rows_per_range):
-    rng = np.random.default_rng(3)
-    a = np.round(rng.normal(size=500), 2)
-    b = rng.integers(0, 7, 500).astype(float)
-    g = rng.integers(0, 3, 500)
-    df = spark.createDataFrame([(float(x), float(y), int(z)) for x, y, z in zip(a, b, g)], "a double, b double, g int")
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    qa = RK.quantile_arrays(df, ["a", "b"], probs)
-    for c, arr in (("a", a), ("b", b)):
-        assert qa[c] == pytest.approx(list(np.quantile(arr, probs)), rel=1e-12, abs=1e-12)
-    grouped = {(r["g"], r["pi"]): r["q"] for r in RK.exact_quantiles(df, ["a"], probs, by="g").collect()}
-    for grp in range(3):
-        want = np.quantile(a[g == grp], probs)
-        assert [grouped[(grp, i)] for i in range(len(probs))] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
-
-
 def test_no_window_runs_in_a_single_task(spark):
     from tabsmith.operators import evaluate as E
     from tabsmith.operators import split as X
