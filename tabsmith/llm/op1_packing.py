@@ -4,17 +4,18 @@
    sequence are cut. A piece is one row, without its ids unless asked for.
 2. The histogram of piece lengths (at most ``max_len`` entries, whatever the
    number of rows) goes to the driver. Patterns of up to three lengths that fill
-   a sequence exactly are enumerated, and repeat counts are fitted to the
+   a sequence (nearly) are enumerated, and repeat counts are fitted to the
    histogram by non-negative least squares, with long lengths weighted more.
 3. The counts are rounded down and taken while their lengths last; what remains
    is packed best fit in decreasing length, whole groups of equal sequences at a
-   time. The plan is a list of (pattern, repeats).
+   time. The plan is a list of (pattern, repeats); where best fit alone takes no more
+   sequences, its plan is taken.
 4. Each piece finds its place by its length and its rank among pieces of that
    length. Ranks are counted in ``SALTS`` parts of each length and offset by the
    parts' sizes, so a length that holds a third of all rows is no single task.
 
-Cases: NULL text is the empty text (the end id alone); repeated rows are packed
-one by one; an empty table gives an empty result; other columns are ignored.
+Cases: NULL text is the empty text (the end id alone); very long texts are cut into
+as many pieces as they need; repeated rows are packed one by one; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ from pyspark.sql import functions as F
 from .common import crc, written
 
 SALTS = 64
-#: Lengths per axis from which patterns of three are enumerated.
+#: Lengths from which the smallest length of patterns of three is taken.
 GRID = 160
+#: A pattern may leave this part of a sequence open.
+NEARLY = 256
 #: Texts are tokenised in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 
@@ -158,18 +161,26 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_id: in
 
 
 def patterns(counts: np.ndarray) -> np.ndarray:
-    """Patterns of up to three lengths that fill a sequence exactly, as rows of
-    three lengths padded by 0. ``counts[l]``: pieces of length ``l``."""
+    """Patterns of up to three lengths that fill a sequence but for at most 1 / ``NEARLY``
+    of it, as rows of three lengths padded by 0. ``counts[l]``: pieces of length
+    ``l``. The smallest length of a triple is one of the ``GRID`` most frequent lengths."""
     most = len(counts) - 1
     there = np.flatnonzero(counts[1:]) + 1
-    pairs = [(a, most - a, 0) for a in there if 2 * a <= most and counts[most - a]]
-    grid = there[np.unique(np.linspace(0, len(there) - 1, min(GRID, len(there))).astype(int))] if len(there) else there
+    if not len(there):
+        return np.empty((0, 3), np.int64)
+    # the longest present length of at most l
+    below = np.maximum.accumulate(np.where(np.r_[False, counts[1:] > 0], np.arange(most + 1), 0))
+    spare = most // NEARLY
+    other = below[most - there]
+    good = (other >= there) & (most - there - other <= spare)
+    pairs = np.stack([there[good], other[good], 0 * there[good]], 1)
+    grid = there[np.argsort(-counts[there], kind="stable")[:GRID]]
     a, b = np.meshgrid(grid, there, indexing="ij")
-    c = most - a - b
-    ok = (c >= 1) & (a <= b) & (b <= c) & (counts[np.clip(c, 0, most)] > 0)
+    c = below[np.maximum(most - a - b, 0)]
+    ok = (a <= b) & (b <= c) & (a + b + c <= most) & (most - a - b - c <= spare)
     triples = np.stack([a[ok], b[ok], c[ok]], 1)
-    single = [(most, 0, 0)] if counts[most] else []
-    return np.concatenate([np.array(single + pairs, np.int64).reshape(-1, 3), triples])
+    single = [(x, 0, 0) for x in there[there >= most - spare]]
+    return np.concatenate([np.array(single, np.int64).reshape(-1, 3), pairs, triples])
 
 
 def fitted(rows: np.ndarray, counts: np.ndarray, steps: int = 300) -> np.ndarray:
@@ -201,9 +212,11 @@ def fitted(rows: np.ndarray, counts: np.ndarray, steps: int = 300) -> np.ndarray
 
 def plan(counts: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
     """[(pattern, repeats)]: a pattern is [(length, how often)], and the plan uses
-    every piece of the histogram exactly once."""
+    every piece of the histogram exactly once. Fitted patterns with best fit for the
+    rest, or best fit for all where that takes no more sequences."""
     left, most, out = counts.astype(np.int64).copy(), len(counts) - 1, []
     left[0] = 0
+    plain = best_fit(left)
     rows = patterns(left)
     if len(rows):
         x = np.floor(fitted(rows, left) + 1e-6).astype(np.int64)
@@ -215,8 +228,14 @@ def plan(counts: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
             if n > 0:
                 left[lengths] -= n * often
                 out.append(([(int(a), int(b)) for a, b in zip(lengths, often)], n))
-    # best fit decreasing over groups of equal sequences: room -> [(pattern, repeats)]
-    open_: dict[int, list] = {}
+    out += best_fit(left)
+    return min(out, plain, key=lambda p: sum(n for _, n in p))
+
+
+def best_fit(counts: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
+    """Best fit in decreasing length, over groups of equal sequences."""
+    left, most = counts.copy(), len(counts) - 1
+    open_: dict[int, list] = {}      # room -> [(pattern, repeats)]
     rooms = np.zeros(most + 1, bool)
     for length in range(most, 0, -1):
         c = int(left[length])
@@ -238,7 +257,7 @@ def plan(counts: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
             rest = room - each * length
             open_.setdefault(rest, []).append((pattern + [(length, each)], used))
             rooms[rest] = rest > 0
-    return out + [x for groups_ in open_.values() for x in groups_]
+    return [x for groups_ in open_.values() for x in groups_]
 
 
 def places(found: list[tuple[list[tuple[int, int]], int]], most: int) -> dict[str, np.ndarray]:

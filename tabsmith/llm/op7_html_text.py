@@ -4,9 +4,10 @@ A page is cut into blocks at block-level tags and line breaks of its markup;
 each block carries its text, the characters inside links, its share of stop words
 and what it stands in. The first pass decides blocks: parts that are no article by
 their element or name (menus, headers, footers, sidebars, notices, adverts, forms,
-comments), and blocks dense in links, are dropped; long blocks with stop words, and
-long blocks of an article element, are kept. Short blocks without links stay
-open. The second pass gives each open block the label of its nearest decided
+comments), and blocks dense in links outside an article element, are dropped; long blocks
+with stop words, or that read as prose in any language (mostly letters, in sentences),
+long preformatted blocks, and long blocks of an article element, are kept. Short blocks
+without links, and all short ones of an article element, stay open. The second pass gives each open block the label of its nearest decided
 neighbours: the common one if both agree, else the nearer one's. Blocks dropped for
 their place are no neighbours, nor are blocks outside the article element that a
 block stands in; open blocks without a neighbour are kept.
@@ -19,7 +20,8 @@ HTML, so there names count.
 Cases: NULL is the empty page; broken markup never fails (an unclosed element ends
 with its parent, an unclosed head at the first element or text of the body, and only
 an unclosed script, style, textarea or iframe runs to the end of the page, as in a
-browser; a lone ``<`` is text); a page without kept blocks gives ''; rows
+browser; a lone ``<``, and a tag that no ``>`` ends before the next ``<``, is text); very
+long pages are read whole, in time linear in the page; a page without kept blocks gives ''; rows
 that repeat an id each get their row; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -74,15 +76,19 @@ signup login search pagination pager widget widgets contentinfo complementary fo
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?</(?P=raw)\s*>|.*\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>", re.S | re.I)
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+>(?:.*?</(?P=raw)\s*>|.*\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>"
+    r"|<[!?/][^<>]*+>", re.S | re.I)
 _ENDS = re.compile("</(noscript|template|svg|object)(?![a-z0-9:-])", re.I)
 _ATTR = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[-_\s\d]+")
 _WORDS = re.compile(r"\w+")
+#: Marks that end a sentence, in several scripts.
+_SENTENCES = re.compile("[.!?\u2026\u3002\uff01\uff1f\u0964\u06d4\u061f]")
 
 LONG, LINKS, STOPS = 70, 0.33, 0.2
+#: Prose in any language: share of letters and spaces, and most characters a sentence takes.
+LETTERS, SENTENCE = 0.8, 400
 
 
 class Block:
@@ -243,14 +249,20 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _prose(text: str) -> bool:
+    """Whether a long block reads as prose, whatever its language."""
+    letters = sum(c.isalpha() or c.isspace() for c in text)
+    return letters >= LETTERS * len(text) and len(text) <= SENTENCE * len(_SENTENCES.findall(text))
+
+
 def decide(found: list[Block]) -> None:
     """First pass: True (kept), False (dropped) or None (open)."""
     for b in found:
         words = _WORDS.findall(b.text.lower())
         stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if b.dropped or b.linked > LINKS * len(b.text):
+        if b.dropped or b.linked > LINKS * len(b.text) and not b.article:
             b.label = False
-        elif len(b.text) >= LONG and (b.article or stops >= STOPS):
+        elif len(b.text) >= LONG and (b.article or stops >= STOPS or b.place.name == "pre" or _prose(b.text)):
             b.label = True
         elif b.linked and not b.article:
             b.label = False
@@ -259,21 +271,26 @@ def decide(found: list[Block]) -> None:
 
 
 def inherit(found: list[Block]) -> None:
-    """Second pass: open blocks take the label of their nearest decided neighbours."""
+    """Second pass: open blocks take the label of their nearest decided neighbours, found
+    by one sweep from the left and one from the right."""
     first = [b.label for b in found]
-    for i, b in enumerate(found):
-        if first[i] is not None:
-            continue
-        sides = []
-        for step in (-1, 1):
-            j = i + step
-            # what is dropped for its place says nothing about the text around it
-            while 0 <= j < len(found) and (first[j] is None or found[j].dropped) \
-                    and (not b.article or found[j].article == b.article):
-                j += step
-            if 0 <= j < len(found) and (not b.article or found[j].article == b.article):
-                sides.append((abs(j - i), first[j]))
-        b.label = min(sides, key=lambda s: (s[0], not s[1]))[1] if sides else True
+    sides: list[list] = [[] for _ in found]
+    for order in (range(len(found)), range(len(found) - 1, -1, -1)):
+        article, inside, any_ = None, None, None
+        for i in order:
+            b = found[i]
+            if b.article != article:
+                article, inside = b.article, None
+            if first[i] is None:
+                near = inside if b.article else any_
+                if near is not None:
+                    sides[i].append((abs(near - i), first[near]))
+            elif not b.dropped:
+                # what is dropped for its place says nothing about the text around it
+                inside = any_ = i
+    for b, label, near in zip(found, first, sides):
+        if label is None:
+            b.label = min(near, key=lambda s: (s[0], not s[1]))[1] if near else True
 
 
 def main_text(page: str | None) -> str:

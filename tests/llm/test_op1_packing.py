@@ -75,3 +75,14 @@ def test_plan_uses_each_piece_once(seed):
         n += repeats
     assert (used == counts).all()
     assert n <= 1.25 * (counts * np.arange(most + 1)).sum() / most + 5
+
+
+@pytest.mark.parametrize("shape", ["uniform", "middle", "few", "short", "hot"])
+def test_never_more_sequences_than_best_fit(shape):
+    rng = np.random.default_rng(7)
+    lengths = {"uniform": rng.integers(1, 4097, 20_000), "middle": rng.integers(900, 2201, 20_000),
+               "few": rng.choice([700, 1300, 1500, 2600], 20_000), "short": rng.integers(1, 60, 20_000),
+               "hot": np.where(rng.random(20_000) < 0.4, 1366, rng.integers(1, 4097, 20_000))}[shape]
+    counts = np.bincount(lengths, minlength=4097)
+    total = lambda p: sum(n for _, n in p)
+    assert -(-lengths.sum() // 4096) <= total(op.plan(counts)) <= total(op.best_fit(counts))

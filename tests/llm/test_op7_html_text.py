@@ -69,6 +69,58 @@ def test_names_drop_no_article(page, want):
     assert op.main_text(page) == want
 
 
+LINKED = "This is the long paragraph of the article that is a link as a whole, from its first word to its last one."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><p><a href=x>{LINKED}</a></p><p>And this is the next sentence of the article, of some length.</p></article>",
+     LINKED + " And this is the next sentence of the article, of some length."),
+    ("<h1>Code</h1><pre>" + "x = f(1) + g[2];\n" * 8 + "</pre>", "Code " + " ".join(["x = f(1) + g[2];"] * 8)),
+    ("<ul><li><a href=a>\u0413\u043b\u0430\u0432\u043d\u0430\u044f</a></li></ul>" + "<p>" + "\u0421\u043b\u043e\u0432\u043e \u0437\u0430 \u0441\u043b\u043e\u0432\u043e\u043c. " * 10 + "</p>" * 2,
+     " ".join(["\u0421\u043b\u043e\u0432\u043e \u0437\u0430 \u0441\u043b\u043e\u0432\u043e\u043c."] * 10)),
+    ("<p>" + "\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u53e5\u5b50\u3002" * 12 + "</p>", "\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u53e5\u5b50\u3002" * 12),
+    ("<div>" + "12:30 | $5 | #77 / " * 10 + "</div>", "")])
+def test_text_is_kept_for_more_than_its_stop_words(page, want):
+    assert op.main_text(page) == want
+
+
+@pytest.mark.parametrize("part", ["<p>ab c</p>", "<a ", "<script ", "<!x", "<div><p>x", "a < b ", "<b class='x", "</", "<a href=\"x\">"])
+def test_time_grows_with_the_page(part):
+    import time
+    took = []
+    for n in (4_000, 16_000):
+        began = time.perf_counter()
+        op.main_text(part * n)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 8 * took[0] + 0.5
+
+
+def test_sweeps_find_the_nearest_neighbours():
+    import random
+    rng = random.Random(2)
+    for _ in range(300):
+        found = []
+        for _ in range(rng.randrange(1, 14)):
+            b = op.Block("x", 0, op.Element("p", None))
+            b.article, b.label, b.dropped = rng.choice([0, 1, 1, 2]), rng.choice([True, False, None, None]), False
+            if b.label is False:
+                b.dropped = rng.random() < 0.4
+            found.append(b)
+        want = []
+        for i, b in enumerate(found):
+            sides = []
+            for step in (-1, 1):
+                j = i + step
+                while 0 <= j < len(found) and (not b.article or found[j].article == b.article):
+                    if found[j].label is not None and not found[j].dropped:
+                        sides.append((abs(j - i), not found[j].label))
+                        break
+                    j += step
+            want.append(b.label if b.label is not None else not min(sides)[1] if sides else True)
+        op.inherit(found)
+        assert [b.label for b in found] == want
+
+
 def test_given_pages_give_their_articles(spark):
     pages = table(spark, "/root/testdata/sf0.01", "pages")
     rows = {r.page_id: r for r in op.extracted(pages).collect()}
