@@ -8,24 +8,30 @@ k-th score. The essential lists are traversed for all vectors of a block; only
 vectors that stay competitive with the bounds of the rest are probed in the
 other lists, largest bound first. Results of shards merge by score.
 
-Queries travel in blocks and vectors in shards of bounded size; a task holds one
-block and one shard.
+Vectors fall into shards of bounded size and are shuffled once. Queries are dealt to
+every shard and stream through its task behind the shard's vectors, one Arrow batch
+at a time; a task holds one shard and one batch of queries.
 
 Cases: vectors that are NULL or hold NULL or non-finite components, and rows
-without an id, take no part; vectors of unequal length count as padded by 0; a
-query whose id repeats is asked once (its smallest vector); every other row is a
-candidate of its own; empty tables give an empty result; columns other than id
-and vector are ignored.
+without an id, take no part; vectors of unequal length count as padded by 0; every
+row but the query's own is a candidate, also one of the query's id: a search takes
+one more than k, and one row equal to the query leaves (of equal rows any one is
+the query's own); equal query rows are asked once; rows that repeat a query's id
+with other vectors are queries of their own, ranked apart under that id; very long
+vectors are read whole; components or scores beyond 64 bits are an error; empty tables
+give an empty result; columns other than id and vector are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_QUERIES, SHARD_VECTORS, CHUNK = 1_024, 16_384, 4_096
+SHARD_VECTORS, CHUNK = 16_384, 4_096
 
 
 def quantised(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -33,7 +39,9 @@ def quantised(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id", vec
     ok = F.col("v").isNotNull() & F.col("vec_id").isNotNull() & F.forall(
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (vectors.select(vectors[id_col].alias("vec_id"), vectors[vector_col].cast("array<double>").alias("v"))
-            .where(ok).select("vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("terms")))
+            .where(ok).select("vec_id", F.transform("v", lambda x: F.when(
+                F.abs(x * scale) < float(1 << 63), F.floor(x * scale)).otherwise(
+                    F.raise_error(F.lit("a component needs more than 64 bits")).cast("long"))).alias("terms")))
 
 
 def _matrix(lists, width: int) -> np.ndarray:
@@ -51,23 +59,22 @@ class Shard:
         self.ids, self.lists = ids[order], np.ascontiguousarray(vectors[order].T)
         self.high, self.low = self.lists.max(1), self.lists.min(1)
 
-    def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best vectors but the query's own, ties to smaller ids."""
+    def best(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the ``k`` best vectors, ties to smaller ids."""
         top = np.maximum(query * self.high, query * self.low)
         low = np.minimum(query * self.high, query * self.low)
         order = np.argsort(low - top, kind="stable")                   # largest spread of score first
         rest = np.append(np.cumsum(top[order][::-1])[::-1], 0)         # most that terms from here on can add
         spread = np.append(np.cumsum((top - low)[order][::-1])[::-1], 0)
         least, floor_ = -np.inf, low.sum()
-        ids, scores = np.empty(0, np.int64), np.empty(0)
+        places, scores = np.empty(0, np.int64), np.empty(0, self.lists.dtype)
         for at in range(0, len(self.ids), CHUNK):
             part = slice(at, at + CHUNK)
             # non-essential: all of them together stay under the k-th score
             n = int(np.searchsorted(-spread, -(least - floor_), "right")) if least > -np.inf else len(order)
             n = min(max(n, 1), len(order))
             score = query[order[:n]] @ self.lists[order[:n], part]
-            alive = np.flatnonzero(self.ids[part] != own)
-            alive = alive[score[alive] + rest[n] >= least]
+            alive = np.flatnonzero(score + rest[n] >= least)
             score = score[alive]
             for d in range(n, len(order)):
                 if not len(alive):
@@ -76,42 +83,76 @@ class Shard:
                 keep = score + rest[d + 1] >= least
                 if not keep.all():
                     alive, score = alive[keep], score[keep]
-            ids, scores = np.append(ids, self.ids[at + alive]), np.append(scores, score)
-            first = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[first], scores[first]
-            if len(ids) == k:
+            places, scores = np.append(places, at + alive), np.append(scores, score)
+            first = np.lexsort((places, -scores))[:k]                  # places are in order of ids
+            places, scores = places[first], scores[first]
+            if len(places) == k:
                 least = scores[-1]
-        return ids, scores
+        return places, scores
+
+
+def _searched(shard: Shard, width: int, batch: pd.DataFrame, k: int) -> pd.DataFrame:
+    """(query_id, query, vec_id, score, own) of one batch of queries in one shard."""
+    wide = max(width, max(map(len, batch["terms"]), default=0))
+    asked = _matrix(batch["terms"], wide)
+    spread = np.abs(shard.lists).max(1, initial=0)
+    most = float((np.abs(asked[:, :width]) @ spread).max(initial=0))
+    if most >= 2.0 ** 63:
+        raise OverflowError("a score may need more than 64 bits")
+    if most >= 2.0 ** 53 and shard.lists.dtype != np.int64:       # beyond exact floats
+        exact = Shard.__new__(Shard)
+        exact.ids, exact.lists = shard.ids, shard.lists.astype(np.int64)
+        exact.high, exact.low = exact.lists.max(1), exact.lists.min(1)
+        shard, asked = exact, asked.astype(np.int64)
+    out = []
+    for key, number, query in zip(batch["vec_id"], batch["query"], asked):
+        places, scores = shard.best(query[:width], k + 1)
+        same = shard.ids[places] == key
+        if wide > width and query[width:].any():
+            same[:] = False
+        same[same] = (shard.lists[:, places[same]].T == query[:width]).all(1)
+        out.append(pd.DataFrame({"query_id": key, "query": number, "vec_id": shard.ids[places],
+                                 "score": scores.astype(np.int64), "own": same}))
+    return pd.concat(out)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score) of every query's ``k`` largest integer inner
     products; both inputs are (vec_id, terms)."""
-    asked = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("terms").alias("q"))
     shards = max(1, -(-vectors.count() // SHARD_VECTORS))
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    index = (vectors.withColumn("shard", (F.monotonically_increasing_id() + F.spark_partition_id()) % shards)
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    spread = (asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-              .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))))
-
-    def run(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q) and len(v):
-            width = max(map(len, [*q["q"], *v["terms"]]))
-            asked, held = _matrix(q["q"], width), _matrix(v["terms"], width)
-            if width * np.abs(asked).max(initial=0) * np.abs(held).max(initial=0) >= 2 ** 53:
-                asked, held = asked.astype(np.int64), held.astype(np.int64)     # beyond exact floats
-            shard = Shard(v["vec_id"].to_numpy(np.int64), held)
-            for own, query in zip(q["query_id"], asked):
-                ids, scores = shard.best(own, query, k)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores.astype(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    found = spread.groupBy("block", "shard").cogroup(index.groupBy("block", "shard")).applyInPandas(
-        run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(f"rank <= {k}")
+    columns = ["shard", "asked", "query", "vec_id", "terms"]
+    index = (vectors.withColumn("shard", ((F.monotonically_increasing_id() + F.spark_partition_id()) % shards).cast("long"))
+             .withColumns({"asked": F.lit(False), "query": F.lit(0).cast("long")}).select(columns))
+    # the number tells the vectors of one id apart
+    spread = (queries.select("vec_id", "terms").distinct().withColumn("query", F.xxhash64("vec_id", "terms"))
+              .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+              .withColumn("asked", F.lit(True)).select(columns))
+    parts = min(shards, 10 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = index.unionByName(spread).repartition(parts, "shard").sortWithinPartitions("shard", "asked")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, ids, held, shard, width = None, [], [], None, 0
+        for batch in batches:
+            for number, rows in batch.groupby("shard", sort=True):
+                if number != now:
+                    now, ids, held, shard = number, [], [], None
+                mine, asked = rows[~rows["asked"]], rows[rows["asked"]]
+                ids += mine["vec_id"].tolist()
+                held += mine["terms"].tolist()
+                if len(asked) and ids:
+                    if shard is None:
+                        width = max(1, max(map(len, held)))
+                        shard = Shard(np.array(ids, np.int64), _matrix(held, width))
+                        held = []
+                    yield _searched(shard, width, asked, k)
+
+    found = dealt.mapInPandas(run, "query_id long, query long, vec_id long, score long, own boolean")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", F.desc("own"))
+    # best k + 1 of all shards, less the query's own row; without it the first k
+    best = found.withColumn("place", F.row_number().over(order)).where(f"place <= {k + 1}")
+    mine = F.min(F.when(F.col("own"), F.col("place"))).over(Window.partitionBy("query_id", "query"))
+    return (best.withColumn("mine", F.coalesce(mine, F.lit(k + 1))).where("place <> mine")
+            .withColumn("rank", (F.col("place") - (F.col("place") > F.col("mine")).cast("int")).cast("int"))
             .select("query_id", "rank", "vec_id", "score"))
 
 

@@ -85,15 +85,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     count = max(1, min(MOST_BUCKETS, -(-stats["n"] // BUCKET_ROWS)))
     bounds = []
     if count > 1:
-        cuts = docs.agg(F.percentile_approx(key, [i / count for i in range(1, count)], 100 * count)).first()[0]
+        # the probabilities are one string of the plan, not a literal each
+        share = ",".join(f"{i / count:.9g}" for i in range(1, count))
+        cuts = docs.select(key.alias("k")).agg(F.expr(
+            f"percentile_approx(k, CAST(split('{share}', ',') AS ARRAY<DOUBLE>), {20 * count})")).first()[0]
         bounds = sorted(set(cuts) - {stats["first"]})
     starts, last = [stats["first"] if stats["first"] is not None else 0, *bounds], len(bounds)
     # binary search: the number of starts up to the id, less one
     steps = [1 << k for k in reversed(range(max(1, len(starts).bit_length())))]
     padded = starts + [(1 << 63) - 1] * (sum(steps) + 1 - len(starts))
     at = F.expr("aggregate(_steps, 0, (lo, s) -> IF(_key >= element_at(_starts, lo + s + 1) AND lo + s < _size, lo + s, lo))")
+    # one row of at most MOST_BUCKETS numbers, read by every task instead of standing in the plan
+    bounds_row = docs.sparkSession.createDataFrame([(steps, padded, len(starts))], "_steps array<int>, _starts array<long>, _size int")
     dealt = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("_key"))
-             .withColumn("_steps", F.lit(steps)).withColumn("_starts", F.lit(padded)).withColumn("_size", F.lit(len(starts)))
+             .crossJoin(F.broadcast(bounds_row))
              .withColumn("_b", at)
              .withColumn("_first", F.expr("_key = element_at(_starts, _b + 1)"))
              .withColumn("_place", F.explode(F.when(F.col("_first"), F.array(
