@@ -126,12 +126,12 @@ def add_group_aggregates(df: DataFrame, group_cols, agg_cols) -> DataFrame:
 
     Uses a grouped aggregation joined back (map-side partial aggregation), not a
     window: a window would sort every group in one task, and a hot key may hold
-    a third of all rows.
+    a third of all rows (``apply_group_aggregates`` deals with those).
     """
     out = df
     for g in group_cols:
         stats = fit_group_aggregates(df, g, agg_cols)
-        out = apply_group_aggregates(out, g, stats, broadcast=False)
+        out = apply_group_aggregates(out, g, stats, hot_groups(df, g))
     return out
 
 
@@ -144,17 +144,37 @@ def fit_group_aggregates(df: DataFrame, group_col: str, agg_cols) -> DataFrame:
     return df.where(qcol(group_col).isNotNull()).groupBy(qcol(group_col).alias(group_col)).agg(*aggs)
 
 
-def apply_group_aggregates(df: DataFrame, group_col: str, stats: DataFrame, broadcast: bool | None = None,
-                           max_broadcast_groups: int = 1_000_000) -> DataFrame:
-    """G7 apply: left join on the group key. Broadcast only when the statistics
-    table is known to be small (``broadcast=True``) or measured below the bound."""
-    if broadcast is None:
-        broadcast = stats.count() <= max_broadcast_groups
-    right = F.broadcast(stats) if broadcast else stats
-    joined = df.join(right, on=group_col, how="left")
-    std_cols = [c for c in stats.columns if c != group_col and c.endswith("_std")]
-    # a missing or unseen key gets a NULL mean and a zero sd
+#: A group of more than this share of the rows is hot; there are at most as many as fit.
+HOT_SHARE = 1 / 32
+
+
+def hot_groups(df: DataFrame, group_col: str, share: float = HOT_SHARE) -> list:
+    """The keys of more than ``share`` of all rows, at most ``1 / share`` of them; counted
+    from rows that map-side aggregation has already merged."""
+    sizes = df.where(qcol(group_col).isNotNull()).groupBy(qcol(group_col).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1)).alias("total"))
+    rows = sizes.crossJoin(F.broadcast(total)).where(F.col("n") > F.col("total") * share)         # a total of one row
+    return [r["k"] for r in rows.select("k").collect()]
+
+
+def apply_group_aggregates(df: DataFrame, group_col: str, stats: DataFrame, hot: list | None = None) -> DataFrame:
+    """G7 apply: each row with its group's statistics; a missing or unseen key gets a NULL
+    mean and a zero sd.
+
+    Rows of hot groups (at most ``1 / HOT_SHARE`` keys) meet their few rows of statistics
+    by broadcast, where they are; rows without a key meet none; only the others are
+    shuffled by key, so no task gets a group of more than ``HOT_SHARE`` of the rows.
+    """
+    hot = hot_groups(df, group_col) if hot is None else hot
     added = [c for c in stats.columns if c != group_col]
+    std_cols = [c for c in added if c.endswith("_std")]
+    key = qcol(group_col)
+    is_hot = key.isin(hot) if hot else F.lit(False)
+    keyless = df.where(key.isNull()).select("*", *[F.lit(None).cast(stats.schema[c].dataType).alias(c) for c in added])
+    joined = df.where(key.isNotNull() & ~is_hot).join(stats, on=group_col, how="left").unionByName(keyless)
+    if hot:
+        few = F.broadcast(stats.where(qcol(group_col).isin(hot)))
+        joined = joined.unionByName(df.where(is_hot).join(few, on=group_col, how="left"))
     return joined.select(*[qcol(c) for c in df.columns],
                          *[F.coalesce(qcol(c), F.lit(0.0)).alias(c) if c in std_cols else qcol(c) for c in added])
 

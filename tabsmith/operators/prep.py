@@ -48,6 +48,14 @@ def _quantiles(x: Column, probs, exact: bool) -> Column:
     return F.percentile_approx(x, [float(p) for p in probs], APPROX_ACCURACY)
 
 
+def part_names(part: dict) -> list[str]:
+    """Names of the features that one entry of ``FeaturePipeline.coded`` stands for."""
+    c = part["column"]
+    if part["kind"] == "value":
+        return [c]
+    return [f"{c}__{v}" for v in part["levels"]] if part["kind"] == "onehot" else [f"{c}__hash_{j}" for j in range(part["size"])]
+
+
 class NotFittedError(RuntimeError):
     pass
 
@@ -86,11 +94,15 @@ class FeaturePipeline:
         state.update(self._fit_parameters(df, ftypes, n_unique))
         self.state = state
         state["selected_features"] = None
-        full = self._transform_no_selection(df)
-        passthrough = set(self.passthrough_columns(df))
-        state["output_features"] = [c for c in full.columns if c not in passthrough]
-        if cfg.get("feature_selection") is not None:
-            state["selected_features"] = self._fit_selection(full.select(*[qcol(c) for c in state["output_features"]]))
+        # names only: a wide hash has as many names as buckets, but no frame of so many columns is planned
+        state["output_features"] = names = [n for part in self.coded(df)[1] for n in part_names(part)]
+        wanted = cfg.get("feature_selection")
+        if wanted is not None and wanted.get("selected_features") is not None:
+            have = set(names)
+            state["selected_features"] = [c for c in wanted["selected_features"] if c in have]
+        elif wanted is not None:
+            full = self._transform_no_selection(df)
+            state["selected_features"] = self._fit_selection(full.select(*[qcol(c) for c in names]))
         return self
 
     def _quantile_mode(self, col: str, n_unique: dict) -> str:
@@ -229,12 +241,9 @@ class FeaturePipeline:
         return out
 
     def _fit_selection(self, full: DataFrame) -> list[str]:
-        """Variance filter, correlation filter, or an explicit list."""
+        """variance filter, then correlation filter."""
         fs = self.config.get("feature_selection") or {}
         cols = list(full.columns)
-        explicit = fs.get("selected_features")
-        if explicit is not None:
-            return [c for c in explicit if c in cols]
         vt = fs.get("variance_threshold", 0.0)
         ct = fs.get("correlation_threshold")
         protected = set(fs.get("protected_features", []) or [])
@@ -262,9 +271,25 @@ class FeaturePipeline:
         arr = F.array(*[F.lit(float(v)) for v in levels]) if levels else F.array().cast("array<double>")
         return (F.array_position(arr, x.cast("double")) - 1).cast("int")
 
-    def _transform_no_selection(self, df: DataFrame) -> DataFrame:
+    def coded(self, df: DataFrame) -> tuple[DataFrame, list[dict]]:
+        """Features with one column per input column, and what each stands for: encoded
+        columns hold a position (the level's place or the hash bucket; beyond the last for
+        none) instead of one column per level. Other columns of ``df`` follow."""
+        out = self._transform_no_selection(df, expand=False)
+        st, rest = self.state, set(self.passthrough_columns(df))
+        parts = []
+        for c in out.columns:
+            if c in st["encoders"]:
+                kind, levels = st["encoders"][c]
+                parts.append({"column": c, "kind": kind, "size": levels if kind == "hashing" else len(levels),
+                              **({"levels": levels} if kind == "onehot" else {})})
+            elif c not in rest:
+                parts.append({"column": c, "kind": "value"})
+        return out, parts
+
+    def _transform_no_selection(self, df: DataFrame, expand: bool = True) -> DataFrame:
         if self.state is None:
-            raise NotFittedError("Pipeline must be fitted before calling transform().")
+            raise NotFittedError("this preprocessing has no fitted state yet: call fit() first")
         st = self.state
         ft = st["feature_types"]
         fill = self.config.get("datetime_missing_fill", -1)
@@ -298,7 +323,15 @@ class FeaturePipeline:
             x = qcol(c)
             if imp is not None:
                 x = F.coalesce(x, F.lit(imp[1]))
-            out += onehot_columns(x, c, params) if kind == "onehot" else hash_columns(x, c, params)
+            if expand:
+                out += onehot_columns(x, c, params) if kind == "onehot" else hash_columns(x, c, params)
+            elif kind == "onehot":
+                kind_ = df.schema[c].dataType
+                levels = F.array(*[F.lit(v).cast(kind_) for v in params])
+                place = F.coalesce(F.array_position(levels, x.cast(kind_)), F.lit(0)) if params else F.lit(0)
+                out.append(F.when(place > 0, place - 1).otherwise(len(params)).alias(c))
+            else:
+                out.append(md5_mod(x.cast("string"), params).alias(c))
         return df.select(*out, *[qcol(c) for c in df.columns if c not in features])
 
     def passthrough_columns(self, df: DataFrame) -> list[str]:

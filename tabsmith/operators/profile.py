@@ -532,38 +532,36 @@ def density(df: DataFrame, column: str, grid_points: int = 200, pre_bins: int =
             .orderBy("x"))
 
 
-def box_stats(df: DataFrame, column: str, by: str | None = None, approx: bool = False,
+def box_stats(df: DataFrame, column: str, by: str | list[str] | None = None, approx: bool = False,
               accuracy: int = 100000) -> DataFrame:
-    """B27 (and A18 when ``by`` is given): quartiles, 1.5·IQR whiskers, outlier count.
+    """B27 (and A18 when ``by`` is given, one column or several): quartiles, 1.5·IQR
+    whiskers, outlier count.
 
-    Exact quartiles use ``percentile`` (linear interpolation, as pandas);
+    Exact quartiles are interpolated as by ``percentile``;
     ``approx=True`` switches to ``percentile_approx`` for very large groups.
     """
     x = nan_to_null(qc(column).cast("double"))
-    keys = [by] if by else []
+    keys = [] if by is None else [by] if isinstance(by, str) else list(by)
     base = df.select(*[qc(k) for k in keys], x.alias("__x")).where(F.col("__x").isNotNull())
-    if by:
-        base = base.where(qc(by).isNotNull())
+    for k in keys:
+        base = base.where(qc(k).isNotNull())
+    probs = [0.25, 0.5, 0.75]
     if approx:
-        q = F.percentile_approx("__x", [0.25, 0.5, 0.75], accuracy)
-        qs = base.groupBy(*keys).agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
-        qs = qs.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                       F.col("q")[2].alias("q3"))
+        q = F.percentile_approx("__x", probs, accuracy)
+        qs = base.groupBy(*[qc(k) for k in keys]).agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
+    elif keys:
+        from .ranking import grouped_quantiles
+        qs = grouped_quantiles(base, "__x", probs, keys)
     else:
-        probs = [0.25, 0.5, 0.75]
-        if by:
-            from .ranking import grouped_quantiles
-            qs = grouped_quantiles(base, "__x", probs, by)
-        else:
-            from .quantiles import quantile_arrays
-            qs = base.agg(F.count(F.lit(1)).alias("n")).withColumn(
-                "q", F.array(*[F.lit(v).cast("double") for v in quantile_arrays(base, ["__x"], probs)["__x"]]))
-        qs = qs.select(*[qc(k) for k in keys], "n", *[F.col("q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
+        from .quantiles import quantile_arrays
+        qs = base.agg(F.count(F.lit(1)).alias("n")).withColumn(
+            "q", F.array(*[F.lit(v).cast("double") for v in quantile_arrays(base, ["__x"], probs)["__x"]]))
+    qs = qs.select(*[qc(k) for k in keys], "n", *[F.col("q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
     qs = qs.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    joined = base.join(qs, keys) if by else base.crossJoin(F.broadcast(qs))     # one row without groups
+    joined = base.join(qs, keys) if keys else base.crossJoin(F.broadcast(qs))     # one row without groups
     inside = (F.col("__x") >= F.col("lo_fence")) & (F.col("__x") <= F.col("hi_fence"))
-    out = joined.groupBy(*keys).agg(
+    out = joined.groupBy(*[qc(k) for k in keys]).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
         F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col("__x"))).alias("whisker_low"),

@@ -93,30 +93,32 @@ def average_ranks(df: DataFrame, column: str) -> DataFrame:
     return rs.select("value", (F.col("cum_cnt") + (F.col("cnt") + 1) / 2.0).alias("rank"))
 
 
-def grouped_quantiles(df: DataFrame, column: str, probs, by: str) -> DataFrame:
+def grouped_quantiles(df: DataFrame, column: str, probs, by: str | list[str]) -> DataFrame:
     """Exact linear-interpolation quantiles of a numeric column per group, as a table
-    ``(by, n, q)`` with one array of quantiles a group, equal to ``percentile``.
+    ``(by..., n, q)`` with one array of quantiles a group, equal to ``percentile``.
 
     Values are counted per ``(by, value)``, running counts are formed in ranges of the
     values, and each row says itself which order statistics it holds. Nothing is
     collected; a group is as many rows in the last step as it has wanted ranks.
     """
     from ..functions.exprs import nan_to_null, qc
+    by = [by] if isinstance(by, str) else list(by)
+    keys = [f"__by{i}" for i in range(len(by))]
     probs = [float(p) for p in probs]
-    base = df.select(qc(by).alias("__by"), nan_to_null(qc(column).cast("double")).alias("value")).where(
-        "__by IS NOT NULL AND value IS NOT NULL")
-    vc = base.groupBy("__by", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=["__by"])
-    rs = rs.join(vc.groupBy("__by").agg(F.sum("cnt").alias("n")), "__by")
+    base = df.select(*[qc(b).alias(k) for b, k in zip(by, keys)], nan_to_null(qc(column).cast("double")).alias("value")).where(
+        " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "value"]))
+    vc = base.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
+    rs = running_sums(vc, "value", ["cnt"], inclusive=True, partition_cols=keys)
+    rs = rs.join(vc.groupBy(*keys).agg(F.sum("cnt").alias("n")), keys)
 
     def holds(rank):
         return F.when((F.col("cum_cnt") - F.col("cnt") <= rank) & (rank < F.col("cum_cnt")), F.col("value"))
 
     h = [(F.col("n") - 1) * F.lit(p) for p in probs]
     parts = [holds(f(x)) for x in h for f in (F.floor, F.ceil)]
-    kept = rs.select("__by", "n", *[p.alias(f"v{i}") for i, p in enumerate(parts)]).where(
+    kept = rs.select(*keys, "n", *[p.alias(f"v{i}") for i, p in enumerate(parts)]).where(
         F.coalesce(*[F.col(f"v{i}") for i in range(len(parts))]).isNotNull())
-    one = kept.groupBy("__by", "n").agg(*[F.max(f"v{i}").alias(f"v{i}") for i in range(len(parts))])
+    one = kept.groupBy(*keys, "n").agg(*[F.max(f"v{i}").alias(f"v{i}") for i in range(len(parts))])
     q = [F.when(F.col(f"v{2 * i}") == F.col(f"v{2 * i + 1}"), F.col(f"v{2 * i}"))
          .otherwise(F.col(f"v{2 * i}") + (x - F.floor(x)) * (F.col(f"v{2 * i + 1}") - F.col(f"v{2 * i}"))) for i, x in enumerate(h)]
-    return one.select(F.col("__by").alias(by), "n", F.array(*q).alias("q"))
+    return one.select(*[F.col(k).alias(b) for b, k in zip(by, keys)], "n", F.array(*q).alias("q"))

@@ -8,6 +8,7 @@ jobs. Model fitting is Spark ML (distributed); only metrics (a few numbers per f
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -74,9 +75,6 @@ def _gbt(cls):
                   maxDepth=int(p.get("maxDepth", 6)), subsamplingRate=float(p.get("subsamplingRate", 0.8)),
                   featureSubsetStrategy=str(p.get("featureSubsetStrategy", "0.8")),
                   minInstancesPerNode=int(p.get("minInstancesPerNode", 1)), seed=int(p.get("seed", 42)))
-        if p.get("validationIndicatorCol"):
-            kw["validationIndicatorCol"] = p["validationIndicatorCol"]
-            kw["validationTol"] = float(p.get("validationTol", 0.01))
         return cls(**kw)
     return make
 
@@ -104,8 +102,9 @@ MODEL_ALIASES = {"xgboost_classifier": "gbt_classifier", "lightgbm_classifier":
                  "lightgbm_regressor": "gbt_regressor", "catboost_regressor": "gbt_regressor"}
 
 # parameter names accepted on top of the Spark estimator's own
-_EXTRA_PARAMS = {"C", "alpha", "seed", "solver", "validationTol", "early_stopping"}
-VALIDATION_COL = "__validation"
+_EXTRA_PARAMS = {"C", "alpha", "seed", "solver", "early_stopping", "patience"}
+#: Fixed value: rounds without a lower validation loss after which boosting ends.
+PATIENCE = 50
 
 
 def resolve(name: str) -> tuple[ModelSpec, callable]:
@@ -185,32 +184,19 @@ def score_frame(model, df: DataFrame, task: str) -> DataFrame:
     return out
 
 
-def multiclass_log_loss(scored: DataFrame) -> DataFrame:
-    """E5: mean negative log-probability of the true class, probabilities clipped; NULL with one class."""
-    p = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
-    clipped = F.least(F.greatest(p, F.lit(E.LOG_LOSS_EPS)), F.lit(1 - E.LOG_LOSS_EPS))
-    return scored.agg(F.when(F.count_distinct("label") > 1, F.avg(-F.log(clipped))).alias("log_loss"))
-
-
-def fold_metrics(scored: DataFrame, task: str, n_classes: int = 2) -> dict:
-    """The task's metrics of one scored frame, as one row of a few numbers."""
-    if task == "regression":
-        table = E.regression_metrics(scored, "label", "prediction")
-    elif n_classes <= 2:
-        table = E.classification_metrics(scored, "label", "p1", "prediction")
-    else:
-        table = (E.roc_auc_ovr(scored, "label", "probability").crossJoin(E.label_metrics(scored, "label", "prediction"))
-                 .crossJoin(multiclass_log_loss(scored)))
-    return table.first().asDict()
-
-
 def _label_stats(df: DataFrame, label: str):
     r = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(qcol(label).cast("double")).alias("sd"),
                F.count_distinct(qcol(label)).alias("k")).first()
     return r["n"], r["sd"], r["k"]
 
 
-def at_once(jobs, width: int = 4) -> list:
+#: Fits that run as concurrent jobs.
+WIDTH = 8
+#: Trials that are put into one long frame and measured in one go.
+MEASURED_AT_ONCE = 25
+
+
+def at_once(jobs, width: int = WIDTH) -> list:
     """Results of the callables in order; up to ``width`` run as concurrent Spark jobs."""
     if len(jobs) < 2:
         return [job() for job in jobs]
@@ -218,33 +204,114 @@ def at_once(jobs, width: int = 4) -> list:
         return pool.map(lambda job: job(), jobs)
 
 
+def patient_rounds(losses, patience: int) -> int:
+    """M8: rounds to keep. Boosting ends when ``patience`` rounds in a row brought no lower
+    loss on the validation rows; the ensemble is cut after the best round so far."""
+    best, at = math.inf, 0
+    for i, loss in enumerate(losses):
+        if loss < best:
+            best, at = loss, i
+        elif i - at >= patience:
+            break
+    return at + 1
+
+
 def fit_estimator(train: DataFrame, valid: DataFrame | None, model_name: str, params: dict, n: int, label_sd, n_classes: int):
     """M6-M8: a fitted model on assembled frames.
 
     Spark's boosted classifier knows two classes: with more the forest of the
-    registry stands in for it. With ``early_stopping`` a boosted model watches
-    the error on ``valid`` and stops when it no longer falls by ``validationTol``.
+    registry stands in for it. With ``early_stopping`` a boosted model is judged after
+    every round by its loss on ``valid`` and cut after its best round (``patient_rounds``,
+    ``patience`` 50): the same seed grows the same first trees again.
     """
     name = MODEL_ALIASES.get(model_name, model_name)
     params = dict(params)
-    early = params.pop("early_stopping", False)
+    early, patience = params.pop("early_stopping", False), int(params.pop("patience", PATIENCE))
     if name == "gbt_classifier" and n_classes > 2:
         spec, _ = resolve("random_forest_classifier")
         shared = {k: v for k, v in params.items() if k in ("seed", "minInstancesPerNode")}
         return build_estimator("random_forest_classifier", {**spec.defaults, **shared}, n, label_sd).fit(train)
+    model = build_estimator(name, params, n, label_sd).fit(train)
     if early and valid is not None and name.startswith("gbt"):
-        watched = train.withColumn(VALIDATION_COL, F.lit(False)).unionByName(valid.withColumn(VALIDATION_COL, F.lit(True)))
-        return build_estimator(name, {**params, "validationIndicatorCol": VALIDATION_COL}, n, label_sd).fit(watched)
-    return build_estimator(name, params, n, label_sd).fit(train)
+        losses = model.evaluateEachIteration(valid, *(["squared"] if name.endswith("regressor") else []))
+        rounds = patient_rounds(losses, patience)
+        if rounds < len(losses):
+            model = build_estimator(name, {**params, "maxIter": rounds}, n, label_sd).fit(train)
+    return model
 
 
 def score_folds(prepared: dict, model_name: str, params: dict, task: str) -> dict:
     """Fold → scored validation frame, the folds fitted as concurrent jobs."""
-    def job(i):
+    return {i: score_frame(model, prepared[i][1], task)
+            for (_, i), (model, _) in fit_trials(prepared, model_name, [params]).items()}
+
+
+def fit_trials(prepared: dict, model_name: str, trials: list[dict]) -> dict:
+    """(trial, fold) → (fitted model, seconds of the fit); all fits of all trials
+    share the prepared folds and run as concurrent jobs."""
+    def job(params, i):
         train, valid, _, n, sd, n_classes = prepared[i]
-        return lambda: score_frame(fit_estimator(train, valid, model_name, params, n, sd, n_classes), valid, task)
 
-    return dict(zip(prepared, at_once([job(i) for i in prepared])))
+        def run():
+            began = time.time()
+            return fit_estimator(train, valid, model_name, params, n, sd, n_classes), time.time() - began
+        return run
+
+    keys = [(t, i) for t in range(len(trials)) for i in prepared]
+    return dict(zip(keys, at_once([job(trials[t], i) for t, i in keys])))
+
+
+def scored_by_trial(models: dict, prepared: dict, task: str, n_classes: int) -> DataFrame:
+    """(trial, fold, label, prediction[, p1 or probs]) of models by (trial, fold): every
+    validation row passes all trials' models of its fold in one go."""
+    out = None
+    for i, (_, valid, *_) in prepared.items():
+        frame, items = valid.select("label", FEATURES_COL), []
+        for t in (t for t, j in models if j == i):
+            model = models[t, i].copy().setPredictionCol(f"prediction{t}")
+            fields = [F.lit(t).alias("trial"), F.col(f"prediction{t}").cast("double").alias("prediction")]
+            if task != "regression":
+                model = model.setProbabilityCol(f"probability{t}").setRawPredictionCol(f"raw{t}")
+                probs = vector_to_array(f"probability{t}")
+                fields.append(probs[1].alias("p1") if n_classes <= 2 else probs.alias("probs"))
+            frame = model.transform(frame)
+            items.append(F.struct(*fields))
+        part = frame.select(F.lit(i).alias("fold"), "label", F.explode(F.array(*items)).alias("t")).select("t.*", "fold", "label")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def measured(models: dict, prepared: dict, task: str) -> dict:
+    """(trial, fold) → metrics, ``MEASURED_AT_ONCE`` trials in one long frame keyed by trial
+    and fold: one job for each kind of metric, whatever the number of trials and folds."""
+    n_classes = max(p[5] for p in prepared.values())
+    found, trials = {}, sorted({t for t, _ in models})
+    for lo in range(0, len(trials), MEASURED_AT_ONCE):
+        chunk = set(trials[lo:lo + MEASURED_AT_ONCE])
+        long = scored_by_trial({k: m for k, m in models.items() if k[0] in chunk}, prepared, task, n_classes)
+        long = long.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found |= E.metrics_by(long, ["trial", "fold"], task, n_classes)
+        finally:
+            long.unpersist()
+    return found
+
+
+def mean_metrics(found: dict, trial: int) -> dict:
+    """The mean of each metric over the folds of a trial, missing values ignored."""
+    own = [m for (t, _), m in found.items() if t == trial]
+    means = {}
+    for metric in own[0]:
+        values = [m[metric] for m in own if m[metric] is not None and m[metric] == m[metric]]
+        means[metric] = sum(values) / len(values) if values else None
+    return means
+
+
+def cross_validate_many(prepared: dict, model_name: str, trials: list[dict], task: str) -> list[tuple[dict, float]]:
+    """(mean metrics, seconds of its fits) of every parameter map."""
+    fitted = fit_trials(prepared, model_name, trials)
+    found = measured({k: model for k, (model, _) in fitted.items()}, prepared, task)
+    return [(mean_metrics(found, t), sum(s for (u, _), (_, s) in fitted.items() if u == t)) for t in range(len(trials))]
 
 
 def cross_validate(df: DataFrame, target: str, model_name: str, params: dict, folds_col: str = "fold",
@@ -257,15 +324,10 @@ def cross_validate(df: DataFrame, target: str, model_name: str, params: dict, fo
     own = prepared is None
     prepared = prepare_folds(df, target, folds_col, k, prep_config, task) if own else prepared
     try:
-        scored = score_folds(prepared, model_name, params, task)
-        found = at_once([lambda i=i: fold_metrics(scored[i], task, prepared[i][5]) for i in prepared])
+        [(means, _)] = cross_validate_many(prepared, model_name, [params], task)
     finally:
         if own:
             release(prepared)
-    means = {}
-    for metric in found[0]:
-        values = [f[metric] for f in found if f[metric] is not None and f[metric] == f[metric]]
-        means[metric] = sum(values) / len(values) if values else None
     return means, time.time() - began
 
 

@@ -2,7 +2,8 @@
 
 Parameter maps are drawn on the driver with a seeded generator (a few dozen
 dictionaries); every trial is a cross-validation on Spark. The per-fold
-preprocessing is fitted once and shared by all trials.
+preprocessing is fitted once and shared by all trials, the fits of all trials and
+folds run as concurrent jobs, and all are scored and measured in one long frame.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .split import kfold
-from .train import (MODEL_ALIASES, cross_validate, fit_full, infer_task, prepare_folds, release, resolve)
+from .train import (MODEL_ALIASES, cross_validate_many, fit_full, infer_task, prepare_folds, release, resolve)
 
 # Search ranges per model, in Spark parameter names.
 # ("loguniform", a, b): log-uniform in [a, b]; ("uniform", a, w): uniform in [a, a + w];
@@ -111,15 +112,14 @@ def random_search(df: DataFrame, target: str, key: str, model_name: str, n_iter:
     """
     spark = df.sparkSession
     ctx = shared or prepare_search(df, target, key, cv, seed, prep_config)
-    task, folded, prepared, cv = ctx["task"], ctx["folded"], ctx["prepared"], ctx["cv"]
+    task, prepared = ctx["task"], ctx["prepared"]
     scoring = scoring_metric(task, {"tuning": {"scoring": scoring}})
     spec, _ = resolve(model_name)
     rows = []
     try:
-        for i, pm in enumerate(param_maps(model_name, n_iter, seed, space)):
-            params = {**spec.defaults, **pm}
-            metrics, secs = cross_validate(folded, target, model_name, params, "fold", cv, prep_config, task, prepared)
-            rows.append((i, model_name, str(params), metrics.get(scoring), secs))
+        trials = [{**spec.defaults, **pm} for pm in param_maps(model_name, n_iter, seed, space)]
+        found = cross_validate_many(prepared, model_name, trials, task)
+        rows = [(i, model_name, str(p), metrics.get(scoring), secs) for i, (p, (metrics, secs)) in enumerate(zip(trials, found))]
     finally:
         if shared is None:
             release_search(ctx)

@@ -240,12 +240,43 @@ def feature_feature_q(spark, sf_dir):
     return _round_redundant(res["redundant_features"])
 
 
-@register("a15_feature_target")
+FT_NUMS, FT_CATS = ["l_orderkey", "l_quantity", "l_extendedprice"], ["l_linenumber", "l_discount", "l_tax", "l_linestatus"]
+
+
+def _feature_target_sql():
+    null = "CAST(NULL AS VARCHAR)"
+    parts = []
+    for c in FT_NUMS:
+        for stat, e in (("slope", f"regr_slope(y, {c})"), ("intercept", f"regr_intercept(y, {c})"), ("r2", f"regr_r2(y, {c})"),
+                        ("n", f"regr_count(y, {c})")):
+            parts.append(f"SELECT '{c}' AS feature, 'numeric_vs_numeric' AS analysis, {null} AS level, {null} AS class, "
+                         f"'{stat}' AS statistic, CAST({e} AS DOUBLE) AS value FROM t")
+        box = f"""SELECT l_returnflag AS class, count(*) AS n, max(q[1]) AS q1, max(q[2]) AS median, max(q[3]) AS q3,
+  min(CASE WHEN {c} BETWEEN q[1] - 1.5 * (q[3] - q[1]) AND q[3] + 1.5 * (q[3] - q[1]) THEN {c} END) AS whisker_low,
+  max(CASE WHEN {c} BETWEEN q[1] - 1.5 * (q[3] - q[1]) AND q[3] + 1.5 * (q[3] - q[1]) THEN {c} END) AS whisker_high,
+  count_if(NOT {c} BETWEEN q[1] - 1.5 * (q[3] - q[1]) AND q[3] + 1.5 * (q[3] - q[1])) AS n_outliers
+FROM t JOIN (SELECT l_returnflag, quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q FROM t GROUP BY 1) USING (l_returnflag) GROUP BY 1"""
+        for stat in ("n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers"):
+            parts.append(f"SELECT '{c}', 'numeric_vs_categorical', {null}, class, '{stat}', CAST({stat} AS DOUBLE) FROM ({box})")
+    for c in FT_CATS:
+        for stat, e in (("target_mean", "avg(y)"), ("target_sd", "stddev_samp(y)"), ("n", "count(*)")):
+            parts.append(f"SELECT '{c}', 'categorical_vs_numeric', CAST({c} AS VARCHAR), {null}, '{stat}', CAST({e} AS DOUBLE) FROM t GROUP BY {c}")
+        cells = f"SELECT CAST({c} AS VARCHAR) AS level, l_returnflag AS class, count(*) AS count, count(*) / sum(count(*)) OVER (PARTITION BY {c}) AS share FROM t GROUP BY {c}, l_returnflag"
+        for stat in ("count", "share"):
+            parts.append(f"SELECT '{c}', 'categorical_vs_categorical', level, class, '{stat}', CAST({stat} AS DOUBLE) FROM ({cells})")
+    body = "\nUNION ALL\n".join(parts)
+    return (f"WITH t AS (SELECT *, CAST(l_returnflag = 'R' AS DOUBLE) AS y FROM lineitem) "
+            f"SELECT feature, analysis, level, class, statistic, {r('value', 6)} AS value FROM ({body})")
+
+
+@register("a15_feature_target", _feature_target_sql())
 def feature_target_q(spark, sf_dir):
-    """Routing of each D-MIX feature by type pair; one row per produced table."""
-    res = A.analyze_feature_target(mix(spark, sf_dir), "is_returned")
-    rows = [(f, kind, df.count()) for f, (kind, df) in sorted(res.items())]
-    return spark.createDataFrame(rows, "feature string, analysis string, n_rows long")
+    """Every statistic of the lineitem features against a numeric target (the text
+    '0' or '1', which P10 turns to numbers) and against a categorical one."""
+    li = T(spark, sf_dir, "lineitem").select(*FT_NUMS, *FT_CATS, "l_returnflag")
+    number = li.withColumn("y", (F.col("l_returnflag") == "R").cast("int").cast("string")).drop("l_returnflag")
+    res = A.analyze_feature_target(number, "y").unionByName(A.analyze_feature_target(li, "l_returnflag"))
+    return res.withColumn("value", R("value", 6))
 
 
 @register("a16_regression_line", "\nUNION ALL\n".join(

@@ -82,9 +82,9 @@ def scores_q(spark, sf_dir):
 
 @register("h1_random_search")
 def random_search_q(spark, sf_dir):
-    """H1-H3: seeded random search (4 draws, 5 folds) of logistic regression's C."""
+    """H1-H3: seeded random search (50 draws, 5 folds) of logistic regression's C."""
     trials, best, _ = H.random_search(labelled_docs(spark, sf_dir), "quality", "doc_id", "logistic_regression",
-                                      n_iter=4, cv=5, prep_config=PREP, refit=False)
+                                      n_iter=50, cv=5, prep_config=PREP, refit=False)
     return trials.select("trial", "model_name", "params", R("score").alias("score"))
 
 
@@ -221,6 +221,52 @@ def reload_q(spark, sf_dir):
         "row", R("after").alias("p1"), (F.col("before") == F.col("after")).alias("same"))
 
 
+@register("m10_pipeline_model_reload", """
+SELECT l_quantity, count(*) AS n, (floor((SELECT regr_slope(l_extendedprice, l_quantity) * x.l_quantity
+  + regr_intercept(l_extendedprice, l_quantity) FROM lineitem) * 1e3 + 0.5) / 1e3) AS prediction
+FROM lineitem x GROUP BY l_quantity""")
+def pipeline_model_q(spark, sf_dir):
+    """Preprocessing and least squares as one Spark ML Pipeline, saved, loaded and
+    applied; its predictions lie on the closed-form line."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.regression import LinearRegression
+
+    from ..operators.stages import TabularFeatures
+    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    model = Pipeline(stages=[
+        TabularFeatures(config=PREP, target="l_extendedprice", ignored=["l_orderkey"], outputCol="x"),
+        LinearRegression(featuresCol="x", labelCol="l_extendedprice", solver="normal")]).fit(li)
+    path = _scratch(spark)
+    model.write().overwrite().save(path)
+    scored_rows = PipelineModel.load(path).transform(li)
+    return (scored_rows.select("l_quantity", R("prediction", 3).alias("prediction"))
+            .groupBy("l_quantity", "prediction").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("s3_date_formats", """
+SELECT * FROM (VALUES ('day_first', 'typed', 'dd.MM.yyyy'), ('month_first', 'typed', 'MM/dd/yyyy'), ('iso', 'typed', 'yyyy-MM-dd'),
+  ('either', 'ambiguous', 'dd/MM/yyyy'), ('text', 'text', NULL)) t(column_name, status, format)
+  JOIN (SELECT count(*) AS n_nonnull, CAST(sum(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE))) AS BIGINT) AS days FROM orders) ON true""")
+def date_formats_q(spark, sf_dir):
+    """Orders written as CSV with dates in four formats and read back: the format
+    chosen for each column, and the sum of the days read by the columns that were typed."""
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    d = F.col("o_orderdate")
+    low = F.make_date(F.year(d), F.month(d), F.least(F.dayofmonth(d), F.lit(12)))
+    path = _scratch(spark)
+    S.write_table(o.select("o_orderkey", F.date_format(d, "dd.MM.yyyy").alias("day_first"), F.date_format(d, "MM/dd/yyyy").alias("month_first"),
+                           F.date_format(d, "yyyy-MM-dd").alias("iso"), F.date_format(low, "dd/MM/yyyy").alias("either"),
+                           F.col("o_orderpriority").alias("text")), path, fmt="csv")
+    raw = spark.read.option("header", True).csv(path)
+    back = S.read_csv(spark, path, dates=True)
+    kinds = dict(back.dtypes)
+    days = [F.sum(F.datediff(F.col(c).cast("date"), F.lit("1992-01-01").cast("date"))).alias(c) for c in ("day_first", "month_first", "iso")]
+    assert [kinds[c] for c in ("day_first", "month_first", "iso", "either")] == ["timestamp"] * 3 + ["string"]
+    same = back.agg(*days).select(F.when((F.col("day_first") == F.col("iso")) & (F.col("month_first") == F.col("iso")), F.col("iso")).alias("days"))
+    report = S.date_formats(raw, ["day_first", "month_first", "iso", "either", "text"])
+    return report.crossJoin(F.broadcast(same)).select("column_name", "status", "format", "n_nonnull", "days")
+
+
 @register("s10_json_report", f"""
 WITH x AS (SELECT y, p, CAST(p >= 0.5 AS INTEGER) AS pred FROM {SCORED_SQL}),
 k AS (SELECT avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END) AS accuracy FROM x)

@@ -106,6 +106,30 @@ def hashing_q(spark, sf_dir):
                     prep.md5_mod(F.col("p_brand"), 7).alias("brand_bucket"))
 
 
+@register("f8_f9_sparse_vector", f"""
+WITH b AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS place, count(*) OVER () AS brands FROM (SELECT DISTINCT p_brand FROM part)),
+k AS (SELECT count(*) AS brands FROM (SELECT DISTINCT p_brand FROM part))
+SELECT p_partkey, CAST(1 + 100000 + CASE WHEN k.brands <= 20 THEN k.brands ELSE 100000 END AS INTEGER) AS size,
+  CAST(CASE WHEN k.brands <= 20 THEN 1 + place ELSE 1 + 100000 + {_md5_mod_sql('p_brand', 100000)} END AS BIGINT) AS brand_place,
+  CAST(1 + CASE WHEN k.brands <= 20 THEN k.brands ELSE 0 END + {_md5_mod_sql('p_name', 100000)} AS BIGINT) AS name_place
+FROM part JOIN b USING (p_brand), k""")
+def sparse_vector_q(spark, sf_dir):
+    """Price, brand (one-hot, or hashed where there are many) and name (hashed into 100,000
+    buckets) as one sparse vector per row; the places of the entries that are set."""
+    from ..operators import stages as ST
+    p = T(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_name", "p_brand")
+    model = ST.TabularFeatures(config={"hashing_dim": 100_000}, ignored=["p_partkey"], outputCol="x").fit(p)
+    out = model.transform(p)
+    start = {x["column"]: x for x in ST.vector_parts(out, "x")}
+    v = out.select("p_partkey", F.unwrap_udt("x").alias("v"))
+
+    def place(c):
+        lo, hi = start[c]["from"], start[c]["from"] + start[c]["size"]
+        return F.element_at(F.filter("v.indices", lambda i: (i >= lo) & (i < hi)), 1).cast("long")
+
+    return v.select("p_partkey", F.col("v.size").alias("size"), place("p_brand").alias("brand_place"), place("p_name").alias("name_place"))
+
+
 @register("f10_f13_scalers", f"""
 WITH s AS (SELECT avg(o_totalprice) AS mu, stddev_samp(o_totalprice) AS sd, min(o_totalprice) AS lo,
                   max(o_totalprice) AS hi, quantile_cont(o_totalprice, 0.25) AS q1,

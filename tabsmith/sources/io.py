@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import kind_of, normalize_nans
+from ..functions.exprs import kind_of, normalize_nans, qc
 
 # String tokens read as missing in every data set (on top of the
 # empty field).
@@ -80,16 +80,19 @@ def replace_tokens(df: DataFrame, tokens, columns=None, sentinels=()) -> DataFra
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
-    """S3: the narrowest of bigint / double / boolean / timestamp / string that
-    every non-NULL value of a string column parses as (one aggregation)."""
+    """S3: the narrowest of bigint / double / boolean / string that every non-NULL
+    value of a string column parses as (one aggregation); dates are ``with_dates``."""
     checks, names = [], []
     for f in df.schema.fields:
         if kind_of(f.dataType) != "string":
             continue
         c = F.col(f.name)
-        for t in ("bigint", "double", "boolean"):
+        for t in ("bigint", "double"):
             names.append((f.name, t))
             checks.append(F.bool_and(c.try_cast(t).isNotNull() | c.isNull()))
+        # only True/False spellings are booleans (not 1/0, which are integers above)
+        names.append((f.name, "boolean"))
+        checks.append(F.bool_and(F.lower(F.trim(c)).isin("true", "false") | c.isNull()))
         names.append((f.name, "_any"))
         checks.append(F.count(c) > 0)
     if not checks:
@@ -106,26 +109,67 @@ def infer_types(df: DataFrame) -> dict[str, str]:
             out[f.name] = "bigint"
         elif ok[(f.name, "double")]:
             out[f.name] = "double"
-        elif ok[(f.name, "boolean")] and _is_bool_literal(df, f.name):
+        elif ok[(f.name, "boolean")]:
             out[f.name] = "boolean"
         else:
             out[f.name] = "string"
     return out
 
 
-def _is_bool_literal(df: DataFrame, c: str) -> bool:
-    # only True/False spellings count as booleans (not 1/0, which are integers above)
-    return df.where(F.col(c).isNotNull() & ~F.lower(F.trim(F.col(c))).isin("true", "false")).limit(1).count() == 0
+#: Date formats that are tried for a column of text, in this order.
+DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "dd.MM.yyyy", "dd.MM.yyyy HH:mm",
+                "dd/MM/yyyy", "MM/dd/yyyy", "dd-MM-yyyy", "yyyyMMdd"]
 
 
-def read_csv(spark: SparkSession, path: str, na_values=None) -> DataFrame:
-    """Tokens to NULL first, then typing."""
+def date_formats(df: DataFrame, columns=None, formats=None) -> DataFrame:
+    """``(column_name, n_nonnull, n_parsed, format, status)``, one row per text column.
+
+    One aggregation counts what each column has in each format. The format that parses
+    every value is the column's (status ``typed``); where several do, as with days that
+    are all below 13, the first is named and the column is ``ambiguous``; where none
+    does, ``n_parsed`` is what the best one parses and the column stays ``text``.
+    """
+    formats = list(formats or DATE_FORMATS)
+    columns = [f.name for f in df.schema.fields if kind_of(f.dataType) == "string" and (columns is None or f.name in columns)]
+    spark = df.sparkSession
+    schema = "column_name string, n_nonnull long, n_parsed long, format string, status string"
+    if not columns:
+        return spark.createDataFrame([], schema)
+    aggs = [a for c in columns for a in (F.count(qc(c)), *(F.count(F.try_to_timestamp(F.trim(qc(c)), F.lit(f))) for f in formats))]
+    one = df.agg(*[a.alias(f"k{i}") for i, a in enumerate(aggs)]).first()
+    rows, width = [], len(formats) + 1
+    for i, c in enumerate(columns):
+        n, *parsed = one[i * width:(i + 1) * width]
+        whole = [f for f, k in zip(formats, parsed) if n and k == n]
+        rows.append((c, n, max(parsed), whole[0] if whole else None,
+                     "text" if not whole else "typed" if len(whole) == 1 else "ambiguous"))
+    return spark.createDataFrame(rows, schema)
+
+
+def with_dates(df: DataFrame, columns=None, formats=None, prefer=()) -> DataFrame:
+    """Text columns that are dates throughout, as timestamps. Ambiguous columns stay text
+    unless a format in ``prefer`` (by order) parses them whole."""
+    chosen = {}
+    for r in date_formats(df, columns, formats).collect():          # one row per column
+        if r["status"] == "typed":
+            chosen[r["column_name"]] = r["format"]
+        elif r["status"] == "ambiguous":
+            whole = [p for p in date_formats(df, [r["column_name"]], prefer).collect() if p["format"]] if prefer else []
+            if whole:
+                chosen[r["column_name"]] = whole[0]["format"]
+    return df.select(*[F.try_to_timestamp(F.trim(qc(c)), F.lit(chosen[c])).alias(c) if c in chosen else qc(c) for c in df.columns])
+
+
+def read_csv(spark: SparkSession, path: str, na_values=None, dates: bool = False, formats=None, prefer=()) -> DataFrame:
+    """Tokens to NULL first, then typing; with ``dates`` also the columns that hold
+    dates of one format (``with_dates``)."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(resolve_csv_path(spark, path))
     cleaned = replace_tokens(raw, na_tokens(na_values))
     types = infer_types(cleaned)
     out = cleaned.select(*[
         (F.col(c).try_cast(types[c]) if types.get(c, "string") != "string" else F.col(c)).alias(c)
         for c in cleaned.columns])
+    out = with_dates(out, formats=formats, prefer=prefer) if dates else out
     return normalize_nans(out)
 
 
