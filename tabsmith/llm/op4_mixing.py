@@ -47,11 +47,13 @@ def repetition_rates(docs: DataFrame, weights: DataFrame, source_col: str = "sou
     rates = (counts.alias("c").join(weights.alias("w"), F.col("c.source").eqNullSafe(F.col("w.source")))
              .where("w.weight > 0").select("c.source", (F.col("weight") * total / F.col("n")).alias("rate")))
     # far enough that what lies beyond is smaller than the distance of two hashed numbers
-    return (rates.withColumn("log_fact", F.expr(
-                "transform(sequence(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS INT)), k -> "
-                "aggregate(sequence(0, k), 0D, (s, i) -> s + IF(i = 0, 0D, ln(i))))"))
+    # both sums are carried along, not taken again for every k
+    carried = ("aggregate({items}, named_struct('s', 0D, 'out', {start}), (a, y) -> named_struct('s', a.s + {add}, "
+               "'out', concat(a.out, array(a.s + {add}))), a -> a.out)")
+    return (rates.withColumn("log_fact", F.expr(carried.format(
+                items="sequence(1, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS INT))", start="array(0D)", add="ln(y)")))
             .withColumn("p", F.expr("transform(log_fact, (f, k) -> exp(k * ln(rate) - rate - f))"))
-            .withColumn("steps", F.expr("transform(p, (x, k) -> aggregate(slice(p, 1, k + 1), 0D, (s, y) -> s + y))"))
+            .withColumn("steps", F.expr(carried.format(items="p", start="CAST(array() AS ARRAY<DOUBLE>)", add="y")))
             .select("source", "rate", "steps"))
 
 

@@ -1,6 +1,8 @@
+import math
 import zlib
 
 import numpy as np
+import pytest
 
 from tabsmith.llm import op10_quality as op
 from tabsmith.llm.common import table
@@ -38,3 +40,36 @@ def test_odd_rows(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in op.quality(docs, none).collect()} == {0.5}
     assert op.quality(docs_of([]), labels).collect() == []
+
+
+def plain_features(text):
+    """The same measures, character by character and word by word."""
+    data = (text or "").encode()
+    words, lines = data.split(), [x for x in data.split(b"\n") if x.strip()]
+    is_letter = lambda b: 65 <= b <= 90 or 97 <= b <= 122 or b >= 128
+    stops = b".,;:?'\"()-"
+    is_mark = lambda b: not (is_letter(b) or 48 <= b <= 57 or b in b" \t\n\v\f\r" or b in stops)
+    n, m, k = max(1, len(data)), max(1, len(words)), max(1, len(lines))
+    letters = sum(map(is_letter, data))
+    size = [len(w) for w in words] or [0]
+    mean = sum(size) / len(size)
+    return [math.log1p(len(words)), letters / n, sum(65 <= b <= 90 for b in data) / max(1, letters), sum(48 <= b <= 57 for b in data) / n,
+            sum(b in b" \t\n\v\f\r" for b in data) / n, sum(b in stops for b in data) / n, data.count(b"|") / m, data.count(b"!") / m,
+            sum(map(is_mark, data)) / n, sum(is_mark(w[-1]) for w in words) / m, mean,
+            math.sqrt(sum((s - mean) ** 2 for s in size) / len(size)), sum(s <= 3 for s in size) / len(size), len(set(words)) / m,
+            max((words.count(w) for w in set(words)), default=0) / m, sum(a == b for a, b in zip(words, words[1:])) / m,
+            len(set(zip(words, words[1:]))) / m, math.log1p(len(lines)), len(set(lines)) / k, m / k,
+            sum(65 <= w[0] <= 90 for w in words) / m, sum(is_letter(w[-1]) for w in words) / m]
+
+
+def test_scores_match_plain_lookups(spark, small_docs):
+    from bisect import bisect_right
+    model = op.fit(small_docs, table(spark, "/root/testdata/sf0.001", "labels"))
+    assert model.tables and model.pairs
+    for r in op.scored(small_docs.select("text"), model).collect():
+        x = plain_features(r.text)
+        assert op.features(r.text) == pytest.approx(x, rel=1e-12, abs=1e-12)
+        z = model.base + sum(t[bisect_right(list(e), v)] for t, e, v in zip(model.tables, model.edges, op.features(r.text)))
+        at = [bisect_right(list(e), v) for e, v in zip(model.coarse, op.features(r.text))]
+        z += sum(t[at[a], at[b]] for a, b, t in model.pairs)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9) and r.predicted == (r.score >= 0.3)

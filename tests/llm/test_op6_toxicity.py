@@ -67,3 +67,47 @@ def test_accuracy_on_the_table(spark):
     out = op.toxicity(table(spark, sf, "documents"), labels).join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r.predicted for r in out if r.toxic]) >= 0.7
     assert np.mean([r.predicted for r in out if not r.toxic]) <= 0.02
+
+
+def test_weights_and_scores_match_plain_counting(spark, docs_of):
+    """Weights from counts of texts by hand, scores from the definition of segments."""
+    import math
+    import re
+    rng = random.Random(8)
+    rows, truth = [], {}
+    for i in range(400):
+        w = [rng.choice("One two, three four. five six".split()) for _ in range(rng.randrange(3, 20))]
+        if i % 5 == 0:
+            w[rng.randrange(len(w)):0] = rng.choices(["vile!", "awfulish", "Awfulness"], k=2)
+        rows.append((i, " ".join(w)))
+        truth[i] = int(i % 5 == 0)
+    rows += [(900, None), (901, ""), (902, "vile " * 3000)]
+    docs = docs_of(rows).withColumnRenamed("lang", "score").withColumnRenamed("source", "held_out")
+    labels = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    model = op.fit(docs, labels)
+    sample = {t: truth[k] for k, t in rows if k in truth and zlib.crc32(str(k).encode()) % 3 != 1}
+    held = {}
+    for text, label in sample.items():
+        keys = {k for w in re.findall(r"\w+", text.lower()) for k in [w + "$", *(w[:n] for n in (4, 5, 6) if len(w) > n)]}
+        for k in keys:
+            held.setdefault(k, [0, 0])[label] += 1
+    toxic, clean = sum(sample.values()), len(sample) - sum(sample.values())
+    want = {}
+    for k, (c, t) in held.items():
+        if t >= op.LEAST_TEXTS and t * clean > 2 * c * toxic:
+            prior = max(1e-9, op.PRIOR * (t + c) / (toxic + clean))
+            odds = math.log((t + prior) / (toxic + op.PRIOR - t - prior)) - math.log((c + prior) / (clean + op.PRIOR - c - prior))
+            low = odds - op.LOWER * math.sqrt(1 / (t + prior) + 1 / (c + prior))
+            if low > op.KEEP:
+                want[k] = low
+    assert want and model.weights == pytest.approx(want)
+    law = model.law
+    for r in op.toxicity(docs, labels).collect():
+        tokens = (dict(rows)[r.doc_id] or "").lower().split()
+        scores = [max([0.0] + [want.get(k, 0.0) for w in re.findall(r"\w+", t) for k in [w + "$", *(w[:n] for n in (4, 5, 6) if len(w) > n)]])
+                  for t in tokens]
+        sums = [s for _, _, s in all_segments([x - op.DRIFT for x in scores])] if len(tokens) < 100 else [sum(scores) - op.DRIFT * len(tokens)]
+        chance = [math.log(law.k * max(1, len(tokens))) - law.rate * s for s in sums]
+        evidence = sum(max(0.0, -e) for e in chance if e < math.log(op.SIGNIFICANT))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-law.slope * math.log1p(evidence) - law.shift)), rel=1e-6)
+        assert r.predicted == (r.score >= 0.7)
