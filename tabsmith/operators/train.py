@@ -192,6 +192,8 @@ def _label_stats(df: DataFrame, label: str):
 
 #: Fits that run as concurrent jobs.
 WIDTH = 8
+#: Feature values (8 bytes each) that make a partition of an assembled fold.
+VALUES_A_PARTITION = 1_000_000
 #: Trials that are put into one long frame and measured in one go.
 MEASURED_AT_ONCE = 25
 
@@ -334,7 +336,10 @@ def cross_validate(df: DataFrame, target: str, model_name: str, params: dict, fo
 def prepare_folds(df: DataFrame, target: str, folds_col: str, k: int, prep_config: dict | None, task: str | None = None,
                   keep=()) -> dict:
     """fold → (train, valid, features, rows, label sd, classes): the preprocessing is fitted
-    on each training part alone and both parts are kept assembled, with the columns ``keep``."""
+    on each training part alone and both parts are kept assembled, with the columns ``keep``,
+    in partitions of no less than ``VALUES_A_PARTITION`` feature values where there are so many:
+    an iterative fit runs one task a partition in each iteration."""
+    rows = {r[folds_col]: r["count"] for r in df.groupBy(folds_col).count().collect()}
     classes = class_list(df, target) if (task or infer_task(df, target)) == "classification" else None
 
     def job(i):
@@ -342,8 +347,10 @@ def prepare_folds(df: DataFrame, target: str, folds_col: str, k: int, prep_confi
             train, valid = (df.where(c).drop(folds_col) for c in (F.col(folds_col) != i, F.col(folds_col) == i))
             pipe = FeaturePipeline(prep_config).fit(train.drop(*keep), target)
             feats = pipe.feature_names()
+            held = rows.get(i, 0)
             frames = [assemble(pipe.transform(part), feats, target, classes).select("label", FEATURES_COL, *keep)
-                      .persist(StorageLevel.MEMORY_AND_DISK) for part in (train, valid)]
+                      .coalesce(max(1, math.ceil(size * len(feats) / VALUES_A_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
+                      for part, size in ((train, sum(rows.values()) - held), (valid, held))]
             n, sd, seen = _label_stats(frames[0], "label")
             return (*frames, feats, n, sd, len(classes) if classes else seen)
         return run
