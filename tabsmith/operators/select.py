@@ -106,21 +106,23 @@ def permutation_importance(df: DataFrame, features, key: str, score_fn, seed: in
     """L4 (re-aimed): drop of a metric when one feature is permuted.
 
     The permutation is exact and distributed: each row keeps its rank in one
-    hash order and receives the feature value of the row holding the same rank
-    in a second hash order (a join on rank). ``score_fn(frame) -> float``
-    scores a frame with the model.
+    hash order and meets the features of the row of the same rank in a second hash
+    order, in one join for all features. ``score_fn`` takes one long frame with the
+    column ``__variant`` and returns {variant: metric}: variant 0 holds every row as it
+    is, variant i every row with the i-th feature permuted.
     """
     from .split import hash_rank
-    n = df.count()
-    base_score = score_fn(df)
-    rows = []
-    ranked = hash_rank(df, key, None, seed, n).drop("__n")
-    for c in features:
-        donor = (hash_rank(df.select(key, c), key, None, seed + 1, n)
-                 .select(F.col("__rank"), qcol(c).alias("__perm")))
-        perm = (ranked.join(donor, "__rank").drop(c, "__rank").withColumnRenamed("__perm", c)
-                .select(*[qcol(x) for x in df.columns]))
-        rows.append((c, float(base_score - score_fn(perm))))
+    features, n = list(features), df.count()
+    donor = (hash_rank(df.select(*[qcol(c) for c in dict.fromkeys([key, *features])]), key, None, seed + 1, n)
+             .select("__rank", F.struct(*[qcol(c).alias(f"v{i}") for i, c in enumerate(features)]).alias("__perm")))
+    both = hash_rank(df, key, None, seed, n).join(donor, "__rank").withColumn(
+        "__variant", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    place = {c: i for i, c in enumerate(features)}
+    long = both.select("__variant", *[
+        F.when(F.col("__variant") == place[c] + 1, F.col(f"__perm.v{place[c]}")).otherwise(qcol(c)).alias(c) if c in place
+        else qcol(c) for c in df.columns])
+    found = score_fn(long) if n else {}
+    rows = [(c, float(found[0] - found[i + 1])) for c, i in place.items()] if n else []
     return df.sparkSession.createDataFrame(rows, "feature string, score double")
 
 

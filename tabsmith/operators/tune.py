@@ -8,6 +8,7 @@ folds run as concurrent jobs, and all are scored and measured in one long frame.
 
 from __future__ import annotations
 
+import json
 import math
 import random
 
@@ -119,7 +120,7 @@ def random_search(df: DataFrame, target: str, key: str, model_name: str, n_iter:
     try:
         trials = [{**spec.defaults, **pm} for pm in param_maps(model_name, n_iter, seed, space)]
         found = cross_validate_many(prepared, model_name, trials, task)
-        rows = [(i, model_name, str(p), metrics.get(scoring), secs) for i, (p, (metrics, secs)) in enumerate(zip(trials, found))]
+        rows = [(i, model_name, json.dumps(p, sort_keys=True), metrics.get(scoring), secs) for i, (p, (metrics, secs)) in enumerate(zip(trials, found))]
     finally:
         if shared is None:
             release_search(ctx)

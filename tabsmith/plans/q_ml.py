@@ -16,8 +16,10 @@ from ..operators import select as L
 from ..operators import train as M
 from ..operators import tune as H
 from ..session import checkpoint_dir
+from ..sources import artefacts
 from ..sources import io as S
-from .catalog import R, SCORED_SQL, T, mix, r, register
+from .catalog import R, SCORED_SQL, T, mix, r, register, scored
+from .q_eval import _M, _threshold_counts_sql
 from .q_prep import _md5_mod_sql
 
 FAST_TREES = {"random_forest_classifier": {"numTrees": 20, "maxDepth": 5},
@@ -102,14 +104,35 @@ def permutation_q(spark, sf_dir):
     df = labelled_docs(spark, sf_dir)
     pipe, model, feats = M.fit_full(df.drop("doc_id"), "quality", "logistic_regression", {}, PREP)
 
-    def score(frame):
-        x = M.assemble(pipe.transform(frame.drop("doc_id")), feats, "quality")
-        s = M.score_frame(model, x, "classification")
-        return E.roc_auc(s, "label", "p1").collect()[0]["roc_auc"] or 0.0
+    def score(long):
+        x = M.assemble(pipe.transform(long.drop("doc_id")), feats, "quality")
+        found = E.metrics_by(M.score_frame(model, x, "classification"), ["__variant"], "classification")
+        return {variant: m["roc_auc"] or 0.0 for (variant,), m in found.items()}
 
     return L.permutation_importance(df, ["n_chars", "lang", "source"], "doc_id", score)
 
 
+@register("l4_permuted_linear_score", """
+WITH b AS (SELECT c_acctbal, c_nationkey, row_number() OVER (ORDER BY md5('42|' || c_custkey)) AS k FROM customer),
+d AS (SELECT c_acctbal AS pa, c_nationkey AS pn, row_number() OVER (ORDER BY md5('43|' || c_custkey)) AS k FROM customer),
+e AS (SELECT sum(abs(c_acctbal - pa)) AS ea, sum(abs(100.0 * (c_nationkey - pn))) AS en FROM b JOIN d USING (k))
+SELECT 'c_acctbal' AS feature, floor(ea * 1e2 + 0.5) / 1e2 AS score FROM e UNION ALL
+SELECT 'c_nationkey', floor(en * 1e2 + 0.5) / 1e2 FROM e""")
+def permuted_linear_q(spark, sf_dir):
+    """L4: the permutation itself, with a fixed linear score of two customer columns that is
+    its own target: each feature's drop is the sum of the absolute errors its permutation makes."""
+    df = T(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    score = F.col("c_acctbal") + 100.0 * F.col("c_nationkey")
+    df = df.withColumn("y", score)
+
+    def negative_error(long):
+        rows = long.groupBy("__variant").agg((-F.sum(F.abs(F.col("y") - score))).alias("m")).collect()
+        return {row["__variant"]: row["m"] for row in rows}
+
+    return L.permutation_importance(df, ["c_acctbal", "c_nationkey"], "c_custkey", negative_error).select(
+        "feature", R("score", 2).alias("score"))
+
+
 @register("l6_attribution_rows")
 def attribution_rows_q(spark, sf_dir):
     """Per-row exact attributions of a fitted linear model on orders."""
@@ -243,6 +266,88 @@ def pipeline_model_q(spark, sf_dir):
             .groupBy("l_quantity", "prediction").agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("s9_threshold_reload", _threshold_counts_sql() + f""",
+b AS (SELECT threshold, {_M['f2']} AS best FROM c ORDER BY best DESC, threshold LIMIT 1)
+SELECT 'quantity' AS model_name, 'f2' AS metric, threshold AS optimal_threshold, {r('best')} AS best_score,
+  (SELECT count(*) FROM {SCORED_SQL} WHERE p >= threshold) AS n_positive FROM b""")
+def threshold_artefact_q(spark, sf_dir):
+    """The tuned threshold written as an artefact, read back and applied to every row."""
+    s, path = scored(spark, sf_dir), _scratch(spark)
+    artefacts.save_threshold(E.tune_threshold(s, "y", "p", "f2", 101), "quantity", path)
+    chosen = artefacts.load_threshold(spark, path)                   # one row
+    positive = s.crossJoin(F.broadcast(chosen)).agg(F.count_if(F.col("p") >= F.col("optimal_threshold")).alias("n_positive"))
+    return chosen.crossJoin(F.broadcast(positive)).select("model_name", "metric", "optimal_threshold",
+                                                          R("best_score").alias("best_score"), "n_positive")
+
+
+@register("s9_training_reload", """
+SELECT l_quantity, count(*) AS n, (floor((SELECT regr_slope(l_extendedprice, l_quantity) * x.l_quantity
+  + regr_intercept(l_extendedprice, l_quantity) FROM lineitem) * 1e3 + 0.5) / 1e3) AS prediction, 'linear_regression' AS model_name,
+  'rmse' AS primary_metric_name FROM lineitem x GROUP BY l_quantity""")
+def training_artefact_q(spark, sf_dir):
+    """A trainer's leaderboard, parameters and refitted models written as tables and
+    read back; the best reloaded model scores every row on the closed-form line."""
+    li = T(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber").cast("string").alias("row"),
+                                             "l_quantity", "l_extendedprice")
+    path = _scratch(spark)
+    artefacts.save_training(M.ModelTrainer().fit(li, "l_extendedprice", key="row", prep_config=PREP, cv=3,
+                                                 models=["linear_regression"]), path)
+    board, _, models = artefacts.load_models(spark, path)
+    best = board.first()
+    pipe, model, feats = models[best["model_name"]]
+    x = M.assemble(pipe.transform(li.withColumn("quantity", F.col("l_quantity"))), feats, "l_extendedprice")
+    return (M.score_frame(model, x, "regression").select(F.col("quantity").alias("l_quantity"), R("prediction", 3).alias("prediction"))
+            .groupBy("l_quantity", "prediction").agg(F.count(F.lit(1)).alias("n"))
+            .withColumns({"model_name": F.lit(best["model_name"]), "primary_metric_name": F.lit(best["primary_metric_name"])}))
+
+
+@register("e8_primary_metric", f"""
+SELECT 'regression' AS task, 'rmse' AS metric, {r('sqrt(avg((p_retailprice - 900.0 - 10.0 * p_size) ** 2))', 6)} AS value FROM part
+UNION ALL SELECT 'classification', 'roc_auc', {r('sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg))', 6)} FROM (
+  SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM (
+    SELECT p, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg FROM {SCORED_SQL} GROUP BY p))""")
+def primary_metric_q(spark, sf_dir):
+    """The metric that ranks models of each task, taken from all metrics of two fixed scores."""
+    part = T(spark, sf_dir, "part").select(F.col("p_retailprice").alias("y"), (900.0 + 10.0 * F.col("p_size")).alias("pred"))
+    s = scored(spark, sf_dir).withColumn("pred", (F.col("p") >= 0.5).cast("int"))
+    measured = {"regression": E.regression_metrics(part, "y", "pred"),
+                "classification": E.classification_metrics(s, "y", "p", "pred")}
+    rows = [(task, *E.extract_primary_metric(task, m.first().asDict())) for task, m in measured.items()]
+    return spark.createDataFrame(rows, "task string, metric string, value double").select(
+        "task", "metric", R("value", 6).alias("value"))
+
+
+@register("h5_trial_table", """
+WITH x AS (SELECT l_linestatus AS model_name, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_quantity / 50.0 AS p FROM lineitem),
+t AS (SELECT model_name, i, avg(CAST(CAST(p >= i / 10.0 AS INTEGER) = y AS DOUBLE)) AS score FROM x, range(1, 10) g(i) GROUP BY 1, 2)
+SELECT model_name, (floor(max(score) * 1e8 + 0.5) / 1e8) AS tuned_cv,
+  (floor(max(score) FILTER (i = 5) * 1e8 + 0.5) / 1e8) AS baseline_cv,
+  (floor((max(score) - max(score) FILTER (i = 5)) * 1e8 + 0.5) / 1e8) AS gain FROM t GROUP BY 1""")
+def trial_table_q(spark, sf_dir):
+    """H5: best trial against the baseline by model; a trial is a cut of the fixed score,
+    its value the accuracy over all rows of a line status, and the baseline cuts at 0.5."""
+    li = T(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("model_name"),
+                                             (F.col("l_returnflag") == "R").alias("y"), (F.col("l_quantity") / 50.0).alias("p"))
+    cuts = F.explode(F.array(*[F.lit(i) for i in range(1, 10)])).alias("trial")
+    trials = (li.select("*", cuts).groupBy("model_name", "trial")
+              .agg(F.avg(((F.col("p") >= F.col("trial") / 10.0) == F.col("y")).cast("double")).alias("score")))
+    base = trials.where("trial = 5").select("model_name", F.col("score").alias("accuracy"))
+    return H.trial_table(trials, base, "accuracy").select("model_name", *[R(c).alias(c) for c in ("tuned_cv", "baseline_cv", "gain")])
+
+
+@register("h4_run_tuning")
+def run_tuning_q(spark, sf_dir):
+    """H4: the search that a configuration describes (ridge regression of the order price,
+    6 draws, 3 folds, by mean absolute error), its trials saved and read back (S9)."""
+    config = {"tuning": {"method": "random_search", "n_trials": 6, "cv_folds": 3, "scoring": "mae"}}
+    trials, best, refit = H.run_tuning(order_prices(spark, sf_dir), "o_totalprice", "o_orderkey", "ridge_regression", config, PREP)
+    path = _scratch(spark)
+    artefacts.save_search(trials, {"ridge_regression": (best, refit)}, path)
+    back, params, _ = artefacts.load_models(spark, path)
+    return back.select("trial", "model_name", "params", R("score", 4).alias("score"),
+                       F.lit(params["ridge_regression"]["alpha"]).alias("best_alpha"))
+
+
 @register("s3_date_formats", """
 SELECT * FROM (VALUES ('day_first', 'typed', 'dd.MM.yyyy'), ('month_first', 'typed', 'MM/dd/yyyy'), ('iso', 'typed', 'yyyy-MM-dd'),
   ('either', 'ambiguous', 'dd/MM/yyyy'), ('text', 'text', NULL)) t(column_name, status, format)
@@ -273,7 +378,6 @@ k AS (SELECT avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END) AS accuracy FROM x)
 SELECT {r('accuracy')} AS accuracy, true AS has_time FROM k""")
 def report_q(spark, sf_dir):
     """Machine-readable report (time stamp + metrics) written as JSON and read back."""
-    from .catalog import scored
     m = E.classification_metrics(scored(spark, sf_dir).withColumn("pred", (F.col("p") >= 0.5).cast("int")),
                                  "y", "p", "pred").collect()[0].asDict()
     path = _scratch(spark)

@@ -24,7 +24,7 @@ CONFIG = {"scaler": "standard", "hashing_dim": 7, "low_cardinality_threshold": 5
 def rows(spark):
     rng = random.Random(3)
     data = [(i, rng.gauss(0, 1) if i % 9 else None, "abc"[rng.randrange(3)] if i % 7 else None, f"n{rng.randrange(40)}", i % 3, i % 2,
-             i % 4) for i in range(200)]
+             i // 2 % 4) for i in range(200)]      # both classes in every fold
     return spark.createDataFrame(data, "id long, u double, `c.x` string, name string, k int, y int, fold int").persist()
 
 
