@@ -53,6 +53,13 @@ def raw():
     return F.xxhash64("text").alias("raw")
 
 
+def parts(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of ``rows``: what a task holds beside a batch of texts stays small."""
+    for batch in batches:
+        for lo in range(0, len(batch), rows):
+            yield batch.iloc[lo:lo + rows]
+
+
 def words_of(text: str | None) -> list[bytes]:
     """``bytes.split`` splits at exactly the six ASCII white-space characters."""
     return text.encode().split() if text else []
@@ -99,22 +106,21 @@ def edge_runs(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     ``wanted`` (key, raw, twin, anchors) lists for its text, one row for each run of
     neighbours; node i and node i + 1 are the ends of edge i."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lo in range(0, len(batch), 500):
-                part, out = batch.iloc[lo:lo + 500], []
-                for key, twin, text, own in zip(part["key"], part["twin"], part["text"], part["anchors"]):
-                    hashes = _hashes.of(words_of(text))
-                    if len(hashes) < window:
-                        continue
-                    at = np.flatnonzero(np.isin(anchor_of_edges(hashes, window),
-                                                np.asarray(own, np.int64).view(np.uint64)))
-                    edge, node = rolling(hashes, window).view(np.int64), rolling(hashes, window - 1).view(np.int64)
-                    for run_ in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
-                        if len(run_):
-                            a, b = int(run_[0]), int(run_[-1]) + 1
-                            out.append((key, twin, a, edge[a:b], node[a:b + 1]))
-                if out:
-                    yield pd.DataFrame(out, columns=["doc_id", "twin", "start", "edges", "nodes"])
+        for part in parts(batches):
+            out = []
+            for key, twin, text, own in zip(part["key"], part["twin"], part["text"], part["anchors"]):
+                hashes = _hashes.of(words_of(text))
+                if len(hashes) < window:
+                    continue
+                at = np.flatnonzero(np.isin(anchor_of_edges(hashes, window),
+                                            np.asarray(own, np.int64).view(np.uint64)))
+                edge, node = rolling(hashes, window).view(np.int64), rolling(hashes, window - 1).view(np.int64)
+                for run_ in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
+                    if len(run_):
+                        a, b = int(run_[0]), int(run_[-1]) + 1
+                        out.append((key, twin, a, edge[a:b], node[a:b + 1]))
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "twin", "start", "edges", "nodes"])
 
     return (docs.withColumn("raw", raw()).join(wanted, ["key", "raw"]).select("key", "text", "twin", "anchors")
             .mapInPandas(run, "doc_id long, twin long, start long, edges array<long>, nodes array<long>"))
@@ -173,7 +179,7 @@ def compacted(matched: DataFrame, window: int) -> DataFrame:
 def source_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """(src_doc, src_twin, src_start, length, sha): what stands at each source coordinate."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for key, own, text, asked in zip(batch["key"], batch["raw"], batch["text"], batch["asked"]):
                 words = words_of(text)
@@ -250,7 +256,7 @@ def deduplicated(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text
     spans = dedup_spans(plain, keyed, window)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for key, text, own in zip(batch["key"], batch["text"], batch["spans"]):
                 words = words_of(text)
