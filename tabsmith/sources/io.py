@@ -8,6 +8,7 @@ tokens turned into NULL, and only then typed — a numeric column that uses
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -79,6 +80,10 @@ def replace_tokens(df: DataFrame, tokens, columns=None, sentinels=()) -> DataFra
     return df.select(*out)
 
 
+#: Every text that casts to a double matches this: decimal, hexadecimal, Infinity or NaN.
+NUMBER_LIKE = r"(?i)^[\x00-\x20]*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?[fd]?|0x[0-9a-fp.+-]+[fd]?|inf|infinity|nan)[\x00-\x20]*$"
+
+
 def infer_types(df: DataFrame) -> dict[str, str]:
     """S3: the narrowest of bigint / double / boolean / string that every non-NULL
     value of a string column parses as (one aggregation); dates are ``with_dates``."""
@@ -87,9 +92,11 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         if kind_of(f.dataType) != "string":
             continue
         c = F.col(f.name)
-        for t in ("bigint", "double"):
-            names.append((f.name, t))
-            checks.append(F.bool_and(c.try_cast(t).isNotNull() | c.isNull()))
+        names.append((f.name, "bigint"))
+        checks.append(F.bool_and(c.try_cast("bigint").isNotNull() | c.isNull()))
+        # a text that is no number costs an exception in the cast: only number-like ones get there
+        names.append((f.name, "double"))
+        checks.append(F.bool_and(F.when(c.rlike(NUMBER_LIKE), c.try_cast("double").isNotNull()).otherwise(c.isNull())))
         # only True/False spellings are booleans (not 1/0, which are integers above)
         names.append((f.name, "boolean"))
         checks.append(F.bool_and(F.lower(F.trim(c)).isin("true", "false") | c.isNull()))
@@ -121,6 +128,36 @@ DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "y
                 "dd/MM/yyyy", "MM/dd/yyyy", "dd-MM-yyyy", "yyyyMMdd"]
 
 
+#: What two letters of a pattern read, and nothing else.
+_TWO_DIGITS = {"MM": "(0[1-9]|1[0-2])", "dd": "(0[1-9]|[12][0-9]|3[01])", "HH": "([01][0-9]|2[0-4])",
+               "mm": "[0-5][0-9]", "ss": "[0-5][0-9]"}
+
+
+def format_shape(fmt: str) -> str | None:
+    """A regular expression that every text of the date format ``fmt`` matches; None where
+    the format holds anything but years, two-letter fields, quoted text and punctuation.
+    A text of another shape costs an exception in the parser, so shapes are tested first."""
+    out = []
+    for token in (m.group(0) for m in re.finditer(r"'[^']+'|([A-Za-z])\1*|.", fmt, re.S)):
+        if token == "yyyy":
+            out.append("[+-]?[0-9]{4,}")
+        elif token in _TWO_DIGITS:
+            out.append(_TWO_DIGITS[token])
+        elif len(token) > 2 and token[0] == token[-1] == "'":
+            out.append(re.escape(token[1:-1]))
+        elif token in " /.:,_-":
+            out.append(re.escape(token))
+        else:
+            return None
+    return "(?iu)^" + "".join(out) + "$"
+
+
+def _parsed(text, fmt: str):
+    """``text`` as a timestamp of ``fmt``, NULL where it is none."""
+    shape, value = format_shape(fmt), F.try_to_timestamp(text, F.lit(fmt))
+    return F.when(text.rlike(shape), value) if shape else value
+
+
 def date_formats(df: DataFrame, columns=None, formats=None) -> DataFrame:
     """``(column_name, n_nonnull, n_parsed, format, status)``, one row per text column.
 
@@ -135,7 +172,7 @@ def date_formats(df: DataFrame, columns=None, formats=None) -> DataFrame:
     schema = "column_name string, n_nonnull long, n_parsed long, format string, status string"
     if not columns:
         return spark.createDataFrame([], schema)
-    aggs = [a for c in columns for a in (F.count(qc(c)), *(F.count(F.try_to_timestamp(F.trim(qc(c)), F.lit(f))) for f in formats))]
+    aggs = [a for c in columns for a in (F.count(qc(c)), *(F.count(_parsed(F.trim(qc(c)), f)) for f in formats))]
     one = df.agg(*[a.alias(f"k{i}") for i, a in enumerate(aggs)]).first()
     rows, width = [], len(formats) + 1
     for i, c in enumerate(columns):
@@ -157,7 +194,7 @@ def with_dates(df: DataFrame, columns=None, formats=None, prefer=()) -> DataFram
             whole = [p for p in date_formats(df, [r["column_name"]], prefer).collect() if p["format"]] if prefer else []
             if whole:
                 chosen[r["column_name"]] = whole[0]["format"]
-    return df.select(*[F.try_to_timestamp(F.trim(qc(c)), F.lit(chosen[c])).alias(c) if c in chosen else qc(c) for c in df.columns])
+    return df.select(*[_parsed(F.trim(qc(c)), chosen[c]).alias(c) if c in chosen else qc(c) for c in df.columns])
 
 
 def read_csv(spark: SparkSession, path: str, na_values=None, dates: bool = False, formats=None, prefer=()) -> DataFrame:

@@ -84,3 +84,27 @@ def test_json_report(spark):
     S.save_json_report(spark, {"roc_auc": 0.8, "f1": 0.7, "log_loss": None}, os.path.join(d, "r"))
     m = spark.read.json(os.path.join(d, "r")).first()["metrics"]
     assert m["roc_auc"] == 0.8 and m["f1"] == 0.7
+
+
+def test_shapes_let_every_date_through(spark):
+    values = ["2020-01-31", "+12020-01-31", "-2020-01-31", "31.01.2020", "31.02.2020", "01.01.2020 23:59", "01.01.2020 24:00", "12/31/2020",
+              "31/12/2020", "2020-01-31T10:00:59", "2020-01-31t10:00:59", "2020-01-31 10:00:60", "20200131", "2020131", "1/2/2020", "2020/02/30",
+              "01-01-2020", "x", "", "2020-01-31 ", "\u0662020-01-01", None]
+    formats = [*S.DATE_FORMATS, "d/M/yyyy", "yyyy-MM-dd[ HH:mm]"]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    both = df.select(*[c for i, f in enumerate(formats) for c in (
+        F.try_to_timestamp(F.trim("t"), F.lit(f)).cast("string").alias(f"a{i}"), S._parsed(F.trim("t"), f).cast("string").alias(f"b{i}"))]).collect()
+    for i, f in enumerate(formats):
+        assert [r[f"a{i}"] for r in both] == [r[f"b{i}"] for r in both], f
+    assert S.format_shape("d/M/yyyy") is None
+    plan = S._parsed(F.col("t"), "dd.MM.yyyy")
+    assert "RLIKE" in str(plan).upper()         # other shapes never reach the parser
+
+
+def test_number_like_texts_hold_every_double(spark):
+    values = ["1", " 1 ", "+1.", "-.5", "1e5", "1.E-5", "1f", "2D", "0x1.8p3", "Infinity", "-inf", "+INF", "NaN", "nan", "1_0", "1.2.3", "31.01.2020",
+              "e5", "", ".", "+", "abc", "1 2", "\t7\n", "\u0661", None]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    rows = df.select("t", F.col("t").try_cast("double").isNotNull().alias("d"), F.col("t").rlike(S.NUMBER_LIKE).alias("like")).collect()
+    assert all(r["like"] for r in rows if r["d"])
+    assert not any(r["like"] for r in rows if r["t"] in ("1.2.3", "31.01.2020", "abc"))
