@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import field_kinds, nan_to_null, with_counts_below
+from ..functions.exprs import field_kinds
 from .prep import qcol
 
 MI_BINS = 32
@@ -32,15 +32,8 @@ def binned_mi(df: DataFrame, features, target: str, bins: int = MI_BINS,
     if to_bin:
         from .quantiles import quantile_arrays
         edges = quantile_arrays(df, to_bin, probs)               # exact, distributed
-    specs = {f"__bin_{i}": (nan_to_null(qcol(c).cast("double")), edges[c])
-             for i, c in enumerate(to_bin) if all(v is not None for v in edges[c])}
-    base = with_counts_below(df, specs)
-    bin_col = {c: f"__bin_{i}" for i, c in enumerate(to_bin)}
-
     from .assoc import _pair_margins, counted_cells
-    used = [c for c in dict.fromkeys([*features, target]) if c not in edges or bin_col[c] in specs]
-    coded = base.select(*[F.col(bin_col[c]).alias(c) if c in edges and (c != target or bin_target) else qcol(c) for c in used])
-    m = _pair_margins(counted_cells(coded, [(c, target) for c in features if c in used and target in used]))
+    m = _pair_margins(counted_cells(df, [(c, target) for c in features], edges))
     term = F.col("cnt") / F.col("n") * F.log(F.col("cnt") * F.col("n") / (F.col("n1") * F.col("n2")))
     return m.groupBy(F.col("f1").alias("feature")).agg(F.greatest(F.sum(term), F.lit(0.0)).alias("mi"))
 

@@ -225,10 +225,11 @@ def _round_redundant(df):
 def redundant_q(spark, sf_dir):
     """Pairs over any redundancy threshold (|corr| > .85, V > .8, MI > .5, F > 50)."""
     li = red_frame(spark, sf_dir)
+    levels = A.coded_levels(li, RED_CATS)
     corr = A.correlation_matrix(li, RED_NUMS)
-    cv = A.cramers_v_matrix(li, RED_CATS)
-    mi = A.mutual_information(li, RED_NUMS, RED_CATS)
-    an = A.anova_f(li, RED_NUMS, RED_CATS)
+    cv = A.cramers_v_matrix(li, RED_CATS, levels)
+    mi = A.mutual_information(li, RED_NUMS, RED_CATS, levels=levels)
+    an = A.anova_f(li, RED_NUMS, RED_CATS, levels)
     return _round_redundant(A.redundant_features(corr, cv, mi, an, spark))
 
 
