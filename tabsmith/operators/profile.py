@@ -532,6 +532,10 @@ def density(df: DataFrame, column: str, grid_points: int = 200, pre_bins: int =
             .orderBy("x"))
 
 
+#: Groups whose statistics are sent to all tasks.
+BROADCAST_GROUPS = 10_000
+
+
 def box_stats(df: DataFrame, column: str, by: str | list[str] | None = None, approx: bool = False,
               accuracy: int = 100000) -> DataFrame:
     """B27 (and A18 when ``by`` is given, one column or several): quartiles, 1.5·IQR
@@ -559,6 +563,11 @@ def box_stats(df: DataFrame, column: str, by: str | list[str] | None = None, app
     qs = qs.select(*[qc(k) for k in keys], "n", *[F.col("q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
     qs = qs.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    if keys:
+        # a few groups hold all rows: their statistics go to the rows, not the rows to their group
+        known = qs.limit(BROADCAST_GROUPS + 1).collect()
+        if len(known) <= BROADCAST_GROUPS:
+            qs = F.broadcast(df.sparkSession.createDataFrame(known, qs.schema))
     joined = base.join(qs, keys) if keys else base.crossJoin(F.broadcast(qs))     # one row without groups
     inside = (F.col("__x") >= F.col("lo_fence")) & (F.col("__x") <= F.col("hi_fence"))
     out = joined.groupBy(*[qc(k) for k in keys]).agg(

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_RANGE = 1_000_000
 MIN_RANGES, MAX_RANGES = 8, 16_384
@@ -93,16 +94,53 @@ def average_ranks(df: DataFrame, column: str) -> DataFrame:
     return rs.select("value", (F.col("cum_cnt") + (F.col("cnt") + 1) / 2.0).alias("rank"))
 
 
+#: Groups that are taken as columns of one bracket selection.
+GROUPS_AS_COLUMNS = 32
+
+
+def _few_groups(df: DataFrame, column: str, probs, by: list[str]) -> DataFrame | None:
+    """``grouped_quantiles`` of at most ``GROUPS_AS_COLUMNS`` groups, as a local table: each
+    group is a column of one bracket selection, so no values are shuffled. None if
+    there are more groups, or keys that are no texts, whole numbers or booleans."""
+    from ..functions.exprs import INTEGRAL_TYPES, nan_to_null, qc
+    from .quantiles import quantile_arrays
+    fields = [df.schema[b] for b in by]
+    if not all(isinstance(f.dataType, (*INTEGRAL_TYPES, T.StringType, T.BooleanType)) for f in fields):
+        return None
+    x = nan_to_null(qc(column).cast("double"))
+    own = df.select(*[qc(b).alias(f"k{i}") for i, b in enumerate(by)], x.alias("x")).dropna()
+    keys = [f"k{i}" for i in range(len(by))]
+    groups = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).limit(GROUPS_AS_COLUMNS + 1).collect()
+    if len(groups) > GROUPS_AS_COLUMNS:
+        return None
+
+    def member(row):
+        found = F.lit(True)
+        for k in keys:
+            found &= F.col(k) == F.lit(row[k])
+        return found
+
+    wide = own.select(*[F.when(member(row), F.col("x")).alias(f"g{i}") for i, row in enumerate(groups)])
+    q = quantile_arrays(wide, wide.columns, probs)
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in fields), T.StructField("n", T.LongType()),
+                           T.StructField("q", T.ArrayType(T.DoubleType()))])
+    return df.sparkSession.createDataFrame([(*(row[k] for k in keys), row["n"], q[f"g{i}"]) for i, row in enumerate(groups)], schema)
+
+
 def grouped_quantiles(df: DataFrame, column: str, probs, by: str | list[str]) -> DataFrame:
     """Exact linear-interpolation quantiles of a numeric column per group, as a table
     ``(by..., n, q)`` with one array of quantiles a group, equal to ``percentile``.
 
-    Values are counted per ``(by, value)``, running counts are formed in ranges of the
+    Few groups become columns of one bracket selection (``_few_groups``). Of more groups
+    values are counted per ``(by, value)``, running counts are formed in ranges of the
     values, and each row says itself which order statistics it holds. Nothing is
     collected; a group is as many rows in the last step as it has wanted ranks.
     """
     from ..functions.exprs import nan_to_null, qc
     by = [by] if isinstance(by, str) else list(by)
+    few = _few_groups(df, column, [float(p) for p in probs], by)
+    if few is not None:
+        return few
     keys = [f"__by{i}" for i in range(len(by))]
     probs = [float(p) for p in probs]
     base = df.select(*[qc(b).alias(k) for b, k in zip(by, keys)], nan_to_null(qc(column).cast("double")).alias("value")).where(

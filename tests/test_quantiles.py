@@ -58,3 +58,21 @@ def test_grouped_quantiles(spark, monkeypatch, per_range):
     for grp, r in got.items():
         assert r["n"] == (g == grp).sum()
         assert list(r["q"]) == pytest.approx(list(np.quantile(a[g == grp], PROBS)), rel=1e-12, abs=1e-12)
+
+
+def test_groups_as_columns_equal_groups_by_rows(spark, monkeypatch):
+    from tabsmith.operators import profile as P
+    rows = [("a" if i % 3 else "b", i % 2 == 0, float(i * 7 % 41) if i % 5 else None) for i in range(200)] + [
+        (None, True, 1.0), ("a", None, 2.0), ("c", True, float("nan")), ("d", True, 5.0), ("a", True, float("inf"))]
+    df = spark.createDataFrame(rows, "g string, `h h` boolean, x double").repartition(4)
+    found = {}
+    for groups, known in ((32, 10_000), (0, 10_000), (0, 0)):
+        monkeypatch.setattr(RK, "GROUPS_AS_COLUMNS", groups)
+        monkeypatch.setattr(P, "BROADCAST_GROUPS", known)
+        found[groups, known] = sorted(map(tuple, P.box_stats(df, "x", by=["g", "h h"]).collect()))
+        few = RK.grouped_quantiles(df, "x", PROBS, ["g", "h h"])
+        if groups:      # no shuffle of the values
+            assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+            plan = P.box_stats(df, "x", by=["g", "h h"])._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert found[32, 10_000] == found[0, 10_000] == found[0, 0] and len(found[0, 0]) == 5
