@@ -194,6 +194,8 @@ def _label_stats(df: DataFrame, label: str):
 WIDTH = 8
 #: Feature values (8 bytes each) that make a partition of an assembled fold.
 VALUES_A_PARTITION = 1_000_000
+#: Feature values of a partition that an estimator is fitted on, at most.
+FIT_VALUES = 4_000_000
 #: Trials that are put into one long frame and measured in one go.
 MEASURED_AT_ONCE = 25
 
@@ -218,6 +220,13 @@ def patient_rounds(losses, patience: int) -> int:
     return at + 1
 
 
+def spread(df: DataFrame, values: int) -> DataFrame:
+    """Rows of ``values`` feature values dealt over enough partitions: fits keep their
+    partitions and read one a task, so a partition may not grow with the table."""
+    wanted = math.ceil(values / FIT_VALUES)
+    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
+
+
 def fit_estimator(train: DataFrame, valid: DataFrame | None, model_name: str, params: dict, n: int, label_sd, n_classes: int):
     """M6-M8: a fitted model on assembled frames.
 
@@ -394,6 +403,9 @@ def fit_full(df: DataFrame, target: str, model_name: str, params: dict, prep_con
     classes = class_list(df, target) if infer_task(df, target) == "classification" else None
     x = assemble(pipe.transform(df), feats, target, classes)
     n, sd, seen = _label_stats(x, "label")
+    dealt = spread(df, n * len(feats))
+    if dealt is not df:
+        x = assemble(pipe.transform(dealt), feats, target, classes)
     return pipe, fit_estimator(x, None, model_name, params, n, sd, len(classes) if classes else seen), feats
 
 

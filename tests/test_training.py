@@ -97,3 +97,17 @@ def test_domain_hook_and_categorical_positions(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "n int, s string, x double")
     assert X.add_domain_features(df, lambda d: d.withColumn("z", F.col("x") * 2)).first()["z"] == 4.0
     assert X.categorical_positions(df) == [1]
+
+
+def test_no_partition_of_a_fit_grows_with_the_table(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tabsmith.operators import train as M
+    df = spark.range(0, 400, 1, 2).select((F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 37).cast("double").alias("x"))
+    assert M.spread(df, 800) is df
+    monkeypatch.setattr(M, "FIT_VALUES", 100)
+    seen = []
+    fit = M.fit_estimator
+    monkeypatch.setattr(M, "fit_estimator", lambda train, *a: seen.append(train.rdd.getNumPartitions()) or fit(train, *a))
+    M.fit_full(df, "y", "random_forest_classifier", {"numTrees": 2, "maxDepth": 2})
+    assert seen[0] >= 4 and M.spread(df, 100) is df
