@@ -50,17 +50,27 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Rows of an Arrow batch, and the most a batch of texts may hold here: a task has a batch
+#: in the JVM's writer, in Python's reader and as pandas strings, all at once.
+_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends
     there, so a lost executor costs no recomputation of what came before, and
-    the files of the shuffles that made it are given up."""
+    the files of the shuffles that made it are given up. Tasks in Python get batches of at
+    most ``BATCH_ROWS`` rows meanwhile."""
     spark = df.sparkSession
-    path, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_CLEAN_UP, None)
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = {k: spark.conf.get(k, None) for k in (_CLEAN_UP, _BATCH)}
+    rows = int(before[_BATCH] or 0)
     spark.conf.set(_CLEAN_UP, "true")
+    spark.conf.set(_BATCH, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -94,7 +104,7 @@ class WordHashes(dict):
     The memory of one worker stays bounded; a forgotten word is hashed again.
     """
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
