@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from ..functions.exprs import hash_unit, kind_of, seeded_hash
 from .ranking import prefix_offsets
 
 DEFAULT_SEED = 42
+#: Rows that make a partition of a split that is kept for the many jobs that read it.
+ROWS_A_PARTITION = 100_000
 
 
 # --------------------------------------------------------------------------
@@ -185,3 +188,11 @@ def kfold(df: DataFrame, key, k: int = 5, stratify: str | None = None, seed: int
     """
     r = hash_rank(df, key, stratify, seed, n_rows)
     return r.withColumn("fold", F.pmod(F.col("__rank") - 1, F.lit(k)).cast("int")).drop("__rank", "__n")
+
+
+def kept(split: DataFrame, n_rows: int) -> DataFrame:
+    """``split`` (or folds) of ``n_rows`` rows persisted, so that the jobs that read it do not
+    rank the rows again, in partitions of no less than ``ROWS_A_PARTITION`` rows where there are
+    so many: ranking leaves as many partitions as a shuffle has, and every job runs a task for each.
+    The caller unpersists it."""
+    return split.coalesce(max(1, math.ceil(n_rows / ROWS_A_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)

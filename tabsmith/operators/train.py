@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import evaluate as E
 from .prep import FeaturePipeline, qcol
-from .split import kfold
+from .split import kept, kfold
 
 FEATURES_COL = "__features"
 
@@ -447,8 +447,9 @@ class ModelTrainer:
             changed = (param_overrides or {}).get(name, {})
             validate_param_overrides(name, changed)
             wanted[name] = {**resolve(name)[0].defaults, **changed}
-        folded = kfold(df, key, cv, stratify=target if self.task_ == "classification" else None,
-                       seed=self.seed).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
+        n = df.count()
+        folded = kept(kfold(df, key, cv, stratify=target if self.task_ == "classification" else None,
+                            seed=self.seed, n_rows=n).drop(key), n)
         prepared = prepare_folds(folded, target, "fold", cv, prep_config, self.task_)
         try:
             for name, params in wanted.items():

@@ -12,11 +12,10 @@ import json
 import math
 import random
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .split import kfold
+from .split import kept, kfold
 from .train import (MODEL_ALIASES, cross_validate_many, fit_full, infer_task, prepare_folds, release, resolve)
 
 # Search ranges per model, in Spark parameter names.
@@ -93,7 +92,8 @@ def prepare_search(df: DataFrame, target: str, key: str, cv: int = 5, seed: int
     and baselines. Release with ``release_search``."""
     task = infer_task(df, target)
     strat = target if task == "classification" else None
-    folded = kfold(df, key, cv, stratify=strat, seed=seed).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    folded = kept(kfold(df, key, cv, stratify=strat, seed=seed, n_rows=n).drop(key), n)
     return {"task": task, "folded": folded, "cv": cv,
             "prepared": prepare_folds(folded, target, "fold", cv, prep_config, task)}
 

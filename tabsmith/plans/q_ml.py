@@ -149,8 +149,9 @@ def attribution_rows_q(spark, sf_dir):
 def stage_comparison_q(spark, sf_dir):
     """Baseline CV vs tuned CV vs held-out AUC per model, and the tuning gain."""
     df = labelled_docs(spark, sf_dir)
-    from ..operators.split import train_test_split
-    split = train_test_split(df, "doc_id", 0.2, stratify="quality")
+    from ..operators.split import kept, train_test_split
+    n = df.count()
+    split = kept(train_test_split(df, "doc_id", 0.2, stratify="quality", n_rows=n), n)
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
     ctx = H.prepare_search(train, "quality", "doc_id", cv=3, prep_config=PREP)   # folds shared by both stages
@@ -167,6 +168,7 @@ def stage_comparison_q(spark, sf_dir):
     pipe, model, feats = refit
     s = M.score_frame(model, M.assemble(pipe.transform(test.drop("doc_id")), feats, "quality"), "classification")
     test_auc = E.roc_auc(s, "label", "p1").collect()[0]["roc_auc"]
+    split.unpersist()
     base = lb.select("model_name", F.col("roc_auc").alias("value"))
     tuned = trials.groupBy("model_name").agg(F.max("score").alias("value"))
     tst = spark.createDataFrame([("logistic_regression", test_auc)], "model_name string, value double")

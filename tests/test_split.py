@@ -90,3 +90,18 @@ def test_md5_mod_matches_python(spark, values, n):
     got = [r["b"] for r in df.select(md5_mod(F.col("v"), n).alias("b")).collect()]
     want = [int(hashlib.md5(v.encode()).hexdigest(), 16) % n for v in values]
     assert got == want
+
+
+def test_folds_and_splits_are_kept_in_partitions_of_many_rows(spark):
+    from tabsmith.operators import split as S
+    from tabsmith.operators import tune as H
+    df = spark.range(400).selectExpr("id", "CAST(id % 7 AS double) AS x", "CAST(id % 2 AS int) AS y")
+    ctx = H.prepare_search(df, "y", "id", cv=2)
+    try:
+        assert ctx["folded"].is_cached and ctx["folded"].rdd.getNumPartitions() == 1
+        assert ctx["folded"].groupBy("fold", "y").count().count() == 4
+    finally:
+        H.release_search(ctx)
+    folds = S.kept(S.kfold(df, "id", 4, n_rows=400), 2 * S.ROWS_A_PARTITION + 1)
+    assert folds.is_cached and folds.rdd.getNumPartitions() == 3 and folds.count() == 400
+    folds.unpersist()
