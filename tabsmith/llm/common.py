@@ -168,3 +168,19 @@ def logistic(z: np.ndarray) -> np.ndarray:
 
 #: One memory of word hashes a worker, whatever operators its tasks belong to.
 WORD_HASHES = WordHashes()
+
+
+def forget_hashes() -> None:
+    WORD_HASHES.clear()
+
+#: What tasks in this worker remember between them: (operator, how to forget it).
+_remembered: list[tuple] = []
+
+
+def remembers(name: str, forget) -> None:
+    """Called as a task starts that remembers words from task to task: workers outlive an
+    operator, so what an earlier one remembers here is given up first."""
+    if [n for n, _ in _remembered] != [name]:
+        for _, drop in _remembered:
+            drop()
+        _remembered[:] = [(name, forget)]

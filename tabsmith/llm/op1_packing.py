@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc, written
+from .common import crc, remembers, written
 
 SALTS = 64
 #: Lengths from which the smallest length of patterns of three is taken.
@@ -39,26 +39,34 @@ GRID = 160
 NEARLY = 256
 #: Texts are tokenised in groups of about so many characters.
 GROUP_CHARS = 1_000_000
+#: And in groups of about so many here: the words of a group are looked up in a table of their own.
+WORD_CHARS = 250_000
+#: Runs of marks that a worker remembers.
+MARKS = 10_000
 
 
 class WordTokens:
     """Token ids (little-endian, 4 bytes each) of words split at spaces and line
     breaks, at which the tokenizer splits anyway; bounded memory.
 
-    Most new words are Latin letters and perhaps one full stop or comma: their
+    Most new words are Latin letters, perhaps between ASCII marks other than apostrophes: their
     letters go through the merges many at a time, in lower case and without the
     tokenizer's patterns, and the marks of word ends tell them apart again. All
     other words go through the whole tokenizer.
+
+    Words are remembered in two halves: a full one becomes ``before``, from which words
+    in use come back, so words in use outlast the many that occur once.
     """
 
     _letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+    _edged = re.compile("([!-&(-/:-@\\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
     _beyond = re.compile("[^\x00-\xff]").search
 
-    def __init__(self, path: str, limit: int = 1_300_000):
+    def __init__(self, path: str, limit: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.limit, self.known = limit, {}
+        self.limit, self.known, self.before = limit, {}, {}
         self.whole, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.letters.normalizer = None
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([
@@ -66,7 +74,7 @@ class WordTokens:
         self.ends = np.zeros(self.whole.get_vocab_size(), bool)
         for token, i in self.whole.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.marks = {m: self._ids(m) for m in ".,"}
+        self.marks = {m: self._ids(m) for m in ("", ".", ",")}
         #: Added tokens are matched in the raw text, so case counts in a text that may hold one.
         self.added = [t.content.lower() for t in self.whole.get_added_tokens_decoder().values()]
 
@@ -76,52 +84,75 @@ class WordTokens:
     def _learn(self, words: set[str]) -> None:
         known, marked, cores, others = self.known, [], set(), []
         for word in words:
-            core = word[:-1] if word[-1:] in self.marks else word
-            if core.isalpha() and (core.isascii() or self._letters(core)):
-                core = core.lower()
-                if core not in known:
-                    cores.add(core)
-                if core != word:
-                    marked.append((word, core))
-            else:
-                others.append(word)
+            head, core, tail = "", word, ""
+            if word[-1:] in ".,":
+                core, tail = word[:-1], word[-1:]
+            if not (core.isalpha() and (core.isascii() or self._letters(core))):
+                parts = self._edged(word)
+                if not parts or self._special(word):
+                    others.append(word)
+                    continue
+                head, core, tail = parts.groups()
+            core = core.lower()
+            if core not in known:
+                cores.add(core)
+            if core != word:
+                marked.append((word, head, core, tail))
         for word, found in zip(others, self.whole.encode_batch_fast(others, add_special_tokens=False)):
             known[word] = np.array(found.ids, "<u4").tobytes()
         new = list(cores)
-        for lo in range(0, len(new), 50_000):
-            part = new[lo:lo + 50_000]
-            ids = np.array(self.letters.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        for lo in range(0, len(new), 20_000):
+            part = new[lo:lo + 20_000]
+            [found] = self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
             data, at = ids.tobytes(), 0
             for core, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()):
                 known[core], at = data[at:end], end
-        for word, core in marked:
-            known[word] = known[core] + self.marks.get(word[-1], b"")
+        for word, head, core, tail in marked:
+            known[word] = self._mark(head) + known[core] + self._mark(tail)
+
+    def _mark(self, marks: str) -> bytes:
+        """The ids of a run of marks: the tokenizer parts it from letters beside it."""
+        if marks not in self.marks:
+            if len(self.marks) > MARKS:
+                self.marks = {"": b""}
+            self.marks[marks] = self._ids(marks)
+        return self.marks[marks]
+
+    def _special(self, text: str) -> bool:
+        low = text.lower()
+        return any(t in low for t in self.added)
 
     def _lower(self, text: str) -> str:
         """In lower case where that changes nothing for the tokenizer, which does the same by itself."""
         if self._beyond(text):
             return text
-        low = text.lower()
-        return text if any(t in low for t in self.added) else low
+        return text if self._special(text) else text.lower()
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+        words = set().union(*split)
+        if len(self.known) > self.limit // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        unknown = words.difference(known)
+        new = unknown.difference(before)
+        for word in unknown.difference(new):
+            known[word] = before[word]
         if new:
             self._learn(new)
-            found = [list(map(get, words)) if None in ids else ids for words, ids in zip(split, found)]
-        return list(map(b"".join, found))
-
+        get = {w: known[w] for w in words}.__getitem__
+        return [b"".join(map(get, own)) for own in split]
 
 @lru_cache(maxsize=2)
 def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+def _forget() -> None:
+    word_tokens.cache_clear()
+
+
 def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[slice]:
     lo = size = 0
     for i, t in enumerate(texts):
@@ -140,11 +171,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_id: in
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembers("op1", _forget)
         tokens = word_tokens(tokenizer_path)
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             keys = batch["id"].astype(object).where(batch["id"].notna(), None).tolist()
-            for part in groups(texts):
+            for part in groups(texts, WORD_CHARS):
                 rows = []
                 for key, ids in zip(keys[part], tokens.of(texts[part])):
                     ids += end

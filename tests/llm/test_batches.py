@@ -18,3 +18,11 @@ def test_written_hands_small_batches_to_tasks(spark):
         assert max(r["n"] for r in C.written(df, "sizes").collect()) == 70 and spark.conf.get(C._BATCH) == "70"
     finally:
         spark.conf.set(C._BATCH, before)
+
+
+def test_a_worker_remembers_words_of_one_operator(monkeypatch):
+    monkeypatch.setattr(C, "_remembered", [])
+    gone = []
+    for name in ("op1", "op1", "hashes", "hashes", "op1"):
+        C.remembers(name, lambda name=name: gone.append(name))
+    assert gone == ["op1", "hashes"]

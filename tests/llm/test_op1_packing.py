@@ -86,3 +86,24 @@ def test_never_more_sequences_than_best_fit(shape):
     counts = np.bincount(lengths, minlength=4097)
     total = lambda p: sum(n for _, n in p)
     assert -(-lengths.sum() // 4096) <= total(op.plan(counts)) <= total(op.best_fit(counts))
+
+
+def test_words_in_use_outlast_words_that_occur_once(monkeypatch):
+    tokens, learned = op.WordTokens(PATH, limit=40), []
+    learn = tokens._learn
+    monkeypatch.setattr(tokens, "_learn", lambda words: (learned.extend(words), learn(words)))
+    texts = [" ".join(["common", *(f"w{i}x{j}" for j in range(9)), f"name{chr(97 + i % 26)}q."]) for i in range(60)]
+    found = []
+    for text in texts:
+        found += tokens.of([text])
+        assert len(tokens.known) + len(tokens.before) <= 40 + 2 * 12
+    assert learned.count("common") == 1
+    assert found == [tokens._ids(t) for t in texts]
+
+
+def test_words_between_marks_take_the_tokenizers_ids():
+    tokens = op.WordTokens(PATH)
+    texts = ['"Word" (word), word; --word!!! $word$ word\'s \'word\' word.,. a_b __w__ É!? ß: <word> <|word|>',
+             "(<|endoftext|>) <|EndOfText|>. <|startoftext|>word!", "x1! 1x! wo-rd! word!1 !word\u00b7 \u00b5! \u6f22! !!!"]
+    assert tokens.of(texts) == [tokens._ids(t) for t in texts]
+    assert {"(", "!!!", "$"} <= set(tokens.marks)       # their letters went through the merges with all others
