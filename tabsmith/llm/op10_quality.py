@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, labelled_sample, logistic
+from .common import crc32_mod, labelled_sample, logistic, remembers
 
 SAMPLE = 20_000
 BINS, PAIR_BINS, PAIRS = 48, 8, 10
@@ -167,6 +167,7 @@ def _matrix(texts) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, modulo: int = 5, held_out: int = 0, sample: int = SAMPLE) -> AdditiveModel:
     """The model of ``labels.quality`` over at most ``sample`` labelled texts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembers("op10", dict)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": list(_matrix(batch["text"]))})
 
@@ -181,6 +182,7 @@ def scored(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3) -> Dat
     keep = [f for f in docs.schema if f.name not in ("score", "predicted")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembers("op10", dict)
         for batch in batches:
             score = model.score(_matrix(batch["text"]))
             yield batch.assign(score=score, predicted=(score >= threshold).astype(np.int32))

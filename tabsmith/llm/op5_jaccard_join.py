@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_HASHES, mix64, rolling, written
+from .common import WORD_HASHES, forget_hashes, mix64, remembers, rolling, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP = 40, 5, 40
@@ -68,6 +68,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        remembers("hashes", forget_hashes)
         factors = _multipliers()
         place = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for batch in batches:
@@ -232,6 +233,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .select("rep", "copies", "comp", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")))
 
     def with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembers("hashes", forget_hashes)
         factors = _multipliers()
         for batch in batches:
             found = [shingles(t.encode().split()) for t in batch["text"]]

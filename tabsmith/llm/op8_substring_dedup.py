@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_HASHES, dropped, rolling, written
+from .common import WORD_HASHES, dropped, forget_hashes, remembers, rolling, written
 
 ANCHOR = 16   # words of an anchor
 #: Key of rows without an id in joins; such rows take no other part.
@@ -79,6 +79,7 @@ def anchor_of_edges(hashes: np.ndarray, window: int) -> np.ndarray:
 def anchors(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, raw, text_hash, n_words, anchors) of every document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembers("hashes", forget_hashes)
         for batch in batches:
             found, whole, sizes = [], [], []
             for text in batch["text"]:
@@ -106,6 +107,7 @@ def edge_runs(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     ``wanted`` (key, raw, twin, anchors) lists for its text, one row for each run of
     neighbours; node i and node i + 1 are the ends of edge i."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembers("hashes", forget_hashes)
         for part in parts(batches):
             out = []
             for key, twin, text, own in zip(part["key"], part["twin"], part["text"], part["anchors"]):
