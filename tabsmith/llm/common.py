@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -183,4 +184,17 @@ def remembers(name: str, forget) -> None:
     if [n for n, _ in _remembered] != [name]:
         for _, drop in _remembered:
             drop()
+        if _remembered:
+            give_back()
         _remembered[:] = [(name, forget)]
+
+
+def give_back() -> None:
+    """Free memory goes back to the system: what many small words leave free would
+    otherwise stay with the worker as long as it lives."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc only
+    if trim is not None:
+        trim(0)

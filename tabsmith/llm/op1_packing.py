@@ -62,7 +62,7 @@ class WordTokens:
     _edged = re.compile("([!-&(-/:-@\\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
     _beyond = re.compile("[^\x00-\xff]").search
 
-    def __init__(self, path: str, limit: int = 900_000):
+    def __init__(self, path: str, limit: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 

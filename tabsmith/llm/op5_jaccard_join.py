@@ -39,6 +39,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP = 40, 5, 40
 TOLERANCE = 1e-9
 BLOCK = 256
+#: Edges of a kept round to a file: a file costs each task that writes it a process on a local disk.
+FILE_EDGES = 100_000
 _hashes = WORD_HASHES
 
 
@@ -95,7 +97,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
     Alternating stars: every node's larger neighbours attach to its smallest,
     then every node's smaller ones do. Only tables of edges move, and each round
-    is written to the shared folder.
+    is written to the shared folder, in as many files as its edges need.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),
                   name)
@@ -112,7 +114,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         now = written(small.select("a", F.col("m").alias("b")).unionByName(
-            small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), name)
+            small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
+            .coalesce(state.n // FILE_EDGES + 1), name)
 
 
 def prune_limits() -> list[int]:

@@ -26,3 +26,14 @@ def test_a_worker_remembers_words_of_one_operator(monkeypatch):
     for name in ("op1", "op1", "hashes", "hashes", "op1"):
         C.remembers(name, lambda name=name: gone.append(name))
     assert gone == ["op1", "hashes"]
+
+
+def test_a_worker_gives_memory_back_when_the_operator_changes(monkeypatch):
+    given = []
+    monkeypatch.setattr(C, "_remembered", [])
+    monkeypatch.setattr(C, "give_back", lambda: given.append(list(C._remembered)[0][0]))
+    for name in ("op1", "op1", "hashes", "op1"):
+        C.remembers(name, dict().clear)
+    assert given == ["op1", "hashes"]
+    monkeypatch.undo()
+    C.give_back()

@@ -107,3 +107,10 @@ def test_words_between_marks_take_the_tokenizers_ids():
              "(<|endoftext|>) <|EndOfText|>. <|startoftext|>word!", "x1! 1x! wo-rd! word!1 !word\u00b7 \u00b5! \u6f22! !!!"]
     assert tokens.of(texts) == [tokens._ids(t) for t in texts]
     assert {"(", "!!!", "$"} <= set(tokens.marks)       # their letters went through the merges with all others
+
+
+def test_a_worker_remembers_a_bounded_number_of_words():
+    tokens = op.WordTokens(PATH)
+    for lo in range(0, 130_000, 5_000):
+        tokens.of([" ".join(np.base_repr(i + 1_000_000, 36) for i in range(lo, lo + 5_000))])
+        assert len(tokens.known) + len(tokens.before) <= 100_000 + 2 * 5_000

@@ -63,6 +63,30 @@ def test_components_on_a_long_path(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("most", [100_000, 20])
+def test_components_of_few_edges_are_kept_in_few_files(spark, monkeypatch, most):
+    """Each file written to a local disk starts processes beside the executor."""
+    files, written = [], op.written
+
+    def counted(df, name):
+        out = written(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(op, "written", counted)
+    monkeypatch.setattr(op, "FILE_EDGES", most)
+    coalesced = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesced)
+    spark.conf.set(coalesced, "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(80)], "a long, b long")
+        got = {r.node: r.comp for r in op.components(edges, "test").collect()}
+    finally:
+        spark.conf.set(coalesced, before)
+    assert got == dict.fromkeys(range(81), 0)
+    assert len(files) > 2 and max(files[1:]) <= 80 // most + 1
+
+
 def test_pruning_keeps_every_true_link():
     import numpy as np
     rng = random.Random(2)
