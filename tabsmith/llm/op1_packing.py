@@ -27,6 +27,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +41,13 @@ GRID = 160
 NEARLY = 256
 #: Texts are tokenised in groups of about so many characters.
 GROUP_CHARS = 1_000_000
-#: And in groups of about so many here: the words of a group are looked up in a table of their own.
-WORD_CHARS = 250_000
+#: And in groups of about so many here, whatever the batches: a word goes through the tokenizer once in
+#: a group at most, so the many that are not remembered cost less in large groups.
+WORD_CHARS = 8_000_000
+#: A text counts by so many characters at least, which bounds the rows of a group.
+TEXT_CHARS = 200
+#: A group with more different words is halved: they are held one by one while its texts are looked up.
+GROUP_WORDS = 400_000
 #: Runs of marks that a worker remembers.
 MARKS = 10_000
 
@@ -55,7 +62,8 @@ class WordTokens:
     other words go through the whole tokenizer.
 
     Words are remembered in two halves: a full one becomes ``before``, from which words
-    in use come back, so words in use outlast the many that occur once.
+    in use come back, so words in use outlast the many that occur once. Of a group
+    with more than ``limit`` words its most frequent ones are remembered.
     """
 
     _letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
@@ -81,8 +89,8 @@ class WordTokens:
     def _ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        known, marked, cores, others = self.known, [], set(), []
+    def _learn(self, words: list[str]) -> None:
+        known, before, marked, cores, others = self.known, self.before, [], set(), []
         for word in words:
             head, core, tail = "", word, ""
             if word[-1:] in ".,":
@@ -95,7 +103,10 @@ class WordTokens:
                 head, core, tail = parts.groups()
             core = core.lower()
             if core not in known:
-                cores.add(core)
+                if core in before:
+                    known[core] = before[core]
+                else:
+                    cores.add(core)
             if core != word:
                 marked.append((word, head, core, tail))
         for word, found in zip(others, self.whole.encode_batch_fast(others, add_special_tokens=False)):
@@ -109,7 +120,10 @@ class WordTokens:
             for core, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()):
                 known[core], at = data[at:end], end
         for word, head, core, tail in marked:
-            known[word] = self._mark(head) + known[core] + self._mark(tail)
+            ids = known[core]
+            if head:
+                ids = self._mark(head) + ids
+            known[word] = ids + self._mark(tail) if tail else ids
 
     def _mark(self, marks: str) -> bytes:
         """The ids of a run of marks: the tokenizer parts it from letters beside it."""
@@ -125,24 +139,45 @@ class WordTokens:
 
     def _lower(self, text: str) -> str:
         """In lower case where that changes nothing for the tokenizer, which does the same by itself."""
-        if self._beyond(text):
+        if not text.isascii() and self._beyond(text):
             return text
-        return text if self._special(text) else text.lower()
+        low = text.lower()
+        return text if any(t in low for t in self.added) else low
 
-    def of(self, texts: list[str]) -> list[bytes]:
-        split = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        if len(self.known) > self.limit // 2:
-            self.known, self.before = {}, self.known
+    def _found(self, words: pa.DictionaryArray) -> list[bytes]:
+        """The ids of each different word."""
+        own = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         known, before = self.known, self.before
-        unknown = words.difference(known)
-        new = unknown.difference(before)
-        for word in unknown.difference(new):
-            known[word] = before[word]
+        new = []
+        for word in own:
+            if word not in known:
+                if word in before:
+                    known[word] = before[word]
+                else:
+                    new.append(word)
         if new:
             self._learn(new)
-        get = {w: known[w] for w in words}.__getitem__
-        return [b"".join(map(get, own)) for own in split]
+        out = [known[word] for word in own]
+        if len(known) > self.limit:
+            often = np.bincount(words.indices, minlength=len(own))
+            self.known = {own[i]: out[i] for i in np.argsort(-often, kind="stable")[:self.limit].tolist()}
+        if len(known) > self.limit // 2:
+            self.known, self.before = {}, self.known
+        return out
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array([self._lower(t).replace("\n", " ") for t in texts], pa.large_string()), " ")
+        words, ends = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        del split
+        if len(words.dictionary) > GROUP_WORDS and len(texts) > 1:
+            half = len(texts) // 2
+            return self.of(texts[:half]) + self.of(texts[half:])
+        ids = pa.array(self._found(words), pa.large_binary()).take(words.indices)
+        _, offsets, data = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[ends].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[lo:hi]) for lo, hi in zip(at, at[1:])]
+
 
 @lru_cache(maxsize=2)
 def word_tokens(path: str) -> WordTokens:
@@ -164,6 +199,21 @@ def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[slice]:
         yield slice(lo, len(texts))
 
 
+def regrouped(batches: Iterator[pd.DataFrame], most: int = WORD_CHARS) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts in groups of about ``most`` characters, across batches."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        for key, text in zip(batch["id"].astype(object).where(batch["id"].notna(), None), batch["text"]):
+            keys.append(key)
+            texts.append("" if text is None else text)
+            size += max(len(texts[-1]), TEXT_CHARS)
+            if size >= most:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_id: int = 1, id_col: str = "doc_id",
            text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(``id_col``, piece, start, length, ids_crc32[, ids]) of every document."""
@@ -173,19 +223,16 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = 4096, end_id: in
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         remembers("op1", _forget)
         tokens = word_tokens(tokenizer_path)
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
-            keys = batch["id"].astype(object).where(batch["id"].notna(), None).tolist()
-            for part in groups(texts, WORD_CHARS):
-                rows = []
-                for key, ids in zip(keys[part], tokens.of(texts[part])):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), 4 * max_len)):
-                        own = ids[at:at + 4 * max_len]
-                        rows.append((key, k, at // 4, len(own) // 4, crc(own),
-                                     *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
-                out = pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
-                yield out.astype({"id": "Int64"}) if id_type in ("bigint", "int") else out
+        for keys, texts in regrouped(batches):
+            rows = []
+            for key, ids in zip(keys, tokens.of(texts)):
+                ids += end
+                for k, at in enumerate(range(0, len(ids), 4 * max_len)):
+                    own = ids[at:at + 4 * max_len]
+                    rows.append((key, k, at // 4, len(own) // 4, crc(own),
+                                 *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
+            out = pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
+            yield out.astype({"id": "Int64"}) if id_type in ("bigint", "int") else out
 
     schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInPandas(

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -114,3 +115,52 @@ def test_a_worker_remembers_a_bounded_number_of_words():
     for lo in range(0, 130_000, 5_000):
         tokens.of([" ".join(np.base_repr(i + 1_000_000, 36) for i in range(lo, lo + 5_000))])
         assert len(tokens.known) + len(tokens.before) <= 100_000 + 2 * 5_000
+
+
+def learning(tokens, monkeypatch):
+    """The words that go through the tokenizer from now on."""
+    learned, learn = [], tokens._learn
+    monkeypatch.setattr(tokens, "_learn", lambda words: (learned.extend(words), learn(words)))
+    return learned
+
+
+def test_a_word_goes_through_the_tokenizer_once_in_a_group(monkeypatch):
+    """Many words that are not remembered come again in each batch of a task."""
+    names = [a + b + c for a in ("ka", "lo", "mir", "ten") for b in "bdfgklmnprst" for c in ("an", "el", "is", "um")]
+    texts = [" ".join(f"{n}{chr(97 + i % 26)}{m}" for n in names for m in ("", ".")) for i in range(26)]
+    batches = [pd.DataFrame({"id": pd.array([*range(26)], "Int64"), "text": texts}) for _ in range(12)]
+    tokens = op.WordTokens(PATH, limit=100)
+    learned, found, ids = learning(tokens, monkeypatch), [], []
+    for keys, own in op.regrouped(iter(batches)):
+        ids += keys
+        found += tokens.of(own)
+    assert len(learned) == len(set(learned)) == len(set(" ".join(texts).split()))
+    assert ids == [*range(26)] * 12 and found == [tokens._ids(t) for t in texts] * 12
+
+
+def test_groups_across_batches_hold_every_row_once():
+    texts = ["x" * n for n in (0, 5, 700, 30, 2000, 1, 0, 450)] + [None]
+    batches = [pd.DataFrame({"id": pd.array([1, None, 3], "Int64"), "text": pd.Series(texts[i:i + 3], dtype=object)}) for i in (0, 3, 6)]
+    got = list(op.regrouped(iter(batches), 1_000))
+    assert [x for keys, _ in got for x in keys] == [1, None, 3] * 3
+    assert [x for _, own in got for x in own] == [t or "" for t in texts]
+    assert [len(own) for _, own in got] == [3, 2, 4]
+    assert list(op.regrouped(iter([batches[0][:0]]))) == []
+
+
+def test_of_a_large_group_the_most_frequent_words_are_remembered(monkeypatch):
+    tokens = op.WordTokens(PATH, limit=40)
+    often, rare = [f"often{chr(97 + i)}" for i in range(26)], [f"w{i}x" for i in range(300)]
+    tokens.of([" ".join(rare + often), " ".join(often)])
+    assert len(tokens.known) + len(tokens.before) <= 40
+    learned = learning(tokens, monkeypatch)
+    assert tokens.of([" ".join(often)]) == [tokens._ids(" ".join(often))] and not learned
+
+
+def test_a_group_of_many_different_words_is_halved(monkeypatch):
+    tokens, texts = op.WordTokens(PATH), [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(33)]
+    monkeypatch.setattr(op, "GROUP_WORDS", 50)
+    learn, most = tokens._learn, []
+    monkeypatch.setattr(tokens, "_learn", lambda words: (most.append(len(words)), learn(words)))
+    assert tokens.of(texts) == [tokens._ids(t) for t in texts]
+    assert max(most) <= 50
